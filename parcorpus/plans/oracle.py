@@ -178,3 +178,143 @@ ORACLE["canonical_order"] = _with(*ALIGN_BASE) + """, books AS (
 SELECT coalesce(b.id, -1) AS book_ord, m.book_name, m.chapter, m.verse, m.en_text
 FROM merged m LEFT JOIN books b ON m.book_id = b.id
 ORDER BY book_ord, chapter, verse"""
+
+
+# --------------------------------------------------------------------------
+# De-duplication / translations / logs
+# --------------------------------------------------------------------------
+DOC_PAIRS = """doc_pairs AS (
+  SELECT doc_id, lang, split_part(text, chr(10), 1) AS src,
+         string_split(text, chr(10))[-1] AS tgt, doc_id AS pos
+  FROM documents)"""
+
+TRANSLATIONS = DOC_PAIRS + """,
+translations AS (
+  SELECT doc_id, src AS sl,
+         CASE doc_id % 10 WHEN 0 THEN '[ERROR]' WHEN 1 THEN src
+              WHEN 2 THEN '[TRANSLATION FAILED] - ' || src
+              WHEN 3 THEN '[TRANSLATION BACK FROM en] - ' || src ELSE tgt END AS tl,
+         tgt AS ol, pos
+  FROM doc_pairs)"""
+
+PAIRS = """pairs AS (
+  SELECT u.conv_id, u.turn, u.text AS en, a.text AS target, u.conv_id * 1000 + u.turn AS pos
+  FROM conversations u JOIN conversations a
+    ON u.conv_id = a.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+  WHERE u.role = 'user')"""
+
+CLEAN = """cleaned AS (
+  SELECT * FROM translations
+  WHERE coalesce(sl, '') <> coalesce(tl, '') AND NOT contains(coalesce(sl, ''), '[ERROR]')
+    AND NOT contains(coalesce(tl, ''), '[ERROR]')
+  QUALIFY row_number() OVER (PARTITION BY coalesce(sl, ''), coalesce(tl, '') ORDER BY pos) = 1)"""
+
+
+def _first_label(table: str, a: str, b: str, order: str = "pos", do_strip: bool = True) -> str:
+    ka = strip(f"coalesce({a}, '')") if do_strip else f"coalesce({a}, '')"
+    kb = strip(f"coalesce({b}, '')") if do_strip else f"coalesce({b}, '')"
+    return (f"SELECT *, {order} > min({order}) OVER (PARTITION BY {ka}, {kb}) AS is_duplicate "
+            f"FROM {table}")
+
+
+ORACLE["split_duplicates"] = _with(DOC_PAIRS) + \
+    f"SELECT doc_id, is_duplicate FROM ({_first_label('doc_pairs', 'src', 'tgt')})"
+
+ORACLE["cross_seen_duplicates"] = _with(DOC_PAIRS) + f"""SELECT doc_id,
+  pos > min(pos) OVER (PARTITION BY {strip("coalesce(src, '')")})
+  AND pos > min(pos) OVER (PARTITION BY {strip("coalesce(tgt, '')")}) AS is_duplicate
+FROM doc_pairs"""
+
+ORACLE["mark_all_duplicates"] = _with(DOC_PAIRS) + """SELECT doc_id,
+  count(*) OVER (PARTITION BY src, tgt) > 1 AS is_duplicate FROM doc_pairs"""
+
+ORACLE["keep_first"] = _with(DOC_PAIRS) + """SELECT doc_id, src, tgt FROM doc_pairs
+QUALIFY row_number() OVER (PARTITION BY coalesce(src, ''), coalesce(tgt, '') ORDER BY pos) = 1"""
+
+ORACLE["dedup_stats"] = _with(DOC_PAIRS) + f"""SELECT count(*) AS total,
+  count(*) FILTER (WHERE NOT is_duplicate) AS "unique",
+  count(*) FILTER (WHERE is_duplicate) AS duplicates
+FROM ({_first_label('doc_pairs', 'src', 'tgt')})"""
+
+ORACLE["clean_corpus"] = _with(TRANSLATIONS, CLEAN) + "SELECT doc_id, sl, tl, ol FROM cleaned"
+
+ORACLE["drop_untranslated"] = _with(TRANSLATIONS) + \
+    "SELECT doc_id, sl, tl FROM translations WHERE tl IS DISTINCT FROM sl"
+
+_STATUS_RE = _q(T.STATUS_RE)
+ORACLE["translation_status"] = _with(TRANSLATIONS) + f"""SELECT doc_id, status,
+  CASE WHEN status = 'back' THEN regexp_extract(tl, {_STATUS_RE}, 2) END AS lang,
+  CASE WHEN status = 'ok' THEN tl WHEN status IN ('error', 'missing') THEN NULL
+       ELSE regexp_extract(tl, {_STATUS_RE}, 3) END AS payload
+FROM (SELECT *, CASE WHEN tl IS NULL THEN 'missing'
+    WHEN regexp_extract(tl, {_STATUS_RE}, 1) = 'ERROR' THEN 'error'
+    WHEN regexp_extract(tl, {_STATUS_RE}, 1) = 'TRANSLATION FAILED' THEN 'failed'
+    WHEN regexp_extract(tl, {_STATUS_RE}, 1) = 'NOT FOUND' THEN 'not_found'
+    WHEN starts_with(regexp_extract(tl, {_STATUS_RE}, 1), 'TRANSLATION BACK FROM') THEN 'back'
+    ELSE 'ok' END AS status FROM translations)"""
+
+ORACLE["translation_stats"] = _with(TRANSLATIONS) + """SELECT count(*) AS total,
+  count(*) FILTER (WHERE NOT coalesce(starts_with(tl, '['), FALSE)) AS successful,
+  count(*) FILTER (WHERE coalesce(starts_with(tl, '['), FALSE)) AS failed,
+  CASE WHEN count(*) > 0 THEN round(100.0 * count(*) FILTER (WHERE NOT coalesce(starts_with(tl, '['), FALSE)) / count(*), 1) END AS pct_successful,
+  CASE WHEN count(*) > 0 THEN round(100.0 * count(*) FILTER (WHERE coalesce(starts_with(tl, '['), FALSE)) / count(*), 1) END AS pct_failed
+FROM translations"""
+
+ORACLE["failure_report"] = _with(TRANSLATIONS) + """SELECT idx, printf('#%04d', idx) AS label,
+  sl, coalesce(ol, 'N/A') AS ol, tl
+FROM (SELECT *, row_number() OVER (ORDER BY pos) AS idx FROM translations)
+WHERE coalesce(starts_with(tl, '['), FALSE)"""
+
+ORACLE["minus_existing"] = _with(TRANSLATIONS, CLEAN) + """SELECT doc_id, src AS sl, tgt AS ol
+FROM doc_pairs d WHERE NOT EXISTS (SELECT 1 FROM cleaned c WHERE c.sl = d.src AND c.ol = d.tgt)"""
+
+ORACLE["append_corpus"] = _with(TRANSLATIONS, CLEAN) + f""", u AS (
+  SELECT doc_id, 0 AS gen, src AS sl, tgt AS tl, pos FROM doc_pairs
+  UNION ALL SELECT doc_id, 1 AS gen, sl, tl, pos FROM cleaned)
+SELECT doc_id, gen, sl, tl,
+  (gen, pos) > min((gen, pos)) OVER (PARTITION BY {strip("coalesce(sl, '')")}, {strip("coalesce(tl, '')")}) AS is_duplicate
+FROM u"""
+
+ORACLE["read_many"] = _with(DOC_PAIRS, PAIRS) + f""", u AS (
+  SELECT 0 AS dataset, src, tgt, pos FROM doc_pairs
+  UNION ALL SELECT 1 AS dataset, en AS src, target AS tgt, pos FROM pairs)
+SELECT dataset, src, tgt, pos FROM u
+WHERE NOT {is_blank('src')} AND NOT {is_blank('tgt')}
+QUALIFY row_number() OVER (PARTITION BY dataset, src, tgt ORDER BY pos) = 1"""
+
+_LOG_RE = None  # set below
+
+
+def _log_cte() -> str:
+    from parcorpus.sources import readers
+    r = _q(readers.LOG_RE)
+    return f"""log_lines AS (
+  SELECT event_id AS line_no,
+    strftime(ts, '%Y-%m-%d %H:%M:%S') || ' [' || upper(event_type) || '] Worker ' ||
+    CAST(user_id % {V.LOG_WORKERS} AS VARCHAR) || ' | Batch ' || CAST(event_id // {V.LOG_BATCH} AS VARCHAR)
+    || '/' || CAST((SELECT max(event_id) // {V.LOG_BATCH} + 1 FROM events) AS VARCHAR) || ' | ' || props AS value
+  FROM events),
+parsed AS (
+  SELECT line_no, value, regexp_extract(value, {r}, 1) AS ts, regexp_extract(value, {r}, 2) AS level,
+    TRY_CAST(regexp_extract(value, {r}, 3) AS INTEGER) AS worker,
+    TRY_CAST(regexp_extract(value, {r}, 4) AS INTEGER) AS batch,
+    TRY_CAST(regexp_extract(value, {r}, 5) AS INTEGER) AS total,
+    regexp_extract(value, {r}, 6) AS message
+  FROM log_lines)"""
+
+
+ORACLE["log_by_batch"] = _with(_log_cte()) + """SELECT worker, batch, total, count(*) AS n_lines,
+  min(ts) AS first_ts FROM parsed GROUP BY worker, batch, total"""
+
+ORACLE["batch_errors"] = _with(_log_cte()) + """SELECT batch, count(*) AS n_rows,
+  count(*) FILTER (WHERE level = 'ERROR') AS n_errors,
+  count(*) FILTER (WHERE level = 'ERROR') = 0 AS complete
+FROM parsed GROUP BY batch"""
+
+ORACLE["log_kept_ratio"] = _with(_log_cte()) + """SELECT worker, batch, count(*) AS kept,
+  (SELECT count(*) FROM parsed) AS total,
+  round(100.0 * count(*) / (SELECT count(*) FROM parsed), 1) AS pct_kept
+FROM parsed WHERE batch IS NOT NULL GROUP BY worker, batch"""
+
+ORACLE["filter_log"] = _with(_log_cte()) + """SELECT line_no, value FROM log_lines
+WHERE contains(value, 'Worker 3 | Batch 1/')"""

@@ -12,8 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcorpus.operators import align
+from parcorpus.functions import text as TX
+from parcorpus.operators import align, dedup, joins, report
 from parcorpus.plans import views as V
+from parcorpus.sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -108,3 +110,115 @@ def canonical_order(spark, sf_dir):
     wide = _wide(spark, sf_dir)
     return align.canonical_sort(wide, V.books(spark, sf_dir)).select(
         "book_ord", "book_name", "chapter", "verse", "en_text")
+
+
+# --------------------------------------------------------------------------
+# De-duplication and the incremental corpus (F1-F5, C5, C6, J-1, U2, A5, G14)
+# --------------------------------------------------------------------------
+@query
+def split_duplicates(spark, sf_dir):
+    return dedup.split_duplicates(V.doc_pairs(spark, sf_dir), ["src", "tgt", "lang"]).select(
+        "doc_id", "is_duplicate")
+
+
+@query
+def cross_seen_duplicates(spark, sf_dir):
+    return dedup.cross_seen(V.doc_pairs(spark, sf_dir), "src", "tgt").select(
+        "doc_id", "is_duplicate")
+
+
+@query
+def mark_all_duplicates(spark, sf_dir):
+    return dedup.mark_all_duplicates(V.doc_pairs(spark, sf_dir), ["src", "tgt"]).select(
+        "doc_id", "is_duplicate")
+
+
+@query
+def keep_first(spark, sf_dir):
+    return dedup.keep_first(V.doc_pairs(spark, sf_dir), ["src", "tgt"]).select(
+        "doc_id", "src", "tgt")
+
+
+@query
+def dedup_stats(spark, sf_dir):
+    return dedup.dedup_stats(dedup.split_duplicates(V.doc_pairs(spark, sf_dir), ["src", "tgt"]))
+
+
+@query
+def clean_corpus(spark, sf_dir):
+    return dedup.clean_corpus(V.translations(spark, sf_dir)).select("doc_id", "sl", "tl", "ol")
+
+
+@query
+def drop_untranslated(spark, sf_dir):
+    return dedup.drop_untranslated(V.translations(spark, sf_dir)).select("doc_id", "sl", "tl")
+
+
+@query
+def translation_status(spark, sf_dir):
+    t = V.translations(spark, sf_dir)
+    return t.select("doc_id", TX.parse_status("tl").alias("s")).select(
+        "doc_id", "s.status", "s.lang", "s.payload")
+
+
+@query
+def translation_stats(spark, sf_dir):
+    return report.translation_stats(V.translations(spark, sf_dir))
+
+
+@query
+def failure_report(spark, sf_dir):
+    return dedup.failure_report(V.translations(spark, sf_dir))
+
+
+@query
+def minus_existing(spark, sf_dir):
+    new = V.doc_pairs(spark, sf_dir).select("doc_id", F.col("src").alias("sl"),
+                                            F.col("tgt").alias("ol"))
+    corpus = dedup.clean_corpus(V.translations(spark, sf_dir))
+    return joins.minus_existing(new, corpus, ["sl", "ol"])
+
+
+@query
+def append_corpus(spark, sf_dir):
+    new = V.doc_pairs(spark, sf_dir).select(
+        "doc_id", F.col("src").alias("sl"), F.col("tgt").alias("tl"), F.col("tgt").alias("ol"), "pos")
+    old = dedup.clean_corpus(V.translations(spark, sf_dir))
+    return joins.append_corpus(new, old).select("doc_id", "gen", "sl", "tl", "is_duplicate")
+
+
+@query
+def read_many(spark, sf_dir):
+    dp = V.doc_pairs(spark, sf_dir).select("src", "tgt", "pos")
+    pr = V.pairs(spark, sf_dir).select(F.col("en").alias("src"), F.col("target").alias("tgt"), "pos")
+    return joins.read_many([dp, pr], "src", "tgt")
+
+
+# --------------------------------------------------------------------------
+# Logs (A9, C12, G12, G15)
+# --------------------------------------------------------------------------
+def _parsed_log(spark, sf_dir):
+    return readers.parse_log(V.log_lines(spark, sf_dir))
+
+
+@query
+def log_by_batch(spark, sf_dir):
+    return _parsed_log(spark, sf_dir).groupBy("worker", "batch", "total").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.min("ts").alias("first_ts"))
+
+
+@query
+def batch_errors(spark, sf_dir):
+    return report.batch_errors(_parsed_log(spark, sf_dir))
+
+
+@query
+def log_kept_ratio(spark, sf_dir):
+    return report.log_kept_ratio(_parsed_log(spark, sf_dir))
+
+
+@query
+def filter_log(spark, sf_dir):
+    """Lines of one worker/batch prefix, found by substring as the pipeline does."""
+    lines = V.log_lines(spark, sf_dir)
+    return lines.where(F.col("value").contains("Worker 3 | Batch 1/")).select("line_no", "value")

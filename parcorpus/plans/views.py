@@ -75,14 +75,14 @@ def doc_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def translations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Translation triples with failure markers set by rule on doc_id % 10:
     0 -> [ERROR], 1 -> untranslated (tl = sl), 2 -> failed, 3 -> back-translation;
-    otherwise tl = upper(sl). sl = first line, ol = last line."""
+    otherwise tl = the last line. sl = first line, ol = last line."""
     dp = doc_pairs(spark, sf_dir)
     r = F.col("doc_id") % 10
     tl = (F.when(r == 0, F.lit(T.MARKER_ERROR))
           .when(r == 1, F.col("src"))
           .when(r == 2, F.concat(F.lit(T.MARKER_FAILED + " - "), F.col("src")))
           .when(r == 3, F.concat(F.lit(T.MARKER_BACK_PREFIX + "en] - "), F.col("src")))
-          .otherwise(F.upper("src")))
+          .otherwise(F.col("tgt")))
     return dp.select("doc_id", F.col("src").alias("sl"), tl.alias("tl"),
                      F.col("tgt").alias("ol"), "pos")
 
