@@ -318,3 +318,115 @@ FROM parsed WHERE batch IS NOT NULL GROUP BY worker, batch"""
 
 ORACLE["filter_log"] = _with(_log_cte()) + """SELECT line_no, value FROM log_lines
 WHERE contains(value, 'Worker 3 | Batch 1/')"""
+
+
+# --------------------------------------------------------------------------
+# Training-set preparation and BLEU
+# --------------------------------------------------------------------------
+VALID_PAIRS = """valid_pairs AS (
+  SELECT * FROM (
+    SELECT en_text AS en, fr_text AS target, 'fr' AS language FROM merged
+    UNION ALL SELECT en_text, de_text, 'de' FROM merged
+    UNION ALL SELECT en_text, es_text, 'es' FROM merged)
+  WHERE {v_en} AND {v_tg})""".format(v_en=is_valid_text("en"), v_tg=is_valid_text("target"))
+
+PAIRS_BASE = (VERSES_LONG, _merged_cte(), VALID_PAIRS)
+
+ORACLE["valid_pairs"] = _with(*PAIRS_BASE) + "SELECT en, target, language FROM valid_pairs"
+ORACLE["pair_counts"] = _with(*PAIRS_BASE) + \
+    "SELECT language, count(*) AS n_pairs FROM valid_pairs GROUP BY language"
+ORACLE["training_prompts"] = _with(*PAIRS_BASE) + f"""SELECT en, target, language,
+  'translate English to ' || language || ': ' || {strip('en')} AS prompt FROM valid_pairs"""
+ORACLE["hash_split"] = _with(*PAIRS_BASE) + """SELECT en, target, language,
+  CASE WHEN CAST(('0x' || substr(md5(concat_ws('|', '42', en, target, language)), 1, 8)) AS BIGINT)
+            / 4294967296.0 < 0.2 THEN 'test' ELSE 'train' END AS split
+FROM valid_pairs"""
+ORACLE["exact_split"] = _with(PAIRS) + """SELECT pos,
+  CASE WHEN row_number() OVER (ORDER BY CAST(('0x' || substr(md5(concat_ws(chr(1), '42', en, target)), 1, 15)) AS BIGINT))
+            <= ceil((SELECT count(*) FROM pairs) * 0.2) THEN 'test' ELSE 'train' END AS split
+FROM pairs"""
+
+
+def _tokens_sql(x: str) -> str:
+    return (f"list_filter(string_split_regex({strip(x)}, {_q(T.WS_RUN)}), lambda t: t <> '')")
+
+
+VOCAB = f"""toks AS (
+  SELECT unnest(list_concat({_tokens_sql('en')}, {_tokens_sql('target')})) AS token FROM pairs),
+vocab AS (
+  SELECT token, count(*) AS count,
+         CAST(row_number() OVER (ORDER BY count(*) DESC, token) + 2 AS INTEGER) AS id
+  FROM toks GROUP BY token ORDER BY count DESC, token LIMIT 1997)"""
+
+ORACLE["vocab"] = _with(PAIRS, VOCAB) + "SELECT token, count, id FROM vocab"
+
+ENCODED = f"""vmap AS (SELECT map_from_entries(list(struct_pack(k := token, v := id))) AS m FROM vocab),
+enc AS (
+  SELECT pos,
+    list_transform({_tokens_sql("'translate English to kw: ' || en")}[1:128], lambda t: coalesce(m[t], 2)) AS ids,
+    list_transform({_tokens_sql('target')}[1:128], lambda t: coalesce(m[t], 2)) AS lab
+  FROM pairs, vmap)"""
+
+ORACLE["encode_fixed"] = _with(PAIRS, VOCAB, ENCODED) + """SELECT pos,
+  array_to_string(list_concat(ids, list_transform(range(128 - len(ids)), lambda x: 0)), ' ') AS input_ids,
+  array_to_string(list_concat(list_transform(range(len(ids)), lambda x: 1), list_transform(range(128 - len(ids)), lambda x: 0)), ' ') AS attention_mask,
+  array_to_string(list_concat(lab, list_transform(range(128 - len(lab)), lambda x: 0)), ' ') AS labels
+FROM enc"""
+
+ORACLE["decode_ids"] = _with(PAIRS, VOCAB, ENCODED) + """, imap AS (
+  SELECT map_from_entries(list(struct_pack(k := id, v := token))) AS m FROM vocab)
+SELECT pos, array_to_string(list_transform(list_filter(lab, lambda i: i >= 3), lambda i: m[i]), ' ') AS decoded
+FROM enc, imap"""
+
+
+def _tok13a_sql(x: str) -> str:
+    from parcorpus.operators.bleu import TOK13A_RULES
+    s = f"replace(replace(replace({x}, '<skipped>', ''), '-' || chr(10), ''), chr(10), ' ')"
+    unesc = s
+    for a, b in [("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")]:
+        unesc = f"replace({unesc}, {_q(a)}, {_q(b)})"
+    s = f"(' ' || CASE WHEN contains({s}, '&') THEN {unesc} ELSE {s} END || ' ')"
+    for pat, rep in TOK13A_RULES:
+        s = f"regexp_replace({s}, {_q(pat)}, {_q(rep.replace('$', chr(92)))}, 'g')"
+    return f"list_filter(string_split_regex({strip(s)}, {_q(T.WS_RUN)}), lambda t: t <> '')"
+
+
+def _bleu_sql(source_cte: str, by: str, hyp: str, ref: str, rid: str) -> str:
+    grams = []
+    for side, col in (("h", "th"), ("r", "tr")):
+        for n in range(1, 5):
+            hv, rv = (1, 0) if side == "h" else (0, 1)
+            grams.append(
+                f"SELECT {by}, rid, {n} AS n, unnest(list_transform(range(1, len({col}) - {n} + 2), "
+                f"lambda i: array_to_string({col}[i:i + {n - 1}], ' '))) AS g, {hv} AS h, {rv} AS r FROM tok")
+    grams_sql = "\n    UNION ALL ".join(grams)
+    totals = ", ".join(f"sum(greatest(len(th) - {n - 1}, 0)) AS total_{n}" for n in range(1, 5))
+    corrects = ", ".join(f"coalesce(sum(m) FILTER (WHERE n = {n}), 0) AS correct_{n}" for n in range(1, 5))
+    return f"""WITH {source_cte},
+tok AS (SELECT {by}, {rid} AS rid, {_tok13a_sql(hyp)} AS th, {_tok13a_sql(ref)} AS tr FROM src),
+lens AS (SELECT {by}, sum(len(th)) AS sys_len, sum(len(tr)) AS ref_len, {totals} FROM tok GROUP BY {by}),
+grams AS ({grams_sql}),
+clipped AS (SELECT {by}, rid, n, g, least(sum(h), sum(r)) AS m FROM grams GROUP BY {by}, rid, n, g),
+corr AS (SELECT {by}, {corrects} FROM clipped GROUP BY {by}),
+st AS (SELECT l.*, coalesce(c.correct_1, 0) AS correct_1, coalesce(c.correct_2, 0) AS correct_2,
+              coalesce(c.correct_3, 0) AS correct_3, coalesce(c.correct_4, 0) AS correct_4
+       FROM lens l LEFT JOIN corr c USING ({by})),
+p AS (SELECT *,
+  (correct_1 = 0)::INT AS z1, (correct_1 = 0)::INT + (correct_2 = 0)::INT AS z2,
+  (correct_1 = 0)::INT + (correct_2 = 0)::INT + (correct_3 = 0)::INT AS z3,
+  (correct_1 = 0)::INT + (correct_2 = 0)::INT + (correct_3 = 0)::INT + (correct_4 = 0)::INT AS z4
+  FROM st),
+pr AS (SELECT *, {", ".join(
+        f"CASE WHEN total_{n} = 0 THEN 0.0 WHEN correct_{n} = 0 THEN 100.0 / (pow(2.0, z{n}) * total_{n}) "
+        f"ELSE 100.0 * correct_{n} / total_{n} END AS p{n}" for n in range(1, 5))} FROM p)
+SELECT {by}, sys_len, ref_len, total_1, total_2, total_3, total_4,
+  correct_1, correct_2, correct_3, correct_4,
+  round(CASE WHEN correct_1 + correct_2 + correct_3 + correct_4 > 0 THEN
+    (CASE WHEN sys_len < ref_len THEN (CASE WHEN sys_len > 0 THEN exp(1.0 - ref_len / sys_len) ELSE 0.0 END) ELSE 1.0 END)
+    * exp(({" + ".join(f"(CASE WHEN p{n} > 0 THEN ln(p{n}) ELSE -9999999999.0 END)" for n in range(1, 5))}) / 4.0)
+  ELSE 0.0 END, 6) AS bleu
+FROM pr"""
+
+
+ORACLE["corpus_bleu"] = _bleu_sql(PAIRS + ", src AS (SELECT * FROM pairs)", "conv_id", "en", "target", "pos")
+ORACLE["corpus_bleu_docs"] = _bleu_sql(DOC_PAIRS + ", src AS (SELECT * FROM doc_pairs)", "lang", "src", "tgt", "pos")

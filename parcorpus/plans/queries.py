@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcorpus.functions import text as TX
-from parcorpus.operators import align, dedup, joins, report
+from parcorpus.operators import align, bleu, dedup, joins, prep, report, schema
 from parcorpus.plans import views as V
 from parcorpus.sources import readers
 
@@ -222,3 +222,93 @@ def filter_log(spark, sf_dir):
     """Lines of one worker/batch prefix, found by substring as the pipeline does."""
     lines = V.log_lines(spark, sf_dir)
     return lines.where(F.col("value").contains("Worker 3 | Batch 1/")).select("line_no", "value")
+
+
+# --------------------------------------------------------------------------
+# Training-set preparation
+# --------------------------------------------------------------------------
+TARGETS = {"fr_text": "fr", "de_text": "de", "es_text": "es"}
+
+
+def _valid_pairs(spark, sf_dir):
+    return joins.union_languages(_wide(spark, sf_dir), "en_text", TARGETS)
+
+
+@query
+def valid_pairs(spark, sf_dir):
+    return _valid_pairs(spark, sf_dir)
+
+
+@query
+def pair_counts(spark, sf_dir):
+    return report.pair_counts(_valid_pairs(spark, sf_dir))
+
+
+@query
+def training_prompts(spark, sf_dir):
+    return schema.add_prompt(_valid_pairs(spark, sf_dir), "tag", strip_text=True)
+
+
+@query
+def hash_split(spark, sf_dir):
+    return prep.hash_split(_valid_pairs(spark, sf_dir), ["en", "target", "language"])
+
+
+@query
+def exact_split(spark, sf_dir):
+    pr = V.pairs(spark, sf_dir).select("pos", "en", "target")
+    return prep.exact_split(pr, ["en", "target"]).select("pos", "split")
+
+
+VOCAB_SIZE = 2000
+MAX_LEN = 128
+
+
+def _vocab(spark, sf_dir):
+    return prep.build_vocab(V.pairs(spark, sf_dir), ["en", "target"], VOCAB_SIZE)
+
+
+@query
+def vocab(spark, sf_dir):
+    return _vocab(spark, sf_dir)
+
+
+def _encoded(spark, sf_dir):
+    pr = schema.add_prompt(schema.tag_language(V.pairs(spark, sf_dir), "kw"), "tag")
+    return prep.encode_fixed(pr, _vocab(spark, sf_dir), "prompt", "target", MAX_LEN)
+
+
+def _ints(c):
+    return F.array_join(F.col(c).cast("array<string>"), " ")
+
+
+@query
+def encode_fixed(spark, sf_dir):
+    return _encoded(spark, sf_dir).select(
+        "pos", _ints("input_ids").alias("input_ids"),
+        _ints("attention_mask").alias("attention_mask"), _ints("labels").alias("labels"))
+
+
+@query
+def decode_ids(spark, sf_dir):
+    enc = _encoded(spark, sf_dir)
+    return prep.decode_ids(enc, "labels", _vocab(spark, sf_dir), "decoded").select("pos", "decoded")
+
+
+# --------------------------------------------------------------------------
+# BLEU (G16)
+# --------------------------------------------------------------------------
+def _bleu_out(df):
+    return df.select(*[c for c in df.columns if c != "bleu"], F.round("bleu", 6).alias("bleu"))
+
+
+@query
+def corpus_bleu(spark, sf_dir):
+    pr = V.pairs(spark, sf_dir)
+    return _bleu_out(bleu.corpus_bleu(pr, "en", "target", ["conv_id"], row_id="pos"))
+
+
+@query
+def corpus_bleu_docs(spark, sf_dir):
+    dp = V.doc_pairs(spark, sf_dir)
+    return _bleu_out(bleu.corpus_bleu(dp, "src", "tgt", ["lang"], row_id="pos"))
