@@ -32,8 +32,8 @@ def clean_text(x: str) -> str:
     s = f"regexp_replace({x}, {_q(T.WS_RUN)}, ' ', 'g')"
     s = f"translate({s}, {_q(T.QUOTES)}, {_q(chr(39) * len(T.QUOTES))})"
     s = f"regexp_replace({s}, {_q(T.ZERO_WIDTH_RE)}, '', 'g')"
-    s = (f"(SELECT CASE WHEN starts_with(s1, '[') AND ends_with(s1, ']') "
-         f"THEN {strip('substr(s1, 2, length(s1) - 2)')} ELSE s1 END FROM (SELECT {s} AS s1))")
+    inner = strip(f"substr({s}, 2, length({s}) - 2)")
+    s = f"(CASE WHEN starts_with({s}, '[') AND ends_with({s}, ']') THEN {inner} ELSE {s} END)"
     s = f"regexp_replace({strip(s)}, ' +', ' ', 'g')"
     return f"CASE WHEN {is_blank(x)} THEN '' ELSE {s} END"
 
@@ -430,3 +430,62 @@ FROM pr"""
 
 ORACLE["corpus_bleu"] = _bleu_sql(PAIRS + ", src AS (SELECT * FROM pairs)", "conv_id", "en", "target", "pos")
 ORACLE["corpus_bleu_docs"] = _bleu_sql(DOC_PAIRS + ", src AS (SELECT * FROM doc_pairs)", "lang", "src", "tgt", "pos")
+
+
+# --------------------------------------------------------------------------
+# Tasks, batches, requests, translation
+# --------------------------------------------------------------------------
+BOOKS_DIM = """books_dim AS (
+  SELECT n_name AS book, n_nationkey AS book_id, n_nationkey * 7 + 1 AS chapters FROM nation)"""
+
+RANGES = """ranges AS (
+  SELECT book_id, CAST(i AS INTEGER) AS range_index,
+         CAST(i * base + least(i, rem) + 1 AS INTEGER) AS start_chapter,
+         CAST((i + 1) * base + least(i + 1, rem) AS INTEGER) AS end_chapter
+  FROM (SELECT *, CAST(chapters // k AS INTEGER) AS base, chapters - CAST(chapters // k AS INTEGER) * k AS rem,
+               unnest(range(k)) AS i
+        FROM (SELECT *, CAST(CASE WHEN chapters <= 30 THEN 1 ELSE ceil(chapters / 30) END AS INTEGER) AS k
+              FROM books_dim)))"""
+
+ORACLE["chapter_ranges"] = _with(BOOKS_DIM, RANGES) + \
+    "SELECT book_id, range_index, start_chapter, end_chapter FROM ranges"
+
+ORACLE["task_table"] = _with(BOOKS_DIM, RANGES) + """, tasks AS (
+  SELECT r.*, v.version FROM ranges r, (SELECT DISTINCT r_name AS version FROM region) v)
+SELECT row_number() OVER (ORDER BY CAST(('0x' || substr(md5(concat_ws(chr(1), '42', version,
+         CAST(book_id AS VARCHAR), CAST(range_index AS VARCHAR))), 1, 15)) AS BIGINT)) AS task_id,
+       version, book_id, start_chapter, end_chapter
+FROM tasks"""
+
+BATCHES = PAIRS + """,
+sp AS (SELECT pos, en AS sl, target AS ol FROM pairs),
+batches AS (
+  SELECT *, CAST(ceil(rn / 30) AS BIGINT) AS batch_id FROM (
+    SELECT *, row_number() OVER (ORDER BY CAST(('0x' || substr(md5(concat_ws(chr(1), '42',
+        CAST(pos AS VARCHAR))), 1, 15)) AS BIGINT)) AS rn FROM sp)),
+chunked AS (
+  SELECT *, CAST(ceil((rn - (batch_id - 1) * 30) /
+     (10 + CAST(('0x' || substr(md5('42|' || CAST(batch_id AS VARCHAR)), 1, 8)) AS BIGINT) % 16)) AS BIGINT) AS chunk_id
+  FROM batches),
+req AS (
+  SELECT batch_id, chunk_id, list(struct_pack(rn := rn, sl := sl, ol := ol) ORDER BY rn) AS sentences,
+         string_agg(sl, ' <|||> ' ORDER BY rn) AS request, count(*) AS n_sentences
+  FROM chunked GROUP BY batch_id, chunk_id)"""
+
+ORACLE["batches"] = _with(BATCHES) + "SELECT pos, rn, batch_id FROM batches"
+ORACLE["requests"] = _with(BATCHES) + "SELECT batch_id, chunk_id, n_sentences, request FROM req"
+
+_REALIGN = """, res AS (SELECT *, translate(request, 'abcdefghijklmnopqrstuvwxyz',
+                                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') AS translated FROM req),
+parts AS (SELECT *, string_split(translated, '<|||>') AS p FROM res),
+zipped AS (
+  SELECT batch_id, chunk_id, len(p) <> n_sentences AS bad, unnest(sentences) AS s,
+         unnest(CASE WHEN len(p) = n_sentences THEN p
+                     ELSE list_transform(sentences, lambda x: NULL::VARCHAR) END) AS part
+  FROM parts)
+SELECT batch_id, chunk_id, s.rn AS rn, {sl} AS sl,
+       CASE WHEN bad THEN '[ERROR]' ELSE {tl} END AS tl, {ol} AS ol
+FROM zipped""".format(sl=collapse("s.sl"), ol=collapse("s.ol"), tl=clean_text("part"))
+
+ORACLE["realign"] = _with(BATCHES) + _REALIGN
+ORACLE["translate_batches"] = _with(BATCHES) + _REALIGN

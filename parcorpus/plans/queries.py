@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcorpus.functions import text as TX
-from parcorpus.operators import align, bleu, dedup, joins, prep, report, schema
+from parcorpus.operators import align, batching, bleu, dedup, joins, prep, report, schema, udf
 from parcorpus.plans import views as V
 from parcorpus.sources import readers
 
@@ -312,3 +312,63 @@ def corpus_bleu(spark, sf_dir):
 def corpus_bleu_docs(spark, sf_dir):
     dp = V.doc_pairs(spark, sf_dir)
     return _bleu_out(bleu.corpus_bleu(dp, "src", "tgt", ["lang"], row_id="pos"))
+
+
+# --------------------------------------------------------------------------
+# Tasks, batches, requests, translation (T4-T8, J-2, X1)
+# --------------------------------------------------------------------------
+def _books_dim(spark, sf_dir):
+    nation = V.table(spark, sf_dir, "nation")
+    return nation.select(F.col("n_name").alias("book"), F.col("n_nationkey").alias("book_id"),
+                         (F.col("n_nationkey") * 7 + 1).alias("chapters"))
+
+
+@query
+def chapter_ranges(spark, sf_dir):
+    return batching.chapter_ranges(_books_dim(spark, sf_dir), max_chapters=30).select(
+        "book_id", "range_index", "start_chapter", "end_chapter")
+
+
+@query
+def task_table(spark, sf_dir):
+    ranges = batching.chapter_ranges(_books_dim(spark, sf_dir), max_chapters=30)
+    versions = V.table(spark, sf_dir, "region")
+    return batching.task_table(ranges, versions, "r_name", ["book_id", "range_index"]).select(
+        "task_id", "version", "book_id", "start_chapter", "end_chapter")
+
+
+def _sentence_pairs(spark, sf_dir):
+    return V.pairs(spark, sf_dir).select("pos", F.col("en").alias("sl"), F.col("target").alias("ol"))
+
+
+@query
+def batches(spark, sf_dir):
+    return batching.make_batches(_sentence_pairs(spark, sf_dir)).select("pos", "rn", "batch_id")
+
+
+def _requests(spark, sf_dir):
+    return batching.make_requests(batching.make_batches(_sentence_pairs(spark, sf_dir)))
+
+
+@query
+def requests(spark, sf_dir):
+    return _requests(spark, sf_dir).select("batch_id", "chunk_id", "n_sentences", "request")
+
+
+ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
+
+
+@query
+def realign(spark, sf_dir):
+    req = _requests(spark, sf_dir)
+    res = req.withColumn("translated", F.translate("request", ASCII_LOWER, ASCII_LOWER.upper()))
+    return batching.realign(res)
+
+
+def ascii_upper(s: str) -> str:
+    return s.translate(str.maketrans(ASCII_LOWER, ASCII_LOWER.upper()))
+
+
+@query
+def translate_batches(spark, sf_dir):
+    return udf.translate_batches(_sentence_pairs(spark, sf_dir), ascii_upper)
