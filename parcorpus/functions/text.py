@@ -221,7 +221,7 @@ def parse_status(c) -> Column:
 
 def url_param(url, key: str) -> Column:
     """First value of a query parameter, %-decoded; NULL if absent or blank."""
-    v = F.url_decode(F.parse_url(_c(url), F.lit("QUERY"), F.lit(key)))
+    v = F.try_url_decode(F.try_parse_url(_c(url), F.lit("QUERY"), F.lit(key)))
     return F.when(v != "", v)
 
 
@@ -229,11 +229,11 @@ def url_params(url) -> Column:
     """Query string -> MAP<STRING, ARRAY<STRING>> like ``parse_qs``: pairs
     without "=" or with a blank value dropped, keys and values %-decoded,
     repeated keys keep every value in order."""
-    q = F.parse_url(_c(url), F.lit("QUERY"))
+    q = F.try_parse_url(_c(url), F.lit("QUERY"))
     pairs = F.filter(F.split(q, "&"), lambda p: F.instr(p, "=") > 1)
     kv = F.transform(pairs, lambda p: F.struct(
-        F.url_decode(F.substring_index(p, "=", 1)).alias("k"),
-        F.url_decode(p.substr(F.instr(p, "=") + 1, F.lit(1 << 30))).alias("v")))
+        F.try_url_decode(F.substring_index(p, "=", 1)).alias("k"),
+        F.try_url_decode(p.substr(F.instr(p, "=") + 1, F.lit(1 << 30))).alias("v")))
     kv = F.filter(kv, lambda x: x["v"] != "")
     keys = F.array_distinct(F.transform(kv, lambda x: x["k"]))
     vals = F.transform(keys, lambda k: F.transform(F.filter(kv, lambda x: x["k"] == k),
@@ -287,7 +287,8 @@ def translator_url(sl, tl, key=None) -> Column:
     ``key`` (deterministic, unlike a random pick)."""
     k = _c(key) if key is not None else F.concat_ws("|", _c(sl), _c(tl))
     hosts = F.array(*[F.lit(h) for h in TRANSLATOR_HOSTS])
-    host = F.get(hosts, F.pmod(F.xxhash64(k), F.lit(len(TRANSLATOR_HOSTS))).cast("int"))
+    h = F.conv(F.substring(F.md5(k.cast("string")), 1, 8), 16, 10).cast("long")
+    host = F.get(hosts, F.pmod(h, F.lit(len(TRANSLATOR_HOSTS))).cast("int"))
     return F.format_string("%s/?sl=%s&tl=%s&op=translate", host, _c(sl), _c(tl))
 
 

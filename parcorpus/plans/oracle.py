@@ -489,3 +489,131 @@ FROM zipped""".format(sl=collapse("s.sl"), ol=collapse("s.ol"), tl=clean_text("p
 
 ORACLE["realign"] = _with(BATCHES) + _REALIGN
 ORACLE["translate_batches"] = _with(BATCHES) + _REALIGN
+
+
+# --------------------------------------------------------------------------
+# Pages, segments and text functions
+# --------------------------------------------------------------------------
+def _html_text(x: str) -> str:
+    from parcorpus.operators.segment import ENTITIES, TAG_RE
+    s = f"regexp_replace({x}, {_q(TAG_RE)}, '', 'g')"
+    for a, b in ENTITIES:
+        s = f"replace({s}, {_q(a)}, {_q(b)})"
+    return strip(s)
+
+
+_CONTAINERS = f"""list_transform(string_split(html, '<p>')[2:],
+      lambda p, i: struct_pack(label := CASE WHEN (i - 1) % 3 <> 2 THEN CAST(i AS INTEGER) END,
+                               text := {_html_text("split_part(p, '</p>', 1)")},
+                               note := FALSE))"""
+
+_FOLD = """list_reduce(containers, lambda acc, x:
+      CASE WHEN x.text <> '' AND x.label IS NOT NULL THEN
+             list_append(CASE WHEN x.label > len(acc) + 1 THEN list_append(acc, '') ELSE acc END, x.text)
+           WHEN x.text <> '' AND len(acc) > 0 THEN
+             list_append(acc[1:len(acc) - 1], acc[len(acc)] || ' ' || x.text)
+           WHEN x.text = '' AND x.note THEN list_append(acc, '')
+           ELSE acc END, []::VARCHAR[])"""
+
+ORACLE["extract_verses"] = f"""WITH c AS (
+  SELECT page_id, {_CONTAINERS} AS containers
+  FROM pages WHERE NOT contains(html, '<html lang="fr"')),
+f AS (SELECT page_id, CASE WHEN len(containers) = 0 THEN []::VARCHAR[] ELSE {_FOLD} END AS v FROM c)
+SELECT page_id, CAST(generate_subscripts(v, 1) AS INTEGER) AS verse, unnest(v) AS text FROM f"""
+
+_ITEM = _q('<li><a href="([^"]*)">(.*?)</a></li>')
+ORACLE["extract_table_pairs"] = f"""WITH z AS (
+  SELECT page_id, regexp_extract_all(html, {_ITEM}, 1) AS a, regexp_extract_all(html, {_ITEM}, 2) AS b
+  FROM pages),
+found AS (
+  SELECT page_id, len(a) AS n, CAST(generate_subscripts(a, 1) - 1 AS INTEGER) AS idx,
+         unnest(a) AS a1, unnest(b) AS b1
+  FROM z WHERE len(a) > 0)
+SELECT page_id, idx, CASE WHEN idx % 2 = 0 THEN 'even' ELSE 'odd' END AS cls,
+  CAST(CASE WHEN idx % 2 = 0 THEN idx // 2 ELSE (n + 1) // 2 + (idx - 1) // 2 END AS INTEGER) AS out_pos,
+  {strip("replace(a1, '\"', '''')")} AS en, {strip("replace(b1, '\"', '''')")} AS kw, 'ok' AS status
+FROM found
+UNION ALL
+SELECT page_id, NULL, NULL, NULL, NULL, NULL, 'not_found' FROM z WHERE len(a) = 0"""
+
+ORACLE["page_not_found"] = """SELECT page_id,
+  CASE WHEN contains(html, '<html lang="fr"') THEN 'not_found' ELSE 'ok' END AS status FROM pages"""
+
+BENCH_LINES = """blines AS (SELECT DISTINCT unnest(string_split(text, chr(10))) AS text FROM benchmark)"""
+
+ORACLE["curate_text"] = _with(VERSES_LONG, BENCH_LINES) + f"""SELECT pos,
+  CASE WHEN regexp_matches(text, {_q(T.INVALID_CHARS_RE)}) THEN 'corrupted' ELSE 'curated' END AS label
+FROM verses_long v WHERE NOT EXISTS (SELECT 1 FROM blines b WHERE b.text = v.text)"""
+
+ORACLE["exclude_sentences"] = _with(VERSES_LONG, BENCH_LINES) + """SELECT pos // 100000 AS doc_id,
+  count(*) AS kept_lines
+FROM verses_long v WHERE NOT EXISTS (SELECT 1 FROM blines b WHERE b.text = v.text)
+GROUP BY 1"""
+
+ORACLE["nested_pairs"] = _with(DOC_PAIRS) + \
+    "SELECT src AS br, tgt AS en FROM doc_pairs WHERE src IS NOT NULL AND tgt IS NOT NULL"
+
+ORACLE["clean_text"] = f"SELECT doc_id, {clean_text('text')} AS cleaned FROM documents"
+ORACLE["collapse_ws"] = f"SELECT doc_id, {collapse('text')} AS collapsed FROM documents"
+ORACLE["strip_text"] = f"""SELECT conv_id, turn, {strip('text')} AS stripped,
+  substr(text, 1, 50) AS preview, CAST(length(text) AS INTEGER) AS n_chars FROM conversations"""
+ORACLE["quotes"] = "SELECT doc_id, replace(text, '\"', '''') AS text FROM documents"
+
+
+def sanitize_name(x: str, max_len: int = 80) -> str:
+    ext_re = _q(T.EXTENSION_RE)
+    stem = f"substr({x}, 1, length({x}) - length(regexp_extract({x}, {ext_re}, 1)))"
+    s = f"regexp_replace({stem}, {_q(T.UNSAFE_NAME_RE)}, '_', 'g')"
+    s = f"regexp_replace({s}, '_+', '_', 'g')"
+    s = f"regexp_replace({s}, '^[._\\-]+|[._\\-]+$', '', 'g')"
+    e2 = f"regexp_extract({s}, {ext_re}, 1)"
+    long_ = (f"CASE WHEN length({e2}) > 0 AND length({e2}) <= 10 THEN "
+             f"substr({s}, 1, least(length({s}) - length({e2}), {max_len} - length({e2}))) || {e2} "
+             f"ELSE substr({s}, 1, {max_len}) END")
+    out = f"CASE WHEN length({s}) > {max_len} THEN {long_} ELSE {s} END"
+    return f"CASE WHEN {x} IS NULL OR {x} = '' OR {s} = '' THEN 'unnamed' ELSE {out} END"
+
+
+ORACLE["sanitize_name"] = f"""SELECT page_id,
+  {sanitize_name("regexp_extract(html, '<title>(.*?)</title>', 1)")} AS title_name,
+  {sanitize_name('url')} AS url_name FROM pages"""
+
+ORACLE["url_params"] = """WITH q AS (
+  SELECT page_id, url, CASE WHEN contains(url, '?') THEN regexp_extract(url, '\\?([^#]*)', 1) END AS qs
+  FROM pages),
+kv AS (
+  SELECT page_id, url, qs,
+    list_filter(list_transform(list_filter(string_split(qs, '&'), lambda p: strpos(p, '=') > 1),
+        lambda p: struct_pack(k := url_decode(split_part(p, '=', 1)), v := url_decode(substr(p, strpos(p, '=') + 1)))),
+      lambda x: x.v <> '') AS kv
+  FROM q)
+SELECT page_id,
+  CASE WHEN qs IS NULL THEN NULL ELSE array_to_string(list_transform(
+    list_filter(kv, lambda x, i: NOT list_contains(list_transform(kv[1:i - 1], lambda y: y.k), x.k)),
+    lambda x: x.k || '=' || array_to_string(list_transform(list_filter(kv, lambda y: y.k = x.k), lambda y: y.v), '|')),
+    ';') END AS params,
+  (SELECT any_value(x.v) FROM (SELECT unnest(list_filter(kv, lambda y: y.k = 'page')) AS x)) AS page
+FROM kv"""
+
+ORACLE["query_param_mismatch"] = """SELECT page_id, url_lang, page_lang, url_lang <> page_lang AS mismatch FROM (
+  SELECT page_id, regexp_extract(url, '^[a-z]+://[^/]+/([a-z][a-z])/', 1) AS url_lang,
+         regexp_extract(html, '<html lang="([^"]*)"', 1) AS page_lang FROM pages)"""
+
+ORACLE["chapter_url"] = """SELECT n_nationkey,
+  format('https://www.bible.com/bible/{}/{}.{}.{}', n_regionkey, upper(substr(n_name, 1, 3)),
+         n_nationkey + 1, 'NIV') AS url FROM nation"""
+
+
+def _translator_url() -> str:
+    hosts = ", ".join(_q(h) for h in T.TRANSLATOR_HOSTS)
+    return (f"[{hosts}][1 + CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8)) AS BIGINT) % 3]"
+            f" || '/?sl=' || lang || '&tl=en&op=translate'")
+
+
+def _language_name() -> str:
+    cases = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in T.LANGUAGE_NAMES.items())
+    return f"CASE lang {cases} ELSE lang END"
+
+
+ORACLE["translator_url"] = f"""SELECT doc_id, {_translator_url()} AS url, {_language_name()} AS language
+FROM documents"""

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcorpus.functions import text as TX
-from parcorpus.operators import align, batching, bleu, dedup, joins, prep, report, schema, udf
+from parcorpus.operators import (align, batching, bleu, dedup, joins, prep, report, schema,
+                                  segment, udf)
 from parcorpus.plans import views as V
 from parcorpus.sources import readers
 
@@ -372,3 +373,119 @@ def ascii_upper(s: str) -> str:
 @query
 def translate_batches(spark, sf_dir):
     return udf.translate_batches(_sentence_pairs(spark, sf_dir), ascii_upper)
+
+
+# --------------------------------------------------------------------------
+# Pages, segments, text functions
+# --------------------------------------------------------------------------
+@query
+def extract_verses(spark, sf_dir):
+    return segment.extract_verses(V.table(spark, sf_dir, "pages"))
+
+
+@query
+def extract_table_pairs(spark, sf_dir):
+    return segment.extract_table_pairs(V.table(spark, sf_dir, "pages"))
+
+
+@query
+def page_not_found(spark, sf_dir):
+    pages = V.table(spark, sf_dir, "pages")
+    return pages.select("page_id", segment.page_status().alias("status"))
+
+
+def _benchmark_lines(spark, sf_dir):
+    b = V.table(spark, sf_dir, "benchmark")
+    return b.select(F.explode(F.split("text", "\n")).alias("text"))
+
+
+@query
+def curate_text(spark, sf_dir):
+    lines = V.verses_long(spark, sf_dir).select("pos", "text")
+    return segment.curate_segments(lines, "text", _benchmark_lines(spark, sf_dir)).select("pos", "label")
+
+
+@query
+def exclude_sentences(spark, sf_dir):
+    lines = V.verses_long(spark, sf_dir).select("pos", "text")
+    kept = joins.exclude_sentences(lines, _benchmark_lines(spark, sf_dir), "text")
+    return kept.groupBy((F.col("pos") / 100000).cast("long").alias("doc_id")).agg(
+        F.count(F.lit(1)).alias("kept_lines"))
+
+
+@query
+def nested_pairs(spark, sf_dir):
+    dp = joins.drop_null_pairs(V.doc_pairs(spark, sf_dir), "src", "tgt")
+    nested = schema.to_nested(dp.select("doc_id", F.col("src").alias("br"), F.col("tgt").alias("en")),
+                              "br", "en")
+    return nested.select(F.col("translation.br").alias("br"), F.col("translation.en").alias("en"))
+
+
+def _docs(spark, sf_dir):
+    return V.table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+@query
+def clean_text(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", TX.clean_text("text").alias("cleaned"))
+
+
+@query
+def collapse_ws(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", TX.collapse_ws("text").alias("collapsed"))
+
+
+@query
+def strip_text(spark, sf_dir):
+    conv = V.table(spark, sf_dir, "conversations")
+    return conv.select("conv_id", "turn", TX.strip("text").alias("stripped"),
+                       TX.preview_text("text", 50).alias("preview"),
+                       TX.text_length("text").alias("n_chars"))
+
+
+@query
+def quotes(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", TX.quotes_to_single("text").alias("text"))
+
+
+@query
+def sanitize_name(spark, sf_dir):
+    pages = V.table(spark, sf_dir, "pages")
+    title = F.regexp_extract("html", "<title>(.*?)</title>", 1)
+    return pages.select("page_id", TX.sanitize_name(title).alias("title_name"),
+                        TX.sanitize_name("url").alias("url_name"))
+
+
+@query
+def url_params(spark, sf_dir):
+    pages = V.table(spark, sf_dir, "pages")
+    m = TX.url_params("url")
+    rendered = F.array_join(F.transform(F.map_entries(m), lambda e: F.concat(
+        e["key"], F.lit("="), F.array_join(e["value"], "|"))), ";")
+    return pages.select("page_id", rendered.alias("params"), TX.url_param("url", "page").alias("page"))
+
+
+@query
+def query_param_mismatch(spark, sf_dir):
+    pages = V.table(spark, sf_dir, "pages")
+    url_lang = F.regexp_extract("url", r"^[a-z]+://[^/]+/([a-z][a-z])/", 1)
+    page_lang = F.regexp_extract("html", r'<html lang="([^"]*)"', 1)
+    return pages.select("page_id", url_lang.alias("url_lang"), page_lang.alias("page_lang"),
+                        (url_lang != page_lang).alias("mismatch"))
+
+
+@query
+def chapter_url(spark, sf_dir):
+    nation = V.table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey"), F.col("n_regionkey").alias("version_id"),
+        F.upper(F.substring("n_name", 1, 3)).alias("abbr"),
+        (F.col("n_nationkey") + 1).alias("chapter"), F.lit("NIV").alias("suffix"))
+    return schema.with_chapter_url(nation).select("n_nationkey", "url")
+
+
+@query
+def translator_url(spark, sf_dir):
+    docs = V.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return docs.select("doc_id", TX.translator_url(F.col("lang"), F.lit("en"),
+                                                   F.col("doc_id").cast("string")).alias("url"),
+                       TX.language_name("lang").alias("language"))
