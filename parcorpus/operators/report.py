@@ -69,26 +69,37 @@ def table_profile(df: DataFrame) -> DataFrame:
     return df.agg(*aggs)
 
 
-def render_text(wide: DataFrame, versions: Sequence[str], version_names: dict[str, str] | None = None,
-                books: DataFrame | None = None) -> DataFrame:
-    """Readable text per version, as one block row per (version, book,
-    chapter): ``Chapter n``, 20 dashes, ``"<verse> <text>"`` lines ascending by
-    (verse, text). Book headers (name + 50 ``=``) are carried on each chapter
-    row; the caller writes rows ordered by (version, book_ord, chapter).
-    Never builds a whole-version string."""
+def render_text(long: DataFrame, books: DataFrame, version_names: dict[str, str] | None = None,
+                version_col: str = "version") -> DataFrame:
+    """Readable text per version as one block row per (version, book,
+    chapter), never one string per version.
+
+    Block = [title if first block of the version] + [book name and 50 "="
+    if first chapter of the book] + ``Chapter n``, 20 "-", the lines
+    ``"<verse> <text>"`` ascending by (verse, text), a blank line + [one more
+    newline after the book's last chapter]. ``value`` omits the final newline,
+    which the text writer adds. Order blocks by (version, book_ord, chapter)."""
     names = version_names or {}
-    stacked = wide.select("book_name", "book_id", "chapter", "verse", F.explode(F.array(*[
-        F.struct(F.lit(v).alias("version"), F.col(f"{v}_text").alias("text")) for v in versions
-    ])).alias("_v")).select("book_name", "book_id", "chapter", "verse", "_v.*")
-    blocks = stacked.groupBy("version", "book_id", "book_name", "chapter").agg(
+    blocks = long.groupBy(version_col, "book_id", "chapter").agg(
         F.array_sort(F.collect_list(F.struct("verse", "text"))).alias("_vs"))
-    lines = F.array_join(F.transform("_vs", lambda x: F.concat(
-        x["verse"].cast("string"), F.lit(" "), x["text"])), "\n")
-    out = blocks.select(
-        "version", "book_id", "book_name", "chapter",
-        F.concat(F.lit("Chapter "), F.col("chapter").cast("string"), F.lit("\n"),
-                 F.lit("-" * 20), F.lit("\n"), lines, F.lit("\n\n")).alias("block"),
-        F.concat(F.col("book_name"), F.lit("\n" + "=" * 50 + "\n\n")).alias("book_header"))
+    blocks = blocks.join(books.select(F.col("id").alias("book_id"), F.col("name").alias("_bname"),
+                                      F.col("ordinal").alias("book_ord")), "book_id", "left")
+    firsts = blocks.groupBy(version_col, "book_id").agg(
+        F.min("chapter").alias("_first_ch"), F.max("chapter").alias("_last_ch"))
+    first_block = blocks.groupBy(version_col).agg(
+        F.min(F.struct("book_ord", "chapter")).alias("_first"))
+    b = blocks.join(firsts, [version_col, "book_id"]).join(first_block, version_col)
     m = F.create_map(*[F.lit(x) for kv in names.items() for x in kv]) if names else None
-    title = F.coalesce(m[F.col("version")], F.col("version")) if m is not None else F.col("version")
-    return out.withColumn("title", F.concat(F.lit("The Holy Bible - "), title, F.lit("\n\n")))
+    vname = F.coalesce(m[F.col(version_col)], F.col(version_col)) if m is not None else F.col(version_col)
+    title = F.when((F.col("_first.book_ord").eqNullSafe(F.col("book_ord")))
+                   & (F.col("_first.chapter") == F.col("chapter")),
+                   F.concat(F.lit("The Holy Bible - "), vname, F.lit("\n\n"))).otherwise(F.lit(""))
+    header = F.when(F.col("chapter") == F.col("_first_ch"),
+                    F.concat(F.col("_bname"), F.lit("\n" + "=" * 50 + "\n\n"))).otherwise(F.lit(""))
+    lines = F.array_join(F.transform("_vs", lambda x: F.concat(
+        x["verse"].cast("string"), F.lit(" "), F.coalesce(x["text"], F.lit("")))), "\n")
+    body = F.concat(F.lit("Chapter "), F.col("chapter").cast("string"), F.lit("\n" + "-" * 20 + "\n"),
+                    lines, F.lit("\n"))
+    tail = F.when(F.col("chapter") == F.col("_last_ch"), F.lit("\n")).otherwise(F.lit(""))
+    return b.select(version_col, "book_ord", "book_id", "chapter",
+                    F.concat(title, header, body, tail).alias("value"))

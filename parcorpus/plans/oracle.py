@@ -617,3 +617,62 @@ def _language_name() -> str:
 
 ORACLE["translator_url"] = f"""SELECT doc_id, {_translator_url()} AS url, {_language_name()} AS language
 FROM documents"""
+
+
+# --------------------------------------------------------------------------
+# Profiles, previews, exports, previous runs, ingest
+# --------------------------------------------------------------------------
+ORACLE["table_profile"] = f"""SELECT count(*) AS n_rows,
+  count(*) FILTER (WHERE conv_id IS NULL) AS conv_id__nulls,
+  count(*) FILTER (WHERE turn IS NULL) AS turn__nulls,
+  count(*) FILTER (WHERE role IS NULL) AS role__nulls,
+  count(*) FILTER (WHERE {strip('role')} = '') AS role__blanks,
+  count(*) FILTER (WHERE text IS NULL) AS text__nulls,
+  count(*) FILTER (WHERE {strip('text')} = '') AS text__blanks
+FROM conversations"""
+
+ORACLE["preview"] = _with(*ALIGN_BASE) + """SELECT book_name, chapter, verse, en_text FROM merged
+ORDER BY book_id, chapter, verse LIMIT 5"""
+
+ORACLE["version_books"] = _with(VERSES_LONG) + """SELECT version, count(*) AS entries,
+  array_to_string(list_sort(list_distinct(list(book_name))), ',') AS books
+FROM verses_long GROUP BY version"""
+
+ORACLE["render_text"] = _with(VERSES_LONG) + """, books AS (
+  SELECT DISTINCT source AS name, CAST(regexp_extract(source, '[0-9]+', 0) AS INTEGER) AS id FROM documents),
+blocks AS (
+  SELECT version, book_id, chapter,
+         string_agg(CAST(verse AS VARCHAR) || ' ' || coalesce(text, ''), chr(10) ORDER BY verse, text) AS lines
+  FROM verses_long GROUP BY version, book_id, chapter),
+b AS (
+  SELECT k.*, bk.name AS bname, bk.id AS book_ord,
+    min(chapter) OVER (PARTITION BY version, book_id) AS first_ch,
+    max(chapter) OVER (PARTITION BY version, book_id) AS last_ch,
+    min((bk.id, chapter)) OVER (PARTITION BY version) AS first_block
+  FROM blocks k LEFT JOIN books bk ON k.book_id = bk.id)
+SELECT version, book_ord, chapter,
+  CASE WHEN first_block = (book_ord, chapter) THEN 'The Holy Bible - ' || version || chr(10) || chr(10) ELSE '' END
+  || CASE WHEN chapter = first_ch THEN bname || chr(10) || repeat('=', 50) || chr(10) || chr(10) ELSE '' END
+  || 'Chapter ' || CAST(chapter AS VARCHAR) || chr(10) || repeat('-', 20) || chr(10) || lines || chr(10)
+  || CASE WHEN chapter = last_ch THEN chr(10) ELSE '' END AS value
+FROM b"""
+
+RUNS = """runs AS (
+  SELECT event_id, ts, user_id, event_type, strftime(date_trunc('day', ts), '%Y%m%d_%H%M%S') AS run_id
+  FROM events),
+ranked AS (SELECT run_id, dense_rank() OVER (ORDER BY run_id DESC) AS run_rank
+           FROM (SELECT DISTINCT run_id FROM runs))"""
+
+ORACLE["latest_run"] = _with(RUNS) + """SELECT event_id, run_id FROM runs
+WHERE run_id IN (SELECT run_id FROM ranked WHERE run_rank = 2)"""
+
+ORACLE["newest_per_key"] = _with(RUNS) + """SELECT user_id, arg_max(event_id, ts) AS event_id,
+  arg_max(run_id, ts) AS run_id FROM runs GROUP BY user_id"""
+
+ORACLE["todo_tasks"] = _with(RUNS) + """SELECT DISTINCT event_type, user_id FROM runs r
+WHERE NOT EXISTS (SELECT 1 FROM runs d JOIN ranked k ON d.run_id = k.run_id AND k.run_rank = 1
+                  WHERE d.event_type = r.event_type AND d.user_id = r.user_id)"""
+
+ORACLE["ingest_partials"] = _with(TRANSLATIONS) + """SELECT DISTINCT sl, tl FROM translations
+WHERE coalesce(sl, '') <> coalesce(tl, '') AND NOT contains(coalesce(sl, ''), '[ERROR]')
+  AND NOT contains(coalesce(tl, ''), '[ERROR]')"""

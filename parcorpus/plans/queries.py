@@ -489,3 +489,78 @@ def translator_url(spark, sf_dir):
     return docs.select("doc_id", TX.translator_url(F.col("lang"), F.lit("en"),
                                                    F.col("doc_id").cast("string")).alias("url"),
                        TX.language_name("lang").alias("language"))
+
+
+# --------------------------------------------------------------------------
+# Profiles, previews, exports, previous runs, streaming ingest
+# (G13, G18, L5, B7, A6, F6, F7, J-5, R1)
+# --------------------------------------------------------------------------
+@query
+def table_profile(spark, sf_dir):
+    conv = schema.require_columns(V.table(spark, sf_dir, "conversations"), ["conv_id", "text"])
+    return report.table_profile(conv)
+
+
+@query
+def preview(spark, sf_dir):
+    return prep.preview(_wide(spark, sf_dir), ["book_id", "chapter", "verse"], 5).select(
+        "book_name", "chapter", "verse", "en_text")
+
+
+@query
+def version_books(spark, sf_dir):
+    vb = align.version_books(V.verses_long(spark, sf_dir))
+    return vb.select("version", "entries", F.array_join("books", ",").alias("books"))
+
+
+@query
+def render_text(spark, sf_dir):
+    return report.render_text(V.verses_long(spark, sf_dir), V.books(spark, sf_dir)).select(
+        "version", "book_ord", "chapter", "value")
+
+
+def _runs(spark, sf_dir):
+    """Run table from events: one run per day, stamped YYYYmmdd_HHMMSS."""
+    ev = V.table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    return ev.withColumn("run_id", TX.run_stamp(F.date_trunc("day", "ts")))
+
+
+@query
+def latest_run(spark, sf_dir):
+    runs = _runs(spark, sf_dir)
+    rank = dedup.run_rank(runs)
+    second = rank.where(F.col("run_rank") == 2).select("run_id")
+    return runs.join(second, "run_id", "left_semi").select("event_id", "run_id")
+
+
+@query
+def newest_per_key(spark, sf_dir):
+    runs = _runs(spark, sf_dir)
+    return dedup.newest_per_key(runs, ["user_id"], "ts").select("user_id", "event_id", "run_id")
+
+
+@query
+def todo_tasks(spark, sf_dir):
+    runs = _runs(spark, sf_dir)
+    tasks = runs.select("event_type", "user_id").distinct()
+    last = dedup.run_rank(runs).where(F.col("run_rank") == 1).select("run_id")
+    done = runs.join(last, "run_id", "left_semi").select("event_type", "user_id")
+    return joins.todo_tasks(tasks, done, ["event_type", "user_id"])
+
+
+@query
+def ingest_partials(spark, sf_dir):
+    """R1 end to end: the translation table is written as JSON part files into
+    a fresh folder under the checkpoint directory, ingested by the stream in
+    several micro-batches, and the resulting corpus is returned."""
+    import uuid
+
+    from parcorpus.session import scratch_path
+    from parcorpus.streaming import ingest
+    base = scratch_path(spark, f"ingest-{uuid.uuid4().hex}")
+    src, out, ck = f"{base}/partials", f"{base}/corpus", f"{base}/checkpoint"
+    tr = V.translations(spark, sf_dir).select("sl", "tl", "ol", "pos")
+    tr.repartition(4, "pos").write.mode("overwrite").json(src)
+    q = ingest.start_ingest(spark, src, out, ck, available_now=True, max_files_per_trigger=1)
+    q.awaitTermination()
+    return ingest.read_corpus(spark, out).select("sl", "tl")
