@@ -74,8 +74,10 @@ def bleu_stats(df: DataFrame, hyp: str, ref: str, by: list[str] | None = None,
         df = df.withColumn("_all", F.lit(0))
     by = user_by or ["_all"]
     rid = F.col(row_id) if row_id else F.monotonically_increasing_id()
+    # one shuffle of the tokenised rows by row id; every later per-row
+    # aggregation (n-gram counts, clipping) then runs in the row's partition
     tok = df.select(*by, rid.alias("_rid"), tokenize_13a(hyp).alias("_h"),
-                    tokenize_13a(ref).alias("_r"))
+                    tokenize_13a(ref).alias("_r")).repartition("_rid")
     # totals and lengths need no explode
     lens = tok.groupBy(*by).agg(
         F.sum(F.size("_h")).alias("sys_len"), F.sum(F.size("_r")).alias("ref_len"),

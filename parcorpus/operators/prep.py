@@ -3,8 +3,9 @@
 Splits are decided per row from a hash of the row's content, so they need no
 shuffle and stay stable when rows are added; the exact-size split numbers rows
 with the bucketed global row number (no single-partition window). The
-vocabulary is a bounded top-k; encoding looks tokens up in it through a scalar
-subquery that yields one map, so the large table is never shuffled or joined.
+vocabulary is a bounded top-k; encoding explodes at most ``max_len`` tokens per
+row, looks them up with a broadcast hash join (after checking the vocabulary's
+size) and re-collects them in the row's own partition.
 """
 
 from __future__ import annotations
@@ -87,19 +88,19 @@ def build_vocab(df: DataFrame, cols: Sequence[str], size: int) -> DataFrame:
         Window.orderBy(F.col("count").desc(), F.col("token"))) + FIRST_ID - 1).cast("int"))
 
 
-def _vocab_map(vocab: DataFrame) -> Column:
-    return vocab.agg(F.map_from_entries(F.collect_list(F.struct("token", "id")))).scalar()
+def static_max_rows(df: DataFrame) -> int | None:
+    """Row bound Catalyst can prove from the plan alone (e.g. a LIMIT), or None."""
+    bound = df._jdf.queryExecution().optimizedPlan().maxRows()
+    return int(bound.get()) if bound.isDefined() else None
 
 
-def _id_map(vocab: DataFrame) -> Column:
-    return vocab.agg(F.map_from_entries(F.collect_list(F.struct("id", "token")))).scalar()
-
-
-def encode_ids(c, vocab_map: Column, max_len: int = 128) -> Column:
-    """Token ids of a text, truncated to ``max_len``, unknown -> 2.
-    ``vocab_map`` is a MAP<token, id> column (see :func:`encode_fixed`)."""
-    return F.transform(F.slice(tokens(c), 1, max_len),
-                       lambda t: F.coalesce(F.try_element_at(vocab_map, t), F.lit(UNK_ID)))
+def _sized_dim(dim: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast a lookup table only when its size is bounded: by the plan (a
+    top-k vocabulary) or else by counting it; a larger one is joined with a
+    shuffle instead."""
+    bound = static_max_rows(dim)
+    n = bound if bound is not None else dim.count()
+    return F.broadcast(dim) if n <= max_rows else dim
 
 
 def pad(ids: Column, max_len: int) -> Column:
@@ -107,26 +108,55 @@ def pad(ids: Column, max_len: int) -> Column:
 
 
 def encode_fixed(df: DataFrame, vocab: DataFrame, src: str = "prompt", tgt: str = "target",
-                 max_len: int = 128) -> DataFrame:
+                 max_len: int = 128, key: str | None = None,
+                 max_vocab: int = 1_000_000) -> DataFrame:
     """``input_ids``/``attention_mask`` from ``src`` and ``labels`` from
-    ``tgt``, each exactly ``max_len`` long (truncate, pad with 0). The bounded
-    vocabulary arrives as one map value (scalar subquery)."""
-    vm = F.col("_vm")
-    return (df.withColumn("_vm", _vocab_map(vocab))
-            .withColumn("_ids", encode_ids(src, vm, max_len))
-            .withColumn("_lab", encode_ids(tgt, vm, max_len))
+    ``tgt``, each exactly ``max_len`` long (truncate, pad with 0; unknown
+    tokens -> 2).
+
+    Plan: rows are hash-partitioned once by a row key; the first ``max_len``
+    tokens of each side are exploded, looked up with a broadcast hash join in
+    the vocabulary (bounded by its ``size``, checked against ``max_vocab``),
+    re-collected per row and joined back to the row. The re-collection and
+    the join reuse the row partitioning, so the only shuffle is the first one.
+    """
+    rid = F.col(key) if key else F.monotonically_increasing_id()
+    base = df.withColumn("_rid", rid).repartition("_rid")
+    sides = F.concat(
+        F.transform(F.slice(tokens(src), 1, max_len), lambda t, i: F.struct(
+            F.lit(0).alias("s"), i.alias("p"), t.alias("t"))),
+        F.transform(F.slice(tokens(tgt), 1, max_len), lambda t, i: F.struct(
+            F.lit(1).alias("s"), i.alias("p"), t.alias("t"))))
+    toks = base.select("_rid", F.explode(sides).alias("_x")).select("_rid", "_x.*")
+    v = _sized_dim(vocab.select(F.col("token").alias("t"), F.col("id")), max_vocab)
+    ided = toks.join(v, "t", "left").select(
+        "_rid", "s", "p", F.coalesce("id", F.lit(UNK_ID)).alias("id"))
+    per_row = ided.groupBy("_rid").agg(F.array_sort(F.collect_list(F.struct("s", "p", "id"))).alias("_e"))
+    ids = F.transform(F.filter("_e", lambda x: x["s"] == 0), lambda x: x["id"])
+    lab = F.transform(F.filter("_e", lambda x: x["s"] == 1), lambda x: x["id"])
+    out = base.join(per_row, "_rid", "left").withColumn(
+        "_e", F.coalesce("_e", F.array().cast("array<struct<s:int,p:int,id:int>>")))
+    return (out.withColumn("_ids", ids).withColumn("_lab", lab)
             .withColumn("input_ids", pad(F.col("_ids"), max_len))
             .withColumn("attention_mask", F.concat(
                 F.array_repeat(F.lit(1), F.size("_ids")),
                 F.array_repeat(F.lit(0), F.lit(max_len) - F.size("_ids"))))
             .withColumn("labels", pad(F.col("_lab"), max_len))
-            .drop("_ids", "_lab", "_vm"))
-
-
-def decode_ids(df: DataFrame, ids: str, vocab: DataFrame, col: str = "decoded") -> DataFrame:
-    """Ids -> text, reserved ids skipped."""
-    m = F.col("_im")
-    kept = F.filter(F.col(ids), lambda i: i >= FIRST_ID)
-    return (df.withColumn("_im", _id_map(vocab))
-            .withColumn(col, F.array_join(F.transform(kept, lambda i: F.try_element_at(m, i)), " "))
-            .drop("_im"))
+            .drop("_ids", "_lab", "_e", "_rid"))
+
+
+def decode_ids(df: DataFrame, ids: str, vocab: DataFrame, col: str = "decoded",
+               key: str | None = None, max_vocab: int = 1_000_000) -> DataFrame:
+    """Ids -> text joined by spaces, reserved ids (0, 1, 2) skipped; the
+    same plan as :func:`encode_fixed` (one row shuffle, broadcast lookup)."""
+    rid = F.col(key) if key else F.monotonically_increasing_id()
+    base = df.withColumn("_rid", rid).repartition("_rid")
+    ex = base.select("_rid", F.posexplode(F.filter(F.col(ids), lambda i: i >= FIRST_ID))
+                     .alias("p", "id"))
+    v = _sized_dim(vocab.select("id", "token"), max_vocab)
+    per_row = (ex.join(v, "id", "left")
+               .groupBy("_rid").agg(F.array_sort(F.collect_list(F.struct("p", "token"))).alias("_t")))
+    return (base.join(per_row, "_rid", "left")
+            .withColumn(col, F.coalesce(F.array_join(F.transform("_t", lambda x: x["token"]), " "),
+                                        F.lit("")))
+            .drop("_t", "_rid"))

@@ -276,7 +276,7 @@ def vocab(spark, sf_dir):
 
 def _encoded(spark, sf_dir):
     pr = schema.add_prompt(schema.tag_language(V.pairs(spark, sf_dir), "kw"), "tag")
-    return prep.encode_fixed(pr, _vocab(spark, sf_dir), "prompt", "target", MAX_LEN)
+    return prep.encode_fixed(pr, _vocab(spark, sf_dir), "prompt", "target", MAX_LEN, key="pos")
 
 
 def _ints(c):
@@ -293,7 +293,8 @@ def encode_fixed(spark, sf_dir):
 @query
 def decode_ids(spark, sf_dir):
     enc = _encoded(spark, sf_dir)
-    return prep.decode_ids(enc, "labels", _vocab(spark, sf_dir), "decoded").select("pos", "decoded")
+    return prep.decode_ids(enc, "labels", _vocab(spark, sf_dir), "decoded", key="pos").select(
+        "pos", "decoded")
 
 
 # --------------------------------------------------------------------------
