@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcorpus.functions import text as T
 from parcorpus.operators.schema import TEXT_SUFFIX, to_long, wide_name
+from parcorpus.session import materialize as _materialize
 
 VERSE_KEY = ["book_name", "chapter", "verse"]
 CHAPTER_KEY = ["book_name", "chapter"]
@@ -70,10 +71,17 @@ def verse_counts(wide: DataFrame, versions: Sequence[str]) -> DataFrame:
                  F.min("ordinal").alias("ordinal")))
 
 
-def chapter_status(wide: DataFrame, versions: Sequence[str]) -> DataFrame:
+def _reuse(wide: DataFrame, materialize: bool) -> DataFrame:
+    """Composite checks read the wide corpus several times; writing it once
+    avoids recomputing the merge in every branch."""
+    return _materialize(wide, "wide") if materialize else wide
+
+
+def chapter_status(wide: DataFrame, versions: Sequence[str], materialize: bool = False) -> DataFrame:
     """Per chapter ``consistent`` (all present versions have the same
     count, one version counts as consistent), ``inconsistent``, or ``empty``
     (no text in any version)."""
+    wide = _reuse(wide, materialize)
     counts = verse_counts(wide, versions)
     per_chapter = counts.groupBy(*CHAPTER_KEY).agg(
         F.count_distinct("n").alias("n_distinct"), F.count(F.lit(1)).alias("n_versions"))
@@ -92,11 +100,12 @@ def label_chapters(wide: DataFrame, status: DataFrame, col: str = "status") -> D
     return wide.join(status.select(*CHAPTER_KEY, F.col("status").alias(col)), CHAPTER_KEY, "left")
 
 
-def majority_outliers(wide: DataFrame, versions: Sequence[str]) -> DataFrame:
+def majority_outliers(wide: DataFrame, versions: Sequence[str], materialize: bool = False) -> DataFrame:
     """G4/G5/L6 per inconsistent chapter: counts sorted ascending, majority
     count (ties: the count met first, i.e. of the version whose first text
     comes earliest, then by version order) and outlier versions in order of
     first appearance."""
+    wide = _reuse(wide, materialize)
     counts = verse_counts(wide, versions)
     freq = counts.groupBy(*CHAPTER_KEY, "n").agg(
         F.count(F.lit(1)).alias("freq"),
@@ -128,43 +137,52 @@ def verse_length_stats(wide: DataFrame, versions: Sequence[str]) -> DataFrame:
 
 
 def suspicious_verses(wide: DataFrame, versions: Sequence[str],
-                      factor: float = LENGTH_FACTOR) -> DataFrame:
+                      factor: float = LENGTH_FACTOR, materialize: bool = True) -> DataFrame:
     """Per inconsistent chapter the first verse where an outlier version is
     longer than ``mean * factor`` (strict; the mean includes it), with the
-    suspect versions and every version's length at that verse."""
+    suspect versions and every version's length at that verse.
+
+    Plan: the present texts of inconsistent chapters (outliers attached by a
+    join with the small chapter table) get the verse mean through a window on
+    the verse key -- one shuffle, and a verse group never holds more rows than
+    there are versions; per-verse facts are then reduced in place and the first
+    flagged verse is picked per chapter with ``min_by``.
+    """
+    wide = _reuse(wide, materialize)
     mo = majority_outliers(wide, versions).select(*CHAPTER_KEY, "outliers")
-    present = _present(wide, versions).withColumn("len", F.length("text"))
-    stats = verse_length_stats(wide, versions).select(*VERSE_KEY, "mean_len")
-    cand = (present.join(stats, VERSE_KEY, "inner")
-            .join(mo, CHAPTER_KEY, "inner")
-            .where(F.array_contains("outliers", F.col("version"))
-                   & (F.col("len") > F.col("mean_len") * F.lit(float(factor)))))
-    split = cand.groupBy(*CHAPTER_KEY).agg(F.min("verse").alias("split_verse"))
-    at_split = (present.join(split, CHAPTER_KEY, "inner")
-                .where(F.col("verse") == F.col("split_verse"))
-                .join(mo, CHAPTER_KEY, "inner")
-                .join(stats, VERSE_KEY, "inner"))
-    return at_split.groupBy(*CHAPTER_KEY).agg(
-        F.first("split_verse").alias("split_verse"),
-        F.transform(F.array_sort(F.collect_list(F.when(
-            F.array_contains("outliers", F.col("version"))
-            & (F.col("len") > F.col("mean_len") * F.lit(float(factor))),
-            F.struct("ordinal", "version")))), lambda x: x["version"]).alias("suspects"),
-        F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "version", "len"))),
-                    lambda x: F.struct(x["version"].alias("version"), x["len"].alias("len")))
-        .alias("lengths"))
+    present = (_present(wide, versions).withColumn("len", F.length("text"))
+               .join(mo, CHAPTER_KEY, "inner"))
+    w = Window.partitionBy(*VERSE_KEY)
+    with_mean = (present.withColumn("n_versions", F.count(F.lit(1)).over(w))
+                 .withColumn("mean_len", F.avg("len").over(w))
+                 .where(F.col("n_versions") >= 2))
+    flag = (F.array_contains("outliers", F.col("version"))
+            & (F.col("len") > F.col("mean_len") * F.lit(float(factor))))
+    per_verse = with_mean.groupBy(*VERSE_KEY).agg(
+        F.max(flag).alias("flagged"),
+        F.array_sort(F.collect_list(F.when(flag, F.struct("ordinal", "version")))).alias("_s"),
+        F.array_sort(F.collect_list(F.struct("ordinal", "version", "len"))).alias("_l"))
+    first = (per_verse.where("flagged").groupBy(*CHAPTER_KEY)
+             .agg(F.min_by(F.struct("verse", "_s", "_l"), F.col("verse")).alias("_f")))
+    return first.select(
+        *CHAPTER_KEY, F.col("_f.verse").alias("split_verse"),
+        F.transform("_f._s", lambda x: x["version"]).alias("suspects"),
+        F.transform("_f._l", lambda x: F.struct(x["version"].alias("version"),
+                                                 x["len"].alias("len"))).alias("lengths"))
 
 
 def salvage(wide: DataFrame, versions: Sequence[str], factor: float = LENGTH_FACTOR,
-            col: str = "label") -> DataFrame:
+            col: str = "label", materialize: bool = True) -> DataFrame:
     """G8 + J-6: label every row of the wide corpus ``good`` or ``suspect``.
 
     Consistent chapters and inconsistent chapters without a suspicious verse are
     good as a whole; otherwise verses before the split are good and the rest
     suspect. Chapters with no text at all are left out.
     """
+    wide = _reuse(wide, materialize)
     status = chapter_status(wide, versions).select(*CHAPTER_KEY, "status")
-    split = suspicious_verses(wide, versions, factor).select(*CHAPTER_KEY, "split_verse")
+    split = suspicious_verses(wide, versions, factor, materialize=False).select(
+        *CHAPTER_KEY, "split_verse")
     labelled = (wide.join(status, CHAPTER_KEY, "inner")
                 .where(F.col("status") != "empty")
                 .join(split, CHAPTER_KEY, "left"))
@@ -174,12 +192,13 @@ def salvage(wide: DataFrame, versions: Sequence[str], factor: float = LENGTH_FAC
 
 
 def alignment_report(wide: DataFrame, versions: Sequence[str],
-                     factor: float = LENGTH_FACTOR) -> DataFrame:
+                     factor: float = LENGTH_FACTOR, materialize: bool = True) -> DataFrame:
     """One row per inconsistent chapter with everything the text report
     states: counts (ascending), majority, outliers, split verse, the sizes of
     both sides, suspects and lengths at the split verse."""
+    wide = _reuse(wide, materialize)
     mo = majority_outliers(wide, versions)
-    sv = suspicious_verses(wide, versions, factor)
+    sv = suspicious_verses(wide, versions, factor, materialize=False)
     sides = (wide.join(sv.select(*CHAPTER_KEY, "split_verse"), CHAPTER_KEY, "inner")
              .groupBy(*CHAPTER_KEY)
              .agg(F.count_if(F.col("verse") < F.col("split_verse")).alias("n_good"),

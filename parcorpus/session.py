@@ -58,3 +58,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for materialised tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` once as parquet under the shared checkpoint folder and read
+    it back: the lineage is cut (a lost executor re-reads the file instead of
+    recomputing the upstream shuffles) and every later branch reads only the
+    columns it needs."""
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
