@@ -104,3 +104,13 @@ def wide_name(version: str) -> str:
 
 def lit_array(values: Sequence) -> Column:
     return F.array(*[F.lit(v) for v in values])
+
+
+def non_empty_guard(df: DataFrame, on_empty: str = "raise") -> DataFrame | None:
+    """C14: stop before writing or processing an empty table (``raise``), or
+    return None so the caller skips the output (``skip``)."""
+    if df.isEmpty():
+        if on_empty == "raise":
+            raise ValueError("input table is empty")
+        return None
+    return df

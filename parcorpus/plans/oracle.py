@@ -676,3 +676,49 @@ WHERE NOT EXISTS (SELECT 1 FROM runs d JOIN ranked k ON d.run_id = k.run_id AND
 ORACLE["ingest_partials"] = _with(TRANSLATIONS) + """SELECT DISTINCT sl, tl FROM translations
 WHERE coalesce(sl, '') <> coalesce(tl, '') AND NOT contains(coalesce(sl, ''), '[ERROR]')
   AND NOT contains(coalesce(tl, ''), '[ERROR]')"""
+
+
+# --------------------------------------------------------------------------
+# Remaining predicates and helpers
+# --------------------------------------------------------------------------
+ORACLE["degenerate_translations"] = _with(TRANSLATIONS) + f"""SELECT doc_id,
+  {is_blank('tl')} OR coalesce(lower(tl) = lower(sl), FALSE) AS degenerate,
+  {is_blank('tl')} OR coalesce(tl = sl, FALSE) AS same_exact
+FROM translations"""
+
+ORACLE["range_label"] = _with(*ALIGN_FULL, MAJORITY, STATS, SUSPICIOUS) + """SELECT
+  w.book_name, w.chapter, w.verse,
+  CASE WHEN sp.split_verse IS NULL OR w.verse < sp.split_verse THEN 'prefix' ELSE 'suffix' END AS side
+FROM merged w LEFT JOIN split sp USING (book_name, chapter)"""
+
+ORACLE["zip_lines"] = _with(PAIRS) + """, z AS (
+  SELECT pos, string_split(en, chr(10)) AS a, string_split(target, chr(10)) AS b FROM pairs)
+SELECT pos, CAST(i - 1 AS INTEGER) AS i, a[i] AS a, b[i] AS b
+FROM (SELECT *, unnest(range(1, least(len(a), len(b)) + 1)) AS i FROM z)"""
+
+_SEG = "(?s)<tuv xml:lang=\"{l}\">\\s*<seg>(.*?)</seg>"
+ORACLE["tmx_blocks"] = _with(DOC_PAIRS, BENCH_LINES) + f""", blocks AS (
+  SELECT doc_id, '<tu>' || chr(10) || '<tuv xml:lang="br"><seg>' || src || '</seg></tuv>' || chr(10)
+         || '<tuv xml:lang="en"><seg>' || tgt || '</seg></tuv>' || chr(10) || '</tu>' AS block
+  FROM doc_pairs),
+segs AS (
+  SELECT doc_id, block,
+    CASE WHEN regexp_matches(block, {_q(_SEG.format(l='br'))}) THEN regexp_extract(block, {_q(_SEG.format(l='br'))}, 1) END AS br,
+    CASE WHEN regexp_matches(block, {_q(_SEG.format(l='en'))}) THEN regexp_extract(block, {_q(_SEG.format(l='en'))}, 1) END AS en
+  FROM blocks)
+SELECT doc_id,
+  CASE WHEN br IS NOT NULL AND regexp_matches(br, {_q(T.INVALID_CHARS_RE)}) THEN 'corrupted' ELSE 'curated' END AS label,
+  en
+FROM segs s WHERE NOT EXISTS (SELECT 1 FROM blines b WHERE b.text = s.br)"""
+
+ORACLE["name_parts"] = f"""WITH p AS (
+  SELECT page_id, url, regexp_extract(url, '^[a-z]+://[^/]+/([a-z][a-z])/', 1) AS lang FROM pages),
+q AS (
+  SELECT *, CASE WHEN starts_with(url, 'https://') THEN substr(url, 9) ELSE url END AS u1,
+         regexp_extract(url, '([^/]*)$', 1) AS base FROM p)
+SELECT page_id,
+  CASE WHEN starts_with(u1, 'http://') THEN substr(u1, 8) ELSE u1 END AS no_scheme,
+  substr(base, 1, length(base) - length(regexp_extract(base, {_q(T.EXTENSION_RE)}, 1))) AS stem,
+  lower(lang) || '_text' AS text_key,
+  {strip("split_part(lang || chr(9) || url, chr(9), 1)")} AS tab_first
+FROM q"""

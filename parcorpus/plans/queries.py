@@ -16,6 +16,7 @@ from parcorpus.functions import text as TX
 from parcorpus.operators import (align, batching, bleu, dedup, joins, prep, report, schema,
                                   segment, udf)
 from parcorpus.plans import views as V
+from parcorpus.session import materialize
 from parcorpus.sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -565,3 +566,51 @@ def ingest_partials(spark, sf_dir):
     q = ingest.start_ingest(spark, src, out, ck, available_now=True, max_files_per_trigger=1)
     q.awaitTermination()
     return ingest.read_corpus(spark, out).select("sl", "tl")
+
+
+# --------------------------------------------------------------------------
+# Remaining predicates and helpers (C7, J-6, J-7, S12, S14, T11, S16-S18)
+# --------------------------------------------------------------------------
+@query
+def degenerate_translations(spark, sf_dir):
+    t = V.translations(spark, sf_dir)
+    return t.select("doc_id", TX.is_degenerate_translation("tl", "sl").alias("degenerate"),
+                    TX.is_degenerate_translation("tl", "sl", case_insensitive=False).alias("same_exact"))
+
+
+@query
+def range_label(spark, sf_dir):
+    wide = materialize(_wide(spark, sf_dir), "wide")
+    splits = align.suspicious_verses(wide, V.VERSIONS, materialize=False)
+    return align.range_label(wide, splits).select(*align.VERSE_KEY, "side")
+
+
+@query
+def zip_lines(spark, sf_dir):
+    pr = V.pairs(spark, sf_dir).select("pos", F.split("en", "\n").alias("a"),
+                                       F.split("target", "\n").alias("b"))
+    z = joins.zip_pairs(pr, "a", "b")
+    return z.select("pos", F.posexplode("pair").alias("i", "p")).select(
+        "pos", "i", F.col("p.a").alias("a"), F.col("p.b").alias("b"))
+
+
+@query
+def tmx_blocks(spark, sf_dir):
+    dp = V.doc_pairs(spark, sf_dir)
+    block = F.format_string('<tu>\n<tuv xml:lang="br"><seg>%s</seg></tuv>\n'
+                            '<tuv xml:lang="en"><seg>%s</seg></tuv>\n</tu>', "src", "tgt")
+    blocks = dp.select("doc_id", block.alias("block"))
+    cur = segment.curate_tmx_blocks(blocks, _benchmark_lines(spark, sf_dir))
+    return cur.select("doc_id", "label", TX.tmx_segment(F.col("block"), "en").alias("en"))
+
+
+@query
+def name_parts(spark, sf_dir):
+    pages = V.table(spark, sf_dir, "pages").select("page_id", "url")
+    lang = F.regexp_extract("url", r"^[a-z]+://[^/]+/([a-z][a-z])/", 1)
+    return pages.select(
+        "page_id",
+        TX.remove_prefix(TX.remove_prefix(F.col("url"), "https://"), "http://").alias("no_scheme"),
+        TX.file_stem("url").alias("stem"),
+        TX.version_text_key(lang).alias("text_key"),
+        TX.split_tab(F.concat_ws("\t", lang, F.col("url")))["first"].alias("tab_first"))
