@@ -9,7 +9,6 @@ partitioned by a text key, so no single task ever has to sort a hot group.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -145,40 +144,33 @@ def hash_order(cols: Sequence[str], seed: int = 42) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long")
 
 
-def global_row_number(df: DataFrame, order: str, col: str = "rn",
-                      rows_per_bucket: int = 2_000_000, max_buckets: int = 100_000) -> DataFrame:
-    """F8: 1-based position over the whole table by a numeric ``order`` column
-    (unique), without moving all rows to one partition.
+def global_row_number(df: DataFrame, order: str, col: str = "rn") -> DataFrame:
+    """F8: 1-based position over the whole table by ``order`` (unique), without
+    moving all rows to one partition.
 
-    Range buckets come from approximate quantiles of ``order``; rows are
-    numbered inside their bucket (a window partitioned by bucket) and shifted
-    by the running count of the earlier buckets, computed on the small
-    bucket-count table (at most ``max_buckets`` rows, so broadcasting it is
-    bounded).
+    The table is range-partitioned and sorted by ``order`` (Spark samples the
+    key to balance the ranges); inside each sorted partition the position comes
+    from ``monotonically_increasing_id`` (partition index in the upper bits,
+    row index in the lower 33 bits). That numbering is written once under the
+    shared checkpoint folder, so the count branch and the row branch see the
+    same partitions and a retried task cannot renumber rows. Each partition's
+    offset is the running count of the partitions before it, computed on the
+    per-partition count table -- one row per partition, so broadcasting it is
+    bounded.
     """
-    from pyspark.ml.feature import Bucketizer
-
-    n = df.count()
-    k = int(min(max_buckets, max(1, math.ceil(n / rows_per_bucket))))
-    if k > 1:
-        probs = [i / k for i in range(1, k)]
-        bounds = df.select(F.col(order).cast("double").alias("_o")).approxQuantile("_o", probs, 0.0001)
-        splits = sorted(set(bounds))
-    else:
-        splits = []
-    if splits:
-        withb = df.withColumn("_od", F.col(order).cast("double"))
-        bucketed = Bucketizer(splits=[-math.inf] + splits + [math.inf], inputCol="_od",
-                              outputCol="_b", handleInvalid="keep").transform(withb).drop("_od")
-    else:
-        bucketed = df.withColumn("_b", F.lit(0.0))
-    counts = bucketed.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = counts.select("_b", (F.sum("_cnt").over(Window.orderBy("_b")) - F.col("_cnt"))
+    from parcorpus.session import materialize
+
+    ordered = df.orderBy(F.col(order))
+    with_id = materialize(
+        ordered.withColumn("_mid", F.monotonically_increasing_id())
+        .withColumn("_pid", F.shiftright("_mid", 33))
+        .withColumn("_local", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))), "rownum")
+    counts = with_id.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    offsets = counts.select("_pid", (F.sum("_cnt").over(Window.orderBy("_pid")) - F.col("_cnt"))
                             .alias("_off"))
-    w = Window.partitionBy("_b").orderBy(F.col(order))
-    return (bucketed.join(F.broadcast(offsets), "_b")
-            .withColumn(col, F.row_number().over(w) + F.col("_off"))
-            .drop("_b", "_off"))
+    return (with_id.join(F.broadcast(offsets), "_pid")
+            .withColumn(col, F.col("_local") + F.col("_off") + 1)
+            .drop("_mid", "_pid", "_local", "_off"))
 
 
 def failure_report(df: DataFrame, order: str = "pos", sl: str = "sl", tl: str = "tl",
