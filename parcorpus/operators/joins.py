@@ -22,12 +22,14 @@ def minus_existing(pairs: DataFrame, corpus: DataFrame, keys: Sequence[str] = ("
     """J-1/U3: remove pairs already in the corpus (exact equality by default);
     survivors keep their multiplicity."""
     keys = list(keys)
+    # the corpus side is reduced to distinct keys first (partial aggregation),
+    # so a pair repeated many times in the corpus is one build row
     if not normalize:
-        return pairs.join(corpus.select(*keys), keys, "left_anti")
+        return pairs.join(corpus.select(*keys).distinct(), keys, "left_anti")
     norm = {f"_n{i}": T.collapse_ws(F.col(k)) for i, k in enumerate(keys)}
     names = list(norm)
     left = pairs.withColumns(norm)
-    right = corpus.select(*[v.alias(k) for k, v in norm.items()])
+    right = corpus.select(*[v.alias(k) for k, v in norm.items()]).distinct()
     return left.join(right, names, "left_anti").drop(*names)
 
 
@@ -47,13 +49,13 @@ def todo_tasks(tasks: DataFrame, done: DataFrame,
                keys: Sequence[str] = ("version", "book", "start_chapter", "end_chapter")
                ) -> DataFrame:
     """J-5: tasks whose key has no stored output yet."""
-    return tasks.join(done.select(*keys), list(keys), "left_anti")
+    return tasks.join(done.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def exclude_sentences(df: DataFrame, excluded: DataFrame, col: str,
                       excl_col: str = "text") -> DataFrame:
     """Drop rows whose text is exactly one of the excluded sentences."""
-    return df.join(excluded.select(F.col(excl_col).alias(col)), col, "left_anti")
+    return df.join(excluded.select(F.col(excl_col).alias(col)).distinct(), col, "left_anti")
 
 
 def drop_null_pairs(df: DataFrame, a: str, b: str) -> DataFrame:

@@ -90,8 +90,11 @@ def build_vocab(df: DataFrame, cols: Sequence[str], size: int) -> DataFrame:
 
 def static_max_rows(df: DataFrame) -> int | None:
     """Row bound Catalyst can prove from the plan alone (e.g. a LIMIT), or None."""
-    bound = df._jdf.queryExecution().optimizedPlan().maxRows()
-    return int(bound.get()) if bound.isDefined() else None
+    try:
+        bound = df._jdf.queryExecution().optimizedPlan().maxRows()
+        return int(bound.get()) if bound.isDefined() else None
+    except Exception:  # noqa: BLE001 - no JVM plan handle: fall back to counting
+        return None
 
 
 def _sized_dim(dim: DataFrame, max_rows: int) -> DataFrame:

@@ -43,7 +43,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the setting must point to shared storage and is only read.
     Only when it is unset (local tests) a scratch folder is created.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: read the setting only
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        return d or tempfile.mkdtemp(prefix="parcorpus-ckpt-")
     current = sc.getCheckpointDir()
     if current:
         return current
