@@ -69,37 +69,58 @@ def table_profile(df: DataFrame) -> DataFrame:
     return df.agg(*aggs)
 
 
+# Line kinds of the text export, in output order within a (book, chapter).
+TITLE, BOOK_HEAD, CHAPTER_HEAD, VERSE, CHAPTER_END, BOOK_END = range(6)
+
+
 def render_text(long: DataFrame, books: DataFrame, version_names: dict[str, str] | None = None,
                 version_col: str = "version") -> DataFrame:
-    """Readable text per version as one block row per (version, book,
-    chapter), never one string per version.
-
-    Block = [title if first block of the version] + [book name and 50 "="
-    if first chapter of the book] + ``Chapter n``, 20 "-", the lines
-    ``"<verse> <text>"`` ascending by (verse, text), a blank line + [one more
-    newline after the book's last chapter]. ``value`` omits the final newline,
-    which the text writer adds. Order blocks by (version, book_ord, chapter)."""
+    """Readable text per version as one row per output line, never one
+    string per chapter or version.
+
+    Layout: ``The Holy Bible - <name>`` and a blank line; per book (dimension
+    order) its name, 50 "=", a blank line; per chapter (ascending)
+    ``Chapter n``, 20 "-", the lines ``"<verse> <text>"`` ascending by (verse,
+    text), a blank line; one more blank line after the book's last chapter.
+
+    Rows carry the sort key (version, book_ord, chapter, kind, verse, seq,
+    text); writing them range-partitioned and sorted by that key
+    (:func:`parcorpus.sources.sinks.write_text_blocks`) gives the text in part
+    order, and a very large chapter is spread over many tasks.
+    """
     names = version_names or {}
-    blocks = long.groupBy(version_col, "book_id", "chapter").agg(
-        F.array_sort(F.collect_list(F.struct("verse", "text"))).alias("_vs"))
-    blocks = blocks.join(books.select(F.col("id").alias("book_id"), F.col("name").alias("_bname"),
-                                      F.col("ordinal").alias("book_ord")), "book_id", "left")
-    firsts = blocks.groupBy(version_col, "book_id").agg(
+    dim = books.select(F.col("id").alias("book_id"), F.col("name").alias("_bname"),
+                       F.col("ordinal").alias("book_ord"))
+    entries = long.select(version_col, "book_id", "chapter", "verse", "text").join(dim, "book_id", "left")
+    chapters = entries.groupBy(version_col, "book_id", "book_ord", "_bname", "chapter").agg(
+        F.lit(1).alias("_one"))
+    first_last = chapters.groupBy(version_col, "book_id").agg(
         F.min("chapter").alias("_first_ch"), F.max("chapter").alias("_last_ch"))
-    first_block = blocks.groupBy(version_col).agg(
-        F.min(F.struct("book_ord", "chapter")).alias("_first"))
-    b = blocks.join(firsts, [version_col, "book_id"]).join(first_block, version_col)
+    ch = chapters.join(first_last, [version_col, "book_id"])
     m = F.create_map(*[F.lit(x) for kv in names.items() for x in kv]) if names else None
     vname = F.coalesce(m[F.col(version_col)], F.col(version_col)) if m is not None else F.col(version_col)
-    title = F.when((F.col("_first.book_ord").eqNullSafe(F.col("book_ord")))
-                   & (F.col("_first.chapter") == F.col("chapter")),
-                   F.concat(F.lit("The Holy Bible - "), vname, F.lit("\n\n"))).otherwise(F.lit(""))
-    header = F.when(F.col("chapter") == F.col("_first_ch"),
-                    F.concat(F.col("_bname"), F.lit("\n" + "=" * 50 + "\n\n"))).otherwise(F.lit(""))
-    lines = F.array_join(F.transform("_vs", lambda x: F.concat(
-        x["verse"].cast("string"), F.lit(" "), F.coalesce(x["text"], F.lit("")))), "\n")
-    body = F.concat(F.lit("Chapter "), F.col("chapter").cast("string"), F.lit("\n" + "-" * 20 + "\n"),
-                    lines, F.lit("\n"))
-    tail = F.when(F.col("chapter") == F.col("_last_ch"), F.lit("\n")).otherwise(F.lit(""))
-    return b.select(version_col, "book_ord", "book_id", "chapter",
-                    F.concat(title, header, body, tail).alias("value"))
+
+    def lines(df, kind, texts, book_ord=F.col("book_ord"), chapter=F.col("chapter")):
+        return df.select(version_col, book_ord.alias("book_ord"), chapter.alias("chapter"),
+                         F.lit(kind).alias("kind"), F.lit(0).alias("verse"),
+                         F.posexplode(F.array(*[F.lit(t) if isinstance(t, str) else t for t in texts]))
+                         .alias("seq", "value"))
+
+    versions_ = chapters.select(version_col).distinct()
+    title = lines(versions_, TITLE, [F.concat(F.lit("The Holy Bible - "), vname), ""],
+                  book_ord=F.lit(None).cast("int"), chapter=F.lit(None).cast("int"))
+    book_head = lines(ch.where(F.col("chapter") == F.col("_first_ch")), BOOK_HEAD,
+                      [F.col("_bname"), "=" * 50, ""], chapter=F.lit(None).cast("int"))
+    chapter_head = lines(ch, CHAPTER_HEAD, [F.concat(F.lit("Chapter "), F.col("chapter").cast("string")),
+                                            "-" * 20])
+    chapter_end = lines(ch, CHAPTER_END, [""])
+    book_end = lines(ch.where(F.col("chapter") == F.col("_last_ch")), BOOK_END, [""])
+    verses = entries.select(
+        version_col, "book_ord", "chapter", F.lit(VERSE).alias("kind"), "verse",
+        F.lit(0).alias("seq"),
+        F.concat(F.col("verse").cast("string"), F.lit(" "), F.coalesce("text", F.lit(""))).alias("value"))
+    return (title.unionByName(book_head).unionByName(chapter_head).unionByName(verses)
+            .unionByName(chapter_end).unionByName(book_end))
+
+
+RENDER_ORDER = ["book_ord", "chapter", "kind", "verse", "seq", "value"]

@@ -640,22 +640,22 @@ FROM verses_long GROUP BY version"""
 
 ORACLE["render_text"] = _with(VERSES_LONG) + """, books AS (
   SELECT DISTINCT source AS name, CAST(regexp_extract(source, '[0-9]+', 0) AS INTEGER) AS id FROM documents),
-blocks AS (
-  SELECT version, book_id, chapter,
-         string_agg(CAST(verse AS VARCHAR) || ' ' || coalesce(text, ''), chr(10) ORDER BY verse, text) AS lines
-  FROM verses_long GROUP BY version, book_id, chapter),
-b AS (
-  SELECT k.*, bk.name AS bname, bk.id AS book_ord,
-    min(chapter) OVER (PARTITION BY version, book_id) AS first_ch,
-    max(chapter) OVER (PARTITION BY version, book_id) AS last_ch,
-    min((bk.id, chapter)) OVER (PARTITION BY version) AS first_block
-  FROM blocks k LEFT JOIN books bk ON k.book_id = bk.id)
-SELECT version, book_ord, chapter,
-  CASE WHEN first_block = (book_ord, chapter) THEN 'The Holy Bible - ' || version || chr(10) || chr(10) ELSE '' END
-  || CASE WHEN chapter = first_ch THEN bname || chr(10) || repeat('=', 50) || chr(10) || chr(10) ELSE '' END
-  || 'Chapter ' || CAST(chapter AS VARCHAR) || chr(10) || repeat('-', 20) || chr(10) || lines || chr(10)
-  || CASE WHEN chapter = last_ch THEN chr(10) ELSE '' END AS value
-FROM b"""
+e AS (SELECT v.version, v.book_id, v.chapter, v.verse, v.text, b.name AS bname, b.id AS book_ord
+      FROM verses_long v LEFT JOIN books b ON v.book_id = b.id),
+ch AS (SELECT DISTINCT version, book_id, book_ord, bname, chapter FROM e),
+fl AS (SELECT version, book_id, min(chapter) AS first_ch, max(chapter) AS last_ch FROM ch GROUP BY 1, 2),
+c AS (SELECT ch.*, fl.first_ch, fl.last_ch FROM ch JOIN fl USING (version, book_id))
+SELECT version, NULL::INTEGER AS book_ord, NULL::INTEGER AS chapter, 0 AS kind, 0 AS verse, 0 AS seq,
+       'The Holy Bible - ' || version AS value FROM (SELECT DISTINCT version FROM ch)
+UNION ALL SELECT version, NULL, NULL, 0, 0, 1, '' FROM (SELECT DISTINCT version FROM ch)
+UNION ALL SELECT version, book_ord, NULL, 1, 0, 0, bname FROM c WHERE chapter = first_ch
+UNION ALL SELECT version, book_ord, NULL, 1, 0, 1, repeat('=', 50) FROM c WHERE chapter = first_ch
+UNION ALL SELECT version, book_ord, NULL, 1, 0, 2, '' FROM c WHERE chapter = first_ch
+UNION ALL SELECT version, book_ord, chapter, 2, 0, 0, 'Chapter ' || CAST(chapter AS VARCHAR) FROM c
+UNION ALL SELECT version, book_ord, chapter, 2, 0, 1, repeat('-', 20) FROM c
+UNION ALL SELECT version, book_ord, chapter, 3, verse, 0, CAST(verse AS VARCHAR) || ' ' || coalesce(text, '') FROM e
+UNION ALL SELECT version, book_ord, chapter, 4, 0, 0, '' FROM c
+UNION ALL SELECT version, book_ord, chapter, 5, 0, 0, '' FROM c WHERE chapter = last_ch"""
 
 RUNS = """runs AS (
   SELECT event_id, ts, user_id, event_type, strftime(date_trunc('day', ts), '%Y%m%d_%H%M%S') AS run_id

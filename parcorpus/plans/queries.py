@@ -518,7 +518,7 @@ def version_books(spark, sf_dir):
 @query
 def render_text(spark, sf_dir):
     return report.render_text(V.verses_long(spark, sf_dir), V.books(spark, sf_dir)).select(
-        "version", "book_ord", "chapter", "value")
+        "version", "book_ord", "chapter", "kind", "verse", "seq", "value")
 
 
 def _runs(spark, sf_dir):

@@ -105,9 +105,11 @@ def write_text_blocks(blocks: DataFrame, root: str, order: Sequence[str],
     """B7 writer: one text folder per version; rows are range-partitioned by
     (version, order...) and sorted within partitions, so concatenating a
     version's part files in name order gives the whole text, and a large
-    version is spread over many tasks."""
-    (blocks.repartitionByRange(F.col(version), *[F.col(c) for c in order])
-     .sortWithinPartitions(version, *order)
+    version or chapter is spread over many tasks. NULL sort keys (a version's
+    title) come first."""
+    keys = [F.col(version).asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in order]
+    (blocks.repartitionByRange(*keys)
+     .sortWithinPartitions(*keys)
      .select(version, value)
      .write.mode("overwrite").partitionBy(version).text(root))
     return root

@@ -98,9 +98,10 @@ def test_render_text_files(spark):
     books = spark.createDataFrame([("Book", 1, 0)], "name string, id int, ordinal int")
     blocks = report.render_text(long, books, {"en": "English"})
     root = _tmp()
-    sinks.write_text_blocks(blocks, root, ["book_ord", "chapter"])
+    sinks.write_text_blocks(blocks, root, report.RENDER_ORDER)
     vdir = os.path.join(root, "version=en")
-    text = "".join(open(os.path.join(vdir, f)).read() for f in sorted(os.listdir(vdir)) if f.startswith("part-"))
+    text = "".join(open(os.path.join(vdir, f)).read() for f in sorted(os.listdir(vdir))
+                   if f.startswith("part-"))
     assert text == ("The Holy Bible - English\n\nBook\n" + "=" * 50 + "\n\n"
                     "Chapter 1\n" + "-" * 20 + "\n1 one\n2 two\n\n"
                     "Chapter 2\n" + "-" * 20 + "\n1 x\n\n\n")
