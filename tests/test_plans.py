@@ -47,3 +47,8 @@ def test_scan_is_pruned(spark):
     plan = _plan(E.queries()["merge_versions"](spark, SF_SMALL))
     assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string,source:string>" in plan
     assert "n_chars" not in plan
+
+
+def test_union_languages_scans_once(spark):
+    plan = _plan(E.queries()["valid_pairs"](spark, SF_SMALL))
+    assert plan.count("FileScan parquet") == 1, plan
