@@ -89,7 +89,23 @@ def make_requests(batches: DataFrame, sl: str = "sl", ol: str = "ol", size: int
 def realign(results: DataFrame, translated: str = "translated") -> DataFrame:
     """Split each translated request back into sentences and re-attach the
     source and original by position. sl/ol are whitespace-collapsed, tl cleaned;
-    a request whose part count differs yields one ``[ERROR]`` row per sentence."""
+    a request whose part count differs yields one ``[ERROR]`` row per sentence.
+    Requests answered with (source, target) pairs (a ``pairs`` column) give one
+    row per pair with ``ol`` = the stripped request."""
+    if "pairs" in results.columns:
+        split_part = _realign_split(results.where(F.col("pairs").isNull()), translated)
+        pairs = results.where(F.col("pairs").isNotNull()).select(
+            "batch_id", "chunk_id", T.strip(F.col("request")).alias("_ol"),
+            F.posexplode("pairs").alias("_i", "_p"))
+        first_rn = F.col("_i") + 1
+        tuple_part = pairs.select(
+            "batch_id", "chunk_id", first_rn.cast("long").alias("rn"),
+            F.col("_p.sl").alias("sl"), F.col("_p.tl").alias("tl"), F.col("_ol").alias("ol"))
+        return split_part.unionByName(tuple_part)
+    return _realign_split(results, translated)
+
+
+def _realign_split(results: DataFrame, translated: str) -> DataFrame:
     parts = T.split_translation(F.col(translated), F.col("n_sentences"))
     filled = F.coalesce(parts, F.array_repeat(F.lit(None).cast("string"), F.col("n_sentences")))
     z = F.arrays_zip(F.col("sentences").alias("s"), filled.alias("p"))

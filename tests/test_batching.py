@@ -69,3 +69,17 @@ def test_translate_batches_markers(spark):
             assert tl.startswith("[TRANSLATION FAILED] - ") if rn == first else tl == sl
         else:
             assert tl == sl.upper()
+
+
+def test_translate_batches_tuple_results(spark):
+    df = spark.createDataFrame([(i, f"s{i}", f"o{i}") for i in range(12)], "pos long, sl string, ol string")
+
+    def fn(text):
+        parts = [p.strip() for p in text.split("<|||>")]
+        return (parts, [p.upper() + " " for p in parts])
+
+    out = udf.translate_batches(df, fn)
+    got = rows(out, "sl", "tl", "ol")
+    assert sorted(r[0] for r in got) == sorted(f"s{i}" for i in range(12))
+    assert all(tl == sl.upper() for sl, tl, _ in got)
+    assert all("<|||>" in ol or ol.startswith("s") for _, _, ol in got)
