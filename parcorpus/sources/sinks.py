@@ -33,35 +33,39 @@ def write_json(df: DataFrame, path: str, keys: Sequence[str] | None = None,
     return path
 
 
-def prepare_csv(df: DataFrame, columns: Sequence[str], dedup_columns: Sequence[str] | None = None,
-                tl: str | None = "tl") -> DataFrame:
-    """B2 body: columns in order (missing ones NULL), de-duplicated
-    (``None`` all columns, ``[]`` none, list -> those present, none present ->
-    all), ``status`` derived before every text cell is cleaned (S1)."""
+def prepare_csv(df: DataFrame, columns: Sequence[str], dedup_columns: Sequence[str] | None = (),
+                tl: str | None = "tl", order: str | None = None) -> DataFrame:
+    """B2 body. De-duplication runs over the rows as given: ``None`` -> all
+    their columns, ``[]`` (default) -> none, a list -> the names present (none
+    present -> no de-duplication); with ``order`` the first row is kept. Then
+    the output columns are selected in order (missing ones NULL), ``status`` is
+    derived from the translation before cleaning (so a bare ``[ERROR]`` stays
+    visible), and every text cell is cleaned (S1)."""
     out = df
+    if dedup_columns is None:
+        subset = [c for c in df.columns if c != order]
+    else:
+        subset = [c for c in dedup_columns if c in df.columns]
+    if subset:
+        out = dedup.drop_duplicates(out, subset, order)
     for c in columns:
         if c not in out.columns:
             out = out.withColumn(c, F.lit(None).cast("string"))
     out = out.select(*columns)
     if tl and tl in columns:
         out = out.withColumn("status", T.parse_status(tl)["status"])
-    if dedup_columns is None:
-        out = out.dropDuplicates()
-    elif dedup_columns:
-        present = [c for c in dedup_columns if c in out.columns]
-        out = out.dropDuplicates(present or None)
     strings = [f.name for f in out.schema.fields if f.dataType.simpleString() == "string"
                and f.name != "status"]
     return out.withColumns({c: T.clean_text(F.col(c)) for c in strings})
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str],
-              dedup_columns: Sequence[str] | None = None) -> str | None:
+              dedup_columns: Sequence[str] | None = (), order: str | None = None) -> str | None:
     """B2: CSV with header after :func:`prepare_csv`; empty input -> None."""
     if df.isEmpty():
         return None
-    prepare_csv(df, columns, dedup_columns).write.mode("overwrite").option("header", True) \
-        .option("quote", '"').option("escape", '"').csv(path)
+    prepare_csv(df, columns, dedup_columns, order=order).write.mode("overwrite") \
+        .option("header", True).option("quote", '"').option("escape", '"').csv(path)
     return path
 
 

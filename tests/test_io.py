@@ -48,7 +48,7 @@ def test_read_corpus_json_array_object_and_broken(spark):
 def test_csv_round_trip(spark):
     d = _tmp()
     df = spark.createDataFrame([("a  b", "[ERROR]", 1), ("a  b", "[ERROR]", 2), ('say "x"', "t", 3)], PAIR)
-    sinks.write_csv(df, d, ["sl", "tl", "ol"])
+    sinks.write_csv(df, d, ["sl", "tl", "ol"], dedup_columns=["sl", "tl"], order="pos")
     back = readers.read_corpus_csv(spark, d, ["sl", "tl", "ol", "status"])
     assert sorted(rows(back, "sl", "tl", "status")) == [("a b", "ERROR", "error"), ("say 'x'", "t", "ok")]
     q = _tmp()
