@@ -96,20 +96,26 @@ def read_many(spark: SparkSession, paths: Sequence[str], source_col: str,
 
 def read_previous_run(spark: SparkSession, root: str, glob: str = "*",
                       which: str = "second_last", mode: str = "all",
-                      schema: T_.StructType | None = None, fmt: str = "json") -> DataFrame:
-    """Files of an earlier run under ``root/run_id=<stamp>/``. Run stamps
-    sort alphabetically; ``second_last`` skips the current run. ``mode="latest"``
-    keeps only the newest file by modification time. Fewer runs than needed,
-    or no match, give an empty table."""
+                      schema: T_.StructType | None = None, fmt: str = "json",
+                      subfolder: str | None = None) -> DataFrame:
+    """Files of an earlier run. Runs are the folders directly under
+    ``root`` (time-stamped names, ``run_id=<stamp>`` also accepted), sorted
+    alphabetically; ``second_last`` skips the current run, ``last`` takes it.
+    Files matching ``glob`` are read from the run folder (or its
+    ``subfolder``); ``mode="latest"`` keeps only the newest file by
+    modification time. A missing folder or no match gives an empty table."""
+    path = f"{root.rstrip('/')}/*/{subfolder}" if subfolder else f"{root.rstrip('/')}/*"
     reader = spark.read.option("pathGlobFilter", glob)
     if schema is not None:
         reader = reader.schema(schema)
     try:
-        df = reader.format(fmt).load(root)
+        df = reader.format(fmt).load(path)
     except Exception:  # noqa: BLE001 - missing folder -> empty result
         return spark.createDataFrame([], schema or T_.StructType([]))
-    df = df.withColumn("_file", F.col("_metadata.file_path")) \
-           .withColumn("_mtime", F.col("_metadata.file_modification_time"))
+    run_re = (r"([^/]+)/" + subfolder + r"/[^/]+$") if subfolder else r"([^/]+)/[^/]+$"
+    fp = F.col("_metadata.file_path")
+    df = (df.withColumn("_file", fp).withColumn("_mtime", F.col("_metadata.file_modification_time"))
+          .withColumn("run_id", F.regexp_replace(F.regexp_extract(fp, run_re, 1), "^run_id=", "")))
     rank = dedup.run_rank(df, "run_id")
     pick = 2 if which == "second_last" else 1
     chosen = df.join(rank.where(F.col("run_rank") == pick).select("run_id"), "run_id", "left_semi")

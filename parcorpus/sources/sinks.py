@@ -13,10 +13,14 @@ from parcorpus.operators import dedup
 
 
 def write_json(df: DataFrame, path: str, keys: Sequence[str] | None = None,
-               save_duplicates: bool = False, order: str = "pos") -> str | None:
-    """B1: JSON lines (UTF-8, not escaped). With ``keys`` the rows are first
-    split into unique/duplicates (F1); ``save_duplicates`` writes the
-    duplicates too, under ``part=duplicates``. Empty input writes nothing."""
+               save_duplicates: bool = False, order: str = "pos",
+               keys_to_remove: Sequence[str] | None = None) -> str | None:
+    """B1: JSON lines (UTF-8, not escaped). ``keys_to_remove`` columns are
+    dropped first (P3). With ``keys`` the rows are split into unique/duplicates
+    (F1, first two keys, stripped); ``save_duplicates`` writes the duplicates
+    too, under ``part=duplicates``. Empty input writes nothing."""
+    if keys_to_remove:
+        df = df.drop(*[k for k in keys_to_remove if k not in (order,)])
     if df.isEmpty():
         return None
     if keys is not None:

@@ -78,6 +78,15 @@ def test_runs_and_previous_run(spark):
     last = readers.read_previous_run(spark, root, "*.json", "last", mode="latest")
     assert rows(last, "pos") == [(3,)]
     assert readers.read_previous_run(spark, os.path.join(root, "missing")).count() == 0
+    # plain time-stamped run folders with a partial_results subfolder
+    base = _tmp()
+    for stamp, pos in [("20240101_000000", 1), ("20240102_000000", 2), ("20240103_000000", 3)]:
+        d = os.path.join(base, stamp, "partial_results")
+        os.makedirs(d)
+        with open(os.path.join(d, "Worker_1_Batch_1.json"), "w") as f:
+            f.write('{"sl": "a", "pos": %d}\n' % pos)
+    prev = readers.read_previous_run(spark, base, "Worker_*.json", subfolder="partial_results")
+    assert rows(prev, "run_id", "pos") == [("20240102_000000", 2)]
 
 
 def test_partials_and_split_outputs(spark):
