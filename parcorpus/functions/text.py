@@ -305,3 +305,11 @@ def chapter_url(version_id, abbr, chapter, suffix) -> Column:
     for p in parts[1:]:
         any_null = any_null | p.isNull()
     return F.when(~any_null, F.format_string("https://www.bible.com/bible/%s/%s.%s.%s", *parts))
+
+
+def query_param_mismatch(url, sl: str, tl: str) -> Column:
+    """The URL's ``sl``/``tl`` query parameters differ from the expected
+    language pair (a missing parameter counts as a mismatch)."""
+    s = url_param(url, "sl")
+    t = url_param(url, "tl")
+    return ~(F.coalesce(s == F.lit(sl), F.lit(False)) & F.coalesce(t == F.lit(tl), F.lit(False)))

@@ -146,3 +146,22 @@ def parse_log(lines: DataFrame, col: str = "value") -> DataFrame:
 def read_log(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Read log files as text and parse every line."""
     return parse_log(spark.read.text(path))
+
+
+def log_prefix(worker: int, batch: int, total: int) -> str:
+    """Batch prefix written in front of every log message of a batch."""
+    return f"Worker {worker} | Batch {batch}/{total} |"
+
+
+def filter_log(lines: DataFrame, worker: int, batch: int, total: int,
+               col: str = "value") -> DataFrame:
+    """Lines of one batch, found by the full prefix (a cut prefix such as
+    ``Batch 1`` would also match batch 10..19)."""
+    return lines.where(F.col(col).contains(log_prefix(worker, batch, total)))
+
+
+def split_log_by_batch(parsed: DataFrame, root: str) -> str:
+    """C12 for every batch at once: one folder per (worker, batch) in one job."""
+    (parsed.where(F.col("batch").isNotNull()).select("worker", "batch", "value")
+     .write.mode("overwrite").partitionBy("worker", "batch").text(root))
+    return root

@@ -114,3 +114,17 @@ def test_render_text_files(spark):
     assert text == ("The Holy Bible - English\n\nBook\n" + "=" * 50 + "\n\n"
                     "Chapter 1\n" + "-" * 20 + "\n1 one\n2 two\n\n"
                     "Chapter 2\n" + "-" * 20 + "\n1 x\n\n\n")
+
+
+def test_dims_and_log_filter(spark):
+    from parcorpus.sources import dims
+    books = dims.book_dim(spark, [{"name": "B2", "id": 7, "chapters": 3}, {"name": "B1", "id": 3}])
+    assert rows(books.orderBy("ordinal"), "id", "ordinal") == [(7, 0), (3, 1)]
+    assert dims.word_dim(spark, ["save", "x", "save"]).count() == 2
+    ts = "2024-01-01 00:00:00"
+    lines = spark.createDataFrame([(f"{ts} [INFO] Worker 1 | Batch 1/20 | a",),
+                                   (f"{ts} [INFO] Worker 1 | Batch 10/20 | b",)], "value string")
+    assert rows(readers.filter_log(lines, 1, 1, 20), "value") == [(f"{ts} [INFO] Worker 1 | Batch 1/20 | a",)]
+    root = _tmp()
+    readers.split_log_by_batch(readers.parse_log(lines), root)
+    assert sorted(n for n in os.listdir(os.path.join(root, "worker=1"))) == ["batch=1", "batch=10"]

@@ -77,3 +77,10 @@ def test_small_helpers(spark):
     assert (r["p"]["first"], r["p"]["second"]) == ("a", "b")
     assert r["q"] == "say 'hi'" and r["bad"] and r["lab"] and r["f"]
     assert (r["rp"], r["stem"], r["js"]) == ("file.json", "name.tar", "ab")
+
+
+def test_query_param_mismatch(spark):
+    df = spark.createDataFrame([("https://h/?sl=fr&tl=en&op=translate",), ("https://h/?sl=de&tl=en",),
+                                ("https://h/",)], "u string")
+    got = [r[0] for r in df.select(T.query_param_mismatch("u", "fr", "en")).collect()]
+    assert got == [False, True, True]
