@@ -77,21 +77,48 @@ def _reuse(wide: DataFrame, materialize: bool) -> DataFrame:
     return _materialize(wide, "wide") if materialize else wide
 
 
-def chapter_status(wide: DataFrame, versions: Sequence[str], materialize: bool = False) -> DataFrame:
-    """Per chapter ``consistent`` (all present versions have the same
-    count, one version counts as consistent), ``inconsistent``, or ``empty``
-    (no text in any version)."""
-    wide = _reuse(wide, materialize)
+def chapter_facts(wide: DataFrame, versions: Sequence[str]) -> DataFrame:
+    """G2-G5 in one chapter-level table: rows, per-version counts, status,
+    majority and outliers.
+
+    The version counts (a partial aggregation over the present texts) are
+    gathered per chapter into one array -- bounded by the number of versions --
+    sorted by first appearance (first verse with text, then version order).
+    The majority is the count with the highest frequency, ties going to the
+    count met first; outliers are the versions whose count differs, in order
+    of first appearance; ``counts`` lists (version, n) ascending by n, ties in
+    first-appearance order. Chapters with no text at all are ``empty``."""
     counts = verse_counts(wide, versions)
-    per_chapter = counts.groupBy(*CHAPTER_KEY).agg(
-        F.count_distinct("n").alias("n_distinct"), F.count(F.lit(1)).alias("n_versions"))
+    per_ch = counts.groupBy(*CHAPTER_KEY).agg(
+        F.array_sort(F.collect_list(F.struct("first_verse", "ordinal", "version", "n"))).alias("_a"))
+    a = F.col("_a")
+    freqs = F.transform(a, lambda x: F.size(F.filter(a, lambda y: y["n"] == x["n"])))
+    majority = F.element_at(a, F.array_position(freqs, F.array_max(freqs)).cast("int"))["n"]
+    n_distinct = F.size(F.array_distinct(F.transform(a, lambda x: x["n"])))
+    facts = per_ch.select(
+        *CHAPTER_KEY, F.size(a).alias("n_versions"), n_distinct.alias("n_distinct"),
+        majority.alias("majority"),
+        F.transform(F.array_sort(F.transform(a, lambda x: F.struct(
+            x["n"].alias("n"), x["first_verse"].alias("f"), x["ordinal"].alias("o"),
+            x["version"].alias("version")))),
+            lambda x: F.struct(x["version"].alias("version"), x["n"].alias("n"))).alias("counts"),
+        F.transform(F.filter(a, lambda x: x["n"] != majority), lambda x: x["version"]).alias("outliers"))
     chapters = wide.groupBy(*CHAPTER_KEY).agg(F.count(F.lit(1)).alias("n_rows"))
-    return (chapters.join(per_chapter, CHAPTER_KEY, "left")
+    return (chapters.join(facts, CHAPTER_KEY, "left")
             .select(*CHAPTER_KEY, "n_rows",
                     F.coalesce("n_versions", F.lit(0)).alias("n_versions"),
                     F.when(F.col("n_distinct").isNull(), F.lit("empty"))
                     .when(F.col("n_distinct") == 1, F.lit("consistent"))
-                    .otherwise(F.lit("inconsistent")).alias("status")))
+                    .otherwise(F.lit("inconsistent")).alias("status"),
+                    "majority", "counts", "outliers"))
+
+
+def chapter_status(wide: DataFrame, versions: Sequence[str], materialize: bool = False) -> DataFrame:
+    """Per chapter ``consistent`` (all present versions have the same
+    count, one version counts as consistent), ``inconsistent``, or ``empty``
+    (no text in any version)."""
+    wide = _reuse(wide, materialize)
+    return chapter_facts(wide, versions).select(*CHAPTER_KEY, "n_rows", "n_versions", "status")
 
 
 def label_chapters(wide: DataFrame, status: DataFrame, col: str = "status") -> DataFrame:
@@ -100,30 +127,16 @@ def label_chapters(wide: DataFrame, status: DataFrame, col: str = "status") -> D
     return wide.join(status.select(*CHAPTER_KEY, F.col("status").alias(col)), CHAPTER_KEY, "left")
 
 
-def majority_outliers(wide: DataFrame, versions: Sequence[str], materialize: bool = False) -> DataFrame:
+def majority_outliers(wide: DataFrame, versions: Sequence[str], materialize: bool = False,
+                      facts: DataFrame | None = None) -> DataFrame:
     """G4/G5/L6 per inconsistent chapter: counts sorted ascending, majority
     count (ties: the count met first, i.e. of the version whose first text
     comes earliest, then by version order) and outlier versions in order of
     first appearance."""
-    wide = _reuse(wide, materialize)
-    counts = verse_counts(wide, versions)
-    freq = counts.groupBy(*CHAPTER_KEY, "n").agg(
-        F.count(F.lit(1)).alias("freq"),
-        F.min(F.struct("first_verse", "ordinal")).alias("first"))
-    chapter = freq.groupBy(*CHAPTER_KEY).agg(
-        F.count(F.lit(1)).alias("n_distinct"),
-        F.max_by("n", F.struct(F.col("freq"), -F.col("first.first_verse"), -F.col("first.ordinal")))
-        .alias("majority"))
-    incons = chapter.where(F.col("n_distinct") > 1).select(*CHAPTER_KEY, "majority")
-    per_version = counts.join(incons, CHAPTER_KEY, "inner")
-    return per_version.groupBy(*CHAPTER_KEY).agg(
-        F.first("majority").alias("majority"),
-        F.transform(F.array_sort(F.collect_list(F.struct("n", "first_verse", "ordinal", "version"))),
-                    lambda x: F.struct(x["version"].alias("version"), x["n"].alias("n")))
-        .alias("counts"),
-        F.transform(F.array_sort(F.collect_list(F.when(
-            F.col("n") != F.col("majority"), F.struct("first_verse", "ordinal", "version")))),
-            lambda x: x["version"]).alias("outliers"))
+    if facts is None:
+        facts = chapter_facts(_reuse(wide, materialize), versions)
+    return facts.where(F.col("status") == "inconsistent").select(
+        *CHAPTER_KEY, "majority", "counts", "outliers")
 
 
 def verse_length_stats(wide: DataFrame, versions: Sequence[str]) -> DataFrame:
@@ -137,7 +150,8 @@ def verse_length_stats(wide: DataFrame, versions: Sequence[str]) -> DataFrame:
 
 
 def suspicious_verses(wide: DataFrame, versions: Sequence[str],
-                      factor: float = LENGTH_FACTOR, materialize: bool = True) -> DataFrame:
+                      factor: float = LENGTH_FACTOR, materialize: bool = True,
+                      facts: DataFrame | None = None) -> DataFrame:
     """Per inconsistent chapter the first verse where an outlier version is
     longer than ``mean * factor`` (strict; the mean includes it), with the
     suspect versions and every version's length at that verse.
@@ -149,7 +163,7 @@ def suspicious_verses(wide: DataFrame, versions: Sequence[str],
     flagged verse is picked per chapter with ``min_by``.
     """
     wide = _reuse(wide, materialize)
-    mo = majority_outliers(wide, versions).select(*CHAPTER_KEY, "outliers")
+    mo = majority_outliers(wide, versions, facts=facts).select(*CHAPTER_KEY, "outliers")
     present = (_present(wide, versions).withColumn("len", F.length("text"))
                .join(mo, CHAPTER_KEY, "inner"))
     w = Window.partitionBy(*VERSE_KEY)
@@ -180,8 +194,10 @@ def salvage(wide: DataFrame, versions: Sequence[str], factor: float = LENGTH_FAC
     suspect. Chapters with no text at all are left out.
     """
     wide = _reuse(wide, materialize)
-    status = chapter_status(wide, versions).select(*CHAPTER_KEY, "status")
-    split = suspicious_verses(wide, versions, factor, materialize=False).select(
+    # chapter-level facts are small: written once, read by both branches
+    facts = _materialize(chapter_facts(wide, versions), "chapter_facts")
+    status = facts.select(*CHAPTER_KEY, "status")
+    split = suspicious_verses(wide, versions, factor, materialize=False, facts=facts).select(
         *CHAPTER_KEY, "split_verse")
     labelled = (wide.join(status, CHAPTER_KEY, "inner")
                 .where(F.col("status") != "empty")
@@ -197,8 +213,9 @@ def alignment_report(wide: DataFrame, versions: Sequence[str],
     states: counts (ascending), majority, outliers, split verse, the sizes of
     both sides, suspects and lengths at the split verse."""
     wide = _reuse(wide, materialize)
-    mo = majority_outliers(wide, versions)
-    sv = suspicious_verses(wide, versions, factor, materialize=False)
+    facts = _materialize(chapter_facts(wide, versions), "chapter_facts")
+    mo = majority_outliers(wide, versions, facts=facts)
+    sv = suspicious_verses(wide, versions, factor, materialize=False, facts=facts)
     sides = (wide.join(sv.select(*CHAPTER_KEY, "split_verse"), CHAPTER_KEY, "inner")
              .groupBy(*CHAPTER_KEY)
              .agg(F.count_if(F.col("verse") < F.col("split_verse")).alias("n_good"),

@@ -92,35 +92,52 @@ def render_text(long: DataFrame, books: DataFrame, version_names: dict[str, str]
     dim = books.select(F.col("id").alias("book_id"), F.col("name").alias("_bname"),
                        F.col("ordinal").alias("book_ord"))
     entries = long.select(version_col, "book_id", "chapter", "verse", "text").join(dim, "book_id", "left")
-    chapters = entries.groupBy(version_col, "book_id", "book_ord", "_bname", "chapter").agg(
+    # chapter table: one row per (version, book, chapter) -- small next to the
+    # verses. First/last chapter per book and the first chapter of each version
+    # are partial aggregations joined back (no window holding a whole version).
+    ch = entries.groupBy(version_col, "book_id", "book_ord", "_bname", "chapter").agg(
         F.lit(1).alias("_one"))
-    first_last = chapters.groupBy(version_col, "book_id").agg(
+    per_book = ch.groupBy(version_col, "book_id").agg(
         F.min("chapter").alias("_first_ch"), F.max("chapter").alias("_last_ch"))
-    ch = chapters.join(first_last, [version_col, "book_id"])
+    per_version = ch.groupBy(version_col).agg(F.min(F.struct("book_ord", "chapter")).alias("_first_key"))
+    ch = ch.join(per_book, [version_col, "book_id"]).join(per_version, version_col)
     m = F.create_map(*[F.lit(x) for kv in names.items() for x in kv]) if names else None
     vname = F.coalesce(m[F.col(version_col)], F.col(version_col)) if m is not None else F.col(version_col)
-
-    def lines(df, kind, texts, book_ord=F.col("book_ord"), chapter=F.col("chapter")):
-        return df.select(version_col, book_ord.alias("book_ord"), chapter.alias("chapter"),
-                         F.lit(kind).alias("kind"), F.lit(0).alias("verse"),
-                         F.posexplode(F.array(*[F.lit(t) if isinstance(t, str) else t for t in texts]))
-                         .alias("seq", "value"))
-
-    versions_ = chapters.select(version_col).distinct()
-    title = lines(versions_, TITLE, [F.concat(F.lit("The Holy Bible - "), vname), ""],
-                  book_ord=F.lit(None).cast("int"), chapter=F.lit(None).cast("int"))
-    book_head = lines(ch.where(F.col("chapter") == F.col("_first_ch")), BOOK_HEAD,
-                      [F.col("_bname"), "=" * 50, ""], chapter=F.lit(None).cast("int"))
-    chapter_head = lines(ch, CHAPTER_HEAD, [F.concat(F.lit("Chapter "), F.col("chapter").cast("string")),
-                                            "-" * 20])
-    chapter_end = lines(ch, CHAPTER_END, [""])
-    book_end = lines(ch.where(F.col("chapter") == F.col("_last_ch")), BOOK_END, [""])
+    null_i = F.lit(None).cast("int")
+
+    def line(kind, seq, value, book_ord, chapter):
+        return F.struct(book_ord.alias("book_ord"), chapter.alias("chapter"), F.lit(kind).alias("kind"),
+                        F.lit(seq).alias("seq"), value.alias("value"))
+
+    def when_lines(cond, items):
+        arr = F.array(*items)
+        return F.when(cond, arr).otherwise(F.array().cast(arr_type))
+
+    bo, c = F.col("book_ord"), F.col("chapter")
+    arr_type = "array<struct<book_ord:int,chapter:int,kind:int,seq:int,value:string>>"
+    is_first_block = (F.col("_first_key.book_ord").eqNullSafe(bo)) & (F.col("_first_key.chapter") == c)
+    lines_ = F.concat(
+        when_lines(is_first_block, [
+            line(TITLE, 0, F.concat(F.lit("The Holy Bible - "), vname), null_i, null_i),
+            line(TITLE, 1, F.lit(""), null_i, null_i)]),
+        when_lines(c == F.col("_first_ch"), [
+            line(BOOK_HEAD, 0, F.col("_bname"), bo, null_i),
+            line(BOOK_HEAD, 1, F.lit("=" * 50), bo, null_i),
+            line(BOOK_HEAD, 2, F.lit(""), bo, null_i)]),
+        F.array(line(CHAPTER_HEAD, 0, F.concat(F.lit("Chapter "), c.cast("string")), bo, c),
+                line(CHAPTER_HEAD, 1, F.lit("-" * 20), bo, c),
+                line(CHAPTER_END, 0, F.lit(""), bo, c)),
+        when_lines(c == F.col("_last_ch"), [line(BOOK_END, 0, F.lit(""), bo, c)]))
+    frame = ch.select(version_col, F.explode(lines_).alias("_l")).select(
+        version_col, F.col("_l.book_ord").cast("int").alias("book_ord"),
+        F.col("_l.chapter").cast("int").alias("chapter"), F.col("_l.kind").alias("kind"),
+        F.lit(0).alias("verse"), F.col("_l.seq").alias("seq"), F.col("_l.value").alias("value"))
     verses = entries.select(
-        version_col, "book_ord", "chapter", F.lit(VERSE).alias("kind"), "verse",
-        F.lit(0).alias("seq"),
+        version_col, F.col("book_ord").cast("int").alias("book_ord"),
+        F.col("chapter").cast("int").alias("chapter"), F.lit(VERSE).alias("kind"),
+        F.col("verse").cast("int").alias("verse"), F.lit(0).alias("seq"),
         F.concat(F.col("verse").cast("string"), F.lit(" "), F.coalesce("text", F.lit(""))).alias("value"))
-    return (title.unionByName(book_head).unionByName(chapter_head).unionByName(verses)
-            .unionByName(chapter_end).unionByName(book_end))
+    return frame.unionByName(verses)
 
 
 RENDER_ORDER = ["book_ord", "chapter", "kind", "verse", "seq", "value"]
