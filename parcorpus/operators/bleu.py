@@ -48,21 +48,22 @@ def tokenize_13a(c) -> Column:
     return F.filter(F.split(s, T.WS_RUN), lambda t: t != "")
 
 
-def _grams(toks: Column, n: int) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.size(toks) - F.lit(n - 1)),
-                       lambda i: F.array_join(F.slice(toks, i, n), " "))
-
-
 def _ngram_rows(toks: Column) -> Column:
-    """ARRAY<STRUCT<n, g>> of every n-gram (n = 1..4) of a token array."""
+    """ARRAY<STRUCT<n, g>> of every n-gram (n = 1..4) of a token array. Each
+    order is built from the previous one with ``zip_with`` (gram + " " + next
+    token), so no token window is sliced and re-joined per position."""
+    size = F.size(toks)
+
     def tag(n: int):
-        # one-argument lambda: Spark reads a second parameter as the index
         return lambda g: F.struct(F.lit(n).alias("n"), g.alias("g"))
 
-    parts = []
-    for n in range(1, MAX_ORDER + 1):
-        parts.append(F.when(F.size(toks) >= n, F.transform(_grams(toks, n), tag(n)))
-                     .otherwise(F.array().cast("array<struct<n:int,g:string>>")))
+    grams = toks
+    parts = [F.transform(grams, tag(1))]
+    for n in range(2, MAX_ORDER + 1):
+        keep = F.greatest(size - F.lit(n - 1), F.lit(0))
+        grams = F.zip_with(F.slice(grams, 1, keep), F.slice(toks, F.lit(n), keep),
+                           lambda a, b: F.concat(a, F.lit(" "), b))
+        parts.append(F.transform(grams, tag(n)))
     return F.concat(*parts)
 
 
