@@ -42,22 +42,41 @@ def _stored(spark: SparkSession, corpus_dir: str, batch_id: int) -> DataFrame:
 
 def process_batch(batch: DataFrame, batch_id: int, corpus_dir: str) -> None:
     spark = batch.sparkSession
-    s = F.coalesce(F.col("sl"), F.lit(""))
-    t = F.coalesce(F.col("tl"), F.lit(""))
-    cleaned = batch.where((s != t) & ~s.contains(T.MARKER_ERROR) & ~t.contains(T.MARKER_ERROR))
+    cleaned = _clean_filter(batch)
     first = dedup.keep_first(cleaned, ["sl", "tl"], "pos", strip=False)
     stored = _stored(spark, corpus_dir, batch_id).select("sl", "tl")
     new = first.join(stored, ["sl", "tl"], "left_anti")
     (new.write.mode("overwrite").json(os.path.join(corpus_dir, f"batch_id={batch_id}")))
 
 
+def _clean_filter(df: DataFrame) -> DataFrame:
+    s = F.coalesce(F.col("sl"), F.lit(""))
+    t = F.coalesce(F.col("tl"), F.lit(""))
+    return df.where((s != t) & ~s.contains(T.MARKER_ERROR) & ~t.contains(T.MARKER_ERROR))
+
+
 def start_ingest(spark: SparkSession, source_dir: str, corpus_dir: str, checkpoint: str,
-                 available_now: bool = True, max_files_per_trigger: int | None = None):
-    """Start the stream; returns the StreamingQuery."""
+                 available_now: bool = True, max_files_per_trigger: int | None = None,
+                 dedup: str = "table"):
+    """Start the stream; returns the StreamingQuery.
+
+    ``dedup="table"``: the stored corpus is the state (anti-join per batch,
+    idempotent ``batch_id`` folders; no state store, but each batch reads the
+    stored keys). ``dedup="state"``: Structured Streaming keeps the seen
+    (sl, tl) keys in its state store (per-key lookups; configure the RocksDB
+    provider for large key sets) and the file sink commits exactly once.
+    """
     reader = spark.readStream.schema(PARTIAL_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(source_dir)
+    if dedup == "state":
+        deduped = _clean_filter(stream).dropDuplicates(["sl", "tl"])
+        writer = (deduped.writeStream.format("json").option("path", corpus_dir)
+                  .option("checkpointLocation", checkpoint).outputMode("append"))
+        writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
+            processingTime="10 seconds")
+        return writer.start()
     writer = (stream.writeStream.option("checkpointLocation", checkpoint)
               .foreachBatch(lambda df, bid: process_batch(df, bid, corpus_dir)))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
@@ -65,5 +84,7 @@ def start_ingest(spark: SparkSession, source_dir: str, corpus_dir: str, checkpoi
     return writer.start()
 
 
-def read_corpus(spark: SparkSession, corpus_dir: str) -> DataFrame:
+def read_corpus(spark: SparkSession, corpus_dir: str, dedup: str = "table") -> DataFrame:
+    if dedup == "state":
+        return spark.read.schema(PARTIAL_SCHEMA).json(corpus_dir)
     return spark.read.schema(CORPUS_SCHEMA).json(corpus_dir)

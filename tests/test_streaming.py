@@ -21,3 +21,17 @@ def test_ingest_twice_leaves_corpus_unchanged(spark):
     ingest.start_ingest(spark, src, out, os.path.join(base, "ck2"),
                         max_files_per_trigger=1).awaitTermination()
     assert sorted(rows(ingest.read_corpus(spark, out), "sl", "tl")) == first
+
+
+def test_ingest_with_state_store(spark):
+    base = tempfile.mkdtemp(prefix="parcorpus-stream-")
+    src, out, ck = (os.path.join(base, x) for x in ("in", "corpus", "ck"))
+    data = [("a", "A", "o", 1), ("a", "A", "o", 2), ("b", "b", "o", 3), ("c", "[ERROR]", "o", 4),
+            ("d", "D", "o", 5), ("a", "A", "o", 6), ("e", "E", "o", 7)]
+    spark.createDataFrame(data, ingest.PARTIAL_SCHEMA).repartition(3).write.json(src)
+    ingest.start_ingest(spark, src, out, ck, max_files_per_trigger=1, dedup="state").awaitTermination()
+    got = sorted(rows(ingest.read_corpus(spark, out, dedup="state"), "sl", "tl"))
+    assert got == [("a", "A"), ("d", "D"), ("e", "E")]
+    # restart from the same checkpoint: nothing new is written
+    ingest.start_ingest(spark, src, out, ck, max_files_per_trigger=1, dedup="state").awaitTermination()
+    assert sorted(rows(ingest.read_corpus(spark, out, dedup="state"), "sl", "tl")) == got
