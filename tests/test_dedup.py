@@ -81,3 +81,26 @@ def test_checkpoints_sf0001(spark):
     assert dedup.cross_seen(dp, "src", "tgt").where("is_duplicate").count() == 27
     assert dedup.mark_all_duplicates(dp, ["src", "tgt"]).where("is_duplicate").count() == 37
     assert dp.where("src = tgt").count() == 30
+
+
+def test_hot_key_third_of_rows(spark):
+    """One (source, target) pair holds a third of all rows: the rules stay
+    exact and none of them plans a window over the text key."""
+    n = 3000
+    data = [("hot", "HOT", i) if i % 3 == 0 else (f"s{i % 700}", f"t{i % 500}", i) for i in range(n)]
+    df = spark.createDataFrame(data, PAIR).repartition(8)
+    f1 = dedup.split_duplicates(df, ["sl", "tl"])
+    hot = f1.where("sl = 'hot'")
+    assert hot.where("NOT is_duplicate").count() == 1 and hot.count() == n // 3
+    assert rows(hot.where("NOT is_duplicate"), "pos") == [(0,)]
+    seen = set()
+    want = []
+    for s, t, _ in data:
+        want.append((s, t) in seen)
+        seen.add((s, t))
+    got = [r[0] for r in f1.orderBy("pos").select("is_duplicate").collect()]
+    assert got == want
+    kept = dedup.keep_first(df, ["sl", "tl"])
+    assert kept.count() == len({(s, t) for s, t, _ in data})
+    for out in (f1, dedup.cross_seen(df, "sl", "tl"), dedup.mark_all_duplicates(df, ["sl", "tl"]), kept):
+        assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
