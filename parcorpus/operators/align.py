@@ -96,7 +96,7 @@ def chapter_facts(wide: DataFrame, versions: Sequence[str]) -> DataFrame:
     majority = F.element_at(a, F.array_position(freqs, F.array_max(freqs)).cast("int"))["n"]
     n_distinct = F.size(F.array_distinct(F.transform(a, lambda x: x["n"])))
     facts = per_ch.select(
-        *CHAPTER_KEY, F.size(a).alias("n_versions"), n_distinct.alias("n_distinct"),
+        *CHAPTER_KEY, F.size(a).cast("long").alias("n_versions"), n_distinct.alias("n_distinct"),
         majority.alias("majority"),
         F.transform(F.array_sort(F.transform(a, lambda x: F.struct(
             x["n"].alias("n"), x["first_verse"].alias("f"), x["ordinal"].alias("o"),
@@ -106,7 +106,7 @@ def chapter_facts(wide: DataFrame, versions: Sequence[str]) -> DataFrame:
     chapters = wide.groupBy(*CHAPTER_KEY).agg(F.count(F.lit(1)).alias("n_rows"))
     return (chapters.join(facts, CHAPTER_KEY, "left")
             .select(*CHAPTER_KEY, "n_rows",
-                    F.coalesce("n_versions", F.lit(0)).alias("n_versions"),
+                    F.coalesce("n_versions", F.lit(0).cast("long")).alias("n_versions"),
                     F.when(F.col("n_distinct").isNull(), F.lit("empty"))
                     .when(F.col("n_distinct") == 1, F.lit("consistent"))
                     .otherwise(F.lit("inconsistent")).alias("status"),

@@ -83,7 +83,7 @@ def make_requests(batches: DataFrame, sl: str = "sl", ol: str = "ol", size: int
         F.array_sort(F.collect_list(F.struct("rn", F.col(sl).alias("sl"), F.col(ol).alias("ol"))))
         .alias("sentences"))
     return req.withColumn("request", T.merge_sentences(F.transform("sentences", lambda x: x["sl"]))) \
-              .withColumn("n_sentences", F.size("sentences"))
+              .withColumn("n_sentences", F.size("sentences").cast("long"))
 
 
 def realign(results: DataFrame, translated: str = "translated") -> DataFrame:
@@ -107,7 +107,7 @@ def realign(results: DataFrame, translated: str = "translated") -> DataFrame:
 
 def _realign_split(results: DataFrame, translated: str) -> DataFrame:
     parts = T.split_translation(F.col(translated), F.col("n_sentences"))
-    filled = F.coalesce(parts, F.array_repeat(F.lit(None).cast("string"), F.col("n_sentences")))
+    filled = F.coalesce(parts, F.array_repeat(F.lit(None).cast("string"), F.col("n_sentences").cast("int")))
     z = F.arrays_zip(F.col("sentences").alias("s"), filled.alias("p"))
     rows = results.select("batch_id", "chunk_id", (parts.isNull()).alias("_bad"),
                           F.explode(z).alias("_z"))

@@ -400,11 +400,14 @@ def _bleu_sql(source_cte: str, by: str, hyp: str, ref: str, rid: str) -> str:
                 f"SELECT {by}, rid, {n} AS n, unnest(list_transform(range(1, len({col}) - {n} + 2), "
                 f"lambda i: array_to_string({col}[i:i + {n - 1}], ' '))) AS g, {hv} AS h, {rv} AS r FROM tok")
     grams_sql = "\n    UNION ALL ".join(grams)
-    totals = ", ".join(f"sum(greatest(len(th) - {n - 1}, 0)) AS total_{n}" for n in range(1, 5))
-    corrects = ", ".join(f"coalesce(sum(m) FILTER (WHERE n = {n}), 0) AS correct_{n}" for n in range(1, 5))
+    totals = ", ".join(f"CAST(sum(greatest(len(th) - {n - 1}, 0)) AS BIGINT) AS total_{n}"
+                       for n in range(1, 5))
+    corrects = ", ".join(f"CAST(coalesce(sum(m) FILTER (WHERE n = {n}), 0) AS BIGINT) AS correct_{n}"
+                         for n in range(1, 5))
     return f"""WITH {source_cte},
 tok AS (SELECT {by}, {rid} AS rid, {_tok13a_sql(hyp)} AS th, {_tok13a_sql(ref)} AS tr FROM src),
-lens AS (SELECT {by}, sum(len(th)) AS sys_len, sum(len(tr)) AS ref_len, {totals} FROM tok GROUP BY {by}),
+lens AS (SELECT {by}, CAST(sum(len(th)) AS BIGINT) AS sys_len, CAST(sum(len(tr)) AS BIGINT) AS ref_len,
+         {totals} FROM tok GROUP BY {by}),
 grams AS ({grams_sql}),
 clipped AS (SELECT {by}, rid, n, g, least(sum(h), sum(r)) AS m FROM grams GROUP BY {by}, rid, n, g),
 corr AS (SELECT {by}, {corrects} FROM clipped GROUP BY {by}),

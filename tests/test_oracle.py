@@ -10,7 +10,7 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
-from check_oracle import TABLES, digest  # noqa: E402
+from check_oracle import TABLES, digest, type_mismatches  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -29,6 +29,7 @@ def test_query_matches_oracle(spark, con, name):
     dcols = [d[0] for d in cur.description]
     drows = cur.fetchall()
     assert sorted(sdf.columns) == sorted(dcols)
+    assert not type_mismatches(sdf, cur.description)
     assert len(srows) == len(drows)
     assert digest(srows, sdf.columns)[0] == digest(drows, dcols)[0]
 
