@@ -14,8 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcorpus.functions import text as T
-from parcorpus.operators.schema import TEXT_SUFFIX, to_long, wide_name
+from parcorpus.operators.schema import to_long, wide_name
 from parcorpus.session import materialize as _materialize
 
 VERSE_KEY = ["book_name", "chapter", "verse"]
@@ -271,6 +270,3 @@ def range_label(df: DataFrame, splits: DataFrame, col: str = "side") -> DataFram
                                     | (F.col("verse") < F.col("split_verse")), F.lit("prefix"))
                         .otherwise(F.lit("suffix"))).drop("split_verse")
 
-
-def long_from_wide_names(names: Sequence[str]) -> list[str]:
-    return [n[:-len(TEXT_SUFFIX)] for n in names if n.endswith(TEXT_SUFFIX)]

@@ -282,9 +282,6 @@ SELECT dataset, src, tgt, pos FROM u
 WHERE NOT {is_blank('src')} AND NOT {is_blank('tgt')}
 QUALIFY row_number() OVER (PARTITION BY dataset, src, tgt ORDER BY pos) = 1"""
 
-_LOG_RE = None  # set below
-
-
 def _log_cte() -> str:
     from parcorpus.sources import readers
     r = _q(readers.LOG_RE)

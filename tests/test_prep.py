@@ -6,7 +6,6 @@ import random
 import re
 from collections import Counter
 
-from pyspark.sql import functions as F
 
 from parcorpus.operators import bleu, prep
 from tests.conftest import rows
