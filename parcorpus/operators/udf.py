@@ -8,7 +8,7 @@ partition by ``setup``).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -18,38 +18,41 @@ from parcorpus.functions import text as T
 from parcorpus.operators import batching
 
 
-def _apply(fn: Callable[[str], object], text: str, attempts: int):
-    """Call ``fn`` with retries. A string result is returned as is, a
-    ``(sources, targets)`` tuple as a list of pairs; ``None`` means not found,
-    and exhausted attempts mean failed (both become status markers)."""
-    for _ in range(max(1, attempts)):
-        try:
-            out = fn(text)
-        except Exception:  # noqa: BLE001 - any failure becomes a status tag
-            continue
-        if out is None:
-            return f"{T.MARKER_NOT_FOUND} - {text}"
-        if isinstance(out, tuple):
-            src, tgt = out
-            return [((a or "").strip(), (b or "").strip()) for a, b in zip(src, tgt)]
-        return out
-    return f"{T.MARKER_FAILED} - {text}"
-
-
 def translate_requests(requests: DataFrame, fn: Callable[[str], object],
                        attempts: int = 3, setup: Callable[[], object] | None = None,
                        col: str = "translated") -> DataFrame:
-    """Apply ``fn`` to every request text; failures become status markers.
-    Adds ``translated`` (string results) and ``pairs`` (tuple results)."""
+    """Apply ``fn`` to every request text with retries. A string answer is kept
+    as is, a ``(sources, targets)`` tuple becomes ``pairs``; ``None`` means not
+    found and exhausted attempts mean failed (both become status markers).
+
+    The function shipped to the Python workers is a closure over plain values
+    only, so executors need nothing but the user's ``fn``.
+    """
+    not_found, failed = T.MARKER_NOT_FOUND, T.MARKER_FAILED
+    tries = max(1, attempts)
     pair_t = ArrayType(StructType([StructField("sl", StringType()), StructField("tl", StringType())]))
     out_schema = StructType(list(requests.schema.fields)
                             + [StructField(col, StringType()), StructField("pairs", pair_t)])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def apply_one(text):
+        for _ in range(tries):
+            try:
+                out = fn(text)
+            except Exception:  # noqa: BLE001 - any failure becomes a status tag
+                continue
+            if out is None:
+                return f"{not_found} - {text}"
+            if isinstance(out, tuple):
+                src, tgt = out
+                return [((a or "").strip(), (b or "").strip()) for a, b in zip(src, tgt)]
+            return out
+        return f"{failed} - {text}"
+
+    def run(batches):
         if setup is not None:
             setup()
         for pdf in batches:
-            res = [_apply(fn, t, attempts) for t in pdf["request"]]
+            res = [apply_one(t) for t in pdf["request"]]
             pdf[col] = [r if isinstance(r, str) else None for r in res]
             pdf["pairs"] = [None if isinstance(r, str) else [{"sl": a, "tl": b} for a, b in r]
                             for r in res]

@@ -368,13 +368,20 @@ def realign(spark, sf_dir):
     return batching.realign(res)
 
 
-def ascii_upper(s: str) -> str:
-    return s.translate(str.maketrans(ASCII_LOWER, ASCII_LOWER.upper()))
+def ascii_upper_fn():
+    """Deterministic stand-in translator (ASCII upper-casing), built as a
+    closure so the Python workers receive it by value."""
+    table = str.maketrans(ASCII_LOWER, ASCII_LOWER.upper())
+
+    def fn(s: str) -> str:
+        return s.translate(table)
+
+    return fn
 
 
 @query
 def translate_batches(spark, sf_dir):
-    return udf.translate_batches(_sentence_pairs(spark, sf_dir), ascii_upper)
+    return udf.translate_batches(_sentence_pairs(spark, sf_dir), ascii_upper_fn())
 
 
 # --------------------------------------------------------------------------
