@@ -16,7 +16,8 @@ def test_is_valid_text(spark):
 
 
 def test_strip_python_whitespace(spark):
-    assert one_col(spark, [" x\t", "  y 　", "​z"], T.strip) == ["x", "y", "​z"]
+    vals = ["\u00a0x\t", " x\t", "  y \u3000", "\u200bz"]
+    assert one_col(spark, vals, T.strip) == ["x", "x", "y", "\u200bz"]
 
 
 def test_whitespace_class_matches_python(spark):
