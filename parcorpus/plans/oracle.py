@@ -435,8 +435,10 @@ ORACLE["corpus_bleu_docs"] = _bleu_sql(DOC_PAIRS + ", src AS (SELECT * FROM doc_
 # --------------------------------------------------------------------------
 # Tasks, batches, requests, translation
 # --------------------------------------------------------------------------
-BOOKS_DIM = """books_dim AS (
-  SELECT n_name AS book, n_nationkey AS book_id, n_nationkey * 7 + 1 AS chapters FROM nation)"""
+BOOKS_DIM = VERSES_LONG + """,
+books_dim AS (
+  SELECT book_name AS book, book_id, CAST(count(DISTINCT chapter) AS INTEGER) AS chapters
+  FROM verses_long GROUP BY book_name, book_id)"""
 
 RANGES = """ranges AS (
   SELECT book_id, CAST(i AS INTEGER) AS range_index,
@@ -451,7 +453,7 @@ ORACLE["chapter_ranges"] = _with(BOOKS_DIM, RANGES) + \
     "SELECT book_id, range_index, start_chapter, end_chapter FROM ranges"
 
 ORACLE["task_table"] = _with(BOOKS_DIM, RANGES) + """, tasks AS (
-  SELECT r.*, v.version FROM ranges r, (SELECT DISTINCT r_name AS version FROM region) v)
+  SELECT r.*, v.version FROM ranges r, (SELECT DISTINCT lang AS version FROM documents) v)
 SELECT row_number() OVER (ORDER BY CAST(('0x' || substr(md5(concat_ws(chr(1), '42', version,
          CAST(book_id AS VARCHAR), CAST(range_index AS VARCHAR))), 1, 15)) AS BIGINT)) AS task_id,
        version, book_id, start_chapter, end_chapter
@@ -599,9 +601,11 @@ ORACLE["query_param_mismatch"] = """SELECT page_id, url_lang, page_lang, url_lan
   SELECT page_id, regexp_extract(url, '^[a-z]+://[^/]+/([a-z][a-z])/', 1) AS url_lang,
          regexp_extract(html, '<html lang="([^"]*)"', 1) AS page_lang FROM pages)"""
 
-ORACLE["chapter_url"] = """SELECT n_nationkey,
-  format('https://www.bible.com/bible/{}/{}.{}.{}', n_regionkey, upper(substr(n_name, 1, 3)),
-         n_nationkey + 1, 'NIV') AS url FROM nation"""
+ORACLE["chapter_url"] = _with(VERSES_LONG) + """SELECT version, book_name, chapter,
+  format('https://www.bible.com/bible/{}/{}.{}.{}',
+         CASE version """ + " ".join(f"WHEN '{v}' THEN {i + 1}" for i, v in enumerate(V.VERSIONS)) + """ END,
+         upper(substr(book_name, 1, 3)), chapter + 1, upper(version)) AS url
+FROM (SELECT DISTINCT version, book_name, chapter FROM verses_long)"""
 
 
 def _translator_url() -> str:

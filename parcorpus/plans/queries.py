@@ -321,9 +321,12 @@ def corpus_bleu_docs(spark, sf_dir):
 # Tasks, batches, requests, translation (T4-T8, J-2, X1)
 # --------------------------------------------------------------------------
 def _books_dim(spark, sf_dir):
-    nation = V.table(spark, sf_dir, "nation")
-    return nation.select(F.col("n_name").alias("book"), F.col("n_nationkey").alias("book_id"),
-                         (F.col("n_nationkey") * 7 + 1).alias("chapters"))
+    """Books = document sources; a book's chapter count = its distinct
+    chapters in the corpus (grows with the documents table)."""
+    long = V.verses_long(spark, sf_dir)
+    return long.groupBy("book_name", "book_id").agg(
+        F.count_distinct("chapter").cast("int").alias("chapters")).select(
+        F.col("book_name").alias("book"), "book_id", "chapters")
 
 
 @query
@@ -335,8 +338,8 @@ def chapter_ranges(spark, sf_dir):
 @query
 def task_table(spark, sf_dir):
     ranges = batching.chapter_ranges(_books_dim(spark, sf_dir), max_chapters=30)
-    versions = V.table(spark, sf_dir, "region")
-    return batching.task_table(ranges, versions, "r_name", ["book_id", "range_index"]).select(
+    versions = V.table(spark, sf_dir, "documents").select("lang")
+    return batching.task_table(ranges, versions, "lang", ["book_id", "range_index"]).select(
         "task_id", "version", "book_id", "start_chapter", "end_chapter")
 
 
@@ -485,11 +488,17 @@ def query_param_mismatch(spark, sf_dir):
 
 @query
 def chapter_url(spark, sf_dir):
-    nation = V.table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey"), F.col("n_regionkey").alias("version_id"),
-        F.upper(F.substring("n_name", 1, 3)).alias("abbr"),
-        (F.col("n_nationkey") + 1).alias("chapter"), F.lit("NIV").alias("suffix"))
-    return schema.with_chapter_url(nation).select("n_nationkey", "url")
+    """P10 per (version, book, chapter) of the corpus: version id = position
+    in the version list, abbreviation = first three letters of the book,
+    chapter numbered from 1, suffix = upper-case version."""
+    vid = F.create_map(*[F.lit(x) for i, v in enumerate(V.VERSIONS) for x in (v, i + 1)])
+    ch = V.verses_long(spark, sf_dir).select("version", "book_name", "chapter").distinct()
+    parts = ch.select("version", "book_name", "chapter",
+                      vid[F.col("version")].alias("version_id"),
+                      F.upper(F.substring("book_name", 1, 3)).alias("abbr"),
+                      (F.col("chapter") + 1).alias("chapter_no"), F.upper("version").alias("suffix"))
+    return schema.with_chapter_url(parts, chapter="chapter_no").select(
+        "version", "book_name", "chapter", "url")
 
 
 @query
