@@ -80,3 +80,19 @@ def test_is_valid_text_matches_python(spark):
         return bool(t) and t.strip() != "" and t.strip() not in string.punctuation
 
     assert _run(spark, vals, T.is_valid_text) == [ok(v) for v in vals]
+
+
+def test_url_params_match_parse_qs(spark):
+    from urllib.parse import parse_qs, urlparse
+    rnd = random.Random(5)
+    keys = ["sl", "tl", "op", "q", "a%20b", "x"]
+    vals = ["fr", "en", "", "a+b", "%C3%A9t%C3%A9", "translate", "1"]
+    urls = []
+    for _ in range(500):
+        pairs = [f"{rnd.choice(keys)}={rnd.choice(vals)}" if rnd.random() < 0.9 else rnd.choice(keys)
+                 for _ in range(rnd.randint(0, 5))]
+        urls.append("https://h.example.com/p?" + "&".join(pairs) if pairs else "https://h.example.com/p")
+    got = _run(spark, urls, T.url_params)
+    want = [parse_qs(urlparse(u).query) if urlparse(u).query else None for u in urls]
+    assert [dict(g) if g is not None else None for g in got] == \
+        [w if w is not None else None for w in want]
