@@ -78,9 +78,22 @@ def strip(c) -> Column:
     return F.btrim(_c(c), F.lit(WS_CHARS))
 
 
+def ws_to_space(c) -> Column:
+    """``re.sub(r"\\s+", " ", s)``: every WS run becomes one space. Done as a
+    per-character ``translate`` to spaces plus a plain space squeeze, which is
+    cheaper than one regex over the whitespace class."""
+    return F.regexp_replace(F.translate(_c(c), WS_CHARS, " " * len(WS_CHARS)), " {2,}", " ")
+
+
+def split_ws(c) -> Column:
+    """``s.split()``: whitespace-separated tokens, empty pieces dropped."""
+    spaced = F.translate(_c(c), WS_CHARS, " " * len(WS_CHARS))
+    return F.filter(F.split(spaced, " "), lambda t: t != "")
+
+
 def collapse_ws(c) -> Column:
     """``" ".join(s.split())``: runs of WS become one space, ends trimmed."""
-    return strip(F.regexp_replace(_c(c), WS_RUN, " "))
+    return strip(ws_to_space(c))
 
 
 def is_blank(c) -> Column:
@@ -97,7 +110,7 @@ def clean_text(c, normalize_quotes: bool = True) -> Column:
     strip; collapse repeated spaces.
     """
     x = _c(c)
-    s = F.regexp_replace(x, WS_RUN, " ")
+    s = ws_to_space(x)
     if normalize_quotes:
         s = F.translate(s, QUOTES, "'" * len(QUOTES))
     s = F.regexp_replace(s, ZERO_WIDTH_RE, "")

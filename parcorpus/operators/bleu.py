@@ -44,8 +44,7 @@ def tokenize_13a(c) -> Column:
     s = F.concat(F.lit(" "), s, F.lit(" "))
     for pat, rep in TOK13A_RULES:
         s = F.regexp_replace(s, pat, rep)
-    s = T.strip(s)
-    return F.filter(F.split(s, T.WS_RUN), lambda t: t != "")
+    return T.split_ws(s)
 
 
 def _ngram_rows(toks: Column) -> Column:

@@ -72,8 +72,7 @@ def preview(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
 
 def tokens(c) -> Column:
     """Whitespace tokens of a text (WS class, empty pieces removed)."""
-    s = T.strip(c if isinstance(c, Column) else F.col(c))
-    return F.filter(F.split(s, T.WS_RUN), lambda x: x != "")
+    return T.split_ws(c if isinstance(c, Column) else F.col(c))
 
 
 def build_vocab(df: DataFrame, cols: Sequence[str], size: int) -> DataFrame:

@@ -96,3 +96,8 @@ def test_url_params_match_parse_qs(spark):
     want = [parse_qs(urlparse(u).query) if urlparse(u).query else None for u in urls]
     assert [dict(g) if g is not None else None for g in got] == \
         [w if w is not None else None for w in want]
+
+
+def test_split_ws_matches_python(spark):
+    vals = _random_strings(6, 2000, 14)
+    assert _run(spark, vals, T.split_ws) == [v.split() for v in vals]
