@@ -726,3 +726,29 @@ SELECT page_id,
   lower(lang) || '_text' AS text_key,
   {strip("split_part(lang || chr(9) || url, chr(9), 1)")} AS tab_first
 FROM q"""
+
+ORACLE["alignment_report_text"] = _with(*ALIGN_FULL, MAJORITY, STATS, SUSPICIOUS) + """,
+sides AS (
+  SELECT w.book_name, w.chapter, count(*) FILTER (WHERE w.verse < s.split_verse) AS n_good,
+         count(*) FILTER (WHERE w.verse >= s.split_verse) AS n_suspect
+  FROM merged w JOIN sv s USING (book_name, chapter) GROUP BY 1, 2),
+ctext AS (
+  SELECT c.book_name, c.chapter,
+         string_agg('''' || c.version || '_text'': ' || CAST(c.n AS VARCHAR), ', '
+                    ORDER BY c.n, c.first_verse, c.ordinal) AS counts_txt,
+         coalesce(string_agg(CASE WHEN c.n <> h.majority THEN c.version END, ', '
+                    ORDER BY c.first_verse, c.ordinal), '') AS outliers_txt
+  FROM counts c JOIN chap h USING (book_name, chapter) WHERE h.n_distinct > 1
+  GROUP BY c.book_name, c.chapter)
+SELECT m.book_name, m.chapter,
+  m.book_name || ' ' || CAST(m.chapter AS VARCHAR) || chr(10)
+  || 'Verse counts per version: {' || t.counts_txt || '}' || chr(10)
+  || 'Majority has ' || CAST(m.majority AS VARCHAR) || ' verses' || chr(10)
+  || 'Outlier versions (wrong count): ' || t.outliers_txt || chr(10)
+  || CASE WHEN s.split_verse IS NULL
+          THEN '  -> No suspicious merge detected - whole chapter to good prefix'
+          ELSE '  -> Split at verse ' || CAST(s.split_verse AS VARCHAR) || ' (good prefix: '
+               || CAST(d.n_good AS VARCHAR) || ', suffix: ' || CAST(d.n_suspect AS VARCHAR)
+               || ', suspects: ' || replace(s.suspects, ',', ', ') || ')' END AS report
+FROM mo m JOIN ctext t USING (book_name, chapter)
+LEFT JOIN sv s USING (book_name, chapter) LEFT JOIN sides d USING (book_name, chapter)"""

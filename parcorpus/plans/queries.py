@@ -630,3 +630,10 @@ def name_parts(spark, sf_dir):
         TX.file_stem("url").alias("stem"),
         TX.version_text_key(lang).alias("text_key"),
         TX.split_tab(F.concat_ws("\t", lang, F.col("url")))["first"].alias("tab_first"))
+
+
+@query
+def alignment_report_text(spark, sf_dir):
+    """B8 as text: one readable block per inconsistent chapter."""
+    rep = align.alignment_report(_wide(spark, sf_dir), V.VERSIONS)
+    return align.report_text(rep)
