@@ -196,8 +196,10 @@ def salvage(wide: DataFrame, versions: Sequence[str], factor: float = LENGTH_FAC
     # chapter-level facts are small: written once, read by both branches
     facts = _materialize(chapter_facts(wide, versions), "chapter_facts")
     status = facts.select(*CHAPTER_KEY, "status")
-    split = suspicious_verses(wide, versions, factor, materialize=False, facts=facts).select(
-        *CHAPTER_KEY, "split_verse")
+    # the split table has one row per inconsistent chapter; written once, its
+    # file size lets the planner broadcast it (or fall back to a shuffle join)
+    split = _materialize(suspicious_verses(wide, versions, factor, materialize=False, facts=facts)
+                         .select(*CHAPTER_KEY, "split_verse"), "split")
     labelled = (wide.join(status, CHAPTER_KEY, "inner")
                 .where(F.col("status") != "empty")
                 .join(split, CHAPTER_KEY, "left"))
@@ -214,7 +216,8 @@ def alignment_report(wide: DataFrame, versions: Sequence[str],
     wide = _reuse(wide, materialize)
     facts = _materialize(chapter_facts(wide, versions), "chapter_facts")
     mo = majority_outliers(wide, versions, facts=facts)
-    sv = suspicious_verses(wide, versions, factor, materialize=False, facts=facts)
+    sv = _materialize(suspicious_verses(wide, versions, factor, materialize=False, facts=facts),
+                      "split")
     sides = (wide.join(sv.select(*CHAPTER_KEY, "split_verse"), CHAPTER_KEY, "inner")
              .groupBy(*CHAPTER_KEY)
              .agg(F.count_if(F.col("verse") < F.col("split_verse")).alias("n_good"),

@@ -597,7 +597,7 @@ def degenerate_translations(spark, sf_dir):
 @query
 def range_label(spark, sf_dir):
     wide = materialize(_wide(spark, sf_dir), "wide")
-    splits = align.suspicious_verses(wide, V.VERSIONS, materialize=False)
+    splits = materialize(align.suspicious_verses(wide, V.VERSIONS, materialize=False), "split")
     return align.range_label(wide, splits).select(*align.VERSE_KEY, "side")
 
 
