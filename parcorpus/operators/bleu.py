@@ -6,11 +6,11 @@ corpus, brevity penalty, exponential smoothing of orders without a match, score
 0 when nothing matches or an order has no n-grams.
 
 Plan: per row the hypothesis and reference are tokenised with regex
-expressions; each side's n-grams are exploded and counted per
-(row, n, gram) -- a partial aggregation, so every row's grams are combined in
-the task that produced them and the shuffle is keyed by the row, never by a
-hot gram alone; clipped matches are summed per (group, n) and the final
-formula is a column expression over one row per group.
+expressions and the rows are shuffled once by row id; each side's n-grams are
+exploded and counted per (row, n, gram) inside the row's partition, so grams
+are never shuffled; clipped matches, lengths and totals are reduced per row
+and then per group, and the final formula is a column expression over one row
+per group.
 """
 
 from __future__ import annotations
@@ -68,34 +68,47 @@ def _ngram_rows(toks: Column) -> Column:
 
 def bleu_stats(df: DataFrame, hyp: str, ref: str, by: list[str] | None = None,
                row_id: str | None = None) -> DataFrame:
-    """Sufficient statistics per group: sys_len, ref_len, correct_n, total_n."""
+    """Sufficient statistics per group: sys_len, ref_len, correct_n, total_n.
+
+    One scan and one shuffle of the tokenised rows (by row id). Every n-gram
+    record also carries its row's token counts, so matches, lengths and totals
+    come out of the same exploded stream: counts per (row, n, gram), then per
+    row, are aggregated in the row's partition, and only one partial row per
+    task and group reaches the final aggregation. A row with no tokens on either
+    side contributes nothing, as in the definition.
+    """
     user_by = list(by or [])
     if not user_by:
         df = df.withColumn("_all", F.lit(0))
     by = user_by or ["_all"]
     rid = F.col(row_id) if row_id else F.monotonically_increasing_id()
-    # one shuffle of the tokenised rows by row id; every later per-row
-    # aggregation (n-gram counts, clipping) then runs in the row's partition
     tok = df.select(*by, rid.alias("_rid"), tokenize_13a(hyp).alias("_h"),
                     tokenize_13a(ref).alias("_r")).repartition("_rid")
-    # totals and lengths need no explode
-    lens = tok.groupBy(*by).agg(
-        F.sum(F.size("_h")).alias("sys_len"), F.sum(F.size("_r")).alias("ref_len"),
-        *[F.sum(F.greatest(F.size("_h") - F.lit(n - 1), F.lit(0))).alias(f"total_{n}")
+    rec = "struct<n:int,g:string,h:int,r:int,lh:int,lr:int>"
+
+    def side(col, h, r):
+        return F.transform(_ngram_rows(F.col(col)), lambda x: F.struct(
+            x["n"].alias("n"), x["g"].alias("g"), F.lit(h).alias("h"), F.lit(r).alias("r"),
+            F.lit(0).alias("lh"), F.lit(0).alias("lr")))
+
+    # one record per row (n = 0) carries the row's token counts; the n-gram
+    # records carry zeros, so plain sums recover the lengths per row
+    lengths = F.array(F.struct(F.lit(0).alias("n"), F.lit("").alias("g"), F.lit(0).alias("h"),
+                               F.lit(0).alias("r"), F.size("_h").alias("lh"),
+                               F.size("_r").alias("lr")).cast(rec))
+    grams = tok.select(*by, "_rid", F.explode(F.concat(lengths, side("_h", 1, 0), side("_r", 0, 1)))
+                       .alias("_x")).select(*by, "_rid", "_x.*")
+    clipped = grams.groupBy(*by, "_rid", "n", "g").agg(
+        F.least(F.sum("h"), F.sum("r")).alias("m"), F.sum("lh").alias("lh"), F.sum("lr").alias("lr"))
+    per_row = clipped.groupBy(*by, "_rid").agg(
+        F.sum("lh").alias("_lh"), F.sum("lr").alias("_lr"),
+        *[F.sum(F.when(F.col("n") == n, F.col("m")).otherwise(F.lit(0))).alias(f"correct_{n}")
           for n in range(1, MAX_ORDER + 1)])
-    sides = tok.select(*by, "_rid", F.explode(F.concat(
-        F.transform(_ngram_rows(F.col("_h")), lambda x: F.struct(x["n"].alias("n"), x["g"].alias("g"),
-                                                                  F.lit(1).alias("h"), F.lit(0).alias("r"))),
-        F.transform(_ngram_rows(F.col("_r")), lambda x: F.struct(x["n"].alias("n"), x["g"].alias("g"),
-                                                                  F.lit(0).alias("h"), F.lit(1).alias("r")))
-    )).alias("_x")).select(*by, "_rid", "_x.*")
-    clipped = (sides.groupBy(*by, "_rid", "n", "g")
-               .agg(F.least(F.sum("h"), F.sum("r")).alias("m")))
-    correct = clipped.groupBy(*by).agg(*[
-        F.sum(F.when(F.col("n") == n, F.col("m")).otherwise(F.lit(0))).alias(f"correct_{n}")
-        for n in range(1, MAX_ORDER + 1)])
-    out = lens.join(correct, by, "left")
-    out = out.fillna(0, subset=[f"correct_{n}" for n in range(1, MAX_ORDER + 1)])
+    out = per_row.groupBy(*by).agg(
+        F.sum("_lh").alias("sys_len"), F.sum("_lr").alias("ref_len"),
+        *[F.sum(F.greatest(F.col("_lh") - F.lit(n - 1), F.lit(0))).alias(f"total_{n}")
+          for n in range(1, MAX_ORDER + 1)],
+        *[F.sum(f"correct_{n}").alias(f"correct_{n}") for n in range(1, MAX_ORDER + 1)])
     return out if user_by else out.drop("_all")
 
 
