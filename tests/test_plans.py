@@ -8,11 +8,11 @@ from tests.conftest import SF_SMALL
 
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
 PY_ALLOWED = {"translate_batches"}
-# windows over small, bounded tables (distinct runs, the ranked top-k vocab,
-# per-bucket offsets of the global numbering) are allowed to use one partition
-SINGLE_OK = {"latest_run", "todo_tasks", "vocab", "encode_fixed", "decode_ids", "failure_report",
-             "exact_split", "task_table", "batches", "requests", "realign", "translate_batches",
-             "preview", "canonical_order", "ingest_partials"}
+# single-partition windows over bounded tables only: the per-partition count
+# table of the global row number (F8: batches, requests, realign, task ids,
+# failure index, exact split) and the distinct run ids
+SINGLE_OK = {"batches", "requests", "realign", "translate_batches", "task_table",
+             "failure_report", "exact_split", "latest_run", "todo_tasks"}
 
 
 def _plan(df):
