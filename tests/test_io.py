@@ -128,3 +128,27 @@ def test_dims_and_log_filter(spark):
     root = _tmp()
     readers.split_log_by_batch(readers.parse_log(lines), root)
     assert sorted(n for n in os.listdir(os.path.join(root, "worker=1"))) == ["batch=1", "batch=10"]
+
+
+def test_render_text_hot_chapter_spans_part_files(spark):
+    n = 3000
+    long = spark.createDataFrame([("en", 1, "B", 1, v, f"t{v}", v) for v in range(1, n + 1)],
+                                 "version string, book_id int, book_name string, chapter int, verse int, "
+                                 "text string, pos long").repartition(5)
+    books = spark.createDataFrame([("Book", 1, 0)], "name string, id int, ordinal int")
+    root = _tmp()
+    # keep the range partitions apart (AQE would merge them at this size)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        sinks.write_text_blocks(report.render_text(long, books), root, report.RENDER_ORDER)
+    finally:
+        spark.conf.set(key, old)
+    vdir = os.path.join(root, "version=en")
+    parts = sorted(f for f in os.listdir(vdir) if f.startswith("part-"))
+    assert len(parts) > 1
+    text = "".join(open(os.path.join(vdir, f)).read() for f in parts)
+    want = ("The Holy Bible - en\n\nBook\n" + "=" * 50 + "\n\nChapter 1\n" + "-" * 20 + "\n"
+            + "".join(f"{v} t{v}\n" for v in range(1, n + 1)) + "\n\n")
+    assert text == want
