@@ -29,24 +29,26 @@ def order_key(c: Column, kind: T.DataType) -> Column:
     """A number that sorts like the column: itself, or a string's first seven bytes."""
     if isinstance(kind, T.NumericType):
         return c.cast("double")
-    first = F.rpad(F.substring(F.encode(c.cast("string"), "utf-8"), 1, 7), 7, F.lit(b"\0"))
-    return F.conv(F.hex(first), 16, 10).cast("double")
+    first = F.rpad(F.hex(F.substring(F.encode(c.cast("string"), "utf-8"), 1, 7)), 14, "0")
+    return F.conv(first, 16, 10).cast("double")
 
 
 def with_cells(df: DataFrame, dims: list[str], bits: int = BITS) -> DataFrame:
     """Add ``_cell_<k>`` per dimension: its equi-depth cell, 0 .. 2**bits - 1.
 
-    The cuts are 2**bits - 1 approximate quantiles per dimension, computed over
-    all rows and handed over as one array each (a scalar subquery)."""
+    The cuts are 2**bits - 1 approximate quantiles per dimension over all rows;
+    the driver gets these few numbers only."""
     kinds = {f.name: f.dataType for f in df.schema}
     shares = [k / (1 << bits) for k in range(1, 1 << bits)]
     keyed = df.select("*", *[order_key(F.col(d), kinds[d]).alias(f"_key_{k}") for k, d in enumerate(dims)])
-    cuts = [keyed.agg(F.percentile_approx(f"_key_{k}", F.lit(shares), F.lit(1000)).alias("q")).scalar()
-            for k in range(len(dims))]
-    cut = keyed.select("*", *[c.alias(f"_cuts_{k}") for k, c in enumerate(cuts)])
-    return cut.select(*df.columns, *[
-        F.coalesce(F.size(F.filter(f"_cuts_{k}", lambda q, k=k: q < F.col(f"_key_{k}"))), F.lit(0)).alias(f"_cell_{k}")
-        for k in range(len(dims))])
+    cuts = keyed.agg(*[F.percentile_approx(f"_key_{k}", F.lit(shares), F.lit(1000)).alias(f"_{k}")
+                       for k in range(len(dims))]).first()
+
+    def cell(k: int) -> Column:
+        steps = sorted(set(cuts[k] or []))
+        return sum([(F.col(f"_key_{k}") > c).cast("int") for c in steps], F.lit(0))
+
+    return keyed.select(*df.columns, *[F.coalesce(cell(k), F.lit(0)).alias(f"_cell_{k}") for k in range(len(dims))])
 
 
 def hilbert_index(cells: list[Column], bits: int = BITS) -> Column:
