@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcorpus.llm import bpe, chat, hilbert, quality, urlfilter
+from parcorpus.llm import bpe, chat, decontam, hilbert, langid, linededup, ngramjoin, pii, quality, urlfilter
 from parcorpus.llm.common import table
 
 QUERIES = {}
@@ -83,3 +83,39 @@ def op9_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     sharded = hilbert.hilbert_shards(meta, ["lang", "source", "size"], ["doc_id", "text_crc32", "size"], SHARDS)
     return sharded.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                           F.lit(None).cast("int").alias("grown_shard"), "hilbert")
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.find_contaminated(docs, table(spark, sf_dir, "benchmark"), ["doc_id"])
+    return found.select("doc_id", "item_id", F.round("coverage", 6).alias("coverage"),
+                        F.size("tiles").cast("long").alias("n_tiles"))
+
+
+#: The query's key. A real run passes its own secret.
+SURROGATE_KEY = b"an example key"
+
+
+@query
+def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace_entities(docs, SURROGATE_KEY)
+
+
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.dedup_lines(docs).select(
+        "doc_id", "n_lines", "n_deleted", F.size("runs").cast("long").alias("n_runs"), "text")
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+    return found.select("page_id", "declared", "lang", F.round("confidence", 6).alias("confidence"), "text_lang")
+
+
+@query
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.similar_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
