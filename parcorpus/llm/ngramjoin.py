@@ -102,6 +102,8 @@ class Shingler:
         import numpy as np
 
         n = len(s)
+        if not n:
+            return np.zeros(0, np.int64)
         level = int(np.searchsorted(self.lows, n, "right")) - 1
         found = []
         for k in (level, level + 1):
