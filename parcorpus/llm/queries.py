@@ -119,3 +119,126 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.similar_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+# --------------------------------------------------------------------------
+# DuckDB twins
+# --------------------------------------------------------------------------
+_WORDS = r"list_filter(string_split_regex({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+_WORDED = r"list_filter(string_split({}, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))"
+
+ORACLE["op1_quality_rules"] = f"""WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, {_WORDS.format('t')} AS w, {_WORDED.format('t')} AS l FROM d),
+g AS (SELECT rid, i, w[i] || chr(10) || w[i + 1] || chr(10) || w[i + 2] AS g
+      FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
+r AS (SELECT rid, i FROM g QUALIFY count(*) OVER (PARTITION BY rid, g) > 1),
+c AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM r) GROUP BY rid),
+m AS (
+  SELECT doc_id, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+    CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words, len(l) AS n_lines
+  FROM w LEFT JOIN c USING (rid)),
+f AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    [n_words < 50, 100 * n_repeat_words > 50 * n_words, 100 * n_symbols > 50 * n_words, 100 * n_dup_lines > 50 * n_lines] AS bad
+  FROM m),
+h AS (
+  SELECT source, k, count(*) AS n, count(*) FILTER (WHERE bad[k]) AS x FROM f, range(1, 5) r(k)
+  WHERE source IS NOT NULL GROUP BY source, k),
+p AS (SELECT k, sum(x) / sum(n) AS m, sum(n * (x / n) * (x / n)) / sum(n) AS m2 FROM h GROUP BY k),
+b AS (
+  SELECT DISTINCT source FROM h JOIN (
+    SELECT k, m, CASE WHEN m2 - m * m > 0 THEN greatest(2.0, least(1000.0, m * (1 - m) / (m2 - m * m) - 1)) ELSE 1000.0 END AS v
+    FROM p) USING (k)
+  WHERE (x + m * v) / (n + v) > 0.5)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT EXISTS (SELECT 1 FROM b WHERE b.source = f.source) AS kept
+FROM f"""
+
+ORACLE["op2_url_filter"] = """WITH u AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+s AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^?#]*[?]([^#]*)', 1) AS query
+  FROM u),
+c AS (
+  SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, ':(80|443)$', '') || regexp_replace(path, '/+$', '') || '?' ||
+      array_to_string(list_sort(list_filter(string_split(query, '&'),
+        lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref|fbclid|gclid)='))), '&') END AS canon,
+    CASE WHEN starts_with(path, '/en/') AND (host = 'www.example.com' OR ends_with(host, '.www.example.com')) THEN 'www.example.com/en/'
+         WHEN starts_with(path, '/en/') AND (host = 'example.com' OR ends_with(host, '.example.com')) THEN 'example.com/en/'
+         WHEN starts_with(path, '/es/') AND (host = 'net' OR ends_with(host, '.net')) THEN 'net/es/'
+         WHEN starts_with(path, '/fr/') AND (host = 'net' OR ends_with(host, '.net')) THEN 'net/fr/'
+         WHEN starts_with(path, '/') AND (host = 'com' OR ends_with(host, '.com')) THEN 'com/' END AS rule
+  FROM s)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+       WHEN EXISTS (SELECT 1 FROM c l WHERE l.canon = c.canon AND regexp_matches(l.host, 'casino|bets|pills|loans')) THEN 'block'
+       ELSE 'allow' END AS verdict
+FROM c"""
+
+ORACLE["op4_chat_format"] = """WITH t AS (
+  SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text) - 1 AS k,
+    replace(coalesce(text, ''), '<|', '< |') || '<|end|>' || chr(10) AS body
+  FROM conversations),
+p AS (SELECT DISTINCT conv_id, role AS perspective FROM conversations WHERE role IS NOT NULL AND role <> 'system'),
+x AS (
+  SELECT conv_id, perspective, k // 128 AS segment, k, coalesce(role = perspective, FALSE) AS own, body,
+    CASE WHEN role = 'system' THEN '<|system|>' || chr(10) WHEN role = perspective THEN '<|assistant|>' || chr(10)
+         ELSE '<|user|>' || chr(10) || coalesce(role, 'unknown') || ': ' END AS head
+  FROM t JOIN p USING (conv_id)),
+y AS (
+  SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, perspective, segment ORDER BY k) AS e
+  FROM x),
+z AS (
+  SELECT conv_id, perspective, segment, count(*) AS n_turns, string_agg(head || body, '' ORDER BY k) AS text,
+    coalesce(string_agg(CASE WHEN own THEN CAST(e - length(body) AS VARCHAR) || '-' || CAST(e AS VARCHAR) END, ',' ORDER BY k), '') AS mask
+  FROM y GROUP BY conv_id, perspective, segment)
+SELECT conv_id, perspective, segment, n_turns, text, mask, CAST(coalesce(sum(length(text)) OVER (
+  PARTITION BY conv_id, perspective ORDER BY segment ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_char
+FROM z"""
+
+ORACLE["op7_line_dedup"] = rf"""WITH raw AS (
+  SELECT doc_id, l[i] AS x, i AS r FROM (
+    SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))),
+s AS (
+  SELECT doc_id, r, x, row_number() OVER (PARTITION BY doc_id ORDER BY r) AS p, lead(x) OVER (PARTITION BY doc_id ORDER BY r) AS y
+  FROM raw WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
+hit AS (
+  SELECT doc_id, p, p + 1 AS q FROM s WHERE y IS NOT NULL QUALIFY row_number() OVER (PARTITION BY x, y ORDER BY doc_id, p) > 1
+  UNION ALL
+  SELECT doc_id, p, p FROM s WHERE len({_WORDS.format('x')}) >= 50 QUALIFY row_number() OVER (PARTITION BY x ORDER BY doc_id, p) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest([p, q]) AS p FROM hit),
+runs AS (
+  SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE first) AS n_runs
+  FROM (SELECT doc_id, coalesce(p > 1 + lag(p) OVER (PARTITION BY doc_id ORDER BY p), TRUE) AS first FROM gone) GROUP BY doc_id),
+marked AS (
+  SELECT raw.doc_id, raw.r, raw.x, s.p, gone.p IS NOT NULL AS dead,
+    max(CASE WHEN s.p IS NOT NULL THEN s.p END) OVER (PARTITION BY raw.doc_id ORDER BY raw.r) AS before
+  FROM raw LEFT JOIN s USING (doc_id, r) LEFT JOIN gone ON gone.doc_id = raw.doc_id AND gone.p = s.p),
+kept AS (
+  SELECT m.doc_id, string_agg(m.x, chr(10) ORDER BY m.r) AS text FROM marked m
+  LEFT JOIN gone a ON m.p IS NULL AND a.doc_id = m.doc_id AND a.p = m.before
+  LEFT JOIN gone b ON m.p IS NULL AND b.doc_id = m.doc_id AND b.p = m.before + 1
+  WHERE NOT m.dead AND (a.p IS NULL OR b.p IS NULL) GROUP BY m.doc_id),
+size AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id)
+SELECT d.doc_id, coalesce(size.n, 0) AS n_lines, coalesce(runs.n, 0) AS n_deleted, coalesce(runs.n_runs, 0) AS n_runs,
+  coalesce(kept.text, '') AS text
+FROM documents d LEFT JOIN size USING (doc_id) LEFT JOIN runs USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+ORACLE["op10_ngram_jaccard"] = f"""WITH RECURSIVE w AS (
+  SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w
+  FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM g a JOIN g b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles,
+  least(d.doc_id, coalesce((SELECT min(b) FROM reach WHERE reach.a = d.doc_id), d.doc_id)) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id)"""
