@@ -7,6 +7,8 @@ reproducible hash order (no single-partition window); a request groups at most
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,15 +37,16 @@ def chapter_ranges(books: DataFrame, chapters: str = "chapters", max_chapters: i
             .drop("_k", "_base", "_rem", "_i"))
 
 
-def with_versions(ranges: DataFrame, versions: DataFrame, version_col: str,
-                  max_versions: int = 10_000) -> DataFrame:
-    """J-2: every version for every book range. The version dimension is
-    gathered into one array value (scalar subquery) whose size is checked
-    against ``max_versions``, then exploded per row: no cartesian join."""
-    arr = versions.agg(F.array_sort(F.collect_set(F.col(version_col))).alias("a")).scalar()
-    checked = F.when(F.size(arr) <= max_versions, arr).otherwise(
-        F.raise_error(F.lit(f"version dimension larger than {max_versions}")))
-    return ranges.withColumn("version", F.explode(checked))
+def with_versions(ranges: DataFrame, versions: DataFrame, version_col: str, buckets: int = 16) -> DataFrame:
+    """J-2: every version for every book range, which is the result asked for.
+
+    The distinct versions are dealt into ``buckets`` and every range is repeated
+    once per bucket, so the product is an equi-join on the bucket: it is spread
+    over the buckets and no side is gathered or broadcast by force."""
+    dim = versions.select(F.col(version_col).alias("version")).distinct().withColumn(
+        "_b", F.pmod(F.xxhash64("version"), F.lit(buckets)).cast("int"))
+    dealt = ranges.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    return dealt.join(dim, "_b").drop("_b")
 
 
 def task_table(ranges: DataFrame, versions: DataFrame, version_col: str, key_cols: list[str],
@@ -51,16 +54,19 @@ def task_table(ranges: DataFrame, versions: DataFrame, version_col: str, key_col
     """T5: versions x book ranges, shuffled reproducibly, numbered from 1."""
     tasks = with_versions(ranges, versions, version_col)
     tasks = tasks.withColumn("_h", dedup.hash_order(["version", *key_cols], seed))
-    return dedup.global_row_number(tasks, "_h", "task_id").drop("_h")
+    return dedup.global_row_number(tasks, ["_h", "version", *key_cols], "task_id").drop("_h")
 
 
-def make_batches(df: DataFrame, order: str = "pos", size: int = BATCH_SIZE, seed: int = 42,
+def make_batches(df: DataFrame, order: str | Sequence[str] = "pos", size: int = BATCH_SIZE, seed: int = 42,
                  shuffle: bool = True) -> DataFrame:
     """Fixed-size batches in shuffled (hash) or input order; ``rn`` is the
-    1-based position, ``batch_id`` starts at 1, the last batch may be short."""
-    keyed = df.withColumn("_h", dedup.hash_order([order], seed)) if shuffle else \
-        df.withColumn("_h", F.col(order))
-    numbered = dedup.global_row_number(keyed, "_h", "rn").drop("_h")
+    1-based position, ``batch_id`` starts at 1, the last batch may be short.
+    ``order``: the column or columns that tell the rows apart."""
+    order = [order] if isinstance(order, str) else list(order)
+    if shuffle:
+        df = df.withColumn("_h", dedup.hash_order(order, seed))
+        order = ["_h", *order]
+    numbered = dedup.global_row_number(df, order, "rn").drop("_h")
     return numbered.withColumn("batch_id", F.ceil(F.col("rn") / F.lit(size)).cast("long"))
 
 
@@ -91,27 +97,25 @@ def realign(results: DataFrame, translated: str = "translated") -> DataFrame:
     source and original by position. sl/ol are whitespace-collapsed, tl cleaned;
     a request whose part count differs yields one ``[ERROR]`` row per sentence.
     Requests answered with (source, target) pairs (a ``pairs`` column) give one
-    row per pair with ``ol`` = the stripped request."""
-    if "pairs" in results.columns:
-        split_part = _realign_split(results.where(F.col("pairs").isNull()), translated)
-        pairs = results.where(F.col("pairs").isNotNull()).select(
-            "batch_id", "chunk_id", T.strip(F.col("request")).alias("_ol"),
-            F.posexplode("pairs").alias("_i", "_p"))
-        first_rn = F.col("_i") + 1
-        tuple_part = pairs.select(
-            "batch_id", "chunk_id", first_rn.cast("long").alias("rn"),
-            F.col("_p.sl").alias("sl"), F.col("_p.tl").alias("tl"), F.col("_ol").alias("ol"))
-        return split_part.unionByName(tuple_part)
-    return _realign_split(results, translated)
-
-
-def _realign_split(results: DataFrame, translated: str) -> DataFrame:
+    row per pair with ``ol`` = the stripped request and ``rn`` counted on from
+    the request's first sentence.
+
+    Both kinds become one array per request and one explode, so the column that
+    the user function filled is evaluated once."""
+    sentences = F.col("sentences")
     parts = T.split_translation(F.col(translated), F.col("n_sentences"))
-    filled = F.coalesce(parts, F.array_repeat(F.lit(None).cast("string"), F.col("n_sentences").cast("int")))
-    z = F.arrays_zip(F.col("sentences").alias("s"), filled.alias("p"))
-    rows = results.select("batch_id", "chunk_id", (parts.isNull()).alias("_bad"),
-                          F.explode(z).alias("_z"))
-    tl = F.when(F.col("_bad"), F.lit(T.MARKER_ERROR)).otherwise(T.clean_text(F.col("_z.p")))
-    return rows.select("batch_id", "chunk_id", F.col("_z.s.rn").alias("rn"),
-                       T.collapse_ws(F.col("_z.s.sl")).alias("sl"), tl.alias("tl"),
-                       T.collapse_ws(F.col("_z.s.ol")).alias("ol"))
+    kind = "array<struct<rn:bigint,sl:string,tl:string,ol:string>>"
+    split = F.transform(sentences, lambda s, i: F.struct(
+        s["rn"].cast("bigint").alias("rn"), T.collapse_ws(s["sl"]).alias("sl"),
+        F.when(F.col("_parts").isNull(), F.lit(T.MARKER_ERROR)).otherwise(
+            T.clean_text(F.get("_parts", i))).alias("tl"),
+        T.collapse_ws(s["ol"]).alias("ol"))).cast(kind)
+    rows = split
+    if "pairs" in results.columns:
+        first = F.get(sentences, F.lit(0))["rn"].cast("bigint")
+        whole = T.strip(F.col("request"))
+        paired = F.transform("pairs", lambda p, i: F.struct(
+            (first + i).alias("rn"), p["sl"].alias("sl"), p["tl"].alias("tl"), whole.alias("ol"))).cast(kind)
+        rows = F.when(F.col("pairs").isNotNull(), paired).otherwise(split)
+    return results.withColumn("_parts", parts).select(
+        "batch_id", "chunk_id", F.explode(rows).alias("_r")).select("batch_id", "chunk_id", "_r.*")

@@ -62,7 +62,7 @@ def translate_requests(requests: DataFrame, fn: Callable[[str], object],
 
 
 def translate_batches(df: DataFrame, fn: Callable[[str], str | None], sl: str = "sl",
-                      ol: str = "ol", order: str = "pos", attempts: int = 3,
+                      ol: str = "ol", order="pos", attempts: int = 3,
                       seed: int = 42) -> DataFrame:
     """T6 batches -> T7 requests -> user function -> T8 realigned rows."""
     batches = batching.make_batches(df, order, seed=seed)

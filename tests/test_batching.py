@@ -83,3 +83,34 @@ def test_translate_batches_tuple_results(spark):
     assert sorted(r[0] for r in got) == sorted(f"s{i}" for i in range(12))
     assert all(tl == sl.upper() for sl, tl, _ in got)
     assert all("<|||>" in ol or ol.startswith("s") for _, _, ol in got)
+
+
+def test_function_runs_once_per_request_and_loses_no_row(spark):
+    df = spark.createDataFrame([(i, f"s{i}", f"o{i}") for i in range(90)], "pos long, sl string, ol string")
+    calls = spark.sparkContext.accumulator(0)
+
+    def fn(text):
+        import random
+        calls.add(1)
+        parts = [p.strip() for p in text.split("<|||>")]
+        return text if random.random() < 0.5 else (parts, parts)
+
+    n = batching.make_requests(batching.make_batches(df)).count()
+    out = udf.translate_batches(df, fn)
+    got = rows(out, "sl", "batch_id", "chunk_id", "rn")
+    assert calls.value == n
+    assert sorted(r[0] for r in got) == sorted(f"s{i}" for i in range(90))
+    assert len({r[1:] for r in got}) == 90
+
+
+def test_versions_are_joined_without_a_limit(spark):
+    ranges = spark.range(3).withColumnRenamed("id", "range_index")
+    versions = spark.range(12_000).selectExpr("cast(id as string) v").union(spark.range(5).selectExpr("cast(id as string) v"))
+    out = batching.with_versions(ranges, versions, "v")
+    assert out.count() == 36_000 and out.distinct().count() == 36_000
+
+
+def test_exact_split_of_equal_rows(spark):
+    df = spark.createDataFrame([(1, "same")] * 500 + [(2, "same")] * 500, "k int, t string").repartition(7)
+    got = sorted(rows(prep.exact_split(df, ["t"]).groupBy("k", "split").count()))
+    assert got == [(1, "test", 200), (1, "train", 300), (2, "train", 500)]
