@@ -66,10 +66,11 @@ def _ngram_rows(toks: Column) -> Column:
     return F.concat(*parts)
 
 
-def bleu_stats(df: DataFrame, hyp: str, ref: str, by: list[str] | None = None,
-               row_id: str | None = None) -> DataFrame:
+def bleu_stats(df: DataFrame, hyp: str, ref: str, by: list[str] | None = None) -> DataFrame:
     """Sufficient statistics per group: sys_len, ref_len, correct_n, total_n.
 
+    Rows get an id made here, so rows that are equal stay apart.
+
     One scan and one shuffle of the tokenised rows (by row id). Every n-gram
     record also carries its row's token counts, so matches, lengths and totals
     come out of the same exploded stream: counts per (row, n, gram), then per
@@ -81,8 +82,7 @@ def bleu_stats(df: DataFrame, hyp: str, ref: str, by: list[str] | None = None,
     if not user_by:
         df = df.withColumn("_all", F.lit(0))
     by = user_by or ["_all"]
-    rid = F.col(row_id) if row_id else F.monotonically_increasing_id()
-    tok = df.select(*by, rid.alias("_rid"), tokenize_13a(hyp).alias("_h"),
+    tok = df.select(*by, F.monotonically_increasing_id().alias("_rid"), tokenize_13a(hyp).alias("_h"),
                     tokenize_13a(ref).alias("_r")).repartition("_rid")
     rec = "struct<n:int,g:string,h:int,r:int,lh:int,lr:int>"
 
@@ -134,8 +134,7 @@ def bleu_score(stats: DataFrame) -> Column:
     return F.when(any_match, bp * F.exp(mean_log)).otherwise(F.lit(0.0))
 
 
-def corpus_bleu(df: DataFrame, hyp: str, ref: str, by: list[str] | None = None,
-                row_id: str | None = None) -> DataFrame:
+def corpus_bleu(df: DataFrame, hyp: str, ref: str, by: list[str] | None = None) -> DataFrame:
     """One row per group with the statistics and ``bleu``."""
-    st = bleu_stats(df, hyp, ref, by, row_id)
+    st = bleu_stats(df, hyp, ref, by)
     return st.withColumn("bleu", bleu_score(st))

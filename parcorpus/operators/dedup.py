@@ -57,7 +57,8 @@ def duplicate_part(labelled: DataFrame, col: str = "is_duplicate") -> DataFrame:
 def keep_first(df: DataFrame, keys: Sequence[str], order: str = "pos",
                strip: bool = False) -> DataFrame:
     """F4/F5 when only the unique half is wanted: one aggregation that keeps the
-    whole first row per key (``min_by`` with partial aggregation, no sort)."""
+    whole first row per key (``min_by``, combined map-side). Its buffer holds a
+    row of any width, so Spark plans it as a sort aggregation."""
     kc = _key_cols(keys, strip)
     names = list(kc)
     cols = df.columns
@@ -124,9 +125,10 @@ def dedup_stats(labelled: DataFrame, col: str = "is_duplicate") -> DataFrame:
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], mtime: str) -> DataFrame:
-    """newest row per key by modification time."""
-    cols = df.columns
-    return df.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.col(mtime)).alias("_r")).select("_r.*")
+    """newest row per key by modification time; of rows with the same time
+    the one whose columns sort last."""
+    row = F.struct(*df.columns)
+    return df.groupBy(*keys).agg(F.max_by(row, F.struct(F.col(mtime), row)).alias("_r")).select("_r.*")
 
 
 def run_rank(runs: DataFrame, run_col: str = "run_id", col: str = "run_rank") -> DataFrame:
@@ -144,9 +146,13 @@ def hash_order(cols: Sequence[str], seed: int = 42) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long")
 
 
-def global_row_number(df: DataFrame, order: str, col: str = "rn") -> DataFrame:
-    """F8: 1-based position over the whole table by ``order`` (unique), without
-    moving all rows to one partition.
+def global_row_number(df: DataFrame, order: str | Sequence[str], col: str = "rn") -> DataFrame:
+    """F8: 1-based position over the whole table by ``order``, without moving
+    all rows to one partition.
+
+    ``order`` names one column or several; where the first can repeat, the
+    others should tell the rows apart, so that ties have a fixed place and
+    spread over tasks.
 
     The table is range-partitioned and sorted by ``order`` (Spark samples the
     key to balance the ranges); inside each sorted partition the position comes
@@ -160,7 +166,7 @@ def global_row_number(df: DataFrame, order: str, col: str = "rn") -> DataFrame:
     """
     from parcorpus.session import materialize
 
-    ordered = df.orderBy(F.col(order))
+    ordered = df.orderBy(*[F.col(c) for c in ([order] if isinstance(order, str) else order)])
     with_id = materialize(
         ordered.withColumn("_mid", F.monotonically_increasing_id())
         .withColumn("_pid", F.shiftright("_mid", 33))

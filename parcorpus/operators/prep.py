@@ -4,8 +4,8 @@ Splits are decided per row from a hash of the row's content, so they need no
 shuffle and stay stable when rows are added; the exact-size split numbers rows
 with the bucketed global row number (no single-partition window). The
 vocabulary is a bounded top-k; encoding explodes at most ``max_len`` tokens per
-row, looks them up with a broadcast hash join (after checking the vocabulary's
-size) and re-collects them in the row's own partition.
+row, looks them up by an equi-join (AQE broadcasts the vocabulary where it has
+measured it small) and gathers them again with the row itself.
 """
 
 from __future__ import annotations
@@ -46,9 +46,10 @@ def exact_split(df: DataFrame, cols: Sequence[str], test_size: float = 0.2, seed
                 col: str = "split", rule: str = "ceil_test") -> DataFrame:
     """L3/L4 exact sizes: rows ordered by their hash; the first ``ceil(0.2 n)``
     are test (``ceil_test``) or the first ``int(0.8 n)`` are train
-    (``floor_train``, the CSV path)."""
+    (``floor_train``, the CSV path). Rows of one hash are ordered by their
+    columns, so copies of a row spread over tasks as far as these differ."""
     keyed = df.withColumn("_h", dedup.hash_order(cols, seed))
-    numbered = dedup.global_row_number(keyed, "_h", "_rn")
+    numbered = dedup.global_row_number(keyed, ["_h", *df.columns], "_rn")
     n = df.agg(F.count(F.lit(1))).scalar()
     if rule == "ceil_test":
         n_test = F.ceil(n * F.lit(test_size)).cast("long")
@@ -87,78 +88,57 @@ def build_vocab(df: DataFrame, cols: Sequence[str], size: int) -> DataFrame:
         Window.orderBy(F.col("count").desc(), F.col("token"))) + FIRST_ID - 1).cast("int"))
 
 
-def static_max_rows(df: DataFrame) -> int | None:
-    """Row bound Catalyst can prove from the plan alone (e.g. a LIMIT), or None."""
-    try:
-        bound = df._jdf.queryExecution().optimizedPlan().maxRows()
-        return int(bound.get()) if bound.isDefined() else None
-    except Exception:  # noqa: BLE001 - no JVM plan handle: fall back to counting
-        return None
-
+def pad(ids: Column, max_len: int) -> Column:
+    return F.concat(ids, F.array_repeat(F.lit(PAD_ID), F.lit(max_len) - F.size(ids)))
 
-def _sized_dim(dim: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast a lookup table only when its size is bounded: by the plan (a
-    top-k vocabulary) or else by counting it; a larger one is joined with a
-    shuffle instead."""
-    bound = static_max_rows(dim)
-    n = bound if bound is not None else dim.count()
-    return F.broadcast(dim) if n <= max_rows else dim
 
+def _looked_up(df: DataFrame, parts: Column, dim: DataFrame, key: str, value: str) -> DataFrame:
+    """``_row`` (the row) and ``_e`` (its looked-up parts) for every row of ``df``.
 
-def pad(ids: Column, max_len: int) -> Column:
-    return F.concat(ids, F.array_repeat(F.lit(PAD_ID), F.lit(max_len) - F.size(ids)))
+    ``parts``: array of (s, p, key). Each row gets an id made here, so rows
+    that are equal stay apart. The row rides on one extra part (s = -1), so the
+    table is read, exploded and gathered once and never joined with itself."""
+    kind = f"array<struct<s:int,p:int,{key}:{dict(dim.dtypes)[key]}>>"
+    head = F.array(F.struct(F.lit(-1).alias("s"), F.lit(-1).alias("p"), F.lit(None).alias(key))).cast(kind)
+    rows = df.select(F.struct(*df.columns).alias("_row"), F.concat(head, parts.cast(kind)).alias("_parts")).withColumn(
+        "_rid", F.monotonically_increasing_id())  # before the explode, so one per row
+    ex = rows.select("_rid", "_row", F.explode("_parts").alias("_x"))
+    ex = ex.select("_rid", F.when(F.col("_x.s") < 0, F.col("_row")).alias("_row"), "_x.*")
+    found = ex.join(dim.select(key, value), key, "left")
+    return found.groupBy("_rid").agg(
+        F.first("_row", ignorenulls=True).alias("_row"),
+        F.array_sort(F.collect_list(F.when(F.col("s") >= 0, F.struct("s", "p", value)))).alias("_e"))
 
 
 def encode_fixed(df: DataFrame, vocab: DataFrame, src: str = "prompt", tgt: str = "target",
-                 max_len: int = 128, key: str | None = None,
-                 max_vocab: int = 1_000_000) -> DataFrame:
+                 max_len: int = 128) -> DataFrame:
     """``input_ids``/``attention_mask`` from ``src`` and ``labels`` from
     ``tgt``, each exactly ``max_len`` long (truncate, pad with 0; unknown
-    tokens -> 2).
-
-    Plan: rows are hash-partitioned once by a row key; the first ``max_len``
-    tokens of each side are exploded, looked up with a broadcast hash join in
-    the vocabulary (bounded by its ``size``, checked against ``max_vocab``),
-    re-collected per row and joined back to the row. The re-collection and
-    the join reuse the row partitioning, so the only shuffle is the first one.
-    """
-    rid = F.col(key) if key else F.monotonically_increasing_id()
-    base = df.withColumn("_rid", rid).repartition("_rid")
-    sides = F.concat(
-        F.transform(F.slice(tokens(src), 1, max_len), lambda t, i: F.struct(
-            F.lit(0).alias("s"), i.alias("p"), t.alias("t"))),
-        F.transform(F.slice(tokens(tgt), 1, max_len), lambda t, i: F.struct(
-            F.lit(1).alias("s"), i.alias("p"), t.alias("t"))))
-    toks = base.select("_rid", F.explode(sides).alias("_x")).select("_rid", "_x.*")
-    v = _sized_dim(vocab.select(F.col("token").alias("t"), F.col("id")), max_vocab)
-    ided = toks.join(v, "t", "left").select(
-        "_rid", "s", "p", F.coalesce("id", F.lit(UNK_ID)).alias("id"))
-    per_row = ided.groupBy("_rid").agg(F.array_sort(F.collect_list(F.struct("s", "p", "id"))).alias("_e"))
-    ids = F.transform(F.filter("_e", lambda x: x["s"] == 0), lambda x: x["id"])
-    lab = F.transform(F.filter("_e", lambda x: x["s"] == 1), lambda x: x["id"])
-    out = base.join(per_row, "_rid", "left").withColumn(
-        "_e", F.coalesce("_e", F.array().cast("array<struct<s:int,p:int,id:int>>")))
-    return (out.withColumn("_ids", ids).withColumn("_lab", lab)
+    tokens -> 2)."""
+    def side(c: str, s: int) -> Column:
+        return F.transform(F.slice(tokens(c), 1, max_len), lambda t, i: F.struct(
+            F.lit(s).alias("s"), i.alias("p"), t.alias("token")))
+
+    # a missing side has no tokens
+    sides = F.concat(*[F.coalesce(side(c, s), F.array().cast("array<struct<s:int,p:int,token:string>>"))
+                       for s, c in enumerate((src, tgt))])
+    rows = _looked_up(df, sides, vocab.select("token", "id"), "token", "id")
+
+    def ids(side: int) -> Column:
+        return F.transform(F.filter("_e", lambda x: x["s"] == side), lambda x: F.coalesce(x["id"], F.lit(UNK_ID)))
+
+    return (rows.select("_row.*", ids(0).alias("_ids"), ids(1).alias("_lab"))
             .withColumn("input_ids", pad(F.col("_ids"), max_len))
             .withColumn("attention_mask", F.concat(
                 F.array_repeat(F.lit(1), F.size("_ids")),
                 F.array_repeat(F.lit(0), F.lit(max_len) - F.size("_ids"))))
             .withColumn("labels", pad(F.col("_lab"), max_len))
-            .drop("_ids", "_lab", "_e", "_rid"))
-
-
-def decode_ids(df: DataFrame, ids: str, vocab: DataFrame, col: str = "decoded",
-               key: str | None = None, max_vocab: int = 1_000_000) -> DataFrame:
-    """Ids -> text joined by spaces, reserved ids (0, 1, 2) skipped; the
-    same plan as :func:`encode_fixed` (one row shuffle, broadcast lookup)."""
-    rid = F.col(key) if key else F.monotonically_increasing_id()
-    base = df.withColumn("_rid", rid).repartition("_rid")
-    ex = base.select("_rid", F.posexplode(F.filter(F.col(ids), lambda i: i >= FIRST_ID))
-                     .alias("p", "id"))
-    v = _sized_dim(vocab.select("id", "token"), max_vocab)
-    per_row = (ex.join(v, "id", "left")
-               .groupBy("_rid").agg(F.array_sort(F.collect_list(F.struct("p", "token"))).alias("_t")))
-    return (base.join(per_row, "_rid", "left")
-            .withColumn(col, F.coalesce(F.array_join(F.transform("_t", lambda x: x["token"]), " "),
-                                        F.lit("")))
-            .drop("_t", "_rid"))
+            .drop("_ids", "_lab"))
+
+
+def decode_ids(df: DataFrame, ids: str, vocab: DataFrame, col: str = "decoded") -> DataFrame:
+    """Ids -> text joined by spaces, reserved ids (0, 1, 2) skipped."""
+    parts = F.transform(F.filter(F.coalesce(F.col(ids), F.array().cast("array<int>")), lambda i: i >= FIRST_ID),
+                        lambda x, i: F.struct(F.lit(0).alias("s"), i.alias("p"), x.alias("id")))
+    rows = _looked_up(df, parts, vocab.select("id", "token"), "id", "token")
+    return rows.select("_row.*", F.array_join(F.transform("_e", lambda x: x["token"]), " ").alias(col))

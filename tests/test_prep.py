@@ -61,7 +61,7 @@ def py_bleu(hyps, refs):
 
 def _spark_bleu(spark, pairs):
     df = spark.createDataFrame([(i, h, r) for i, (h, r) in enumerate(pairs)], "id long, h string, r string")
-    return bleu.corpus_bleu(df, "h", "r", row_id="id").first()["bleu"]
+    return bleu.corpus_bleu(df, "h", "r").first()["bleu"]
 
 
 def test_bleu_fixture_cases(spark):
@@ -81,3 +81,35 @@ def test_bleu_matches_python(spark):
     got = _spark_bleu(spark, pairs)
     want = py_bleu([p[0] for p in pairs], [p[1] for p in pairs])
     assert abs(got - want) < 1e-9
+
+
+def test_equal_rows_stay_apart(spark):
+    df = spark.createDataFrame([(1, "a b", "c")] * 3 + [(1, None, "")], "pos int, prompt string, target string")
+    vocab = prep.build_vocab(df.fillna(""), ["prompt", "target"], 10)
+    enc = prep.encode_fixed(df, vocab, max_len=3)
+    assert sorted(map(str, rows(enc, "pos", "attention_mask"))) == ["(1, [0, 0, 0])"] + ["(1, [1, 1, 0])"] * 3
+    back = sorted(rows(prep.decode_ids(enc, "input_ids", vocab), "decoded"))
+    assert back == [("",), ("a b",), ("a b",), ("a b",)]
+    st = bleu.bleu_stats(spark.createDataFrame([("x y", "x y")] * 2, "h string, r string"), "h", "r").first()
+    assert (st["total_2"], st["total_3"], st["correct_2"]) == (2, 0, 2)
+
+
+def test_places_of_long_conversations_and_documents_do_not_meet(spark):
+    import os
+    import tempfile
+
+    from parcorpus.plans import views as V
+    d = tempfile.mkdtemp(prefix="parcorpus-views-")
+    turns = [(0, t, "user" if t % 2 == 0 else "assistant", f"t{t}") for t in range(1002)] + [(1, 0, "user", "u"), (1, 1, "assistant", "a")]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(os.path.join(d, "conversations.parquet"))
+    docs = [(0, "\n".join(f"l{i}" for i in range(100_001)), "en", "no number"), (1, "x", "fr", "src1"), (2, "y\nz", "en", "src1")]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(os.path.join(d, "documents.parquet"))
+    p = V.pairs(spark, d)
+    assert p.count() == 502 and p.select("pos").distinct().count() == 502
+    for view in (V.verses_long, V.doc_pairs):
+        v = view(spark, d)
+        assert v.count() == 100_004 and v.select("pos").distinct().count() == 100_004
+    ordered = [r["doc_id"] for r in V.doc_pairs(spark, d).orderBy("pos").select("doc_id").collect()]
+    assert ordered == sorted(ordered)
+    assert rows(V.doc_pairs(spark, d).where("doc_id = 2").orderBy("line"), "src", "tgt") == [("y", "z"), ("z", "y")]
+    assert V.books(spark, d).select("id").distinct().count() == 2
