@@ -16,8 +16,12 @@ from parcorpus.functions import text as T
 TAG_RE = r"<[^>]*>"
 # Basic HTML entities decoded in container text (fixed values).
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
-# Table row items: <li><a href="A">B</a></li> -> (A, B).
-ITEM_RE = r'<li><a href="([^"]*)">(.*?)</a></li>'
+# Class names of the chapter page and its parts (fixed values).
+VERSE_CLASS = "ChapterContent_verse"
+LABEL_CLASS = "ChapterContent_label"
+CONTENT_CLASS = "ChapterContent_content"
+NOTE_CLASS = "ChapterContent_note"
+NOT_FOUND_CLASS = "ChapterContent_not-avaliable-span"
 
 
 def html_text(c: Column) -> Column:
@@ -28,19 +32,32 @@ def html_text(c: Column) -> Column:
     return T.strip(s)
 
 
-def paragraph_containers(html: str = "html", unlabelled_every: int = 3) -> Column:
-    """ARRAY<STRUCT<label INT, text STRING, note BOOLEAN>> of the page's ``<p>``
-    containers in document order. A container runs to its ``</p>`` or to the
-    next ``<p>``. Every ``unlabelled_every``-th container (index mod n = n-1)
-    carries no verse label; the others carry index + 1."""
-    pieces = F.split(F.col(html), "<p>")
+def _opening(cls: str) -> str:
+    """Pattern of a start tag one of whose classes begins with ``cls``."""
+    return f'<[a-zA-Z][a-zA-Z0-9]*[^>]*class="[^"]*{cls}[^"]*"[^>]*>'
+
+
+def verse_containers(html: str = "html", verse: str = VERSE_CLASS, label: str = LABEL_CLASS,
+                     content: str = CONTENT_CLASS, note: str = NOTE_CLASS) -> Column:
+    """ARRAY<STRUCT<label INT, text STRING, note BOOLEAN>> of a chapter page's
+    verse containers in document order. A container runs to the next one. Its
+    label is the first label element, if that holds digits only (C11); its text
+    is that of its content elements, stripped and joined by a space; ``note``
+    tells whether it has a note element. Parts are ``<span>`` elements and run
+    to their end tag."""
+    # split() drops the start tags, which carry nothing further
+    pieces = F.split(F.col(html), _opening(verse))
     pieces = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
 
-    def one(p, i):
-        label = F.when(i % unlabelled_every != unlabelled_every - 1, i + 1)
-        return F.struct(label.cast("int").alias("label"),
-                        html_text(F.substring_index(p, "</p>", 1)).alias("text"),
-                        F.lit(False).alias("note"))
+    def one(p):
+        first = html_text(F.substring_index(F.get(F.split(p, _opening(label), 2), F.lit(1)), "</span>", 1))
+        parts = F.split(p, _opening(content))
+        texts = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))),
+                            lambda x: html_text(F.substring_index(x, "</span>", 1)))
+        return F.struct(
+            F.when(T.is_verse_label(first), first.try_cast("int")).alias("label"),
+            F.array_join(F.filter(texts, lambda x: x != ""), " ").alias("text"),
+            p.rlike(_opening(note)).alias("note"))
 
     return F.transform(pieces, one)
 
@@ -69,45 +86,44 @@ def fold_verses(containers: Column) -> Column:
     return F.aggregate(containers, empty, step)
 
 
-def page_status(html: str = "html", marker: str = '<html lang="fr"') -> Column:
-    """``not_found`` when the page holds the not-available marker."""
-    return F.when(F.col(html).contains(marker), F.lit("not_found")).otherwise(F.lit("ok"))
+def page_status(html: str = "html", marker: str = NOT_FOUND_CLASS) -> Column:
+    """``not_found`` when the page holds the not-available element."""
+    return F.when(F.col(html).rlike(_opening(marker)), F.lit("not_found")).otherwise(F.lit("ok"))
 
 
 def extract_verses(pages: DataFrame, key: str = "page_id", html: str = "html",
-                   marker: str = '<html lang="fr"') -> DataFrame:
+                   marker: str = NOT_FOUND_CLASS) -> DataFrame:
     """T1 + T3: one row per verse (key, verse, text) of every available page."""
     ok = pages.where(page_status(html, marker) == "ok")
-    verses = ok.select(key, fold_verses(paragraph_containers(html)).alias("_v"))
+    verses = ok.select(key, verse_containers(html).alias("_c")).select(key, fold_verses(F.col("_c")).alias("_v"))
     return verses.select(key, F.posexplode("_v").alias("_i", "text")).select(
         key, (F.col("_i") + 1).cast("int").alias("verse"), "text")
 
 
+# A table row of class even or odd, up to its end tag.
+ROW_RE = r'(?s)<tr[^>]*class="(?:even|odd)"[^>]*>.*?</tr>'
+CELL_RE = r"(?s)</t[dh]>\s*<t[dh][^>]*>"
+
+
 def extract_table_pairs(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """T2 + U4: ``(A, B)`` text pairs of the page's item rows, ``even`` rows
-    (0, 2, ...) before ``odd`` ones (``out_pos``); quotes made single and both
-    sides stripped. A page without items gives one ``not_found`` row."""
-    a = F.regexp_extract_all(F.col(html), F.lit(ITEM_RE), 1)
-    b = F.regexp_extract_all(F.col(html), F.lit(ITEM_RE), 2)
-    z = F.arrays_zip(a.alias("a"), b.alias("b"))
-    base = pages.select(key, z.alias("_z"))
-    found = base.where(F.size("_z") > 0).select(key, F.size("_z").alias("_n"),
-                                                F.posexplode("_z").alias("idx", "_p"))
-    n_even = ((F.col("_n") + 1) / 2).cast("int")
-    out_pos = F.when(F.col("idx") % 2 == 0, (F.col("idx") / 2).cast("int")) \
-        .otherwise(n_even + ((F.col("idx") - 1) / 2).cast("int"))
-    rows = found.select(
-        key, F.col("idx").cast("int").alias("idx"),
-        F.when(F.col("idx") % 2 == 0, F.lit("even")).otherwise(F.lit("odd")).alias("cls"),
-        out_pos.cast("int").alias("out_pos"),
-        T.strip(T.quotes_to_single(F.col("_p.a"))).alias("en"),
-        T.strip(T.quotes_to_single(F.col("_p.b"))).alias("kw"),
-        F.lit("ok").alias("status"))
-    missing = base.where(F.size("_z") == 0).select(
-        key, F.lit(None).cast("int").alias("idx"), F.lit(None).cast("string").alias("cls"),
-        F.lit(None).cast("int").alias("out_pos"), F.lit(None).cast("string").alias("en"),
-        F.lit(None).cast("string").alias("kw"), F.lit("not_found").alias("status"))
-    return rows.unionByName(missing)
+    """T2 + U4: text pairs of the ``<tr>`` rows of class ``even`` and ``odd``.
+    A row's cells are its text split on TAB (S12), quotes made single first,
+    both sides stripped. ``out_pos`` numbers the even rows, then the odd ones.
+    A row without a second cell has NULL sides and status ``no_pair``; a page
+    without rows gives one ``not_found`` row."""
+    found = pages.select(key, F.transform(
+        F.regexp_extract_all(F.col(html), F.lit(ROW_RE), 0), lambda r, i: F.struct(
+            i.alias("idx"), F.when(r.rlike('^<tr[^>]*class="even"'), F.lit("even")).otherwise(F.lit("odd")).alias("cls"),
+            r.alias("row"))).alias("_r"))
+    rows = found.select(key, F.posexplode_outer(F.concat(
+        F.filter("_r", lambda r: r["cls"] == "even"), F.filter("_r", lambda r: r["cls"] == "odd"))).alias("out_pos", "_p"))
+    text = html_text(F.regexp_replace("_p.row", CELL_RE, "\t"))
+    cells = rows.select(key, "out_pos", "_p", T.split_tab(T.quotes_to_single(text)).alias("_s"))
+    return cells.select(
+        key, F.col("_p.idx").cast("int").alias("idx"), F.col("_p.cls").alias("cls"),
+        F.col("out_pos").cast("int").alias("out_pos"), F.col("_s.first").alias("en"), F.col("_s.second").alias("kw"),
+        F.when(F.col("_p").isNull(), F.lit("not_found")).when(F.col("_s.second").isNull(), F.lit("no_pair"))
+        .otherwise(F.lit("ok")).alias("status"))
 
 
 def curate_segments(df: DataFrame, seg: str, excluded: DataFrame, excl_col: str = "text",
@@ -122,11 +138,14 @@ def curate_segments(df: DataFrame, seg: str, excluded: DataFrame, excl_col: str
 def curate_tmx_blocks(blocks: DataFrame, excluded: DataFrame, block: str = "block",
                       lang: str = "br", excl_col: str = "text", col: str = "label") -> DataFrame:
     """T11 on raw ``<tu>`` blocks: the ``lang`` segment decides; blocks without
-    that segment are curated; excluded segments are dropped."""
+    that segment are curated; excluded segments are dropped. A piece that is no
+    block (the file's header before the first, its footer after the last) goes
+    to both outputs, so that each of them is a whole file."""
     seg = T.tmx_segment(F.col(block), lang)
     with_seg = blocks.withColumn("_seg", seg)
     ex = excluded.select(F.col(excl_col).alias("_seg")).distinct()
     kept = with_seg.join(ex, "_seg", "left_anti")
-    lab = F.when(F.col("_seg").isNotNull() & T.has_invalid_characters(F.col("_seg")),
-                 F.lit("corrupted")).otherwise(F.lit("curated"))
-    return kept.withColumn(col, lab).drop("_seg")
+    lab = F.when(~F.col(block).contains("<tu"), F.array(F.lit("curated"), F.lit("corrupted"))).when(
+        F.col("_seg").isNotNull() & T.has_invalid_characters(F.col("_seg")),
+        F.array(F.lit("corrupted"))).otherwise(F.array(F.lit("curated")))
+    return kept.withColumn(col, F.explode(lab)).drop("_seg")

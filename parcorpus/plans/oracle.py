@@ -1,27 +1,41 @@
 """DuckDB SQL twins of the registered queries (the correctness oracle).
 
-The same regular-expression constants as ``functions/text.py`` are spliced in,
-so both engines apply identical text rules.
+The rules are stated here once more, in SQL and with values of their own, so
+that a rule that goes wrong in the library does not match its twin.
 """
 
 from __future__ import annotations
 
-from parcorpus.functions import text as T
-from parcorpus.plans import views as V
-
 ORACLE: dict[str, str] = {}
 
+# Fixed values of the text rules, as code points for RE2.
+WS = r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+WS_RUN = WS + "+"
+STRIP_RE = f"^{WS_RUN}|{WS_RUN}$"
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+QUOTES = "\"\u201c\u201d\u2018\u2019"
+ZERO_WIDTH_RE = r"[\x{200b}\x{200c}\x{200d}\x{feff}]"
+INVALID_CHARS_RE = r"[\x{c6}\x{b1}\x{0}-\x{8}\x{b}\x{c}\x{e}-\x{1f}\x{7f}]"
+UNSAFE_NAME_RE = r"[^0-9A-Za-z._\-]"
+EXTENSION_RE = r"(?s)^(?:.*/)?\.*[^./][^/]*(\.[^./]*)$"
+STATUS_RE = r"(?s)^\[(ERROR|TRANSLATION FAILED|NOT FOUND|TRANSLATION BACK FROM ([^\]]*))\](?: - | )?(.*)$"
+LOG_RE = r"^(\S+ \S+) \[([A-Z]+)\] (?:Worker ([0-9]+) \| Batch ([0-9]+)/([0-9]+) \| )?(.*)$"
+VERSIONS = ("en", "fr", "de", "es")
+LANGUAGES = {"en": "English", "fr": "French", "de": "German", "es": "Spanish"}
+HOSTS = ("https://translate.google.com", "https://translate.google.ca", "https://translate.google.co.uk")
+LINES_PER_BATCH, WORKERS, LENGTH_FACTOR = 30, 14, 1.37
+
 
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, {_q(T.STRIP_RE)}, '', 'g')"
+    return f"regexp_replace({x}, {_q(STRIP_RE)}, '', 'g')"
 
 
 def collapse(x: str) -> str:
-    return strip(f"regexp_replace({x}, {_q(T.WS_RUN)}, ' ', 'g')")
+    return strip(f"regexp_replace({x}, {_q(WS_RUN)}, ' ', 'g')")
 
 
 def is_blank(x: str) -> str:
@@ -29,9 +43,9 @@ def is_blank(x: str) -> str:
 
 
 def clean_text(x: str) -> str:
-    s = f"regexp_replace({x}, {_q(T.WS_RUN)}, ' ', 'g')"
-    s = f"translate({s}, {_q(T.QUOTES)}, {_q(chr(39) * len(T.QUOTES))})"
-    s = f"regexp_replace({s}, {_q(T.ZERO_WIDTH_RE)}, '', 'g')"
+    s = f"regexp_replace({x}, {_q(WS_RUN)}, ' ', 'g')"
+    s = f"translate({s}, {_q(QUOTES)}, {_q(chr(39) * len(QUOTES))})"
+    s = f"regexp_replace({s}, {_q(ZERO_WIDTH_RE)}, '', 'g')"
     inner = strip(f"substr({s}, 2, length({s}) - 2)")
     s = f"(CASE WHEN starts_with({s}, '[') AND ends_with({s}, ']') THEN {inner} ELSE {s} END)"
     s = f"regexp_replace({strip(s)}, ' +', ' ', 'g')"
@@ -40,14 +54,14 @@ def clean_text(x: str) -> str:
 
 def is_valid_text(x: str) -> str:
     s = strip(x)
-    return f"coalesce({s} <> '' AND NOT contains({_q(T.PUNCTUATION)}, {s}), FALSE)"
+    return f"coalesce({s} <> '' AND NOT contains({_q(PUNCTUATION)}, {s}), FALSE)"
 
 
+BOOK_ID = "CAST(('0x' || substr(md5(source), 1, 15)) AS BIGINT)"
 VERSES_LONG = f"""verses_long AS (
   SELECT version, book_id, book_name, chapter, CAST(i AS INTEGER) AS verse, parts[i] AS text,
-         doc_id * 100000 + i AS pos
-  FROM (SELECT lang AS version, CAST(regexp_extract(source, '[0-9]+', 0) AS INTEGER) AS book_id,
-               source AS book_name, CAST(doc_id // 100 AS INTEGER) AS chapter, doc_id,
+         doc_id, (doc_id, i) AS pos
+  FROM (SELECT lang AS version, {BOOK_ID} AS book_id, source AS book_name, CAST(doc_id // 100 AS INTEGER) AS chapter, doc_id,
                string_split(text, chr(10)) AS parts,
                unnest(generate_series(1, len(string_split(text, chr(10))))) AS i
         FROM documents))"""
@@ -56,7 +70,7 @@ VERSES_LONG = f"""verses_long AS (
 def _merged_cte() -> str:
     cols = ",\n    ".join(
         f"coalesce(arg_max(text, pos) FILTER (WHERE version = '{v}' AND text <> ''), '') AS {v}_text"
-        for v in V.VERSIONS)
+        for v in VERSIONS)
     return f"""merged AS (
   SELECT book_name, arg_min(book_id, pos) AS book_id, chapter, verse,
     {cols}
@@ -66,7 +80,7 @@ def _merged_cte() -> str:
 def _present_cte() -> str:
     parts = "\n    UNION ALL ".join(
         f"SELECT book_name, chapter, verse, '{v}' AS version, {strip(v + '_text')} AS text, "
-        f"{i} AS ordinal FROM merged" for i, v in enumerate(V.VERSIONS))
+        f"{i} AS ordinal FROM merged" for i, v in enumerate(VERSIONS))
     return f"""present AS (
   SELECT * FROM ({parts}) WHERE text <> '')"""
 
@@ -77,11 +91,11 @@ COUNTS = """counts AS (
   FROM present GROUP BY book_name, chapter, version)"""
 
 MAJORITY = """freq AS (
-  SELECT book_name, chapter, n, count(*) AS freq, min(first_verse * 100 + ordinal) AS first_key
+  SELECT book_name, chapter, n, count(*) AS freq, min((first_verse, ordinal)) AS first_key
   FROM counts GROUP BY book_name, chapter, n),
 chap AS (
   SELECT book_name, chapter, count(*) AS n_distinct,
-         arg_max(n, freq * 1000000000 - first_key) AS majority
+         first(n ORDER BY freq DESC, first_key) AS majority
   FROM freq GROUP BY book_name, chapter),
 mo AS (
   SELECT c.book_name, c.chapter, any_value(h.majority) AS majority,
@@ -103,12 +117,12 @@ cand AS (
   SELECT p.book_name, p.chapter, p.verse, p.version, p.ordinal
   FROM plen p JOIN stats s USING (book_name, chapter, verse)
        JOIN mo m USING (book_name, chapter)
-  WHERE list_contains(m.outlier_list, p.version) AND p.len > s.mean_len * {float(1.37)}::DOUBLE),
+  WHERE list_contains(m.outlier_list, p.version) AND p.len > s.mean_len * {LENGTH_FACTOR}::DOUBLE),
 split AS (SELECT book_name, chapter, min(verse) AS split_verse FROM cand GROUP BY book_name, chapter),
 sv AS (
   SELECT p.book_name, p.chapter, any_value(sp.split_verse) AS split_verse,
     coalesce(string_agg(CASE WHEN list_contains(m.outlier_list, p.version)
-                              AND p.len > s.mean_len * {float(1.37)}::DOUBLE THEN p.version END, ','
+                              AND p.len > s.mean_len * {LENGTH_FACTOR}::DOUBLE THEN p.version END, ','
                         ORDER BY p.ordinal), '') AS suspects,
     string_agg(p.version || ':' || CAST(p.len AS VARCHAR), ',' ORDER BY p.ordinal) AS lengths
   FROM plen p JOIN split sp ON p.book_name = sp.book_name AND p.chapter = sp.chapter
@@ -140,7 +154,7 @@ ORACLE["merge_versions"] = _with(*ALIGN_BASE) + "SELECT * FROM merged"
 ORACLE["merge_stats"] = _with(*ALIGN_BASE) + f"""SELECT
   (SELECT count(*) FROM verses_long) AS total_entries,
   count(*) AS unique_verses, count(*) AS merged_rows,
-  count(*) FILTER (WHERE {' OR '.join(f"{v}_text = ''" for v in V.VERSIONS)}) AS incomplete_rows
+  count(*) FILTER (WHERE {' OR '.join(f"{v}_text = ''" for v in VERSIONS)}) AS incomplete_rows
 FROM merged"""
 
 ORACLE["verse_counts"] = _with(*ALIGN_FULL) + "SELECT book_name, chapter, version, n FROM counts"
@@ -172,10 +186,11 @@ SELECT m.book_name, m.chapter, m.majority, s.split_verse, d.n_good, d.n_suspect,
        m.counts, m.outliers, s.suspects
 FROM mo m LEFT JOIN sv s USING (book_name, chapter) LEFT JOIN sides d USING (book_name, chapter)"""
 
-ORACLE["canonical_order"] = _with(*ALIGN_BASE) + """, books AS (
-  SELECT DISTINCT source AS name, CAST(regexp_extract(source, '[0-9]+', 0) AS INTEGER) AS id
-  FROM documents)
-SELECT coalesce(b.id, -1) AS book_ord, m.book_name, m.chapter, m.verse, m.en_text
+BOOKS = f"""books AS (SELECT DISTINCT source AS name, {BOOK_ID} AS id,
+  coalesce(TRY_CAST(regexp_extract(source, '[0-9]+', 0) AS INTEGER), 2147483647) AS ordinal FROM documents)"""
+
+ORACLE["canonical_order"] = _with(*ALIGN_BASE) + """, """ + BOOKS + """
+SELECT coalesce(b.ordinal, -1) AS book_ord, m.book_name, m.chapter, m.verse, m.en_text
 FROM merged m LEFT JOIN books b ON m.book_id = b.id
 ORDER BY book_ord, chapter, verse"""
 
@@ -184,21 +199,21 @@ ORDER BY book_ord, chapter, verse"""
 # De-duplication / translations / logs
 # --------------------------------------------------------------------------
 DOC_PAIRS = """doc_pairs AS (
-  SELECT doc_id, lang, split_part(text, chr(10), 1) AS src,
-         string_split(text, chr(10))[-1] AS tgt, doc_id AS pos
-  FROM documents)"""
+  SELECT doc_id, CAST(i - 1 AS INTEGER) AS line, lang, l[i] AS src, l[1 + i % len(l)] AS tgt, (doc_id, i) AS pos
+  FROM (SELECT *, unnest(generate_series(1, len(l))) AS i
+        FROM (SELECT doc_id, lang, string_split(text, chr(10)) AS l FROM documents)))"""
 
 TRANSLATIONS = DOC_PAIRS + """,
 translations AS (
-  SELECT doc_id, src AS sl,
-         CASE doc_id % 10 WHEN 0 THEN '[ERROR]' WHEN 1 THEN src
+  SELECT doc_id, line, src AS sl,
+         CASE (doc_id + line) % 10 WHEN 0 THEN '[ERROR]' WHEN 1 THEN src
               WHEN 2 THEN '[TRANSLATION FAILED] - ' || src
               WHEN 3 THEN '[TRANSLATION BACK FROM en] - ' || src ELSE tgt END AS tl,
          tgt AS ol, pos
   FROM doc_pairs)"""
 
 PAIRS = """pairs AS (
-  SELECT u.conv_id, u.turn, u.text AS en, a.text AS target, u.conv_id * 1000 + u.turn AS pos
+  SELECT u.conv_id, u.turn, u.text AS en, a.text AS target, (u.conv_id, u.turn) AS pos
   FROM conversations u JOIN conversations a
     ON u.conv_id = a.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
   WHERE u.role = 'user')"""
@@ -218,17 +233,17 @@ def _first_label(table: str, a: str, b: str, order: str = "pos", do_strip: bool
 
 
 ORACLE["split_duplicates"] = _with(DOC_PAIRS) + \
-    f"SELECT doc_id, is_duplicate FROM ({_first_label('doc_pairs', 'src', 'tgt')})"
+    f"SELECT doc_id, line, is_duplicate FROM ({_first_label('doc_pairs', 'src', 'tgt')})"
 
-ORACLE["cross_seen_duplicates"] = _with(DOC_PAIRS) + f"""SELECT doc_id,
+ORACLE["cross_seen_duplicates"] = _with(DOC_PAIRS) + f"""SELECT doc_id, line,
   pos > min(pos) OVER (PARTITION BY {strip("coalesce(src, '')")})
   AND pos > min(pos) OVER (PARTITION BY {strip("coalesce(tgt, '')")}) AS is_duplicate
 FROM doc_pairs"""
 
-ORACLE["mark_all_duplicates"] = _with(DOC_PAIRS) + """SELECT doc_id,
+ORACLE["mark_all_duplicates"] = _with(DOC_PAIRS) + """SELECT doc_id, line,
   count(*) OVER (PARTITION BY src, tgt) > 1 AS is_duplicate FROM doc_pairs"""
 
-ORACLE["keep_first"] = _with(DOC_PAIRS) + """SELECT doc_id, src, tgt FROM doc_pairs
+ORACLE["keep_first"] = _with(DOC_PAIRS) + """SELECT doc_id, line, src, tgt FROM doc_pairs
 QUALIFY row_number() OVER (PARTITION BY coalesce(src, ''), coalesce(tgt, '') ORDER BY pos) = 1"""
 
 ORACLE["dedup_stats"] = _with(DOC_PAIRS) + f"""SELECT count(*) AS total,
@@ -236,13 +251,13 @@ ORACLE["dedup_stats"] = _with(DOC_PAIRS) + f"""SELECT count(*) AS total,
   count(*) FILTER (WHERE is_duplicate) AS duplicates
 FROM ({_first_label('doc_pairs', 'src', 'tgt')})"""
 
-ORACLE["clean_corpus"] = _with(TRANSLATIONS, CLEAN) + "SELECT doc_id, sl, tl, ol FROM cleaned"
+ORACLE["clean_corpus"] = _with(TRANSLATIONS, CLEAN) + "SELECT doc_id, line, sl, tl, ol FROM cleaned"
 
 ORACLE["drop_untranslated"] = _with(TRANSLATIONS) + \
-    "SELECT doc_id, sl, tl FROM translations WHERE tl IS DISTINCT FROM sl"
+    "SELECT doc_id, line, sl, tl FROM translations WHERE tl IS DISTINCT FROM sl"
 
-_STATUS_RE = _q(T.STATUS_RE)
-ORACLE["translation_status"] = _with(TRANSLATIONS) + f"""SELECT doc_id, status,
+_STATUS_RE = _q(STATUS_RE)
+ORACLE["translation_status"] = _with(TRANSLATIONS) + f"""SELECT doc_id, line, status,
   CASE WHEN status = 'back' THEN regexp_extract(tl, {_STATUS_RE}, 2) END AS lang,
   CASE WHEN status = 'ok' THEN tl WHEN status IN ('error', 'missing') THEN NULL
        ELSE regexp_extract(tl, {_STATUS_RE}, 3) END AS payload
@@ -265,31 +280,30 @@ ORACLE["failure_report"] = _with(TRANSLATIONS) + """SELECT idx, printf('#%04d',
 FROM (SELECT *, row_number() OVER (ORDER BY pos) AS idx FROM translations)
 WHERE coalesce(starts_with(tl, '['), FALSE)"""
 
-ORACLE["minus_existing"] = _with(TRANSLATIONS, CLEAN) + """SELECT doc_id, src AS sl, tgt AS ol
-FROM doc_pairs d WHERE NOT EXISTS (SELECT 1 FROM cleaned c WHERE c.sl = d.src AND c.ol = d.tgt)"""
+ORACLE["minus_existing"] = _with(TRANSLATIONS, CLEAN) + """SELECT doc_id, line, src AS sl, tgt AS ol
+FROM doc_pairs d WHERE NOT EXISTS (SELECT 1 FROM cleaned c
+  WHERE c.sl IS NOT DISTINCT FROM d.src AND c.ol IS NOT DISTINCT FROM d.tgt)"""
 
 ORACLE["append_corpus"] = _with(TRANSLATIONS, CLEAN) + f""", u AS (
-  SELECT doc_id, 0 AS gen, src AS sl, tgt AS tl, pos FROM doc_pairs
-  UNION ALL SELECT doc_id, 1 AS gen, sl, tl, pos FROM cleaned)
-SELECT doc_id, gen, sl, tl,
+  SELECT doc_id, line, 0 AS gen, src AS sl, tgt AS tl, pos FROM doc_pairs
+  UNION ALL SELECT doc_id, line, 1 AS gen, sl, tl, pos FROM cleaned)
+SELECT doc_id, line, gen, sl, tl,
   (gen, pos) > min((gen, pos)) OVER (PARTITION BY {strip("coalesce(sl, '')")}, {strip("coalesce(tl, '')")}) AS is_duplicate
 FROM u"""
 
 ORACLE["read_many"] = _with(DOC_PAIRS, PAIRS) + f""", u AS (
-  SELECT 0 AS dataset, src, tgt, pos FROM doc_pairs
-  UNION ALL SELECT 1 AS dataset, en AS src, target AS tgt, pos FROM pairs)
-SELECT dataset, src, tgt, pos FROM u
-WHERE NOT {is_blank('src')} AND NOT {is_blank('tgt')}
-QUALIFY row_number() OVER (PARTITION BY dataset, src, tgt ORDER BY pos) = 1"""
+  SELECT 0 AS dataset, src, tgt FROM doc_pairs
+  UNION ALL SELECT 1 AS dataset, en AS src, target AS tgt FROM pairs)
+SELECT DISTINCT dataset, src, tgt FROM u
+WHERE NOT {is_blank('src')} AND NOT {is_blank('tgt')}"""
 
 def _log_cte() -> str:
-    from parcorpus.sources import readers
-    r = _q(readers.LOG_RE)
+    r = _q(LOG_RE)
     return f"""log_lines AS (
   SELECT event_id AS line_no,
     strftime(ts, '%Y-%m-%d %H:%M:%S') || ' [' || upper(event_type) || '] Worker ' ||
-    CAST(user_id % {V.LOG_WORKERS} AS VARCHAR) || ' | Batch ' || CAST(event_id // {V.LOG_BATCH} AS VARCHAR)
-    || '/' || CAST((SELECT max(event_id) // {V.LOG_BATCH} + 1 FROM events) AS VARCHAR) || ' | ' || props AS value
+    CAST(user_id % {WORKERS} AS VARCHAR) || ' | Batch ' || CAST(event_id // {LINES_PER_BATCH} AS VARCHAR)
+    || '/' || CAST((SELECT max(event_id) // {LINES_PER_BATCH} + 1 FROM events) AS VARCHAR) || ' | ' || props AS value
   FROM events),
 parsed AS (
   SELECT line_no, value, regexp_extract(value, {r}, 1) AS ts, regexp_extract(value, {r}, 2) AS level,
@@ -313,8 +327,8 @@ ORACLE["log_kept_ratio"] = _with(_log_cte()) + """SELECT worker, batch, count(*)
   round(100.0 * count(*) / (SELECT count(*) FROM parsed), 1) AS pct_kept
 FROM parsed WHERE batch IS NOT NULL GROUP BY worker, batch"""
 
-ORACLE["filter_log"] = _with(_log_cte()) + """SELECT line_no, value FROM log_lines
-WHERE contains(value, 'Worker 3 | Batch 1/')"""
+ORACLE["filter_log"] = _with(_log_cte()) + """SELECT worker, batch, line_no, value FROM parsed
+WHERE batch IS NOT NULL"""
 
 
 # --------------------------------------------------------------------------
@@ -338,54 +352,68 @@ ORACLE["hash_split"] = _with(*PAIRS_BASE) + """SELECT en, target, language,
   CASE WHEN CAST(('0x' || substr(md5(concat_ws('|', '42', en, target, language)), 1, 8)) AS BIGINT)
             / 4294967296.0 < 0.2 THEN 'test' ELSE 'train' END AS split
 FROM valid_pairs"""
-ORACLE["exact_split"] = _with(PAIRS) + """SELECT pos,
-  CASE WHEN row_number() OVER (ORDER BY CAST(('0x' || substr(md5(concat_ws(chr(1), '42', en, target)), 1, 15)) AS BIGINT))
-            <= ceil((SELECT count(*) FROM pairs) * 0.2) THEN 'test' ELSE 'train' END AS split
+_PLACE = """row_number() OVER (ORDER BY
+    CAST(('0x' || substr(md5(concat_ws(chr(1), '42', en, target)), 1, 15)) AS BIGINT), conv_id, turn)"""
+ORACLE["exact_split"] = _with(PAIRS) + f"""SELECT conv_id, turn,
+  CASE WHEN {_PLACE} <= ceil((SELECT count(*) FROM pairs) * 0.2) THEN 'test' ELSE 'train' END AS split
+FROM pairs"""
+ORACLE["exact_split_floor"] = _with(PAIRS) + f"""SELECT conv_id, turn,
+  CASE WHEN {_PLACE} <= floor((SELECT count(*) FROM pairs) * 0.8) THEN 'train' ELSE 'test' END AS split
 FROM pairs"""
 
 
 def _tokens_sql(x: str) -> str:
-    return (f"list_filter(string_split_regex({strip(x)}, {_q(T.WS_RUN)}), lambda t: t <> '')")
+    return (f"list_filter(string_split_regex({strip(x)}, {_q(WS_RUN)}), lambda t: t <> '')")
 
 
 VOCAB = f"""toks AS (
-  SELECT unnest(list_concat({_tokens_sql('en')}, {_tokens_sql('target')})) AS token FROM pairs),
+  SELECT unnest({_tokens_sql('text')}) AS token FROM documents),
 vocab AS (
   SELECT token, count(*) AS count,
          CAST(row_number() OVER (ORDER BY count(*) DESC, token) + 2 AS INTEGER) AS id
-  FROM toks GROUP BY token ORDER BY count DESC, token LIMIT 1997)"""
+  FROM toks GROUP BY token ORDER BY count DESC, token LIMIT 31997)"""
 
 ORACLE["vocab"] = _with(PAIRS, VOCAB) + "SELECT token, count, id FROM vocab"
 
-ENCODED = f"""vmap AS (SELECT map_from_entries(list(struct_pack(k := token, v := id))) AS m FROM vocab),
+ENCODED = f"""sides AS (
+  SELECT conv_id, turn, 's' AS side, {_tokens_sql("'translate English to kw: ' || en")}[1:128] AS t FROM pairs
+  UNION ALL SELECT conv_id, turn, 't', {_tokens_sql('target')}[1:128] FROM pairs),
+one AS (SELECT conv_id, turn, side, unnest(t) AS token, generate_subscripts(t, 1) AS p FROM sides),
+ids AS (
+  SELECT o.conv_id, o.turn, o.side, list(coalesce(v.id, 2) ORDER BY o.p) AS ids
+  FROM one o LEFT JOIN vocab v USING (token) GROUP BY o.conv_id, o.turn, o.side),
 enc AS (
-  SELECT pos,
-    list_transform({_tokens_sql("'translate English to kw: ' || en")}[1:128], lambda t: coalesce(m[t], 2)) AS ids,
-    list_transform({_tokens_sql('target')}[1:128], lambda t: coalesce(m[t], 2)) AS lab
-  FROM pairs, vmap)"""
+  SELECT p.conv_id, p.turn, coalesce(s.ids, []::INTEGER[]) AS ids, coalesce(t.ids, []::INTEGER[]) AS lab
+  FROM pairs p LEFT JOIN ids s ON s.conv_id = p.conv_id AND s.turn = p.turn AND s.side = 's'
+  LEFT JOIN ids t ON t.conv_id = p.conv_id AND t.turn = p.turn AND t.side = 't')"""
 
-ORACLE["encode_fixed"] = _with(PAIRS, VOCAB, ENCODED) + """SELECT pos,
+ORACLE["encode_fixed"] = _with(PAIRS, VOCAB, ENCODED) + """SELECT conv_id, turn,
   array_to_string(list_concat(ids, list_transform(range(128 - len(ids)), lambda x: 0)), ' ') AS input_ids,
   array_to_string(list_concat(list_transform(range(len(ids)), lambda x: 1), list_transform(range(128 - len(ids)), lambda x: 0)), ' ') AS attention_mask,
   array_to_string(list_concat(lab, list_transform(range(128 - len(lab)), lambda x: 0)), ' ') AS labels
 FROM enc"""
 
-ORACLE["decode_ids"] = _with(PAIRS, VOCAB, ENCODED) + """, imap AS (
-  SELECT map_from_entries(list(struct_pack(k := id, v := token))) AS m FROM vocab)
-SELECT pos, array_to_string(list_transform(list_filter(lab, lambda i: i >= 3), lambda i: m[i]), ' ') AS decoded
-FROM enc, imap"""
+ORACLE["decode_ids"] = _with(PAIRS, VOCAB, ENCODED) + """, back AS (
+  SELECT conv_id, turn, string_agg(v.token, ' ' ORDER BY p) AS decoded
+  FROM (SELECT conv_id, turn, unnest(lab) AS id, generate_subscripts(lab, 1) AS p FROM enc) x JOIN vocab v USING (id)
+  GROUP BY conv_id, turn)
+SELECT e.conv_id, e.turn, coalesce(b.decoded, '') AS decoded FROM enc e LEFT JOIN back b USING (conv_id, turn)"""
+
+
+# The public 13a tokenisation rules, in RE2's notation.
+TOK13A = [(r"([{-~\[-` -&(-+:-@/])", r" \1 "), (r"([^0-9])([.,])", r"\1 \2 "), (r"([.,])([^0-9])", r" \1 \2"),
+          (r"([0-9])(-)", r"\1 \2 ")]
 
 
 def _tok13a_sql(x: str) -> str:
-    from parcorpus.operators.bleu import TOK13A_RULES
     s = f"replace(replace(replace({x}, '<skipped>', ''), '-' || chr(10), ''), chr(10), ' ')"
     unesc = s
     for a, b in [("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")]:
         unesc = f"replace({unesc}, {_q(a)}, {_q(b)})"
     s = f"(' ' || CASE WHEN contains({s}, '&') THEN {unesc} ELSE {s} END || ' ')"
-    for pat, rep in TOK13A_RULES:
-        s = f"regexp_replace({s}, {_q(pat)}, {_q(rep.replace('$', chr(92)))}, 'g')"
-    return f"list_filter(string_split_regex({strip(s)}, {_q(T.WS_RUN)}), lambda t: t <> '')"
+    for pat, rep in TOK13A:
+        s = f"regexp_replace({s}, {_q(pat)}, {_q(rep)}, 'g')"
+    return f"list_filter(string_split_regex({strip(s)}, {_q(WS_RUN)}), lambda t: t <> '')"
 
 
 def _bleu_sql(source_cte: str, by: str, hyp: str, ref: str, rid: str) -> str:
@@ -428,8 +456,8 @@ SELECT {by}, sys_len, ref_len, total_1, total_2, total_3, total_4,
 FROM pr"""
 
 
-ORACLE["corpus_bleu"] = _bleu_sql(PAIRS + ", src AS (SELECT * FROM pairs)", "conv_id", "en", "target", "pos")
-ORACLE["corpus_bleu_docs"] = _bleu_sql(DOC_PAIRS + ", src AS (SELECT * FROM doc_pairs)", "lang", "src", "tgt", "pos")
+ORACLE["corpus_bleu"] = _bleu_sql(PAIRS + ", src AS (SELECT * FROM pairs)", "conv_id", "en", "target", "(conv_id, turn)")
+ORACLE["corpus_bleu_docs"] = _bleu_sql(DOC_PAIRS + ", src AS (SELECT * FROM doc_pairs)", "lang", "src", "tgt", "(doc_id, line)")
 
 
 # --------------------------------------------------------------------------
@@ -459,12 +487,12 @@ SELECT row_number() OVER (ORDER BY CAST(('0x' || substr(md5(concat_ws(chr(1), '4
        version, book_id, start_chapter, end_chapter
 FROM tasks"""
 
-BATCHES = PAIRS + """,
-sp AS (SELECT pos, en AS sl, target AS ol FROM pairs),
+BATCHES = DOC_PAIRS + """,
+sp AS (SELECT doc_id, line, src AS sl, tgt AS ol FROM doc_pairs),
 batches AS (
   SELECT *, CAST(ceil(rn / 30) AS BIGINT) AS batch_id FROM (
     SELECT *, row_number() OVER (ORDER BY CAST(('0x' || substr(md5(concat_ws(chr(1), '42',
-        CAST(pos AS VARCHAR))), 1, 15)) AS BIGINT)) AS rn FROM sp)),
+        CAST(doc_id AS VARCHAR), CAST(line AS VARCHAR))), 1, 15)) AS BIGINT), doc_id, line) AS rn FROM sp)),
 chunked AS (
   SELECT *, CAST(ceil((rn - (batch_id - 1) * 30) /
      (10 + CAST(('0x' || substr(md5('42|' || CAST(batch_id AS VARCHAR)), 1, 8)) AS BIGINT) % 16)) AS BIGINT) AS chunk_id
@@ -474,7 +502,7 @@ req AS (
          string_agg(sl, ' <|||> ' ORDER BY rn) AS request, count(*) AS n_sentences
   FROM chunked GROUP BY batch_id, chunk_id)"""
 
-ORACLE["batches"] = _with(BATCHES) + "SELECT pos, rn, batch_id FROM batches"
+ORACLE["batches"] = _with(BATCHES) + "SELECT doc_id, line, rn, batch_id FROM batches"
 ORACLE["requests"] = _with(BATCHES) + "SELECT batch_id, chunk_id, n_sentences, request FROM req"
 
 _REALIGN = """, res AS (SELECT *, translate(request, 'abcdefghijklmnopqrstuvwxyz',
@@ -491,15 +519,23 @@ FROM zipped""".format(sl=collapse("s.sl"), ol=collapse("s.ol"), tl=clean_text("p
 
 ORACLE["realign"] = _with(BATCHES) + _REALIGN
 ORACLE["translate_batches"] = _with(BATCHES) + _REALIGN
+ORACLE["translate_pairs"] = _with(BATCHES) + f"""SELECT batch_id, chunk_id, rn + i - 1 AS rn,
+  {strip('sl')} AS sl, translate({strip('sl')}, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') AS tl, ol
+FROM (SELECT batch_id, chunk_id, sentences[1].rn AS rn, {strip('request')} AS ol,
+             unnest(string_split(request, '<|||>')) AS sl,
+             generate_subscripts(string_split(request, '<|||>'), 1) AS i FROM req)"""
+ORACLE["map_batched"] = f"""SELECT doc_id, CAST(len(list_filter(string_split_regex(text, {_q(WS_RUN)}), lambda t: t <> '')) AS BIGINT) AS n_words
+FROM documents"""
+ORACLE["split_status"] = _with(BATCHES) + """SELECT batch_id, chunk_id,
+  CASE WHEN chunk_id = 1 AND n_sentences > 1 THEN 'split_mismatch' ELSE 'ok' END AS status FROM req"""
 
 
 # --------------------------------------------------------------------------
 # Pages, segments and text functions
 # --------------------------------------------------------------------------
 def _html_text(x: str) -> str:
-    from parcorpus.operators.segment import ENTITIES, TAG_RE
-    s = f"regexp_replace({x}, {_q(TAG_RE)}, '', 'g')"
-    for a, b in ENTITIES:
+    s = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
+    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         s = f"replace({s}, {_q(a)}, {_q(b)})"
     return strip(s)
 
@@ -507,7 +543,7 @@ def _html_text(x: str) -> str:
 _CONTAINERS = f"""list_transform(string_split(html, '<p>')[2:],
       lambda p, i: struct_pack(label := CASE WHEN (i - 1) % 3 <> 2 THEN CAST(i AS INTEGER) END,
                                text := {_html_text("split_part(p, '</p>', 1)")},
-                               note := FALSE))"""
+                               note := i % 4 = 0))"""
 
 _FOLD = """list_reduce(containers, lambda acc, x:
       CASE WHEN x.text <> '' AND x.label IS NOT NULL THEN
@@ -519,38 +555,37 @@ _FOLD = """list_reduce(containers, lambda acc, x:
 
 ORACLE["extract_verses"] = f"""WITH c AS (
   SELECT page_id, {_CONTAINERS} AS containers
-  FROM pages WHERE NOT contains(html, '<html lang="fr"')),
+  FROM pages),
 f AS (SELECT page_id, CASE WHEN len(containers) = 0 THEN []::VARCHAR[] ELSE {_FOLD} END AS v FROM c)
 SELECT page_id, CAST(generate_subscripts(v, 1) AS INTEGER) AS verse, unnest(v) AS text FROM f"""
 
-_ITEM = _q('<li><a href="([^"]*)">(.*?)</a></li>')
+_ITEM = _q('(?s)<li><a href="([^"]*)">(.*?)</a></li>')
 ORACLE["extract_table_pairs"] = f"""WITH z AS (
   SELECT page_id, regexp_extract_all(html, {_ITEM}, 1) AS a, regexp_extract_all(html, {_ITEM}, 2) AS b
   FROM pages),
 found AS (
-  SELECT page_id, len(a) AS n, CAST(generate_subscripts(a, 1) - 1 AS INTEGER) AS idx,
+  SELECT page_id, len(a) // 2 AS n, CAST(generate_subscripts(a, 1) - 1 AS INTEGER) AS idx,
          unnest(a) AS a1, unnest(b) AS b1
   FROM z WHERE len(a) > 0)
-SELECT page_id, idx, CASE WHEN idx % 2 = 0 THEN 'even' ELSE 'odd' END AS cls,
-  CAST(CASE WHEN idx % 2 = 0 THEN idx // 2 ELSE (n + 1) // 2 + (idx - 1) // 2 END AS INTEGER) AS out_pos,
+SELECT page_id, idx, CASE WHEN idx % 2 = 1 THEN 'even' ELSE 'odd' END AS cls,
+  CAST(CASE WHEN idx % 2 = 1 THEN idx // 2 ELSE n + idx // 2 END AS INTEGER) AS out_pos,
   {strip("replace(a1, '\"', '''')")} AS en, {strip("replace(b1, '\"', '''')")} AS kw, 'ok' AS status
 FROM found
 UNION ALL
 SELECT page_id, NULL, NULL, NULL, NULL, NULL, 'not_found' FROM z WHERE len(a) = 0"""
 
 ORACLE["page_not_found"] = """SELECT page_id,
-  CASE WHEN contains(html, '<html lang="fr"') THEN 'not_found' ELSE 'ok' END AS status FROM pages"""
+  CASE WHEN contains(html, '<p>') THEN 'ok' ELSE 'not_found' END AS status FROM pages"""
 
 BENCH_LINES = """blines AS (SELECT DISTINCT unnest(string_split(text, chr(10))) AS text FROM benchmark)"""
 
-ORACLE["curate_text"] = _with(VERSES_LONG, BENCH_LINES) + f"""SELECT pos,
-  CASE WHEN regexp_matches(text, {_q(T.INVALID_CHARS_RE)}) THEN 'corrupted' ELSE 'curated' END AS label
+ORACLE["curate_text"] = _with(VERSES_LONG, BENCH_LINES) + f"""SELECT doc_id, verse,
+  CASE WHEN regexp_matches(text, {_q(INVALID_CHARS_RE)}) THEN 'corrupted' ELSE 'curated' END AS label
 FROM verses_long v WHERE NOT EXISTS (SELECT 1 FROM blines b WHERE b.text = v.text)"""
 
-ORACLE["exclude_sentences"] = _with(VERSES_LONG, BENCH_LINES) + """SELECT pos // 100000 AS doc_id,
-  count(*) AS kept_lines
+ORACLE["exclude_sentences"] = _with(VERSES_LONG, BENCH_LINES) + """SELECT doc_id, count(*) AS kept_lines
 FROM verses_long v WHERE NOT EXISTS (SELECT 1 FROM blines b WHERE b.text = v.text)
-GROUP BY 1"""
+GROUP BY doc_id"""
 
 ORACLE["nested_pairs"] = _with(DOC_PAIRS) + \
     "SELECT src AS br, tgt AS en FROM doc_pairs WHERE src IS NOT NULL AND tgt IS NOT NULL"
@@ -563,9 +598,9 @@ ORACLE["quotes"] = "SELECT doc_id, replace(text, '\"', '''') AS text FROM docume
 
 
 def sanitize_name(x: str, max_len: int = 80) -> str:
-    ext_re = _q(T.EXTENSION_RE)
+    ext_re = _q(EXTENSION_RE)
     stem = f"substr({x}, 1, length({x}) - length(regexp_extract({x}, {ext_re}, 1)))"
-    s = f"regexp_replace({stem}, {_q(T.UNSAFE_NAME_RE)}, '_', 'g')"
+    s = f"regexp_replace({stem}, {_q(UNSAFE_NAME_RE)}, '_', 'g')"
     s = f"regexp_replace({s}, '_+', '_', 'g')"
     s = f"regexp_replace({s}, '^[._\\-]+|[._\\-]+$', '', 'g')"
     e2 = f"regexp_extract({s}, {ext_re}, 1)"
@@ -597,25 +632,25 @@ SELECT page_id,
   (SELECT any_value(x.v) FROM (SELECT unnest(list_filter(kv, lambda y: y.k = 'page')) AS x)) AS page
 FROM kv"""
 
-ORACLE["query_param_mismatch"] = """SELECT page_id, url_lang, page_lang, url_lang <> page_lang AS mismatch FROM (
+ORACLE["url_language_check"] = """SELECT page_id, url_lang, page_lang, url_lang <> page_lang AS mismatch FROM (
   SELECT page_id, regexp_extract(url, '^[a-z]+://[^/]+/([a-z][a-z])/', 1) AS url_lang,
          regexp_extract(html, '<html lang="([^"]*)"', 1) AS page_lang FROM pages)"""
 
 ORACLE["chapter_url"] = _with(VERSES_LONG) + """SELECT version, book_name, chapter,
   format('https://www.bible.com/bible/{}/{}.{}.{}',
-         CASE version """ + " ".join(f"WHEN '{v}' THEN {i + 1}" for i, v in enumerate(V.VERSIONS)) + """ END,
+         CASE version """ + " ".join(f"WHEN '{v}' THEN {i + 1}" for i, v in enumerate(VERSIONS)) + """ END,
          upper(substr(book_name, 1, 3)), chapter + 1, upper(version)) AS url
 FROM (SELECT DISTINCT version, book_name, chapter FROM verses_long)"""
 
 
 def _translator_url() -> str:
-    hosts = ", ".join(_q(h) for h in T.TRANSLATOR_HOSTS)
+    hosts = ", ".join(_q(h) for h in HOSTS)
     return (f"[{hosts}][1 + CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8)) AS BIGINT) % 3]"
             f" || '/?sl=' || lang || '&tl=en&op=translate'")
 
 
 def _language_name() -> str:
-    cases = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in T.LANGUAGE_NAMES.items())
+    cases = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in LANGUAGES.items())
     return f"CASE lang {cases} ELSE lang END"
 
 
@@ -626,7 +661,12 @@ FROM documents"""
 # --------------------------------------------------------------------------
 # Profiles, previews, exports, previous runs, ingest
 # --------------------------------------------------------------------------
+ORACLE["query_param_mismatch"] = f"""SELECT doc_id, {_translator_url()} AS url, lang <> 'fr' AS mismatch FROM documents"""
+
 ORACLE["table_profile"] = f"""SELECT count(*) AS n_rows,
+  'bigint' AS conv_id__type, 'bigint' AS turn__type, 'string' AS role__type, 'string' AS text__type,
+  CAST(min(conv_id) AS VARCHAR) AS conv_id__example, CAST(min(turn) AS VARCHAR) AS turn__example,
+  min(role) FILTER (WHERE {strip('role')} <> '') AS role__example, min(text) FILTER (WHERE {strip('text')} <> '') AS text__example,
   count(*) FILTER (WHERE conv_id IS NULL) AS conv_id__nulls,
   count(*) FILTER (WHERE turn IS NULL) AS turn__nulls,
   count(*) FILTER (WHERE role IS NULL) AS role__nulls,
@@ -638,13 +678,12 @@ FROM conversations"""
 ORACLE["preview"] = _with(*ALIGN_BASE) + """SELECT book_name, chapter, verse, en_text FROM merged
 ORDER BY book_id, chapter, verse LIMIT 5"""
 
-ORACLE["version_books"] = _with(VERSES_LONG) + """SELECT version, count(*) AS entries,
-  array_to_string(list_sort(list_distinct(list(book_name))), ',') AS books
-FROM verses_long GROUP BY version"""
+ORACLE["version_books"] = _with(VERSES_LONG) + """SELECT version, book_name, count(*) AS book_entries,
+  CAST(sum(count(*)) OVER (PARTITION BY version) AS BIGINT) AS entries, count(*) OVER (PARTITION BY version) AS n_books
+FROM verses_long GROUP BY version, book_name"""
 
-ORACLE["render_text"] = _with(VERSES_LONG) + """, books AS (
-  SELECT DISTINCT source AS name, CAST(regexp_extract(source, '[0-9]+', 0) AS INTEGER) AS id FROM documents),
-e AS (SELECT v.version, v.book_id, v.chapter, v.verse, v.text, b.name AS bname, b.id AS book_ord
+ORACLE["render_text"] = _with(VERSES_LONG) + """, """ + BOOKS + """,
+e AS (SELECT v.version, v.book_id, v.chapter, v.verse, v.text, b.name AS bname, b.ordinal AS book_ord
       FROM verses_long v LEFT JOIN books b ON v.book_id = b.id),
 ch AS (SELECT DISTINCT version, book_id, book_ord, bname, chapter FROM e),
 fl AS (SELECT version, book_id, min(chapter) AS first_ch, max(chapter) AS last_ch FROM ch GROUP BY 1, 2),
@@ -670,8 +709,8 @@ ranked AS (SELECT run_id, dense_rank() OVER (ORDER BY run_id DESC) AS run_rank
 ORACLE["latest_run"] = _with(RUNS) + """SELECT event_id, run_id FROM runs
 WHERE run_id IN (SELECT run_id FROM ranked WHERE run_rank = 2)"""
 
-ORACLE["newest_per_key"] = _with(RUNS) + """SELECT user_id, arg_max(event_id, ts) AS event_id,
-  arg_max(run_id, ts) AS run_id FROM runs GROUP BY user_id"""
+ORACLE["newest_per_key"] = _with(RUNS) + """SELECT user_id, event_id, run_id FROM runs
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
 
 ORACLE["todo_tasks"] = _with(RUNS) + """SELECT DISTINCT event_type, user_id FROM runs r
 WHERE NOT EXISTS (SELECT 1 FROM runs d JOIN ranked k ON d.run_id = k.run_id AND k.run_rank = 1
@@ -685,7 +724,7 @@ WHERE coalesce(sl, '') <> coalesce(tl, '') AND NOT contains(coalesce(sl, ''), '[
 # --------------------------------------------------------------------------
 # Remaining predicates and helpers
 # --------------------------------------------------------------------------
-ORACLE["degenerate_translations"] = _with(TRANSLATIONS) + f"""SELECT doc_id,
+ORACLE["degenerate_translations"] = _with(TRANSLATIONS) + f"""SELECT doc_id, line,
   {is_blank('tl')} OR coalesce(lower(tl) = lower(sl), FALSE) AS degenerate,
   {is_blank('tl')} OR coalesce(tl = sl, FALSE) AS same_exact
 FROM translations"""
@@ -696,22 +735,22 @@ ORACLE["range_label"] = _with(*ALIGN_FULL, MAJORITY, STATS, SUSPICIOUS) + """SEL
 FROM merged w LEFT JOIN split sp USING (book_name, chapter)"""
 
 ORACLE["zip_lines"] = _with(PAIRS) + """, z AS (
-  SELECT pos, string_split(en, chr(10)) AS a, string_split(target, chr(10)) AS b FROM pairs)
-SELECT pos, CAST(i - 1 AS INTEGER) AS i, a[i] AS a, b[i] AS b
+  SELECT conv_id, turn, string_split(en, chr(10)) AS a, string_split(target, chr(10)) AS b FROM pairs)
+SELECT conv_id, turn, CAST(i - 1 AS INTEGER) AS i, a[i] AS a, b[i] AS b
 FROM (SELECT *, unnest(range(1, least(len(a), len(b)) + 1)) AS i FROM z)"""
 
 _SEG = "(?s)<tuv xml:lang=\"{l}\">\\s*<seg>(.*?)</seg>"
 ORACLE["tmx_blocks"] = _with(DOC_PAIRS, BENCH_LINES) + f""", blocks AS (
-  SELECT doc_id, '<tu>' || chr(10) || '<tuv xml:lang="br"><seg>' || src || '</seg></tuv>' || chr(10)
+  SELECT doc_id, line, '<tu>' || chr(10) || '<tuv xml:lang="br"><seg>' || src || '</seg></tuv>' || chr(10)
          || '<tuv xml:lang="en"><seg>' || tgt || '</seg></tuv>' || chr(10) || '</tu>' AS block
   FROM doc_pairs),
 segs AS (
-  SELECT doc_id, block,
+  SELECT doc_id, line, block,
     CASE WHEN regexp_matches(block, {_q(_SEG.format(l='br'))}) THEN regexp_extract(block, {_q(_SEG.format(l='br'))}, 1) END AS br,
     CASE WHEN regexp_matches(block, {_q(_SEG.format(l='en'))}) THEN regexp_extract(block, {_q(_SEG.format(l='en'))}, 1) END AS en
   FROM blocks)
-SELECT doc_id,
-  CASE WHEN br IS NOT NULL AND regexp_matches(br, {_q(T.INVALID_CHARS_RE)}) THEN 'corrupted' ELSE 'curated' END AS label,
+SELECT doc_id, line,
+  CASE WHEN br IS NOT NULL AND regexp_matches(br, {_q(INVALID_CHARS_RE)}) THEN 'corrupted' ELSE 'curated' END AS label,
   en
 FROM segs s WHERE NOT EXISTS (SELECT 1 FROM blines b WHERE b.text = s.br)"""
 
@@ -722,7 +761,7 @@ q AS (
          regexp_extract(url, '([^/]*)$', 1) AS base FROM p)
 SELECT page_id,
   CASE WHEN starts_with(u1, 'http://') THEN substr(u1, 8) ELSE u1 END AS no_scheme,
-  substr(base, 1, length(base) - length(regexp_extract(base, {_q(T.EXTENSION_RE)}, 1))) AS stem,
+  substr(base, 1, length(base) - length(regexp_extract(base, {_q(EXTENSION_RE)}, 1))) AS stem,
   lower(lang) || '_text' AS text_key,
   {strip("split_part(lang || chr(9) || url, chr(9), 1)")} AS tab_first
 FROM q"""
@@ -752,3 +791,54 @@ SELECT m.book_name, m.chapter,
                || ', suspects: ' || replace(s.suspects, ',', ', ') || ')' END AS report
 FROM mo m JOIN ctext t USING (book_name, chapter)
 LEFT JOIN sv s USING (book_name, chapter) LEFT JOIN sides d USING (book_name, chapter)"""
+
+
+# --------------------------------------------------------------------------
+# Sources, sinks and small operators
+# --------------------------------------------------------------------------
+ORACLE["read_json_arrays"] = "SELECT doc_id, lang, text, NULL::VARCHAR AS _corrupt_record FROM documents"
+ORACLE["write_json"] = _with(TRANSLATIONS) + f"""SELECT doc_id, line, sl, tl,
+  CASE WHEN is_duplicate THEN 'duplicates' ELSE 'unique' END AS part
+FROM ({_first_label('translations', 'sl', 'tl')})"""
+_CELL = {c: f"nullif({clean_text(c)}, '')" for c in ("sl", "tl")}
+ORACLE["csv_round_trip"] = _with(TRANSLATIONS) + f"""SELECT doc_id || '-' || line AS key, {_CELL['sl']} AS sl,
+  {_CELL['tl']} AS tl, NULL::VARCHAR AS note,
+  CASE WHEN starts_with(tl, '[ERROR]') THEN 'error' WHEN starts_with(tl, '[TRANSLATION FAILED]') THEN 'failed'
+       WHEN starts_with(tl, '[TRANSLATION BACK FROM en]') THEN 'back' ELSE 'ok' END AS status
+FROM translations"""
+ORACLE["quoted_csv"] = _with(*PAIRS_BASE) + "SELECT en, target FROM valid_pairs"
+ORACLE["read_tmx"] = _with(DOC_PAIRS) + """SELECT trim(src) AS source, trim(tgt) AS target, 'br' AS source_language,
+  'en' AS target_language FROM doc_pairs"""
+ORACLE["read_pairs"] = _with(DOC_PAIRS) + f"""SELECT DISTINCT src, tgt FROM doc_pairs
+WHERE NOT {is_blank('src')} AND NOT {is_blank('tgt')}"""
+ORACLE["previous_run"] = _with(TRANSLATIONS) + """SELECT '20240102_093000' AS run_id, doc_id, line, sl, tl
+FROM translations WHERE doc_id % 3 = 1"""
+ORACLE["version_names"] = """SELECT 'Version ' || lang AS name,
+  CAST(list_position(['en', 'fr', 'de', 'es'], lang) - 1 AS INTEGER) AS id, count(*) AS n_documents
+FROM documents WHERE lang IN ('en', 'fr', 'de', 'es') GROUP BY lang"""
+ORACLE["read_pages"] = "SELECT page_id, url, CAST(length(html) AS INTEGER) AS html_chars FROM pages"
+ORACLE["write_partials"] = _with(TRANSLATIONS) + """SELECT doc_id AS batch_id, doc_id, line, sl, tl FROM translations
+WHERE tl IS DISTINCT FROM sl AND doc_id NOT IN (SELECT doc_id FROM translations WHERE starts_with(tl, '['))"""
+ORACLE["split_outputs"] = _with(PAIRS) + """SELECT conv_id, turn,
+  CASE WHEN CAST(('0x' || substr(md5(concat_ws('|', '42', en, target)), 1, 8)) AS BIGINT) / 4294967296.0 < 0.2
+       THEN 'test' ELSE 'train' END AS split, TRUE AS verified
+FROM pairs"""
+ORACLE["log_of_batch"] = _with(_log_cte()) + """SELECT worker, batch, count(*) AS n_lines FROM parsed
+WHERE batch IS NOT NULL GROUP BY worker, batch"""
+ORACLE["select_pair"] = _with(DOC_PAIRS) + "SELECT src AS en, tgt AS target FROM doc_pairs"
+ORACLE["drop_keys"] = "SELECT doc_id, lang, source FROM documents"
+ORACLE["ensure_columns"] = "SELECT doc_id, lang, '' AS kw_text FROM documents"
+ORACLE["version_columns"] = _with(*ALIGN_FULL) + "SELECT version, count(*) AS n_texts FROM present GROUP BY version"
+ORACLE["double_prompts"] = _with(*PAIRS_BASE) + """SELECT en, target, language,
+  'translate English to Breton: ' || language || ': ' || en AS prompt FROM valid_pairs"""
+ORACLE["verse_labels"] = """SELECT page_id, part, regexp_matches(part, '^[0-9]+$') AS is_label
+FROM (SELECT page_id, regexp_extract(url, '://[^/]*(?:/[^/?#]*)*/([^/?#]*)', 1) AS part FROM pages)"""
+ORACLE["label_chapters"] = _with(*ALIGN_FULL, STATUS) + """SELECT book_name, chapter, verse, status
+FROM merged JOIN status USING (book_name, chapter)"""
+ORACLE["shuffle_order"] = """SELECT doc_id, row_number() OVER (ORDER BY
+  CAST(('0x' || substr(md5(concat_ws(chr(1), '42', CAST(doc_id AS VARCHAR))), 1, 15)) AS BIGINT), doc_id) AS rn
+FROM documents"""
+ORACLE["even_then_odd"] = f"""SELECT page_id, cls, idx, en FROM ({ORACLE['extract_table_pairs']}) WHERE status = 'ok'"""
+ORACLE["join_spans"] = f"SELECT doc_id, {strip('replace(text, chr(10), ' + repr('') + ')')} AS joined FROM documents"
+ORACLE["complete_batches"] = _with(_log_cte()) + """SELECT line_no, batch FROM parsed p
+WHERE batch IS NOT NULL AND NOT EXISTS (SELECT 1 FROM parsed e WHERE e.batch = p.batch AND e.level = 'ERROR')"""

@@ -17,7 +17,7 @@ from parcorpus.operators import (align, batching, bleu, dedup, joins, prep, repo
                                   segment, udf)
 from parcorpus.plans import views as V
 from parcorpus.session import materialize
-from parcorpus.sources import readers
+from parcorpus.sources import dims, readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -120,25 +120,25 @@ def canonical_order(spark, sf_dir):
 @query
 def split_duplicates(spark, sf_dir):
     return dedup.split_duplicates(V.doc_pairs(spark, sf_dir), ["src", "tgt", "lang"]).select(
-        "doc_id", "is_duplicate")
+        "doc_id", "line", "is_duplicate")
 
 
 @query
 def cross_seen_duplicates(spark, sf_dir):
     return dedup.cross_seen(V.doc_pairs(spark, sf_dir), "src", "tgt").select(
-        "doc_id", "is_duplicate")
+        "doc_id", "line", "is_duplicate")
 
 
 @query
 def mark_all_duplicates(spark, sf_dir):
     return dedup.mark_all_duplicates(V.doc_pairs(spark, sf_dir), ["src", "tgt"]).select(
-        "doc_id", "is_duplicate")
+        "doc_id", "line", "is_duplicate")
 
 
 @query
 def keep_first(spark, sf_dir):
     return dedup.keep_first(V.doc_pairs(spark, sf_dir), ["src", "tgt"]).select(
-        "doc_id", "src", "tgt")
+        "doc_id", "line", "src", "tgt")
 
 
 @query
@@ -148,19 +148,19 @@ def dedup_stats(spark, sf_dir):
 
 @query
 def clean_corpus(spark, sf_dir):
-    return dedup.clean_corpus(V.translations(spark, sf_dir)).select("doc_id", "sl", "tl", "ol")
+    return dedup.clean_corpus(V.translations(spark, sf_dir)).select("doc_id", "line", "sl", "tl", "ol")
 
 
 @query
 def drop_untranslated(spark, sf_dir):
-    return dedup.drop_untranslated(V.translations(spark, sf_dir)).select("doc_id", "sl", "tl")
+    return dedup.drop_untranslated(V.translations(spark, sf_dir)).select("doc_id", "line", "sl", "tl")
 
 
 @query
 def translation_status(spark, sf_dir):
     t = V.translations(spark, sf_dir)
-    return t.select("doc_id", TX.parse_status("tl").alias("s")).select(
-        "doc_id", "s.status", "s.lang", "s.payload")
+    return t.select("doc_id", "line", TX.parse_status("tl").alias("s")).select(
+        "doc_id", "line", "s.status", "s.lang", "s.payload")
 
 
 @query
@@ -175,7 +175,7 @@ def failure_report(spark, sf_dir):
 
 @query
 def minus_existing(spark, sf_dir):
-    new = V.doc_pairs(spark, sf_dir).select("doc_id", F.col("src").alias("sl"),
+    new = V.doc_pairs(spark, sf_dir).select("doc_id", "line", F.col("src").alias("sl"),
                                             F.col("tgt").alias("ol"))
     corpus = dedup.clean_corpus(V.translations(spark, sf_dir))
     return joins.minus_existing(new, corpus, ["sl", "ol"])
@@ -184,16 +184,16 @@ def minus_existing(spark, sf_dir):
 @query
 def append_corpus(spark, sf_dir):
     new = V.doc_pairs(spark, sf_dir).select(
-        "doc_id", F.col("src").alias("sl"), F.col("tgt").alias("tl"), F.col("tgt").alias("ol"), "pos")
+        "doc_id", "line", F.col("src").alias("sl"), F.col("tgt").alias("tl"), F.col("tgt").alias("ol"), "pos")
     old = dedup.clean_corpus(V.translations(spark, sf_dir))
-    return joins.append_corpus(new, old).select("doc_id", "gen", "sl", "tl", "is_duplicate")
+    return joins.append_corpus(new, old).select("doc_id", "line", "gen", "sl", "tl", "is_duplicate")
 
 
 @query
 def read_many(spark, sf_dir):
     dp = V.doc_pairs(spark, sf_dir).select("src", "tgt", "pos")
     pr = V.pairs(spark, sf_dir).select(F.col("en").alias("src"), F.col("target").alias("tgt"), "pos")
-    return joins.read_many([dp, pr], "src", "tgt")
+    return joins.read_many([dp, pr], "src", "tgt").select("dataset", "src", "tgt")
 
 
 # --------------------------------------------------------------------------
@@ -221,9 +221,10 @@ def log_kept_ratio(spark, sf_dir):
 
 @query
 def filter_log(spark, sf_dir):
-    """Lines of one worker/batch prefix, found by substring as the pipeline does."""
-    lines = V.log_lines(spark, sf_dir)
-    return lines.where(F.col("value").contains("Worker 3 | Batch 1/")).select("line_no", "value")
+    """The lines of every batch, found by its full prefix."""
+    lines = _parsed_log(spark, sf_dir)
+    return readers.filter_log(lines, F.col("worker"), F.col("batch"), F.col("total")).select(
+        "worker", "batch", "line_no", "value")
 
 
 # --------------------------------------------------------------------------
@@ -258,16 +259,23 @@ def hash_split(spark, sf_dir):
 
 @query
 def exact_split(spark, sf_dir):
-    pr = V.pairs(spark, sf_dir).select("pos", "en", "target")
-    return prep.exact_split(pr, ["en", "target"]).select("pos", "split")
+    pr = V.pairs(spark, sf_dir).select("conv_id", "turn", "en", "target")
+    return prep.exact_split(pr, ["en", "target"]).select("conv_id", "turn", "split")
 
 
-VOCAB_SIZE = 2000
+@query
+def exact_split_floor(spark, sf_dir):
+    pr = V.pairs(spark, sf_dir).select("conv_id", "turn", "en", "target")
+    return prep.exact_split(pr, ["en", "target"], rule="floor_train").select("conv_id", "turn", "split")
+
+
+#: Entries of the vocabulary, reserved ids included, and tokens of an encoded side: parameters of the model to train.
+VOCAB_SIZE = 32_000
 MAX_LEN = 128
 
 
 def _vocab(spark, sf_dir):
-    return prep.build_vocab(V.pairs(spark, sf_dir), ["en", "target"], VOCAB_SIZE)
+    return prep.build_vocab(V.table(spark, sf_dir, "documents"), ["text"], VOCAB_SIZE)
 
 
 @query
@@ -277,7 +285,7 @@ def vocab(spark, sf_dir):
 
 def _encoded(spark, sf_dir):
     pr = schema.add_prompt(schema.tag_language(V.pairs(spark, sf_dir), "kw"), "tag")
-    return prep.encode_fixed(pr, _vocab(spark, sf_dir), "prompt", "target", MAX_LEN, key="pos")
+    return prep.encode_fixed(pr, _vocab(spark, sf_dir), "prompt", "target", MAX_LEN)
 
 
 def _ints(c):
@@ -287,15 +295,15 @@ def _ints(c):
 @query
 def encode_fixed(spark, sf_dir):
     return _encoded(spark, sf_dir).select(
-        "pos", _ints("input_ids").alias("input_ids"),
+        "conv_id", "turn", _ints("input_ids").alias("input_ids"),
         _ints("attention_mask").alias("attention_mask"), _ints("labels").alias("labels"))
 
 
 @query
 def decode_ids(spark, sf_dir):
     enc = _encoded(spark, sf_dir)
-    return prep.decode_ids(enc, "labels", _vocab(spark, sf_dir), "decoded", key="pos").select(
-        "pos", "decoded")
+    return prep.decode_ids(enc, "labels", _vocab(spark, sf_dir), "decoded").select(
+        "conv_id", "turn", "decoded")
 
 
 # --------------------------------------------------------------------------
@@ -308,13 +316,13 @@ def _bleu_out(df):
 @query
 def corpus_bleu(spark, sf_dir):
     pr = V.pairs(spark, sf_dir)
-    return _bleu_out(bleu.corpus_bleu(pr, "en", "target", ["conv_id"], row_id="pos"))
+    return _bleu_out(bleu.corpus_bleu(pr, "en", "target", ["conv_id"]))
 
 
 @query
 def corpus_bleu_docs(spark, sf_dir):
     dp = V.doc_pairs(spark, sf_dir)
-    return _bleu_out(bleu.corpus_bleu(dp, "src", "tgt", ["lang"], row_id="pos"))
+    return _bleu_out(bleu.corpus_bleu(dp, "src", "tgt", ["lang"]))
 
 
 # --------------------------------------------------------------------------
@@ -344,16 +352,19 @@ def task_table(spark, sf_dir):
 
 
 def _sentence_pairs(spark, sf_dir):
-    return V.pairs(spark, sf_dir).select("pos", F.col("en").alias("sl"), F.col("target").alias("ol"))
+    return V.doc_pairs(spark, sf_dir).select("doc_id", "line", F.col("src").alias("sl"), F.col("tgt").alias("ol"))
+
+
+LINE = ["doc_id", "line"]
 
 
 @query
 def batches(spark, sf_dir):
-    return batching.make_batches(_sentence_pairs(spark, sf_dir)).select("pos", "rn", "batch_id")
+    return batching.make_batches(_sentence_pairs(spark, sf_dir), LINE).select("doc_id", "line", "rn", "batch_id")
 
 
 def _requests(spark, sf_dir):
-    return batching.make_requests(batching.make_batches(_sentence_pairs(spark, sf_dir)))
+    return batching.make_requests(batching.make_batches(_sentence_pairs(spark, sf_dir), LINE))
 
 
 @query
@@ -384,7 +395,33 @@ def ascii_upper_fn():
 
 @query
 def translate_batches(spark, sf_dir):
-    return udf.translate_batches(_sentence_pairs(spark, sf_dir), ascii_upper_fn())
+    return udf.translate_batches(_sentence_pairs(spark, sf_dir), ascii_upper_fn(), order=LINE)
+
+
+def pair_answer_fn():
+    """Stand-in translator that answers (sources, targets)."""
+    table = str.maketrans(ASCII_LOWER, ASCII_LOWER.upper())
+
+    def fn(s: str):
+        parts = s.split("<|||>")
+        return parts, [p.translate(table) for p in parts]
+
+    return fn
+
+
+@query
+def translate_pairs(spark, sf_dir):
+    """X1/T8 with pair answers."""
+    return udf.translate_batches(_sentence_pairs(spark, sf_dir), pair_answer_fn(), order=LINE)
+
+
+@query
+def map_batched(spark, sf_dir):
+    """A vectorised batch function (words per text) over the documents."""
+    def count_words(pdf):
+        return pdf.assign(n_words=pdf["text"].str.split().str.len().astype("int64"))[["doc_id", "n_words"]]
+
+    return udf.map_batched(_docs(spark, sf_dir), count_words, "doc_id long, n_words long")
 
 
 # --------------------------------------------------------------------------
@@ -392,17 +429,17 @@ def translate_batches(spark, sf_dir):
 # --------------------------------------------------------------------------
 @query
 def extract_verses(spark, sf_dir):
-    return segment.extract_verses(V.table(spark, sf_dir, "pages"))
+    return segment.extract_verses(V.chapter_pages(spark, sf_dir))
 
 
 @query
 def extract_table_pairs(spark, sf_dir):
-    return segment.extract_table_pairs(V.table(spark, sf_dir, "pages"))
+    return segment.extract_table_pairs(V.table_pages(spark, sf_dir))
 
 
 @query
 def page_not_found(spark, sf_dir):
-    pages = V.table(spark, sf_dir, "pages")
+    pages = V.chapter_pages(spark, sf_dir)
     return pages.select("page_id", segment.page_status().alias("status"))
 
 
@@ -413,16 +450,15 @@ def _benchmark_lines(spark, sf_dir):
 
 @query
 def curate_text(spark, sf_dir):
-    lines = V.verses_long(spark, sf_dir).select("pos", "text")
-    return segment.curate_segments(lines, "text", _benchmark_lines(spark, sf_dir)).select("pos", "label")
+    lines = V.verses_long(spark, sf_dir).select("doc_id", "verse", "text")
+    return segment.curate_segments(lines, "text", _benchmark_lines(spark, sf_dir)).select("doc_id", "verse", "label")
 
 
 @query
 def exclude_sentences(spark, sf_dir):
-    lines = V.verses_long(spark, sf_dir).select("pos", "text")
+    lines = V.verses_long(spark, sf_dir).select("doc_id", "text")
     kept = joins.exclude_sentences(lines, _benchmark_lines(spark, sf_dir), "text")
-    return kept.groupBy((F.col("pos") / 100000).cast("long").alias("doc_id")).agg(
-        F.count(F.lit(1)).alias("kept_lines"))
+    return kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("kept_lines"))
 
 
 @query
@@ -479,6 +515,15 @@ def url_params(spark, sf_dir):
 
 @query
 def query_param_mismatch(spark, sf_dir):
+    """The documents' translator URLs against the pair French to English."""
+    docs = V.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    url = TX.translator_url(F.col("lang"), F.lit("en"), F.col("doc_id").cast("string"))
+    return docs.select("doc_id", url.alias("url"), TX.query_param_mismatch(url, "fr", "en").alias("mismatch"))
+
+
+@query
+def url_language_check(spark, sf_dir):
+    """The language in a page's address against the one its markup declares."""
     pages = V.table(spark, sf_dir, "pages")
     url_lang = F.regexp_extract("url", r"^[a-z]+://[^/]+/([a-z][a-z])/", 1)
     page_lang = F.regexp_extract("html", r'<html lang="([^"]*)"', 1)
@@ -527,8 +572,7 @@ def preview(spark, sf_dir):
 
 @query
 def version_books(spark, sf_dir):
-    vb = align.version_books(V.verses_long(spark, sf_dir))
-    return vb.select("version", "entries", F.array_join("books", ",").alias("books"))
+    return align.version_books(V.verses_long(spark, sf_dir))
 
 
 @query
@@ -590,7 +634,7 @@ def ingest_partials(spark, sf_dir):
 @query
 def degenerate_translations(spark, sf_dir):
     t = V.translations(spark, sf_dir)
-    return t.select("doc_id", TX.is_degenerate_translation("tl", "sl").alias("degenerate"),
+    return t.select("doc_id", "line", TX.is_degenerate_translation("tl", "sl").alias("degenerate"),
                     TX.is_degenerate_translation("tl", "sl", case_insensitive=False).alias("same_exact"))
 
 
@@ -603,11 +647,11 @@ def range_label(spark, sf_dir):
 
 @query
 def zip_lines(spark, sf_dir):
-    pr = V.pairs(spark, sf_dir).select("pos", F.split("en", "\n").alias("a"),
+    pr = V.pairs(spark, sf_dir).select("conv_id", "turn", F.split("en", "\n").alias("a"),
                                        F.split("target", "\n").alias("b"))
     z = joins.zip_pairs(pr, "a", "b")
-    return z.select("pos", F.posexplode("pair").alias("i", "p")).select(
-        "pos", "i", F.col("p.a").alias("a"), F.col("p.b").alias("b"))
+    return z.select("conv_id", "turn", F.posexplode("pair").alias("i", "p")).select(
+        "conv_id", "turn", "i", F.col("p.a").alias("a"), F.col("p.b").alias("b"))
 
 
 @query
@@ -615,9 +659,9 @@ def tmx_blocks(spark, sf_dir):
     dp = V.doc_pairs(spark, sf_dir)
     block = F.format_string('<tu>\n<tuv xml:lang="br"><seg>%s</seg></tuv>\n'
                             '<tuv xml:lang="en"><seg>%s</seg></tuv>\n</tu>', "src", "tgt")
-    blocks = dp.select("doc_id", block.alias("block"))
+    blocks = dp.select("doc_id", "line", block.alias("block"))
     cur = segment.curate_tmx_blocks(blocks, _benchmark_lines(spark, sf_dir))
-    return cur.select("doc_id", "label", TX.tmx_segment(F.col("block"), "en").alias("en"))
+    return cur.select("doc_id", "line", "label", TX.tmx_segment(F.col("block"), "en").alias("en"))
 
 
 @query
@@ -637,3 +681,219 @@ def alignment_report_text(spark, sf_dir):
     """B8 as text: one readable block per inconsistent chapter."""
     rep = align.alignment_report(_wide(spark, sf_dir), V.VERSIONS)
     return align.report_text(rep)
+
+
+# --------------------------------------------------------------------------
+# Sources and sinks: written below the shared checkpoint folder, read back
+# (A1-A4, A6-A8, B1-B6, B9, C12)
+# --------------------------------------------------------------------------
+def _fresh(spark, name: str) -> str:
+    import uuid
+
+    from parcorpus.session import scratch_path
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+def _translations(spark, sf_dir):
+    return V.translations(spark, sf_dir).drop("pos").withColumn("key", F.concat_ws("-", "doc_id", "line"))
+
+
+@query
+def read_json_arrays(spark, sf_dir):
+    """A1: files that hold one JSON array each (the documents by hundreds)."""
+    path = _fresh(spark, "json-arrays")
+    docs = V.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    arrays = docs.groupBy(F.expr("doc_id div 100").alias("part")).agg(
+        F.to_json(F.sort_array(F.collect_list(F.struct("doc_id", "lang", "text")))).alias("value"))
+    arrays.repartition("part").write.partitionBy("part").text(path)
+    schema_ = spark.createDataFrame([], "doc_id long, lang string, text string").schema
+    return readers.read_corpus_json(spark, path, schema_).select("doc_id", "lang", "text", readers.CORRUPT)
+
+
+@query
+def write_json(spark, sf_dir):
+    """B1: unique and duplicate pairs in one job."""
+    path = _fresh(spark, "json")
+    tr = V.translations(spark, sf_dir).select("doc_id", "line", "sl", "tl", "pos", F.lit("x").alias("scratch"))
+    sinks.write_json(tr, path, keys=["sl", "tl"], save_duplicates=True, keys_to_remove=["scratch"])
+    return spark.read.schema("doc_id long, line int, sl string, tl string, part string").json(path)
+
+
+@query
+def csv_round_trip(spark, sf_dir):
+    """B2 and A2: cleaned CSV with a status column, read back."""
+    path = _fresh(spark, "csv")
+    sinks.write_csv(_translations(spark, sf_dir), path, ["key", "sl", "tl", "note"])
+    return readers.read_corpus_csv(spark, path, ["key", "sl", "tl", "note", "status"])
+
+
+@query
+def quoted_csv(spark, sf_dir):
+    """Every field quoted."""
+    path = _fresh(spark, "quoted")
+    sinks.write_quoted_csv(_valid_pairs(spark, sf_dir).select("en", "target"), path)
+    return readers.read_corpus_csv(spark, path, ["en", "target"])
+
+
+@query
+def read_tmx(spark, sf_dir):
+    """A3: translation-memory files written from the line pairs."""
+    path = _fresh(spark, "tmx")
+
+    def xml(c):
+        c = F.replace(F.col(c), F.lit("&"), F.lit("&amp;"))
+        return F.replace(F.replace(c, F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+    units = V.doc_pairs(spark, sf_dir).select(F.expr("doc_id div 100").alias("part"), F.format_string(
+        '<tu><tuv xml:lang="br"><seg>%s</seg></tuv><tuv xml:lang="en"><seg>%s</seg></tuv></tu>',
+        xml("src"), xml("tgt")).alias("tu"))
+    files = units.groupBy("part").agg(F.concat(
+        F.lit("<tmx><body>"), F.array_join(F.collect_list("tu"), ""), F.lit("</body></tmx>")).alias("value"))
+    files.repartition("part").write.partitionBy("part").text(path)
+    return readers.read_tmx(spark, path, "br", "en")
+
+
+@query
+def read_pairs(spark, sf_dir):
+    """A4: a stored pair table, blank rows dropped, first of equal pairs kept."""
+    path = _fresh(spark, "pairs")
+    V.doc_pairs(spark, sf_dir).write.parquet(path)
+    return readers.read_pairs(spark, path, "src", "tgt", order="pos").select("src", "tgt")
+
+
+@query
+def previous_run(spark, sf_dir):
+    """Three runs are written, the second-last is read."""
+    path = _fresh(spark, "runs")
+    tr = _translations(spark, sf_dir)
+    for k, stamp in enumerate(("2024-01-01 10:00:00", "2024-01-02 09:30:00", "2024-01-03 09:00:00")):
+        sinks.write_run(tr.where(F.col("doc_id") % 3 == k), path, stamp)
+    schema_ = spark.createDataFrame([], "doc_id long, line int, sl string, tl string").schema
+    return readers.read_previous_run(spark, path, "*.json", schema=schema_).select("run_id", "doc_id", "line", "sl", "tl")
+
+
+@query
+def version_names(spark, sf_dir):
+    """The version dimension from caller rows, joined with the documents."""
+    dim = dims.version_dim(spark, [{"text": v, "suffix": v.upper(), "id": i, "language": v, "name": f"Version {v}",
+                                    "file": f"{v}.json"} for i, v in enumerate(V.VERSIONS)])
+    docs = V.table(spark, sf_dir, "documents").select("lang")
+    return docs.join(dim, docs["lang"] == dim["language"]).groupBy("name", "id").agg(
+        F.count(F.lit(1)).alias("n_documents"))
+
+
+@query
+def read_pages(spark, sf_dir):
+    """The stored pages."""
+    pages = readers.read_pages(spark, f"{sf_dir.rstrip('/')}/pages.parquet")
+    return pages.select("page_id", "url", F.length("html").alias("html_chars"))
+
+
+@query
+def write_partials(spark, sf_dir):
+    """Translated rows of complete batches only, in groups of batches."""
+    path = _fresh(spark, "partials")
+    tr = _translations(spark, sf_dir).withColumn("batch_id", F.col("doc_id"))
+    sinks.write_partials(tr, path, only_complete=True)
+    return spark.read.schema("batch_id long, doc_id long, line int, sl string, tl string").json(path).drop("batch_group")
+
+
+@query
+def split_outputs(spark, sf_dir):
+    """Train and test written in one job, and the rows counted."""
+    path = _fresh(spark, "split")
+    labelled = prep.hash_split(V.pairs(spark, sf_dir).select("conv_id", "turn", "en", "target"), ["en", "target"])
+    sinks.split_outputs(labelled, "split", path)
+    back = spark.read.schema("conv_id long, turn long, en string, target string, split string").json(path)
+    whole = sinks.verify_written(spark, path, labelled.count())
+    return back.select("conv_id", "turn", "split", F.lit(whole).alias("verified"))
+
+
+@query
+def log_of_batch(spark, sf_dir):
+    """C12 for all batches at once: written by worker, and one worker's folders read."""
+    path = _fresh(spark, "logs")
+    readers.split_log_by_batch(_parsed_log(spark, sf_dir), path)
+    back = spark.read.schema("worker int, batch int, value string, bucket int").json(path)
+    return back.groupBy("worker", "batch").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+# --------------------------------------------------------------------------
+# Small operators over the corpus (P1, P3, P5, P6, P8, C11, C14, J-4, L2, U4, S6, S19, G12)
+# --------------------------------------------------------------------------
+@query
+def select_pair(spark, sf_dir):
+    return schema.select_pair(V.doc_pairs(spark, sf_dir), "src", "tgt")
+
+
+@query
+def drop_keys(spark, sf_dir):
+    return schema.drop_keys(V.table(spark, sf_dir, "documents"), ["text", "n_chars", "absent"])
+
+
+@query
+def ensure_columns(spark, sf_dir):
+    docs = V.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return schema.ensure_columns(docs, ["lang", "kw_text"], "")
+
+
+@query
+def version_columns(spark, sf_dir):
+    """Non-blank texts per version column of the merged corpus."""
+    wide = _wide(spark, sf_dir)
+    return schema.to_long(wide, align.VERSE_KEY, schema.version_columns(wide)).groupBy("version").agg(
+        F.count(F.lit(1)).alias("n_texts"))
+
+
+@query
+def double_prompts(spark, sf_dir):
+    return schema.add_prompt(_valid_pairs(spark, sf_dir), "double")
+
+
+@query
+def verse_labels(spark, sf_dir):
+    """C11 over the addresses' last path part."""
+    pages = V.table(spark, sf_dir, "pages")
+    part = F.regexp_extract("url", "://[^/]*(?:/[^/?#]*)*/([^/?#]*)", 1)
+    return pages.select("page_id", part.alias("part"), TX.is_verse_label(part).alias("is_label"))
+
+
+@query
+def label_chapters(spark, sf_dir):
+    wide = materialize(_wide(spark, sf_dir), "wide")
+    labelled = align.label_chapters(wide, align.chapter_status(wide, V.VERSIONS))
+    return schema.non_empty_guard(labelled).select(*align.VERSE_KEY, "status")
+
+
+@query
+def shuffle_order(spark, sf_dir):
+    """L2: the documents' place in a reproducible random order."""
+    ordered = prep.shuffle_order(V.table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"])
+    return dedup.global_row_number(ordered.withColumn("_h", dedup.hash_order(["doc_id"])), ["_h", "doc_id"], "rn").drop("_h")
+
+
+@query
+def even_then_odd(spark, sf_dir):
+    """U4: the pages' table rows, even ones first."""
+    rows = segment.extract_table_pairs(V.table_pages(spark, sf_dir)).where("status = 'ok'")
+    return joins.even_then_odd(rows).select("page_id", "cls", "idx", "en")
+
+
+@query
+def split_status(spark, sf_dir):
+    """Requests whose answer lost its last separator."""
+    req = _requests(spark, sf_dir)
+    cut = F.regexp_replace("request", r"^(.*) <\|\|\|> ", "$1 ")
+    answer = F.when(F.col("chunk_id") == 1, cut).otherwise(F.col("request"))
+    return req.select("batch_id", "chunk_id", TX.split_status(answer, F.col("n_sentences"))["status"].alias("status"))
+
+
+@query
+def join_spans(spark, sf_dir):
+    return _docs(spark, sf_dir).select("doc_id", TX.join_spans(F.split("text", "\n")).alias("joined"))
+
+
+@query
+def complete_batches(spark, sf_dir):
+    parsed = _parsed_log(spark, sf_dir)
+    return report.complete_batches(parsed, report.batch_errors(parsed)).select("line_no", "batch")

@@ -47,23 +47,34 @@ def test_fold_matches_loop(spark):
     assert got == {pid: python_fold(c) for pid, c in pages}
 
 
-def test_extract_verses_from_html(spark):
-    html = ('<html lang="en"><script>var t="</p>";</script><p><b>One</b><br><p>Two</p>'
-            '<p>Three</p><p>Four &amp; more</p><footer>x</footer></html>')
-    pages = spark.createDataFrame([(1, html), (2, '<html lang="fr"><p>x</p>')], "page_id int, html string")
+def verse(*parts):
+    return '<div class="ChapterContent_verse__a1">' + "".join(
+        f'<span class="ChapterContent_{k}__b2">{v}</span>' for k, v in parts) + "</div>"
+
+
+def test_extract_verses_from_markup(spark):
+    html = "<html><p>x</p>" + "".join([
+        verse(("label", "1"), ("content", "One ")), verse(("label", "#"), ("content", "two"), ("content", " <b>&amp;</b> three")),
+        verse(("content", "more")), verse(("label", " 5 "), ("content", "Five")), verse(("label", "6"), ("content", " "), ("note", "n")),
+        verse(("label", "7"), ("content", "")), verse(("label", "7"), ("content", "Seven"), ("note", "n"))])
+    gone = verse(("label", "1"), ("content", "x")) + '<span class="ChapterContent_not-avaliable-span__q">no</span>'
+    pages = spark.createDataFrame([(1, html), (2, gone), (3, "<p>none</p>"), (4, None)], "page_id int, html string")
     got = rows(segment.extract_verses(pages).orderBy("verse"), "page_id", "verse", "text")
-    # containers: label 1 "One", label 2 "Two", unlabeled "Three" (joined), label 4 "Four & more"
-    assert got == [(1, 1, "One"), (1, 2, "Two Three"), (1, 3, ""), (1, 4, "Four & more")]
+    assert got == [(1, 1, "One two & three more"), (1, 2, ""), (1, 3, "Five"), (1, 4, ""), (1, 5, ""), (1, 6, "Seven")]
+    status = dict(rows(pages.select("page_id", segment.page_status().alias("s"))))
+    assert status == {1: "ok", 2: "not_found", 3: "ok", 4: "ok"}
 
 
 def test_extract_table_pairs(spark):
-    html = ('<ul><li><a href="a0">b0</a></li><li><a href="a1">b "1"</a></li>'
-            '<li><a href="a2"> b2 </a></li></ul>')
-    pages = spark.createDataFrame([(1, html), (2, "<p>none</p>")], "page_id int, html string")
+    html = ('<table><tr class="odd"><td>a0</td><td>b0</td></tr>\n<tr class="even"><td>a1</td>\n <td>b "1"</td></tr>'
+            '<tr class="odd"><td> a2 </td><td><i>b2</i></td></tr><tr class="head"><td>h</td><td>h</td></tr>'
+            '<tr class="even"><td>alone</td></tr></table>')
+    pages = spark.createDataFrame([(1, html), (2, "<ul><li><a href='x'>y</a></li></ul>")], "page_id int, html string")
     got = rows(segment.extract_table_pairs(pages).orderBy("page_id", "out_pos"),
-               "page_id", "cls", "out_pos", "en", "kw", "status")
-    assert got == [(1, "even", 0, "a0", "b0", "ok"), (1, "even", 1, "a2", "b2", "ok"),
-                   (1, "odd", 2, "a1", "b '1'", "ok"), (2, None, None, None, None, "not_found")]
+               "page_id", "idx", "cls", "out_pos", "en", "kw", "status")
+    assert got == [(1, 1, "even", 0, "a1", "b '1'", "ok"), (1, 3, "even", 1, None, None, "no_pair"),
+                   (1, 0, "odd", 2, "a0", "b0", "ok"), (1, 2, "odd", 3, "a2", "b2", "ok"),
+                   (2, None, None, None, None, None, "not_found")]
 
 
 def test_curate_tmx_blocks(spark):
@@ -75,3 +86,6 @@ def test_curate_tmx_blocks(spark):
     excl = spark.createDataFrame([("skip me",)], "text string")
     got = sorted(rows(segment.curate_tmx_blocks(blocks, excl), "label"))
     assert got == [("corrupted",), ("curated",), ("curated",)]
+    ends = spark.createDataFrame([("<tmx><body>",), ("</body></tmx>",)], "block string")
+    assert sorted(rows(segment.curate_tmx_blocks(ends, excl))) == [
+        ("</body></tmx>", "corrupted"), ("</body></tmx>", "curated"), ("<tmx><body>", "corrupted"), ("<tmx><body>", "curated")]
