@@ -19,18 +19,14 @@ from parcorpus.operators import dedup
 
 def minus_existing(pairs: DataFrame, corpus: DataFrame, keys: Sequence[str] = ("sl", "ol"),
                    normalize: bool = False) -> DataFrame:
-    """J-1/U3: remove pairs already in the corpus (exact equality by default);
-    survivors keep their multiplicity."""
-    keys = list(keys)
+    """J-1/U3: remove pairs already in the corpus (exact equality by default, a
+    missing side equal to a missing side); survivors keep their multiplicity."""
     # the corpus side is reduced to distinct keys first (partial aggregation),
     # so a pair repeated many times in the corpus is one build row
-    if not normalize:
-        return pairs.join(corpus.select(*keys).distinct(), keys, "left_anti")
-    norm = {f"_n{i}": T.collapse_ws(F.col(k)) for i, k in enumerate(keys)}
-    names = list(norm)
-    left = pairs.withColumns(norm)
-    right = corpus.select(*[v.alias(k) for k, v in norm.items()]).distinct()
-    return left.join(right, names, "left_anti").drop(*names)
+    value = T.collapse_ws if normalize else (lambda c: c)
+    right = corpus.select(*[value(F.col(k)).alias(f"_c{i}") for i, k in enumerate(keys)]).distinct()
+    same = [value(pairs[k]).eqNullSafe(right[f"_c{i}"]) for i, k in enumerate(keys)]
+    return pairs.join(right, same, "left_anti")
 
 
 def append_corpus(new: DataFrame, old: DataFrame, keys: Sequence[str] = ("sl", "tl"),

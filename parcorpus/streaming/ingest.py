@@ -35,7 +35,9 @@ def _stored(spark: SparkSession, corpus_dir: str, batch_id: int) -> DataFrame:
     a corpus folder that does not exist yet is an empty corpus)."""
     try:
         stored = spark.read.schema(CORPUS_SCHEMA).json(corpus_dir)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], CORPUS_SCHEMA)
     return stored.where(F.col("batch_id") != F.lit(batch_id))
 
@@ -44,8 +46,10 @@ def process_batch(batch: DataFrame, batch_id: int, corpus_dir: str) -> None:
     spark = batch.sparkSession
     cleaned = _clean_filter(batch)
     first = dedup.keep_first(cleaned, ["sl", "tl"], "pos", strip=False)
-    stored = _stored(spark, corpus_dir, batch_id).select("sl", "tl")
-    new = first.join(stored, ["sl", "tl"], "left_anti")
+    # a missing side counts as "" here, as it does in keep_first
+    stored = _stored(spark, corpus_dir, batch_id).select(
+        *[F.coalesce(c, F.lit("")).alias(f"_{c}") for c in ("sl", "tl")]).distinct()
+    new = first.join(stored, [F.coalesce(c, F.lit("")) == F.col(f"_{c}") for c in ("sl", "tl")], "left_anti")
     (new.write.mode("overwrite").json(os.path.join(corpus_dir, f"batch_id={batch_id}")))
 
 

@@ -18,6 +18,12 @@ def test_read_pairs(spark):
     assert got == [("a", "x", 1), ("b", "z", 4)]
     with pytest.raises(ValueError):
         readers.read_pairs(spark, d, "fr", "missing")
+    assert readers.read_pairs(spark, d, "fr", "missing", on_error="skip") is None
+    assert readers.read_pairs(spark, d + "-none", "fr", "br", on_error="skip") is None
+    blank = tempfile.mkdtemp(prefix="parcorpus-pairs-")
+    spark.createDataFrame([(" ", "y")], "fr string, br string").write.mode("overwrite").parquet(blank)
+    with pytest.raises(ValueError, match="no valid pair"):
+        readers.read_pairs(spark, blank, "fr", "br")
 
 
 def test_lead_pair_and_even_then_odd(spark):
@@ -52,6 +58,7 @@ def test_translation_stats_and_profile(spark):
     assert empty["total"] == 0 and empty["pct_failed"] is None
     prof = report.table_profile(spark.createDataFrame([("a", None), (" ", "x")], "s string, t string")).first()
     assert (prof["n_rows"], prof["s__blanks"], prof["t__nulls"]) == (2, 1, 1)
+    assert (prof["s__type"], prof["s__example"], prof["t__example"]) == ("string", "a", "x")
 
 
 def test_batch_errors_gate(spark):
@@ -59,3 +66,39 @@ def test_batch_errors_gate(spark):
     errs = report.batch_errors(df)
     assert sorted(rows(errs, "batch", "complete")) == [(1, False), (2, True)]
     assert rows(report.complete_batches(df, errs), "batch") == [(2,)]
+
+
+def test_missing_sides_are_equal_in_the_anti_join(spark):
+    new = spark.createDataFrame([("a", None), ("b", None), (None, None)], "sl string, ol string")
+    old = spark.createDataFrame([("a", None), (None, None)], "sl string, ol string")
+    assert rows(joins.minus_existing(new, old)) == [("b", None)]
+    assert rows(joins.minus_existing(new, old, normalize=True)) == [("b", None)]
+
+
+def test_newest_per_key_breaks_ties(spark):
+    from parcorpus.operators import dedup
+    df = spark.createDataFrame([("k", 1, "a"), ("k", 2, "b"), ("k", 2, "c")], "k string, t int, v string")
+    assert rows(dedup.newest_per_key(df, ["k"], "t"), "v") == [("c",)]
+
+
+def test_split_status(spark):
+    from parcorpus.functions import text as TX
+    df = spark.createDataFrame([("a <|||> b", 2), ("a", 2), (None, 2)], "t string, n int")
+    got = rows(df.select(TX.split_status("t", df["n"]).alias("s")).select("s.status"))
+    assert got == [("ok",), ("split_mismatch",), ("missing",)]
+
+
+def test_checkpoint_folder_must_be_shared(spark):
+    from parcorpus import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(type("S", (), {"sparkContext": Context()})())

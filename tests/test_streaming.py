@@ -35,3 +35,12 @@ def test_ingest_with_state_store(spark):
     # restart from the same checkpoint: nothing new is written
     ingest.start_ingest(spark, src, out, ck, max_files_per_trigger=1, dedup="state").awaitTermination()
     assert sorted(rows(ingest.read_corpus(spark, out, dedup="state"), "sl", "tl")) == got
+
+
+def test_missing_side_is_stored_once(spark):
+    base = tempfile.mkdtemp(prefix="parcorpus-stream-")
+    out = os.path.join(base, "corpus")
+    batch = spark.createDataFrame([("a", None, "o", 1), ("a", None, "o", 2), ("b", "B", "o", 3)], ingest.PARTIAL_SCHEMA)
+    for k in range(3):
+        ingest.process_batch(batch, k, out)
+    assert sorted(rows(ingest.read_corpus(spark, out), "sl", "tl"), key=str) == [("a", None), ("b", "B")]
