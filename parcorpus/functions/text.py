@@ -216,6 +216,15 @@ def split_translation(c, expected) -> Column:
     return F.when(F.size(parts) == exp, parts)
 
 
+def split_status(c, expected) -> Column:
+    """STRUCT(parts, status) of a merged translation: ``ok`` with its parts, or
+    ``split_mismatch`` (``missing`` for NULL) with none."""
+    parts = split_translation(c, expected)
+    status = F.when(parts.isNotNull(), F.lit("ok")).when(_c(c).isNull(), F.lit("missing")).otherwise(
+        F.lit("split_mismatch"))
+    return F.struct(parts.alias("parts"), status.alias("status"))
+
+
 def parse_status(c) -> Column:
     """STRUCT(status, lang, payload) from a translation cell.
 

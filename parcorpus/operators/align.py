@@ -247,10 +247,12 @@ def report_text(report: DataFrame) -> DataFrame:
 
 
 def version_books(long: DataFrame, version_col: str = "version") -> DataFrame:
-    """Per version the entry count and the sorted set of book names."""
-    return long.groupBy(version_col).agg(
-        F.count(F.lit(1)).alias("entries"),
-        F.array_sort(F.collect_set("book_name")).alias("books"))
+    """One row per version and book with the book's entries, and the
+    version's entries and number of books on each (its books are its rows)."""
+    books = long.groupBy(version_col, "book_name").agg(F.count(F.lit(1)).alias("book_entries"))
+    totals = books.groupBy(version_col).agg(
+        F.sum("book_entries").alias("entries"), F.count(F.lit(1)).alias("n_books"))
+    return books.join(totals, version_col)
 
 
 def with_book_order(df: DataFrame, books: DataFrame, id_col: str = "book_id",

@@ -60,13 +60,18 @@ def log_kept_ratio(parsed: DataFrame, keys: Sequence[str] = ("worker", "batch"))
 
 
 def table_profile(df: DataFrame) -> DataFrame:
-    """Row count plus, per column, NULL and blank counts (one aggregation)."""
+    """Row count plus, per column, its type, NULL and blank counts and an
+    example (the smallest value that is not blank), in one aggregation."""
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     for name, typ in df.dtypes:
-        aggs.append(F.count_if(F.col(name).isNull()).alias(f"{name}__nulls"))
+        c = F.col(name)
+        aggs += [F.max(F.lit(typ)).alias(f"{name}__type"), F.count_if(c.isNull()).alias(f"{name}__nulls")]
+        shown = c
         if typ == "string":
-            aggs.append(F.count_if(T.strip(F.col(name)) == "").alias(f"{name}__blanks"))
-    return df.agg(*aggs)
+            aggs.append(F.count_if(T.strip(c) == "").alias(f"{name}__blanks"))
+            shown = F.when(T.strip(c) != "", c)
+        aggs.append(F.min(shown).cast("string").alias(f"{name}__example"))
+    return df.agg(*aggs).withColumns({f"{n}__type": F.lit(t) for n, t in df.dtypes})
 
 
 # Line kinds of the text export, in output order within a (book, chapter).
@@ -92,6 +97,9 @@ def render_text(long: DataFrame, books: DataFrame, version_names: dict[str, str]
     dim = books.select(F.col("id").alias("book_id"), F.col("name").alias("_bname"),
                        F.col("ordinal").alias("book_ord"))
     entries = long.select(version_col, "book_id", "chapter", "verse", "text").join(dim, "book_id", "left")
+    # a verse of a book that the dimension lacks cannot be placed: the export fails rather than lose headings
+    entries = entries.withColumn("_bname", F.coalesce("_bname", F.raise_error(F.concat(
+        F.lit("no such book: "), F.coalesce(F.col("book_id").cast("string"), F.lit("null"))))))
     # chapter table: one row per (version, book, chapter) -- small next to the
     # verses. First/last chapter per book and the first chapter of each version
     # are partial aggregations joined back (no window holding a whole version).

@@ -40,19 +40,18 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting must point to shared storage and is only read.
-    Only when it is unset (local tests) a scratch folder is created.
+    The setting must point to storage that the driver and all executors share,
+    and is only read. A scratch folder is made only where it is unset and the
+    master is local, where driver and executors are one process.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - remote session: read the setting only
-        d = spark.conf.get("spark.checkpoint.dir", None)
-        return d or tempfile.mkdtemp(prefix="parcorpus-ckpt-")
+    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="parcorpus-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d

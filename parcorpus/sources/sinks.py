@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,15 +91,20 @@ def write_run(df: DataFrame, root: str, run_ts, fmt: str = "json") -> str:
 
 
 def write_partials(df: DataFrame, root: str, sl: str = "sl", tl: str = "tl",
-                   batch: str = "batch_id", only_complete: bool = False) -> str:
-    """One output per batch, untranslated rows removed (C6); with
-    ``only_complete`` only batches without a failed row are written (G12)."""
+                   batch: str = "batch_id", only_complete: bool = False, per_folder: int = 1000) -> str:
+    """Outputs per batch, untranslated rows removed (C6); with
+    ``only_complete`` only batches without a failed row are written (G12).
+
+    A folder ``batch_group=<g>`` holds ``per_folder`` batches following each
+    other; the rows carry their batch, and writing some batches again replaces
+    their groups only."""
     rows = dedup.drop_untranslated(df, sl, tl)
     if only_complete:
         bad = df.where(T.is_failed(tl)).select(batch).distinct()
         rows = rows.join(bad, batch, "left_anti")
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(batch).json(root))
+    group = F.expr(f"cast({batch} as bigint) div {per_folder}")
+    (rows.withColumn("batch_group", group).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_group").json(root))
     return root
 
 
@@ -127,6 +133,8 @@ def verify_written(spark, path: str, expected: int, fmt: str = "json") -> bool:
     """The output exists and holds the expected number of rows."""
     try:
         n = spark.read.format(fmt).load(path).count()
-    except Exception:  # noqa: BLE001 - a missing output is a failed write
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return False
     return n == expected and n > 0

@@ -4,6 +4,7 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T_
 
@@ -95,6 +96,10 @@ def test_partials_and_split_outputs(spark):
                                "sl string, tl string, pos long, batch_id int")
     sinks.write_partials(df, root, only_complete=True)
     assert sorted(rows(spark.read.json(root), "batch_id", "sl")) == [(1, "a")]
+    many = spark.range(5000).selectExpr("concat('s', id) sl", "concat('t', id) tl", "id as batch_id")
+    wide = _tmp()
+    sinks.write_partials(many, wide)
+    assert len([n for n in os.listdir(wide) if n.startswith("batch_group=")]) == 5
     out = _tmp()
     sinks.split_outputs(df.withColumn("label", F.when(F.col("pos") > 2, "b").otherwise("a")), "label", out)
     assert sorted(n for n in os.listdir(out) if n.startswith("label=")) == ["label=a", "label=b"]
@@ -127,7 +132,11 @@ def test_dims_and_log_filter(spark):
     assert rows(readers.filter_log(lines, 1, 1, 20), "value") == [(f"{ts} [INFO] Worker 1 | Batch 1/20 | a",)]
     root = _tmp()
     readers.split_log_by_batch(readers.parse_log(lines), root)
-    assert sorted(n for n in os.listdir(os.path.join(root, "worker=1"))) == ["batch=1", "batch=10"]
+    assert sorted(n for n in os.listdir(os.path.join(root, "worker=1"))) == ["bucket=1", "bucket=10"]
+    assert rows(readers.read_log_batch(spark, root, 1, 10)) == [(f"{ts} [INFO] Worker 1 | Batch 10/20 | b",)]
+    odd = readers.parse_log(spark.createDataFrame([("not a log line",), (f"{ts} [WARN] no batch | x",), (None,)], "value string"))
+    assert sorted(rows(odd, "ts", "level", "worker", "message"), key=str) == [
+        ("", "", None, ""), ("", "", None, ""), (ts, "WARN", None, "no batch | x")]
 
 
 def test_render_text_hot_chapter_spans_part_files(spark):
@@ -152,3 +161,25 @@ def test_render_text_hot_chapter_spans_part_files(spark):
     want = ("The Holy Bible - en\n\nBook\n" + "=" * 50 + "\n\nChapter 1\n" + "-" * 20 + "\n"
             + "".join(f"{v} t{v}\n" for v in range(1, n + 1)) + "\n\n")
     assert text == want
+
+
+def test_render_text_refuses_unknown_book(spark):
+    long = spark.createDataFrame([("en", 2, "C", 1, 1, "x", 1)],
+                                 "version string, book_id int, book_name string, chapter int, verse int, text string, pos long")
+    books = spark.createDataFrame([("Book", 1, 0)], "name string, id int, ordinal int")
+    with pytest.raises(Exception, match="no such book: 2"):
+        report.render_text(long, books).collect()
+
+
+def test_previous_run_reads_one_folder(spark):
+    base = _tmp()
+    for stamp, text in [("20240101_000000", "{bad"), ("20240102_000000", '[{"pos": 2}, {"pos": 3}]'), ("20240103_000000", "{bad")]:
+        os.makedirs(os.path.join(base, stamp))
+        with open(os.path.join(base, stamp, "Worker_1.json"), "w") as f:
+            f.write(text)
+    schema = T_.StructType([T_.StructField("pos", T_.LongType()), T_.StructField(readers.CORRUPT, T_.StringType())])
+    prev = readers.read_previous_run(spark, base, "Worker_*.json", schema=schema, multi_line=True)
+    assert sorted(rows(prev, "pos")) == [(2,), (3,)]
+    last = readers.read_previous_run(spark, base, "*.json", "last", schema=schema, multi_line=True)
+    assert readers.error_count(last.select("pos", readers.CORRUPT)).first()["error_count"] == 1
+    assert readers.read_previous_run(spark, base, "*.csv", schema=schema).count() == 0

@@ -3,16 +3,17 @@ single-partition exchange on data-sized tables, pruned scans."""
 
 import pytest
 
-import __spark_entry__ as E
+from parcorpus.plans.queries import REGISTRY
 from tests.conftest import SF_SMALL
 
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
-PY_ALLOWED = {"translate_batches"}
+PY_ALLOWED = {"translate_batches", "translate_pairs", "map_batched"}
 # single-partition windows over bounded tables only: the per-partition count
 # table of the global row number (F8: batches, requests, realign, task ids,
 # failure index, exact split) and the distinct run ids
 SINGLE_OK = {"batches", "requests", "realign", "translate_batches", "task_table",
-             "failure_report", "exact_split", "latest_run", "todo_tasks"}
+             "failure_report", "exact_split", "exact_split_floor", "latest_run", "todo_tasks", "translate_pairs",
+             "split_status", "shuffle_order"}
 
 
 def _plan(df):
@@ -32,11 +33,11 @@ def _bad_single_partition(plan: str) -> list[str]:
     return bad
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_plan_shape(spark, name):
     if name == "ingest_partials":
         pytest.skip("streaming query runs on call")
-    plan = _plan(E.queries()[name](spark, SF_SMALL))
+    plan = _plan(REGISTRY[name](spark, SF_SMALL))
     if name not in PY_ALLOWED:
         assert not any(n in plan for n in PY_NODES), plan
     if name not in SINGLE_OK:
@@ -44,11 +45,11 @@ def test_plan_shape(spark, name):
 
 
 def test_scan_is_pruned(spark):
-    plan = _plan(E.queries()["merge_versions"](spark, SF_SMALL))
+    plan = _plan(REGISTRY["merge_versions"](spark, SF_SMALL))
     assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string,source:string>" in plan
     assert "n_chars" not in plan
 
 
 def test_union_languages_scans_once(spark):
-    plan = _plan(E.queries()["valid_pairs"](spark, SF_SMALL))
+    plan = _plan(REGISTRY["valid_pairs"](spark, SF_SMALL))
     assert plan.count("FileScan parquet") == 1, plan
