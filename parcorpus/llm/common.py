@@ -25,8 +25,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once below the shared checkpoint folder and read it back.
 
     Cuts the lineage: a lost executor re-reads the file, and ids made while
-    writing (``monotonically_increasing_id``) stay as written."""
-    return materialize(df, name)
+    writing (``monotonically_increasing_id``) stay as written. The plan runs
+    this once only, so Spark may drop its shuffle files when it has ended."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        return materialize(df, name)
+    finally:
+        conf.set(key, before)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by :func:`written` that nothing reads any more."""
+    for df in tables:
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ascii_lower(c: Column) -> Column:

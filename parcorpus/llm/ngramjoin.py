@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcorpus.llm.common import in_slices, ship_by_value, written
+from parcorpus.llm.common import discard, in_slices, ship_by_value, written
 from parcorpus.llm.graph import components
 from parcorpus.llm.rolling import SPACE, WordHasher, mixed, runs
 from parcorpus.llm.urlfilter import bloom_blocks, with_maybe
@@ -40,7 +40,7 @@ SHINGLE = 4
 #: Links have 100 * |A and B| >= PERCENT * |A or B|.
 PERCENT = 85
 #: Groups of the count vector: the dimensions of a point.
-GROUPS = 32
+GROUPS = 64
 LEAF = 256
 #: Document sizes are banded by this ratio; every band has its own number of parts.
 BAND = 1.6
@@ -92,7 +92,7 @@ class Shingler:
     def point(self, s):
         import numpy as np
 
-        return np.bincount((s >> np.uint64(59)).astype(np.int64), minlength=GROUPS).astype(np.int32)
+        return np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=GROUPS).astype(np.int32)
 
     def signatures(self, s):
         """Hashes of (band, part, shingles in the part), for the set's own band
@@ -215,11 +215,15 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     # equal sets are one class from here on: a text on a third of all rows is one row per task
     classes = signed.where("n > 0").groupBy("n", "f1", "f2").agg(
         F.min("_h").alias("_h"), F.first("signatures").alias("signatures"))
-    classes = written(classes.withColumn("rid", F.monotonically_increasing_id()), "classes")
+    signed_classes = written(classes.withColumn("rid", F.monotonically_increasing_id()), "classes")
+    rows = written(signed.drop("signatures", "_h"), "rows")
+    discard(signed)
     bucket = Window.partitionBy("sig")
-    met = written(classes.select("rid", F.explode("signatures").alias("sig")).repartition("sig").select(
+    met = written(signed_classes.select("rid", F.explode("signatures").alias("sig")).repartition("sig").select(
         "sig", "rid", F.min("rid").over(bucket).alias("head"), F.max("rid").over(bucket).alias("_last")
     ).where("head <> _last").drop("_last"), "buckets")
+    classes = written(signed_classes.drop("signatures"), "classes")
+    discard(signed_classes)
     # the sets of documents that met another; a Bloom filter keeps the other texts from being read twice
     wanted = classes.join(met.select("rid").distinct(), "rid", "left_semi").select("rid", "n", "f1", "f2", "_h")
     texts = with_maybe(base.select("_text", "_h"), "_h", bloom_blocks(wanted, "_h")).where("_maybe").select("_text")
@@ -236,7 +240,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     members = rooted.join(open_, "sig", "left_semi").join(sets.select("rid", "n", "point"), "rid")
     more = written(verified(tree_pairs(members, percent), sets, percent), "links")
     joined = written(components(links.unionByName(more), "a", "b"), "components")
-    named = signed.select("_id", "n", "f1", "f2").join(
+    discard(sets, met)
+    named = rows.join(
         classes.select(*[F.col(c).alias(f"_{c}") for c in ("n", "f1", "f2", "rid")]),
         (F.col("n") == F.col("_n")) & (F.col("f1") == F.col("_f1")) & (F.col("f2") == F.col("_f2")), "left"
     ).join(joined, F.col("_rid") == F.col("node"), "left").select(
