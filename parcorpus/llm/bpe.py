@@ -251,4 +251,3 @@ def decode(df: DataFrame, vocabulary: bytes, ids: str = "ids", out: str = "decod
 
 
 ship_by_value(__name__)
-ship_by_value("parcorpus.llm.common")

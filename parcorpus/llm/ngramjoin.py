@@ -3,6 +3,8 @@
 A document's set holds the 64-bit hashes of its 4-word shingles. The shingles
 are hashed into groups; the group counts are the document's point, and the sum
 of coordinate minima bounds the overlap of two sets, or of two boxes of points.
+The counts of a finer grouping are kept modulo 2, as bits: two sets differ in
+at least as many shingles as these bits, which tells near misses apart.
 
 One tree over all points cannot prune: in so many dimensions every box meets
 every other. So the index is parted first, without loss. Two linked sets differ
@@ -41,6 +43,8 @@ SHINGLE = 4
 PERCENT = 85
 #: Groups of the count vector: the dimensions of a point.
 GROUPS = 64
+#: Groups whose counts are kept modulo 2.
+PARITIES = 1024
 LEAF = 256
 #: Document sizes are banded by this ratio; every band has its own number of parts.
 BAND = 1.6
@@ -94,6 +98,12 @@ class Shingler:
 
         return np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=GROUPS).astype(np.int32)
 
+    def parity(self, s):
+        import numpy as np
+
+        odd = np.bincount((mixed(s) >> np.uint64(54)).astype(np.int64), minlength=PARITIES) & 1
+        return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
     def signatures(self, s):
         """Hashes of (band, part, shingles in the part), for the set's own band
         and, if a linked set can be in the next one, for that. Empty parts give
@@ -123,7 +133,7 @@ class Shingler:
 
 
 SIGNED = "n long, f1 long, f2 long, signatures array<long>"
-MEASURED = "n long, f1 long, f2 long, hashes array<long>, point array<int>"
+MEASURED = "n long, f1 long, f2 long, hashes array<long>, point array<int>, parity array<long>"
 
 
 def _shingled(docs: DataFrame, text: str, carry: list[str], schema: str, full: bool,
@@ -136,7 +146,7 @@ def _shingled(docs: DataFrame, text: str, carry: list[str], schema: str, full: b
         names = [c.split()[0] for c in schema.split(", ")]
         for batch in batches:
             for part in in_slices(batch, text, 1 << 20):
-                n, f1, f2, arrays, points = [], [], [], [], []
+                n, f1, f2, arrays, points, odd = [], [], [], [], [], []
                 for s in make.sets(part.column(text)):
                     a, b = make.fingerprint(s)
                     n.append(len(s))
@@ -145,13 +155,15 @@ def _shingled(docs: DataFrame, text: str, carry: list[str], schema: str, full: b
                     arrays.append(s.astype(np.int64) if full else make.signatures(s))
                     if full:
                         points.append(make.point(s))
+                        odd.append(make.parity(s))
                 ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
                 flat = pa.ListArray.from_arrays(ends, np.concatenate(arrays))
                 columns = [*[part.column(c) for c in carry], pa.array(n, pa.int64()), pa.array(f1, pa.int64()),
                            pa.array(f2, pa.int64()), flat]
                 if full:
-                    columns.append(pa.ListArray.from_arrays(
-                        np.arange(len(n) + 1, dtype=np.int32) * GROUPS, np.concatenate(points)))
+                    for width, values in ((GROUPS, points), (PARITIES // 64, odd)):
+                        columns.append(pa.ListArray.from_arrays(
+                            np.arange(len(n) + 1, dtype=np.int32) * width, np.concatenate(values)))
                 yield pa.RecordBatch.from_arrays(columns, [*carry, *names])
 
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
@@ -169,12 +181,20 @@ def _may_link(overlap: Column, n_a: Column, n_b: Column, percent: int) -> Column
     return (100 + percent) * overlap >= percent * (n_a + n_b)
 
 
+def _points_allow(percent: int) -> Column:
+    """Whether the points and parities of the sides ``_a`` and ``_b`` allow a link."""
+    odd = [F.bit_count(F.get("parity_a", F.lit(k)).bitwiseXOR(F.get("parity_b", F.lit(k)))) for k in range(PARITIES // 64)]
+    differ = sum(odd[1:], odd[0])
+    return ((100 + percent) * differ <= (100 - percent) * (F.col("n_a") + F.col("n_b"))) & _may_link(
+        _minima("point_a", "point_b"), F.col("n_a"), F.col("n_b"), percent)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The (a, b) of ``pairs`` that are links: bound by the points first, then the sets compared."""
-    one, two = (sets.select(*[F.col(c).alias(f"{c}_{x}") for c in ("rid", "n", "point", "hashes")]) for x in "ab")
+    one, two = (sets.select(*[F.col(c).alias(f"{c}_{x}") for c in ("rid", "n", "point", "parity", "hashes")]) for x in "ab")
     points = pairs.join(one.drop("hashes_a"), F.col("a") == F.col("rid_a")).join(
         two.drop("hashes_b"), F.col("b") == F.col("rid_b"))
-    near = points.where(_may_link(_minima("point_a", "point_b"), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
+    near = written(points.where(_points_allow(percent)).select("a", "b"), "near")
     both = near.join(one.select("rid_a", "n_a", "hashes_a"), F.col("a") == F.col("rid_a")).join(
         two.select("rid_b", "n_b", "hashes_b"), F.col("b") == F.col("rid_b"))
     overlap = F.size(F.array_intersect("hashes_a", "hashes_b"))
@@ -184,7 +204,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def tree_pairs(members: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that one R-tree per bucket leaves.
 
-    ``members``: (sig, rid, root, n, point). Leaves are runs of the bucket's
+    ``members``: (sig, rid, root, n, point, parity). Leaves are runs of the bucket's
     points in order of size and counts; a pair is tried only where the boxes
     of its leaves, and then its points, allow a link."""
     order = Window.partitionBy("sig").orderBy("n", "point", "rid")
@@ -203,7 +223,7 @@ def tree_pairs(members: DataFrame, percent: int) -> DataFrame:
     left = nodes.join(a, (F.col("sig_x") == F.col("sig_a")) & (F.col("leaf_x") == F.col("leaf_a")))
     return left.join(b, (F.col("sig_x") == F.col("sig_b")) & (F.col("leaf_y") == F.col("leaf_b")) & (
         F.col("root_a") != F.col("root_b")) & ((F.col("leaf_x") != F.col("leaf_y")) | (F.col("rid_a") < F.col("rid_b"))) &
-        _may_link(_minima("point_a", "point_b"), F.col("n_a"), F.col("n_b"), percent)).select(
+        _points_allow(percent)).select(
         F.least("rid_a", "rid_b").alias("a"), F.greatest("rid_a", "rid_b").alias("b")).distinct()
 
 
@@ -228,8 +248,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     wanted = classes.join(met.select("rid").distinct(), "rid", "left_semi").select("rid", "n", "f1", "f2", "_h")
     texts = with_maybe(base.select("_text", "_h"), "_h", bloom_blocks(wanted, "_h")).where("_maybe").select("_text")
     sets = _shingled(texts, "_text", [], MEASURED, True, shingle, percent).groupBy("n", "f1", "f2").agg(
-        F.first("hashes").alias("hashes"), F.first("point").alias("point"))
-    sets = written(sets.join(wanted.drop("_h"), ["n", "f1", "f2"]).select("rid", "n", "point", "hashes"), "sets")
+        *[F.first(c).alias(c) for c in ("hashes", "point", "parity")])
+    sets = written(sets.join(wanted.drop("_h"), ["n", "f1", "f2"]).select("rid", "n", "point", "parity", "hashes"), "sets")
     tried = met.where("rid <> head").select(F.col("head").alias("a"), F.col("rid").alias("b")).distinct()
     links = written(verified(tried, sets, percent), "links")
     joined = components(links, "a", "b")
@@ -237,8 +257,9 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     rooted = met.select("sig", "rid").join(joined, F.col("rid") == F.col("node"), "left").select(
         "sig", "rid", F.coalesce("root", "rid").alias("root"))
     open_ = rooted.groupBy("sig").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a <> _b").select("sig")
-    members = rooted.join(open_, "sig", "left_semi").join(sets.select("rid", "n", "point"), "rid")
-    more = written(verified(tree_pairs(members, percent), sets, percent), "links")
+    members = rooted.join(open_, "sig", "left_semi").join(sets.select("rid", "n", "point", "parity"), "rid")
+    left = written(tree_pairs(members, percent), "tree-pairs")
+    more = written(verified(left, sets, percent), "links")
     joined = written(components(links.unionByName(more), "a", "b"), "components")
     discard(sets, met)
     named = rows.join(
