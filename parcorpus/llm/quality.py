@@ -25,6 +25,7 @@ MAX_SYMBOL_PERCENT = 50     # symbols per hundred words
 MAX_DUP_LINE_PERCENT = 50   # repeated lines per hundred lines with a word
 MAX_HOST_RATE = 0.5         # a host goes when a shrunk failure rate exceeds this
 PRIOR_MIN, PRIOR_MAX = 2.0, 1000.0  # bounds of the prior's weight in documents
+SALTS = 32
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 RULES = {
     "few_words": lambda: F.col("n_words") < MIN_WORDS,
@@ -118,7 +119,10 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source", columns: li
     carry = [c for c in columns if c.lower() not in clash]
     m = written(measure(docs.select(*dict.fromkeys([*carry, text, host])), text).select(
         *dict.fromkeys([*carry, host]), *MEASURES, "_n_lines"), "quality")
-    out = m.join(host_verdicts(m, host), m[host] == F.col("_host"), "left")
+    # a host with a third of all rows is spread over SALTS keys; the verdicts are one small row per host
+    salts = host_verdicts(m, host).select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_s"))
+    salt = F.pmod(F.xxhash64(*[m[c] for c in MEASURES]), F.lit(SALTS))
+    out = m.join(salts, (m[host] == F.col("_host")) & (salt == F.col("_s")), "left")
     return out.select(
         *[m[c] for c in carry], *MEASURES, "host_rate",
         (~F.col("base_failed") & ~F.coalesce("host_rejected", F.lit(False))).alias("kept"))
