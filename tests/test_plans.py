@@ -28,7 +28,8 @@ def _bad_single_partition(plan: str) -> list[str]:
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
             child = lines[i + 1] if i + 1 < len(lines) else ""
-            if "Aggregate(keys=[]" not in child:
+            # HashAggregate prints "keys=[]", SortAggregate "key=[]"
+            if "HashAggregate(keys=[]" not in child and "SortAggregate(key=[]" not in child:
                 bad.append(line.strip())
     return bad
 
