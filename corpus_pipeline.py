@@ -30,10 +30,17 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays."""
-    classes = ngramjoin.similar_documents(docs)
-    later = classes.where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(later, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """Of each group of linked documents one row stays: that with the smallest id, and of rows
+    with one id that with the smallest row number. A null id comes after all others.
+
+    Rows go by a number written before the join, not by their ids: copies of one row, rows
+    without an id and different texts under one id are told apart. A text without words is
+    in no group and stays."""
+    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "near-rows")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("_row").alias("row"))
+    classes = ngramjoin.similar_documents(rows.select(place.alias("place"), "text"), "place")
+    later = written(classes.where("component_id.row <> place.row").select(F.col("place.row").alias("_gone")), "near-later")
+    return rows.join(later, F.col("_row") == F.col("_gone"), "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -46,3 +46,32 @@ def test_stages_keep_columns_and_bear_edges(spark):
             assert out.columns == docs.columns
             df = out
         assert corpus_pipeline.STAGES[-1][1](spark, df, SF).count() <= 3
+
+
+def test_near_duplicates_go_by_row(spark):
+    def words(a, n):
+        return " ".join(f"{a}{i}" for i in range(n))
+
+    one, two, three, four = (words(a, 90) for a in "abcd")
+    rows = [(1, one, 1), (1, one, 1), (1, one, 1), (None, one, 2),  # copies of a row, and one without an id
+            (None, two, 3), (None, two + " x", 3), (None, two, 3),  # a group without ids
+            (7, three, 4), (9, three + " x", 5), (9, four, 6),  # an id on a near copy and on a text of its own
+            (None, None, 7), (None, None, 7), (8, "", 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    for parts in (1, 5):
+        out = corpus_pipeline.near_duplicates(spark, docs.repartition(parts), SF)
+        got = [tuple(r) for r in out.collect()]
+        assert out.columns == docs.columns and all(r in rows for r in got)
+        of_two = [r for r in got if r[1] in (two, two + " x")]
+        assert len(of_two) == 1
+        assert sorted(map(repr, (r for r in got if r not in of_two))) == sorted(map(repr, [
+            (1, one, 1), (7, three, 4), (9, four, 6), (None, None, 7), (None, None, 7), (8, "", 8)]))
+
+
+def test_equal_rows_leave_one_through_all_stages(spark):
+    text = " ".join(f"w{i}" for i in range(70))
+    rows = [(1, text, "en", "s", 1)] * 3 + [(None, text + " x", "en", "s", 2)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for _, stage in corpus_pipeline.STAGES:
+        df = stage(spark, df, SF)
+    assert [r["doc_id"] for r in df.collect()] == [1]
