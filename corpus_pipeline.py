@@ -14,6 +14,10 @@ from parcorpus.llm import decontam, linededup, ngramjoin, quality
 from parcorpus.llm.common import table, written
 from parcorpus.llm.queries import token_digests
 
+#: Near copies are texts of which the sets of 5-word shingles have a Jaccard similarity from 0.8.
+NEAR_SHINGLE = 5
+NEAR_PERCENT = 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules, or whose host is rejected, go."""
@@ -38,7 +42,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     in no group and stays."""
     rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "near-rows")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("_row").alias("row"))
-    classes = ngramjoin.similar_documents(rows.select(place.alias("place"), "text"), "place")
+    classes = ngramjoin.similar_documents(
+        rows.select(place.alias("place"), "text"), "place", shingle=NEAR_SHINGLE, percent=NEAR_PERCENT)
     later = written(classes.where("component_id.row <> place.row").select(F.col("place.row").alias("_gone")), "near-later")
     return rows.join(later, F.col("_row") == F.col("_gone"), "left_anti").select(*docs.columns)
 

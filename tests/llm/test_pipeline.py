@@ -1,3 +1,6 @@
+import random
+from functools import partial
+
 import public_tokenizers as P
 import tiktoken
 
@@ -5,6 +8,7 @@ import brute
 import corpus_pipeline
 from parcorpus.llm import bpe
 from test_lines_chat_shards import keyed
+from test_overlap import edited, text_of
 
 SF = "/root/testdata/sf0.001"
 
@@ -75,3 +79,30 @@ def test_equal_rows_leave_one_through_all_stages(spark):
     for _, stage in corpus_pipeline.STAGES:
         df = stage(spark, df, SF)
     assert [r["doc_id"] for r in df.collect()] == [1]
+
+
+def at_stage_threshold(monkeypatch):
+    monkeypatch.setattr(brute, "shingles", partial(brute.shingles, k=5))
+    monkeypatch.setattr(brute, "components", partial(brute.components, percent=80))
+
+
+def test_near_copies_of_five_words_from_80_percent_go(spark, monkeypatch):
+    # four words of 190 differ: 0.806 on five words, 0.842 on four
+    base = [f"w{i}" for i in range(190)]
+    near = [f"x{i}" if i in (30, 70, 110, 150) else w for i, w in enumerate(base)]
+    rows = [(1, " ".join(base)), (2, " ".join(near))]
+    assert brute.components(rows)[1][2] == 2
+    rng = random.Random(8)
+    for _ in range(25):
+        t = text_of(rng, rng.choice([4, 5, 6, 12, 40, 90, 200, 500]), 4000)
+        rows += [(len(rows) + k, edited(rng, t, rng.randint(0, 1 + len(t.split()) // 45))) for k in range(1, 6)]
+    at_stage_threshold(monkeypatch)
+    want = sorted(d for d, _, least in brute.components(rows) if d == least)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect())
+    assert got == want and 2 not in got and 25 < len(got) < len(rows)
+
+
+def test_run_matches_brute_force_at_stage_threshold(spark, monkeypatch):
+    at_stage_threshold(monkeypatch)
+    test_run_matches_brute_force(spark)
