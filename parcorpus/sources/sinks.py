@@ -8,9 +8,11 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NullType, StructType
 
 from parcorpus.functions import text as T
 from parcorpus.operators import dedup
+from parcorpus.session import materialize
 
 
 def write_json(df: DataFrame, path: str, keys: Sequence[str] | None = None,
@@ -90,20 +92,47 @@ def write_run(df: DataFrame, root: str, run_ts, fmt: str = "json") -> str:
     return root
 
 
+def _stored_partials(rows: DataFrame, root: str) -> DataFrame | None:
+    """What :func:`write_partials` stored below ``root``, if anything: columns of
+    ``rows`` by their types, further ones as inferred."""
+    read = rows.sparkSession.read.option("mode", "FAILFAST").option("prefersDecimal", "true")
+    try:
+        found = read.json(root).drop("batch_group")
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+    typed = [f for f in rows.schema.fields if f.name != "batch_group" and f.dataType != NullType()]
+    names = {f.name for f in typed}
+    schema = StructType([*typed, *[f for f in found.schema.fields if f.name not in names]])
+    stored = read.schema(schema).json(root)
+    return stored.withColumn("batch_group", F.col("batch_group").cast("long"))
+
+
 def write_partials(df: DataFrame, root: str, sl: str = "sl", tl: str = "tl",
                    batch: str = "batch_id", only_complete: bool = False, per_folder: int = 1000) -> str:
     """Outputs per batch, untranslated rows removed (C6); with
     ``only_complete`` only batches without a failed row are written (G12).
 
     A folder ``batch_group=<g>`` holds ``per_folder`` batches following each
-    other; the rows carry their batch, and writing some batches again replaces
-    their groups only."""
+    other; the rows carry their batch. Writing some batches again replaces
+    these only: the other batches of their folders are read back (a stored value
+    that does not fit its column is an error) and written with them. A batch
+    of which no row is left to write keeps what is stored."""
     rows = dedup.drop_untranslated(df, sl, tl)
     if only_complete:
         bad = df.where(T.is_failed(tl)).select(batch).distinct()
         rows = rows.join(bad, batch, "left_anti")
-    group = F.expr(f"cast({batch} as bigint) div {per_folder}")
-    (rows.withColumn("batch_group", group).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    rows = rows.withColumn("batch_group", F.expr(f"cast({batch} as bigint) div {per_folder}"))
+    stored = _stored_partials(rows, root)
+    if stored is not None:
+        rows = materialize(rows.drop(*[f.name for f in rows.schema.fields if f.dataType == NullType()]), "partials")
+        again = rows.select(F.col(batch).alias("_again"), F.col("batch_group").alias("_group")).distinct()
+        groups = again.select("_group").distinct()
+        kept = stored.join(groups, F.col("batch_group").eqNullSafe(F.col("_group")), "left_semi").join(
+            again, F.col(batch).eqNullSafe(F.col("_again")), "left_anti")
+        rows = rows.unionByName(materialize(kept, "partials-kept"), allowMissingColumns=True)
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_group").json(root))
     return root
 

@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 import tempfile
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -105,6 +106,29 @@ def test_partials_and_split_outputs(spark):
     assert sorted(n for n in os.listdir(out) if n.startswith("label=")) == ["label=a", "label=b"]
 
 
+def test_partials_of_a_group_written_in_two_calls(spark):
+    root = _tmp()
+    kind = "sl string, tl string, batch_id int, at timestamp, score decimal(30,10)"
+    at, score = dt.datetime(2024, 5, 1, 12, 30), Decimal("12345678901234567890.0123456789")
+    first = [("a", "A", 1, at, score), ("007", "1", 2, None, None), ("c", "[ERROR]", 3, at, None), ("n", "N", None, at, None),
+             ("far", "F", 1500, at, score)]
+    sinks.write_partials(spark.createDataFrame(first, kind), root, only_complete=True)
+    far = os.listdir(os.path.join(root, "batch_group=1"))
+    # batch 3 is complete now, batch 2 comes anew, batch 4 has failed
+    second = [("c", "C", 3, at, score), ("b", "B", 2, at, None), ("d", "[ERROR]", 4, at, None)]
+    sinks.write_partials(spark.createDataFrame(second, kind), root, only_complete=True)
+    got = spark.read.schema(kind).json(root).drop("batch_group")
+    want = [first[0], second[1], second[0], first[3], first[4]]
+    assert sorted(map(repr, rows(got))) == sorted(map(repr, want))
+    assert os.listdir(os.path.join(root, "batch_group=1")) == far
+    # a column more, and a stored one less; then a call that has nothing to write
+    third = spark.createDataFrame([("e", "E", 5, "x")], "sl string, tl string, batch_id int, note string")
+    sinks.write_partials(third, root)
+    sinks.write_partials(third.limit(0), root)
+    got = spark.read.schema(kind + ", note string").json(root).drop("batch_group")
+    assert sorted(map(repr, rows(got))) == sorted(map(repr, [*[(*r, None) for r in want], ("e", "E", 5, None, None, "x")]))
+
+
 def test_render_text_files(spark):
     long = spark.createDataFrame([
         ("en", 1, "B", 1, 2, "two", 2), ("en", 1, "B", 1, 1, "one", 1), ("en", 1, "B", 2, 1, "x", 3)],
