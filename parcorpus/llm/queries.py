@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcorpus.llm import bpe, chat, decontam, hilbert, langid, linededup, ngramjoin, pii, quality, urlfilter
+from parcorpus.llm import (bpe, chat, decontam, hardneg, hilbert, langid, linededup, ngramjoin, pii, quality,
+                           urlfilter)
 from parcorpus.llm.common import table
 
 QUERIES = {}
@@ -121,6 +122,13 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramjoin.similar_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label").cast("long")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hardneg.mine(table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, label=moved).drop("positive_rank")
+
+
 # --------------------------------------------------------------------------
 # DuckDB twins
 # --------------------------------------------------------------------------
@@ -242,3 +250,19 @@ reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles,
   least(d.doc_id, coalesce((SELECT min(b) FROM reach WHERE reach.a = d.doc_id), d.doc_id)) AS component_id
 FROM documents d LEFT JOIN n USING (doc_id)"""
+
+ORACLE["op11_hard_negatives"] = """WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10"""
