@@ -36,12 +36,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
         conf.set(key, before)
 
 
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that this library made below the shared checkpoint folder."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables made by :func:`written` that nothing reads any more."""
     for df in tables:
         for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            drop_folder(df.sparkSession, folder)
 
 
 def ascii_lower(c: Column) -> Column:

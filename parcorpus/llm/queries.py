@@ -5,12 +5,15 @@ Each query applies its operator to the whole table with the parameters below;
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcorpus.llm import (bpe, chat, decontam, hardneg, hilbert, langid, linededup, ngramjoin, pii, quality,
-                           urlfilter)
-from parcorpus.llm.common import table
+                           urlfilter, warc)
+from parcorpus.llm.common import drop_folder, table
+from parcorpus.session import scratch_path
 
 QUERIES = {}
 ORACLE = {}
@@ -129,6 +132,21 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hardneg.mine(table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, label=moved).drop("positive_rank")
 
 
+@query
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, f"warc-{uuid.uuid4().hex}")
+    warc.write_archive(table(spark, sf_dir, "pages"), path, "page_id", "url", "html")
+    records = warc.read_archive(spark, path, payload=False)  # parsed by now: the archives are no longer needed
+    drop_folder(spark, path)
+
+    def own(name: str):
+        return F.regexp_extract(name, "^<urn:record:([0-9-]+):", 1).try_cast("long")
+
+    return records.where(F.col("type").isin("response", "revisit")).select(
+        own("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"),
+        own("refers_to").alias("refers_to"))
+
+
 # --------------------------------------------------------------------------
 # DuckDB twins
 # --------------------------------------------------------------------------
@@ -266,3 +284,14 @@ SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, p
   id AS negative_id, positive_score, score AS negative_score
 FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
 QUALIFY rank <= 10"""
+
+ORACLE["op12_warc"] = """WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS hex FROM p),
+b AS (
+  SELECT page_id, payload_bytes, hex, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(1 + ((CAST('0x' || substr(hex, CAST(10 * (i // 8) + 1 AS BIGINT), 10) AS BIGINT) >> CAST(35 - 5 * (i % 8) AS BIGINT)) & 31) AS BIGINT), 1)), '') AS payload_digest
+  FROM d),
+r AS (SELECT *, row_number() OVER (PARTITION BY hex ORDER BY page_id) AS k, min(page_id) OVER (PARTITION BY hex) AS least FROM b)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN k > 1 THEN least END AS refers_to
+FROM r"""
