@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcorpus.llm import (bpe, chat, decontam, hardneg, hilbert, langid, linededup, ngramjoin, pii, quality,
+from parcorpus.llm import (bpe, chat, decontam, hardneg, hilbert, langid, lexical, linededup, ngramjoin, pii, quality,
                            urlfilter, warc)
 from parcorpus.llm.common import drop_folder, table
 from parcorpus.session import scratch_path
@@ -147,6 +147,11 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         own("refers_to").alias("refers_to"))
 
 
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 # --------------------------------------------------------------------------
 # DuckDB twins
 # --------------------------------------------------------------------------
@@ -295,3 +300,22 @@ r AS (SELECT *, row_number() OVER (PARTITION BY hex ORDER BY page_id) AS k, min(
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN k > 1 THEN least END AS refers_to
 FROM r"""
+
+_TERMS = r"""regexp_extract_all(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+ORACLE["op13_lexical_search"] = f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS.format('text')} AS t FROM documents),
+n AS (SELECT rid, doc_id, CAST(len(t) AS BIGINT) AS n FROM d WHERE len(t) > 0),
+c AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM n),
+p AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(t) AS term FROM d) GROUP BY rid, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM p GROUP BY term), c),
+q AS (SELECT item, item_id, term, count(*) AS times
+      FROM (SELECT row_number() OVER () AS item, item_id, unnest({_TERMS.format('text')}) AS term FROM benchmark) GROUP BY ALL),
+s AS (
+  SELECT item, item_id, rid, doc_id,
+    CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * n_docs) // n_terms))))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN p USING (term) JOIN n USING (rid), c GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10"""

@@ -47,11 +47,16 @@ class WordHasher:
 
     def words(self, column) -> tuple:
         """(hashes of all words, place of each text's first word and the end)."""
+        return self.located(column)[:2]
+
+    def located(self, column) -> tuple:
+        """What :meth:`words` gives, the bytes of all texts, and each word's first and last place in them."""
         col = pc.fill_null(column, "").cast(pa.large_binary())
         offsets = np.frombuffer(col.buffers()[1], np.int64)[col.offset:col.offset + len(col) + 1]
         size = int(offsets[-1] - offsets[0]) if len(col) else 0
         if not size:
-            return np.zeros(0, np.uint64), np.zeros(len(col) + 1, np.int64)
+            none = np.zeros(0, np.int64)
+            return np.zeros(0, np.uint64), np.zeros(len(col) + 1, np.int64), np.zeros(0, np.uint8), none, none
         data = np.frombuffer(col.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
         cuts = offsets - offsets[0]
         self._grow(size)
@@ -66,7 +71,7 @@ class WordHasher:
         s, e = np.flatnonzero(first), np.flatnonzero(last)
         sums = np.cumsum(code * self.power[:size], dtype=np.uint64)
         h = (sums[e] - sums[s] + code[s] * self.power[s]) * self.inverse[s]
-        return mixed(h + (e - s).astype(np.uint64)), np.searchsorted(s, cuts)
+        return mixed(h + (e - s).astype(np.uint64)), np.searchsorted(s, cuts), data, s, e
 
 
 def runs(words, length: int):
