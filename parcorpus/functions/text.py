@@ -2,8 +2,7 @@
 
 Every function here compiles to built-in Catalyst expressions (regexp_replace,
 translate, substring, ...), so it stays inside whole-stage codegen. The regular
-expressions are written so that the same pattern text runs in Spark (Java regex)
-and in DuckDB (RE2); the oracle SQL reuses these constants.
+expressions are written so that the same pattern text runs in Java and in RE2.
 """
 
 from __future__ import annotations
@@ -88,7 +87,7 @@ def ws_to_space(c) -> Column:
 def split_ws(c) -> Column:
     """``s.split()``: whitespace-separated tokens, empty pieces dropped."""
     spaced = F.translate(_c(c), WS_CHARS, " " * len(WS_CHARS))
-    return F.filter(F.split(spaced, " "), lambda t: t != "")
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def collapse_ws(c) -> Column:

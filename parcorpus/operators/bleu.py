@@ -5,12 +5,14 @@ Public definition (Papineni et al. 2002, as standardised by Post 2018):
 corpus, brevity penalty, exponential smoothing of orders without a match, score
 0 when nothing matches or an order has no n-grams.
 
-Plan: per row the hypothesis and reference are tokenised with regex
-expressions and the rows are shuffled once by row id; each side's n-grams are
-exploded and counted per (row, n, gram) inside the row's partition, so grams
-are never shuffled; clipped matches, lengths and totals are reduced per row
-and then per group, and the final formula is a column expression over one row
-per group.
+Plan: everything about a row is computed in the row. The hypothesis and the
+reference are tokenised with regex expressions; a side's n-grams of one order
+are an array of 64-bit hashes, built from the order before. The clipped matches
+of two such arrays are the size of their multiset intersection: where one side
+has no gram twice, that of the plain intersection; else one fold over both
+sides' hashes, sorted together. A row leaves nine numbers, which are summed per
+group with a partial sum in every task, and the formula is a column expression
+over one row per group.
 """
 
 from __future__ import annotations
@@ -23,9 +25,11 @@ from parcorpus.functions import text as T
 MAX_ORDER = 4
 
 # 13a tokenisation rules (fixed values), applied in this order; Spark
-# replacement groups are written $1.
+# replacement groups are written $1. The definition's first class also has the
+# space, which it surrounds by spaces: tokens are split at runs of them, so it is
+# left out here.
 TOK13A_RULES = [
-    (r"([\{-\~\[-\` -\&\(-\+\:-\@\/])", " $1 "),
+    (r"([\{-\~\[-\`!-\&\(-\+\:-\@\/])", " $1 "),
     (r"([^0-9])([\.,])", "$1 $2 "),
     (r"([\.,])([^0-9])", " $1 $2"),
     (r"([0-9])(-)", "$1 $2 "),
@@ -47,68 +51,54 @@ def tokenize_13a(c) -> Column:
     return T.split_ws(s)
 
 
-def _ngram_rows(toks: Column) -> Column:
-    """ARRAY<STRUCT<n, g>> of every n-gram (n = 1..4) of a token array. Each
-    order is built from the previous one with ``zip_with`` (gram + " " + next
-    token), so no token window is sliced and re-joined per position."""
-    size = F.size(toks)
+def clipped_matches(a: Column, b: Column) -> Column:
+    """Size of the multiset intersection of two arrays of longs, in linear time after a sort.
 
-    def tag(n: int):
-        return lambda g: F.struct(F.lit(n).alias("n"), g.alias("g"))
+    In the fold, ``b``'s values have the lowest bit set and ``a``'s not, so of one value
+    those of ``a`` come first; each of ``b`` takes one of them, while any is left."""
+    own = F.transform(a, lambda x: x.bitwiseAND(F.lit(-2)))
+    other = F.transform(b, lambda x: x.bitwiseOR(F.lit(1).cast("long")))
+    zero = F.lit(0).cast("long")
 
-    grams = toks
-    parts = [F.transform(grams, tag(1))]
-    for n in range(2, MAX_ORDER + 1):
-        keep = F.greatest(size - F.lit(n - 1), F.lit(0))
-        grams = F.zip_with(F.slice(grams, 1, keep), F.slice(toks, F.lit(n), keep),
-                           lambda a, b: F.concat(a, F.lit(" "), b))
-        parts.append(F.transform(grams, tag(n)))
-    return F.concat(*parts)
+    def step(acc: Column, x: Column) -> Column:
+        value, first = x.bitwiseAND(F.lit(-2)), x.bitwiseAND(F.lit(1).cast("long")) == 0
+        left = F.when(acc["value"] == value, acc["left"]).otherwise(zero)
+        return F.struct(value.alias("value"), F.when(first, left + 1).otherwise(F.greatest(left - 1, zero)).alias("left"),
+                        F.when(first | (left == 0), acc["n"]).otherwise(acc["n"] + 1).alias("n"))
+
+    fold = F.aggregate(F.sort_array(F.concat(own, other)),
+                       F.struct(zero.alias("value"), zero.alias("left"), zero.alias("n")), step, lambda acc: acc["n"])
+    once = (F.size(F.array_distinct(a)) == F.size(a)) | (F.size(F.array_distinct(b)) == F.size(b))
+    return F.when(once, F.size(F.array_intersect(a, b)).cast("long")).otherwise(fold)
 
 
 def bleu_stats(df: DataFrame, hyp: str, ref: str, by: list[str] | None = None) -> DataFrame:
     """Sufficient statistics per group: sys_len, ref_len, correct_n, total_n.
 
-    Rows get an id made here, so rows that are equal stay apart.
-
-    One scan and one shuffle of the tokenised rows (by row id). Every n-gram
-    record also carries its row's token counts, so matches, lengths and totals
-    come out of the same exploded stream: counts per (row, n, gram), then per
-    row, are aggregated in the row's partition, and only one partial row per
-    task and group reaches the final aggregation. A row with no tokens on either
-    side contributes nothing, as in the definition.
-    """
+    One scan; no n-gram and no token leaves its row. A row with a missing side
+    contributes nothing, one without tokens its other side's length."""
     user_by = list(by or [])
     if not user_by:
         df = df.withColumn("_all", F.lit(0))
     by = user_by or ["_all"]
-    tok = df.select(*by, F.monotonically_increasing_id().alias("_rid"), tokenize_13a(hyp).alias("_h"),
-                    tokenize_13a(ref).alias("_r")).repartition("_rid")
-    rec = "struct<n:int,g:string,h:int,r:int,lh:int,lr:int>"
-
-    def side(col, h, r):
-        return F.transform(_ngram_rows(F.col(col)), lambda x: F.struct(
-            x["n"].alias("n"), x["g"].alias("g"), F.lit(h).alias("h"), F.lit(r).alias("r"),
-            F.lit(0).alias("lh"), F.lit(0).alias("lr")))
-
-    # one record per row (n = 0) carries the row's token counts; the n-gram
-    # records carry zeros, so plain sums recover the lengths per row
-    lengths = F.array(F.struct(F.lit(0).alias("n"), F.lit("").alias("g"), F.lit(0).alias("h"),
-                               F.lit(0).alias("r"), F.size("_h").alias("lh"),
-                               F.size("_r").alias("lr")).cast(rec))
-    grams = tok.select(*by, "_rid", F.explode(F.concat(lengths, side("_h", 1, 0), side("_r", 0, 1)))
-                       .alias("_x")).select(*by, "_rid", "_x.*")
-    clipped = grams.groupBy(*by, "_rid", "n", "g").agg(
-        F.least(F.sum("h"), F.sum("r")).alias("m"), F.sum("lh").alias("lh"), F.sum("lr").alias("lr"))
-    per_row = clipped.groupBy(*by, "_rid").agg(
-        F.sum("lh").alias("_lh"), F.sum("lr").alias("_lr"),
-        *[F.sum(F.when(F.col("n") == n, F.col("m")).otherwise(F.lit(0))).alias(f"correct_{n}")
-          for n in range(1, MAX_ORDER + 1)])
-    out = per_row.groupBy(*by).agg(
+    rows = df.where(F.col(hyp).isNotNull() & F.col(ref).isNotNull()).select(
+        *by, tokenize_13a(hyp).alias("_h"), tokenize_13a(ref).alias("_r"))
+    rows = rows.select(*by, F.size("_h").alias("_lh"), F.size("_r").alias("_lr"),
+                       *[F.transform(c, lambda t: F.xxhash64(t)).alias(f"{c}1") for c in ("_h", "_r")])
+    # each order is a projection of its own over the arrays of the one before; a row
+    # without a match of one order has none of the next, and its arrays end there
+    for n in range(1, MAX_ORDER + 1):
+        rows = rows.select("*", F.coalesce(clipped_matches(F.col(f"_h{n}"), F.col(f"_r{n}")), F.lit(0).cast("long")).alias(f"_c{n}"))
+        if n < MAX_ORDER:
+            rows = rows.select("*", *[F.when(F.col(f"_c{n}") > 0, F.zip_with(
+                F.slice(f"{c}{n}", 1, F.greatest(F.size(f"{c}{n}") - 1, F.lit(0))),
+                F.slice(f"{c}1", n + 1, F.greatest(F.size(f"{c}1") - n, F.lit(0))),
+                lambda a, b: F.xxhash64(a, b))).alias(f"{c}{n + 1}") for c in ("_h", "_r")])
+    out = rows.groupBy(*by).agg(
         F.sum("_lh").alias("sys_len"), F.sum("_lr").alias("ref_len"),
         *[F.sum(F.greatest(F.col("_lh") - F.lit(n - 1), F.lit(0))).alias(f"total_{n}")
           for n in range(1, MAX_ORDER + 1)],
-        *[F.sum(f"correct_{n}").alias(f"correct_{n}") for n in range(1, MAX_ORDER + 1)])
+        *[F.sum(f"_c{n}").alias(f"correct_{n}") for n in range(1, MAX_ORDER + 1)])
     return out if user_by else out.drop("_all")
 
 

@@ -8,6 +8,7 @@ from collections import Counter
 
 
 from parcorpus.operators import bleu, prep
+from pyspark.sql import functions as F
 from tests.conftest import rows
 
 
@@ -83,6 +84,29 @@ def test_bleu_matches_python(spark):
     assert abs(got - want) < 1e-9
 
 
+def test_clipped_matches_are_a_multiset_intersection(spark):
+    rnd = random.Random(5)
+    sides = [([], []), ([1], []), ([-3, -3, 2], [2, -3, -3, -3])]
+    sides += [tuple([rnd.choice([2 * k for k in range(-4, 5)]) for _ in range(rnd.randint(0, 20))] for _ in "ab") for _ in range(80)]
+    sides += [(list(range(0, 40, 2)), [rnd.randrange(0, 60, 2) for _ in range(50)])]
+    df = spark.createDataFrame(sides, "a array<long>, b array<long>")
+    got = rows(df.select("a", "b", bleu.clipped_matches(F.col("a"), F.col("b")).alias("n")))
+    assert [n for _, _, n in got] == [sum((Counter(a) & Counter(b)).values()) for a, b, _ in got]
+
+
+def test_bleu_of_long_repetitive_rows_and_missing_sides(spark):
+    rnd = random.Random(12)
+    pairs = [(" ".join(rnd.choice("ab,") for _ in range(700)), " ".join(rnd.choice("abc.") for _ in range(500))) for _ in range(5)]
+    pairs += [("", "a b"), ("a , .. 1.5, a..b - 3-4 !", "a , . . 1.5 , a..b -- 3 - 4!")]
+    assert abs(_spark_bleu(spark, pairs + [(None, "a"), ("a", None)]) - py_bleu(*zip(*pairs))) < 1e-9
+
+
+def test_no_ngram_leaves_its_row(spark):
+    df = spark.createDataFrame([("a b", "a b", 1)], "h string, r string, g int")
+    plan = bleu.corpus_bleu(df, "h", "r", ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and plan.count("Exchange") == 1, plan
+
+
 def test_equal_rows_stay_apart(spark):
     df = spark.createDataFrame([(1, "a b", "c")] * 3 + [(1, None, "")], "pos int, prompt string, target string")
     vocab = prep.build_vocab(df.fillna(""), ["prompt", "target"], 10)
