@@ -146,31 +146,21 @@ def hash_order(cols: Sequence[str], seed: int = 42) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long")
 
 
-def global_row_number(df: DataFrame, order: str | Sequence[str], col: str = "rn") -> DataFrame:
-    """F8: 1-based position over the whole table by ``order``, without moving
-    all rows to one partition.
-
-    ``order`` names one column or several; where the first can repeat, the
-    others should tell the rows apart, so that ties have a fixed place and
-    spread over tasks.
-
-    The table is range-partitioned and sorted by ``order`` (Spark samples the
-    key to balance the ranges); inside each sorted partition the position comes
-    from ``monotonically_increasing_id`` (partition index in the upper bits,
-    row index in the lower 33 bits). That numbering is written once under the
-    shared checkpoint folder, so the count branch and the row branch see the
-    same partitions and a retried task cannot renumber rows. Each partition's
-    offset is the running count of the partitions before it, computed on the
-    per-partition count table -- one row per partition, so broadcasting it is
-    bounded.
-    """
+def with_place(df: DataFrame, col: str = "place") -> DataFrame:
+    """The rows of ``df`` with their 1-based place in the order in which they come.
+
+    Rows are numbered inside each partition by ``monotonically_increasing_id``
+    (partition index in the upper bits, row index in the lower 33). That numbering is
+    written once under the shared checkpoint folder, so the count branch and the row
+    branch see the same partitions and a retried task cannot renumber rows. A
+    partition's offset is the running count of those before it, over one row per
+    partition, so broadcasting it is bounded."""
     from parcorpus.session import materialize
 
-    ordered = df.orderBy(*[F.col(c) for c in ([order] if isinstance(order, str) else order)])
     with_id = materialize(
-        ordered.withColumn("_mid", F.monotonically_increasing_id())
+        df.withColumn("_mid", F.monotonically_increasing_id())
         .withColumn("_pid", F.shiftright("_mid", 33))
-        .withColumn("_local", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))), "rownum")
+        .withColumn("_local", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))), "places")
     counts = with_id.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select("_pid", (F.sum("_cnt").over(Window.orderBy("_pid")) - F.col("_cnt"))
                             .alias("_off"))
@@ -179,11 +169,58 @@ def global_row_number(df: DataFrame, order: str | Sequence[str], col: str = "rn"
             .drop("_mid", "_pid", "_local", "_off"))
 
 
+def _key_places(keys: DataFrame) -> DataFrame:
+    """Per distinct row of ``keys``: ``_first``, the place of its first copy in the sorted
+    table, and ``_n``, its copies. Only the keys are sorted and written."""
+    return with_place(keys.orderBy(*keys.columns), "_at").groupBy(*keys.columns).agg(
+        F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+
+
+def _join_places(df: DataFrame, places: DataFrame, keys: Sequence[str]) -> DataFrame:
+    named = places.select(*[F.col(k).alias(f"_o{i}") for i, k in enumerate(keys)],
+                          *[c for c in places.columns if c not in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_o{i}")) for i, k in enumerate(keys)]
+    return df.join(named, same, "inner").drop(*[f"_o{i}" for i in range(len(keys))])
+
+
+def global_row_number(df: DataFrame, order: str | Sequence[str], col: str = "rn",
+                      keep: Column | None = None) -> DataFrame:
+    """F8: 1-based position over the whole table by ``order``, without moving
+    all rows to one partition and without copying them.
+
+    Only the order columns are sorted (range-partitioned: Spark samples them to
+    balance the ranges), numbered and written; the rows get their number by a join
+    on these columns, NULLs first and equal to each other. ``keep`` returns only the
+    rows for which it holds, numbered among all.
+
+    ``order`` names one column or several that should tell the rows apart and come
+    out the same whenever ``df`` is computed. Rows that agree in all of them are
+    numbered among themselves by a hash of the whole row, again by keys alone;
+    rows that are equal as a whole are counted, map-side first, and spread over
+    their numbers."""
+    order = [order] if isinstance(order, str) else list(order)
+    places = _key_places(df.select(*order))
+    kept = df if keep is None else df.where(keep)
+    if places.where("_n > 1").isEmpty():
+        return _join_places(kept, places, order).withColumn(col, F.col("_first")).drop("_first", "_n")
+    tied = _join_places(df, places.where("_n > 1").drop("_n").withColumnRenamed("_first", "_group"), order).withColumns({
+        "_h1": F.xxhash64(*df.columns), "_h2": F.xxhash64(F.lit(1), *df.columns)})
+    among = ["_group", "_h1", "_h2"]
+    within = _key_places(tied.select(*among))
+    base = within.groupBy(F.col("_group").alias("_g")).agg(F.min("_first").alias("_base"))
+    within = within.join(base, F.col("_group") == F.col("_g")).select(
+        *among, (F.col("_group") + F.col("_first") - F.col("_base")).alias("_rn"))
+    copies = _join_places(tied if keep is None else tied.where(keep), within, among).groupBy(*df.columns, "_rn").agg(
+        F.count(F.lit(1)).alias("_copies"))
+    several = copies.withColumn(col, F.explode(F.sequence(F.col("_rn"), F.col("_rn") + F.col("_copies") - 1)))
+    alone = _join_places(kept, places.where("_n = 1"), order).withColumn(col, F.col("_first"))
+    return alone.select(*df.columns, col).unionByName(several.select(*df.columns, col))
+
+
 def failure_report(df: DataFrame, order: str = "pos", sl: str = "sl", tl: str = "tl",
                    ol: str = "ol") -> DataFrame:
     """failed rows numbered by their position among all rows."""
-    numbered = global_row_number(df, order, "idx")
-    return numbered.where(T.is_failed(tl)).select(
+    return global_row_number(df, order, "idx", keep=T.is_failed(tl)).select(
         "idx", F.format_string("#%04d", F.col("idx")).alias("label"),
         F.col(sl).alias("sl"), F.coalesce(F.col(ol), F.lit("N/A")).alias("ol"),
         F.col(tl).alias("tl"))

@@ -83,9 +83,10 @@ def union_languages(wide: DataFrame, src: str, targets: dict[str, str]) -> DataF
     return stacked.where(T.is_valid_text("en") & T.is_valid_text("target"))
 
 
-def even_then_odd(df: DataFrame, cls: str = "cls", index: str = "idx") -> DataFrame:
-    """U4: all ``even`` rows, then all ``odd`` rows, each in index order."""
-    return df.orderBy((F.col(cls) == "odd"), F.col(index))
+def even_then_odd(df: DataFrame, cls: str = "cls", index: str = "idx", ties: Sequence[str] = ()) -> DataFrame:
+    """U4: all ``even`` rows, then all ``odd`` rows, each in index order, and rows
+    of one index (of different tables) by ``ties``."""
+    return df.orderBy((F.col(cls) == "odd"), F.col(index), *ties)
 
 
 def read_many(tables: Sequence[DataFrame], src: str, tgt: str, order: str = "pos") -> DataFrame:

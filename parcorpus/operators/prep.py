@@ -46,10 +46,10 @@ def exact_split(df: DataFrame, cols: Sequence[str], test_size: float = 0.2, seed
                 col: str = "split", rule: str = "ceil_test") -> DataFrame:
     """L3/L4 exact sizes: rows ordered by their hash; the first ``ceil(0.2 n)``
     are test (``ceil_test``) or the first ``int(0.8 n)`` are train
-    (``floor_train``, the CSV path). Rows of one hash are ordered by their
-    columns, so copies of a row spread over tasks as far as these differ."""
+    (``floor_train``, the CSV path). Rows of one hash are ordered by the columns
+    that it does not cover."""
     keyed = df.withColumn("_h", dedup.hash_order(cols, seed))
-    numbered = dedup.global_row_number(keyed, ["_h", *df.columns], "_rn")
+    numbered = dedup.global_row_number(keyed, ["_h", *[c for c in df.columns if c not in cols]], "_rn")
     n = df.agg(F.count(F.lit(1))).scalar()
     if rule == "ceil_test":
         n_test = F.ceil(n * F.lit(test_size)).cast("long")
@@ -92,19 +92,32 @@ def pad(ids: Column, max_len: int) -> Column:
     return F.concat(ids, F.array_repeat(F.lit(PAD_ID), F.lit(max_len) - F.size(ids)))
 
 
+#: Copies of the dictionary in a look-up, so that a part on a third of all rows is spread over as many tasks.
+SALTS = 16
+
+
 def _looked_up(df: DataFrame, parts: Column, dim: DataFrame, key: str, value: str) -> DataFrame:
     """``_row`` (the row) and ``_e`` (its looked-up parts) for every row of ``df``.
 
     ``parts``: array of (s, p, key). Each row gets an id made here, so rows
     that are equal stay apart. The row rides on one extra part (s = -1), so the
-    table is read, exploded and gathered once and never joined with itself."""
+    table is read, exploded and gathered once and never joined with itself. Parts
+    look for the copy of the dictionary that their row's id names; the part with
+    the row has a place of its own beyond all copies, so rows are dealt evenly
+    and find nothing."""
     kind = f"array<struct<s:int,p:int,{key}:{dict(dim.dtypes)[key]}>>"
     head = F.array(F.struct(F.lit(-1).alias("s"), F.lit(-1).alias("p"), F.lit(None).alias(key))).cast(kind)
     rows = df.select(F.struct(*df.columns).alias("_row"), F.concat(head, parts.cast(kind)).alias("_parts")).withColumn(
         "_rid", F.monotonically_increasing_id())  # before the explode, so one per row
     ex = rows.select("_rid", "_row", F.explode("_parts").alias("_x"))
-    ex = ex.select("_rid", F.when(F.col("_x.s") < 0, F.col("_row")).alias("_row"), "_x.*")
-    found = ex.join(dim.select(key, value), key, "left")
+    rides = F.col("_x.s") < 0
+    nothing = F.lit("" if dict(dim.dtypes)[key] == "string" else 0).cast(dict(dim.dtypes)[key])
+    ex = ex.select("_rid", F.when(rides, F.col("_row")).alias("_row"), "_x.s", "_x.p",
+                   F.when(rides, nothing).otherwise(F.col(f"_x.{key}")).alias("_key"),
+                   F.when(rides, F.col("_rid") + SALTS).otherwise(F.pmod(F.xxhash64("_rid"), F.lit(SALTS))).alias("_copy"))
+    copies = dim.select(F.col(key).alias("_k"), F.col(value),
+                        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_c"))
+    found = ex.join(copies, (F.col("_key") == F.col("_k")) & (F.col("_copy") == F.col("_c")), "left")
     return found.groupBy("_rid").agg(
         F.first("_row", ignorenulls=True).alias("_row"),
         F.array_sort(F.collect_list(F.when(F.col("s") >= 0, F.struct("s", "p", value)))).alias("_e"))

@@ -190,9 +190,9 @@ BOOKS = f"""books AS (SELECT DISTINCT source AS name, {BOOK_ID} AS id,
   coalesce(TRY_CAST(regexp_extract(source, '[0-9]+', 0) AS INTEGER), 2147483647) AS ordinal FROM documents)"""
 
 ORACLE["canonical_order"] = _with(*ALIGN_BASE) + """, """ + BOOKS + """
-SELECT coalesce(b.ordinal, -1) AS book_ord, m.book_name, m.chapter, m.verse, m.en_text
-FROM merged m LEFT JOIN books b ON m.book_id = b.id
-ORDER BY book_ord, chapter, verse"""
+SELECT coalesce(b.ordinal, -1) AS book_ord, m.book_name, m.chapter, m.verse, m.en_text,
+  row_number() OVER (ORDER BY coalesce(b.ordinal, -1), m.chapter, m.verse) AS place
+FROM merged m LEFT JOIN books b ON m.book_id = b.id"""
 
 
 # --------------------------------------------------------------------------
@@ -328,7 +328,9 @@ ORACLE["log_kept_ratio"] = _with(_log_cte()) + """SELECT worker, batch, count(*)
 FROM parsed WHERE batch IS NOT NULL GROUP BY worker, batch"""
 
 ORACLE["filter_log"] = _with(_log_cte()) + """SELECT worker, batch, line_no, value FROM parsed
-WHERE batch IS NOT NULL"""
+WHERE worker = 1 AND batch = (SELECT min(batch) FROM parsed WHERE worker = 1)"""
+ORACLE["log_batch_lines"] = _with(_log_cte()) + """SELECT value FROM parsed
+WHERE worker = 1 AND batch = (SELECT min(batch) FROM parsed WHERE worker = 1)"""
 
 
 # --------------------------------------------------------------------------
@@ -838,7 +840,8 @@ FROM merged JOIN status USING (book_name, chapter)"""
 ORACLE["shuffle_order"] = """SELECT doc_id, row_number() OVER (ORDER BY
   CAST(('0x' || substr(md5(concat_ws(chr(1), '42', CAST(doc_id AS VARCHAR))), 1, 15)) AS BIGINT), doc_id) AS rn
 FROM documents"""
-ORACLE["even_then_odd"] = f"""SELECT page_id, cls, idx, en FROM ({ORACLE['extract_table_pairs']}) WHERE status = 'ok'"""
+ORACLE["even_then_odd"] = f"""SELECT page_id, cls, idx, en, row_number() OVER (ORDER BY cls = 'odd', idx, page_id) AS place
+FROM ({ORACLE['extract_table_pairs']}) WHERE status = 'ok'"""
 ORACLE["join_spans"] = f"SELECT doc_id, {strip('replace(text, chr(10), ' + repr('') + ')')} AS joined FROM documents"
 ORACLE["complete_batches"] = _with(_log_cte()) + """SELECT line_no, batch FROM parsed p
 WHERE batch IS NOT NULL AND NOT EXISTS (SELECT 1 FROM parsed e WHERE e.batch = p.batch AND e.level = 'ERROR')"""

@@ -109,9 +109,10 @@ def alignment_report(spark, sf_dir):
 
 @query
 def canonical_order(spark, sf_dir):
-    wide = _wide(spark, sf_dir)
-    return align.canonical_sort(wide, V.books(spark, sf_dir)).select(
-        "book_ord", "book_name", "chapter", "verse", "en_text")
+    """L1: the corpus in canonical order, each row with its place in the output."""
+    wide = _wide(spark, sf_dir).select("book_name", "book_id", "chapter", "verse", "en_text")
+    return dedup.with_place(align.canonical_sort(wide, V.books(spark, sf_dir)).select(
+        "book_ord", "book_name", "chapter", "verse", "en_text"))
 
 
 # --------------------------------------------------------------------------
@@ -221,10 +222,22 @@ def log_kept_ratio(spark, sf_dir):
 
 @query
 def filter_log(spark, sf_dir):
-    """The lines of every batch, found by its full prefix."""
+    """The lines of one worker's first batch out of the whole log, found by the batch's
+    prefix. Batches and workers whose numbers begin with the same digits (1, 10, 11) are in it too."""
     lines = _parsed_log(spark, sf_dir)
-    return readers.filter_log(lines, F.col("worker"), F.col("batch"), F.col("total")).select(
-        "worker", "batch", "line_no", "value")
+    first = lines.where(F.col("worker") == 1).agg(F.min("batch")).scalar()
+    total = lines.agg(F.max("total")).scalar()
+    return readers.filter_log(lines, 1, first, total).select("worker", "batch", "line_no", "value")
+
+
+@query
+def log_batch_lines(spark, sf_dir):
+    """C12 after the split: the folders of one worker's batches are the only ones read for its first batch."""
+    path = _fresh(spark, "logs")
+    parsed = _parsed_log(spark, sf_dir)
+    readers.split_log_by_batch(parsed, path)
+    first = parsed.where(F.col("worker") == 1).agg(F.min("batch")).first()[0]
+    return readers.read_log_batch(spark, path, 1, -1 if first is None else first)
 
 
 # --------------------------------------------------------------------------
@@ -811,7 +824,7 @@ def split_outputs(spark, sf_dir):
 
 @query
 def log_of_batch(spark, sf_dir):
-    """C12 for all batches at once: written by worker, and one worker's folders read."""
+    """C12 for all batches at once: written by worker and bucket of batches, read back whole."""
     path = _fresh(spark, "logs")
     readers.split_log_by_batch(_parsed_log(spark, sf_dir), path)
     back = spark.read.schema("worker int, batch int, value string, bucket int").json(path)
@@ -867,16 +880,15 @@ def label_chapters(spark, sf_dir):
 
 @query
 def shuffle_order(spark, sf_dir):
-    """L2: the documents' place in a reproducible random order."""
-    ordered = prep.shuffle_order(V.table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"])
-    return dedup.global_row_number(ordered.withColumn("_h", dedup.hash_order(["doc_id"])), ["_h", "doc_id"], "rn").drop("_h")
+    """L2: the documents' place in the operator's reproducible random order."""
+    return dedup.with_place(prep.shuffle_order(V.table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"]), "rn")
 
 
 @query
 def even_then_odd(spark, sf_dir):
     """U4: the pages' table rows, even ones first."""
     rows = segment.extract_table_pairs(V.table_pages(spark, sf_dir)).where("status = 'ok'")
-    return joins.even_then_odd(rows).select("page_id", "cls", "idx", "en")
+    return dedup.with_place(joins.even_then_odd(rows, ties=["page_id"]).select("page_id", "cls", "idx", "en"))
 
 
 @query

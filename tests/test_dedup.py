@@ -3,6 +3,8 @@ cross-seen rule against its sequential statement."""
 
 import random
 
+from pyspark.sql import functions as F
+
 from parcorpus.operators import dedup, joins
 from parcorpus.plans import views as V
 from tests.conftest import SF_SMALL, rows
@@ -75,6 +77,31 @@ def test_global_row_number(spark):
     assert [r[1] for r in got] == list(range(1, 5001))
 
 
+def test_global_row_number_of_ties_copies_and_nulls(spark):
+    data = [(k % 7 if k % 11 else None, k % 5, "same" if k % 3 else f"t{k}") for k in range(400)]
+    df = spark.createDataFrame(data, "k int, j int, text string").repartition(5)
+    for order in ("k", ["k", "j"], ["k", "j", "text"]):
+        names = [order] if isinstance(order, str) else order
+        out = rows(dedup.global_row_number(df, order), "rn", "k", "j", "text")
+        assert [r[0] for r in sorted(out)] == list(range(1, 401))
+        assert sorted(map(str, (r[1:] for r in out))) == sorted(map(str, data))
+        keys = [tuple((r[1 + ["k", "j", "text"].index(c)] is not None, r[1 + ["k", "j", "text"].index(c)]) for c in names)
+                for r in sorted(out)]
+        assert keys == sorted(keys)
+        some = rows(dedup.global_row_number(df, order, keep=F.col("text") == "same"), "rn", "k", "j", "text")
+        assert sorted(map(str, some)) == sorted(str(r) for r in out if r[3] == "same")
+
+
+def test_global_row_number_sorts_and_writes_keys_only(spark, monkeypatch):
+    from parcorpus import session
+    written = []
+    plain = session.materialize
+    monkeypatch.setattr(session, "materialize", lambda df, name="table": written.append(df.columns) or plain(df, name))
+    df = spark.createDataFrame([(k, f"text {k}") for k in range(50)], "pos int, tl string")
+    assert dedup.global_row_number(df, "pos").count() == 50
+    assert written == [["pos", "_mid", "_pid", "_local"]]
+
+
 def test_checkpoints_sf0001(spark):
     # first and last line of every document: the input of the survey's values
     dp = spark.read.parquet(f"{SF_SMALL}/documents.parquet").selectExpr(

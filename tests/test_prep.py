@@ -137,3 +137,23 @@ def test_places_of_long_conversations_and_documents_do_not_meet(spark):
     assert ordered == sorted(ordered)
     assert rows(V.doc_pairs(spark, d).where("doc_id = 2").orderBy("line"), "src", "tgt") == [("y", "z"), ("z", "y")]
     assert V.books(spark, d).select("id").distinct().count() == 2
+
+
+def test_look_up_deals_rows_evenly(spark):
+    """With broadcasts off no key of the look-up's exchange holds more than its share: rows have no common key,
+    and a token on every row is dealt over the copies of the vocabulary."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame([(k, "the the w", f"x{k}") for k in range(400)], "pos int, prompt string, target string")
+        vocab = prep.build_vocab(df, ["prompt"], 10)
+        enc = prep.encode_fixed(df, vocab, max_len=3)
+        plan = enc._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(_key" in plan and "hashpartitioning(token#" not in plan.replace("hashpartitioning(token#", "", 1), plan
+        got = {r["pos"]: (list(r["input_ids"]), list(r["labels"])) for r in enc.collect()}
+        the, w = ({r["token"]: r["id"] for r in vocab.collect()}[t] for t in ("the", "w"))
+        assert got == {k: ([the, the, w], [prep.UNK_ID, 0, 0]) for k in range(400)}
+        back = prep.decode_ids(enc, "input_ids", vocab)
+        assert {r["decoded"] for r in back.collect()} == {"the the w"}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
