@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcorpus.functions import text as T
 from parcorpus.operators.schema import to_long, wide_name
-from parcorpus.session import materialize as _materialize
 
 VERSE_KEY = ["book_name", "chapter", "verse"]
 CHAPTER_KEY = ["book_name", "chapter"]
@@ -70,53 +70,74 @@ def verse_counts(wide: DataFrame, versions: Sequence[str]) -> DataFrame:
                  F.min("ordinal").alias("ordinal")))
 
 
-def _reuse(wide: DataFrame, materialize: bool) -> DataFrame:
-    """Composite checks read the wide corpus several times; writing it once
-    avoids recomputing the merge in every branch."""
-    return _materialize(wide, "wide") if materialize else wide
+def _lengths(wide: DataFrame, versions: Sequence[str], *more: str) -> DataFrame:
+    """Per row of the wide corpus its key and ``_l``, the length (code points) of each
+    version's stripped text, NULL where there is none. No text leaves the row."""
+    def length(v: str):
+        text = T.strip(F.col(wide_name(v)))
+        return F.when(text != "", F.length(text))
 
+    return wide.select(*VERSE_KEY, *more, F.array(*[length(v) for v in versions]).alias("_l"))
 
-def chapter_facts(wide: DataFrame, versions: Sequence[str]) -> DataFrame:
-    """G2-G5 in one chapter-level table: rows, per-version counts, status,
-    majority and outliers.
 
-    The version counts (a partial aggregation over the present texts) are
-    gathered per chapter into one array -- bounded by the number of versions --
-    sorted by first appearance (first verse with text, then version order).
+def chapter_facts(wide: DataFrame, versions: Sequence[str], factor: float = LENGTH_FACTOR) -> DataFrame:
+    """G2-G5 and G7 in one chapter-level table: rows, per-version counts, status,
+    majority and outliers, the first suspicious verse and its suspects.
+
+    One aggregation over fixed-width values, combined map-side, so a chapter of any
+    size is a row per task: each version's verses, the first of them, and the first
+    at which the version is longer than ``mean * factor``. The rest are expressions
+    over a chapter's versions, an array bounded by their number, sorted by first
+    appearance (first verse with text, then version order).
     The majority is the count with the highest frequency, ties going to the
     count met first; outliers are the versions whose count differs, in order
     of first appearance; ``counts`` lists (version, n) ascending by n, ties in
-    first-appearance order. Chapters with no text at all are ``empty``."""
-    counts = verse_counts(wide, versions)
-    per_ch = counts.groupBy(*CHAPTER_KEY).agg(
-        F.array_sort(F.collect_list(F.struct("first_verse", "ordinal", "version", "n"))).alias("_a"))
+    first-appearance order. The split verse is the first at which an outlier is too
+    long, and the suspects are those that are so there. Chapters with no text at
+    all are ``empty``."""
+    rows = _lengths(wide, versions)
+    own = F.filter("_l", lambda x: x.isNotNull())
+    rows = rows.select(*CHAPTER_KEY, "verse", "_l", F.size(own).alias("_n"),
+                       F.aggregate(own, F.lit(0).cast("long"), lambda acc, x: acc + x).alias("_sum"))
+    rows = rows.select(*CHAPTER_KEY, "verse", "_l", F.when(F.col("_n") >= 2, F.col("_sum") / F.col("_n") * F.lit(float(factor))).alias("_most"))
+    aggs = [F.count(F.lit(1)).alias("n_rows")]
+    for i in range(len(versions)):
+        length = F.get("_l", F.lit(i))
+        aggs += [F.count(length).alias(f"_n{i}"), F.min(F.when(length.isNotNull(), F.col("verse"))).alias(f"_f{i}"),
+                 F.min(F.when(length > F.col("_most"), F.col("verse"))).alias(f"_s{i}")]
+    found = rows.groupBy(*CHAPTER_KEY).agg(*aggs)
+    by_version = F.array(*[F.struct(
+        F.col(f"_f{i}").alias("first_verse"), F.lit(i).alias("ordinal"), F.lit(v).alias("version"), F.col(f"_n{i}").alias("n"),
+        F.col(f"_s{i}").alias("long")) for i, v in enumerate(versions)])
+    found = found.select(*CHAPTER_KEY, "n_rows", F.array_sort(F.filter(by_version, lambda x: x["n"] > 0)).alias("_a"))
     a = F.col("_a")
-    freqs = F.transform(a, lambda x: F.size(F.filter(a, lambda y: y["n"] == x["n"])))
-    majority = F.element_at(a, F.array_position(freqs, F.array_max(freqs)).cast("int"))["n"]
-    n_distinct = F.size(F.array_distinct(F.transform(a, lambda x: x["n"])))
-    facts = per_ch.select(
-        *CHAPTER_KEY, F.size(a).cast("long").alias("n_versions"), n_distinct.alias("n_distinct"),
-        majority.alias("majority"),
+    found = found.select(*CHAPTER_KEY, "n_rows", "_a", F.transform(
+        a, lambda x: F.size(F.filter(a, lambda y: y["n"] == x["n"]))).alias("_freqs"))
+    found = found.select(*CHAPTER_KEY, "n_rows", "_a", F.element_at(
+        a, F.array_position("_freqs", F.array_max("_freqs")).cast("int"))["n"].alias("majority"))
+    found = found.select(*CHAPTER_KEY, "n_rows", "_a", "majority",
+                         F.filter(a, lambda x: x["n"] != F.col("majority")).alias("_out"))
+    found = found.select("*", F.array_min(F.transform("_out", lambda x: x["long"])).alias("split_verse"))
+    return found.select(
+        *CHAPTER_KEY, "n_rows", F.size(a).cast("long").alias("n_versions"),
+        F.when(F.size(a) == 0, F.lit("empty")).when(F.size("_out") == 0, F.lit("consistent"))
+        .otherwise(F.lit("inconsistent")).alias("status"),
+        "majority",
         F.transform(F.array_sort(F.transform(a, lambda x: F.struct(
             x["n"].alias("n"), x["first_verse"].alias("f"), x["ordinal"].alias("o"),
             x["version"].alias("version")))),
             lambda x: F.struct(x["version"].alias("version"), x["n"].alias("n"))).alias("counts"),
-        F.transform(F.filter(a, lambda x: x["n"] != majority), lambda x: x["version"]).alias("outliers"))
-    chapters = wide.groupBy(*CHAPTER_KEY).agg(F.count(F.lit(1)).alias("n_rows"))
-    return (chapters.join(facts, CHAPTER_KEY, "left")
-            .select(*CHAPTER_KEY, "n_rows",
-                    F.coalesce("n_versions", F.lit(0).cast("long")).alias("n_versions"),
-                    F.when(F.col("n_distinct").isNull(), F.lit("empty"))
-                    .when(F.col("n_distinct") == 1, F.lit("consistent"))
-                    .otherwise(F.lit("inconsistent")).alias("status"),
-                    "majority", "counts", "outliers"))
-
-
-def chapter_status(wide: DataFrame, versions: Sequence[str], materialize: bool = False) -> DataFrame:
+        F.transform("_out", lambda x: x["version"]).alias("outliers"), "split_verse",
+        F.transform(F.array_sort(F.transform(
+            F.filter("_out", lambda x: x["long"] == F.col("split_verse")),
+            lambda x: F.struct(x["ordinal"].alias("o"), x["version"].alias("version")))),
+            lambda x: x["version"]).alias("suspects"))
+
+
+def chapter_status(wide: DataFrame, versions: Sequence[str]) -> DataFrame:
     """Per chapter ``consistent`` (all present versions have the same
     count, one version counts as consistent), ``inconsistent``, or ``empty``
     (no text in any version)."""
-    wide = _reuse(wide, materialize)
     return chapter_facts(wide, versions).select(*CHAPTER_KEY, "n_rows", "n_versions", "status")
 
 
@@ -126,15 +147,12 @@ def label_chapters(wide: DataFrame, status: DataFrame, col: str = "status") -> D
     return wide.join(status.select(*CHAPTER_KEY, F.col("status").alias(col)), CHAPTER_KEY, "left")
 
 
-def majority_outliers(wide: DataFrame, versions: Sequence[str], materialize: bool = False,
-                      facts: DataFrame | None = None) -> DataFrame:
+def majority_outliers(wide: DataFrame, versions: Sequence[str]) -> DataFrame:
     """G4/G5/L6 per inconsistent chapter: counts sorted ascending, majority
     count (ties: the count met first, i.e. of the version whose first text
     comes earliest, then by version order) and outlier versions in order of
     first appearance."""
-    if facts is None:
-        facts = chapter_facts(_reuse(wide, materialize), versions)
-    return facts.where(F.col("status") == "inconsistent").select(
+    return chapter_facts(wide, versions).where(F.col("status") == "inconsistent").select(
         *CHAPTER_KEY, "majority", "counts", "outliers")
 
 
@@ -148,83 +166,60 @@ def verse_length_stats(wide: DataFrame, versions: Sequence[str]) -> DataFrame:
             .where(F.col("n_versions") >= 2))
 
 
-def suspicious_verses(wide: DataFrame, versions: Sequence[str],
-                      factor: float = LENGTH_FACTOR, materialize: bool = True,
-                      facts: DataFrame | None = None) -> DataFrame:
+def _named(lengths, versions: Sequence[str]):
+    """ARRAY<STRUCT<version, len>> of the versions that have a length, in their order."""
+    both = F.zip_with(F.array(*[F.lit(v) for v in versions]), lengths,
+                      lambda v, n: F.struct(v.alias("version"), n.alias("len")))
+    return F.filter(both, lambda x: x["len"].isNotNull())
+
+
+def suspicious_verses(wide: DataFrame, versions: Sequence[str], factor: float = LENGTH_FACTOR) -> DataFrame:
     """Per inconsistent chapter the first verse where an outlier version is
     longer than ``mean * factor`` (strict; the mean includes it), with the
     suspect versions and every version's length at that verse.
 
-    Plan: the present texts of inconsistent chapters (outliers attached by a
-    join with the small chapter table) get the verse mean through a window on
-    the verse key -- one shuffle, and a verse group never holds more rows than
-    there are versions; per-verse facts are then reduced in place and the first
-    flagged verse is picked per chapter with ``min_by``.
-    """
-    wide = _reuse(wide, materialize)
-    mo = majority_outliers(wide, versions, facts=facts).select(*CHAPTER_KEY, "outliers")
-    present = (_present(wide, versions).withColumn("len", F.length("text"))
-               .join(mo, CHAPTER_KEY, "inner"))
-    w = Window.partitionBy(*VERSE_KEY)
-    with_mean = (present.withColumn("n_versions", F.count(F.lit(1)).over(w))
-                 .withColumn("mean_len", F.avg("len").over(w))
-                 .where(F.col("n_versions") >= 2))
-    flag = (F.array_contains("outliers", F.col("version"))
-            & (F.col("len") > F.col("mean_len") * F.lit(float(factor))))
-    per_verse = with_mean.groupBy(*VERSE_KEY).agg(
-        F.max(flag).alias("flagged"),
-        F.array_sort(F.collect_list(F.when(flag, F.struct("ordinal", "version")))).alias("_s"),
-        F.array_sort(F.collect_list(F.struct("ordinal", "version", "len"))).alias("_l"))
-    first = (per_verse.where("flagged").groupBy(*CHAPTER_KEY)
-             .agg(F.min_by(F.struct("verse", "_s", "_l"), F.col("verse")).alias("_f")))
-    return first.select(
-        *CHAPTER_KEY, F.col("_f.verse").alias("split_verse"),
-        F.transform("_f._s", lambda x: x["version"]).alias("suspects"),
-        F.transform("_f._l", lambda x: F.struct(x["version"].alias("version"),
-                                                 x["len"].alias("len"))).alias("lengths"))
+    The verses come from the chapter aggregate; the lengths from the corpus' row
+    with that key, by a join over keys and lengths."""
+    split = chapter_facts(wide, versions, factor).where("split_verse is not null").select(
+        *CHAPTER_KEY, F.col("split_verse").alias("verse"), "suspects")
+    return _lengths(wide, versions).join(split, VERSE_KEY).select(
+        *CHAPTER_KEY, F.col("verse").alias("split_verse"), "suspects", _named(F.col("_l"), versions).alias("lengths"))
 
 
 def salvage(wide: DataFrame, versions: Sequence[str], factor: float = LENGTH_FACTOR,
-            col: str = "label", materialize: bool = True) -> DataFrame:
+            col: str = "label") -> DataFrame:
     """G8 + J-6: label every row of the wide corpus ``good`` or ``suspect``.
 
     Consistent chapters and inconsistent chapters without a suspicious verse are
     good as a whole; otherwise verses before the split are good and the rest
-    suspect. Chapters with no text at all are left out.
+    suspect. Chapters with no text at all are left out. One join with the chapter
+    aggregate.
     """
-    wide = _reuse(wide, materialize)
-    # chapter-level facts are small: written once, read by both branches
-    facts = _materialize(chapter_facts(wide, versions), "chapter_facts")
-    status = facts.select(*CHAPTER_KEY, "status")
-    # the split table has one row per inconsistent chapter; written once, its
-    # file size lets the planner broadcast it (or fall back to a shuffle join)
-    split = _materialize(suspicious_verses(wide, versions, factor, materialize=False, facts=facts)
-                         .select(*CHAPTER_KEY, "split_verse"), "split")
-    labelled = (wide.join(status, CHAPTER_KEY, "inner")
-                .where(F.col("status") != "empty")
-                .join(split, CHAPTER_KEY, "left"))
+    facts = chapter_facts(wide, versions, factor).where("status <> 'empty'").select(*CHAPTER_KEY, "split_verse")
     lab = F.when(F.col("split_verse").isNull() | (F.col("verse") < F.col("split_verse")),
                  F.lit("good")).otherwise(F.lit("suspect"))
-    return labelled.withColumn(col, lab).drop("status", "split_verse")
+    return wide.join(facts, CHAPTER_KEY, "inner").withColumn(col, lab).drop("split_verse")
 
 
-def alignment_report(wide: DataFrame, versions: Sequence[str],
-                     factor: float = LENGTH_FACTOR, materialize: bool = True) -> DataFrame:
+def alignment_report(wide: DataFrame, versions: Sequence[str], factor: float = LENGTH_FACTOR) -> DataFrame:
     """One row per inconsistent chapter with everything the text report
     states: counts (ascending), majority, outliers, split verse, the sizes of
-    both sides, suspects and lengths at the split verse."""
-    wide = _reuse(wide, materialize)
-    facts = _materialize(chapter_facts(wide, versions), "chapter_facts")
-    mo = majority_outliers(wide, versions, facts=facts)
-    sv = _materialize(suspicious_verses(wide, versions, factor, materialize=False, facts=facts),
-                      "split")
-    sides = (wide.join(sv.select(*CHAPTER_KEY, "split_verse"), CHAPTER_KEY, "inner")
-             .groupBy(*CHAPTER_KEY)
-             .agg(F.count_if(F.col("verse") < F.col("split_verse")).alias("n_good"),
-                  F.count_if(F.col("verse") >= F.col("split_verse")).alias("n_suspect")))
-    return (mo.join(sv, CHAPTER_KEY, "left").join(sides, CHAPTER_KEY, "left")
-            .select(*CHAPTER_KEY, "counts", "majority", "outliers", "split_verse",
-                    "n_good", "n_suspect", "suspects", "lengths"))
+    both sides, suspects and lengths at the split verse.
+
+    The chapter aggregate is joined with the keys and lengths of the corpus once,
+    which counts both sides of the split and finds its lengths."""
+    facts = chapter_facts(wide, versions, factor).where("status = 'inconsistent'").drop("n_rows", "n_versions", "status")
+    here = F.col("verse") == F.col("split_verse")
+    sides = _lengths(wide, versions).join(facts.where("split_verse is not null").select(*CHAPTER_KEY, "split_verse"), CHAPTER_KEY).groupBy(
+        *CHAPTER_KEY).agg(
+        F.count_if(F.col("verse") < F.col("split_verse")).alias("n_good"),
+        F.count_if(F.col("verse") >= F.col("split_verse")).alias("n_suspect"),
+        *[F.max(F.when(here, F.get("_l", F.lit(i)))).alias(f"_l{i}") for i in range(len(versions))])
+    sides = sides.select(*CHAPTER_KEY, "n_good", "n_suspect", _named(
+        F.array(*[F.col(f"_l{i}") for i in range(len(versions))]), versions).alias("lengths"))
+    return facts.join(sides, CHAPTER_KEY, "left").select(
+        *CHAPTER_KEY, "counts", "majority", "outliers", "split_verse", "n_good", "n_suspect",
+        F.when(F.col("split_verse").isNotNull(), F.col("suspects")).alias("suspects"), "lengths")
 
 
 def report_text(report: DataFrame) -> DataFrame:

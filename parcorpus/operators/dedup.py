@@ -9,9 +9,10 @@ partitioned by a text key, so no single task ever has to sort a hot group.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcorpus.functions import text as T
@@ -132,11 +133,10 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], mtime: str) -> DataFrame:
 
 
 def run_rank(runs: DataFrame, run_col: str = "run_id", col: str = "run_rank") -> DataFrame:
-    """rank of each run id from the newest (1 = last, 2 = second-last).
-    Runs are few, so the ranking is done on the distinct run table only."""
-    distinct = runs.select(run_col).distinct()
-    w = Window.orderBy(F.col(run_col).desc())
-    return distinct.withColumn(col, F.dense_rank().over(w))
+    """rank of each run id from the newest (1 = last, 2 = second-last): its
+    place among the distinct run ids, sorted."""
+    distinct = runs.select(run_col).distinct().orderBy(F.col(run_col).desc())
+    return with_place(distinct, col).withColumn(col, F.col(col).cast("int"))
 
 
 def hash_order(cols: Sequence[str], seed: int = 42) -> Column:
@@ -153,17 +153,17 @@ def with_place(df: DataFrame, col: str = "place") -> DataFrame:
     (partition index in the upper bits, row index in the lower 33). That numbering is
     written once under the shared checkpoint folder, so the count branch and the row
     branch see the same partitions and a retried task cannot renumber rows. A
-    partition's offset is the running count of those before it, over one row per
-    partition, so broadcasting it is bounded."""
+    partition's offset is the running count of those before it; the driver adds up
+    one number per partition and broadcasts as many, which bounds both."""
     from parcorpus.session import materialize
 
     with_id = materialize(
         df.withColumn("_mid", F.monotonically_increasing_id())
         .withColumn("_pid", F.shiftright("_mid", 33))
         .withColumn("_local", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))), "places")
-    counts = with_id.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = counts.select("_pid", (F.sum("_cnt").over(Window.orderBy("_pid")) - F.col("_cnt"))
-                            .alias("_off"))
+    counts = sorted(with_id.groupBy("_pid").agg(F.count(F.lit(1))).collect())
+    before = [0, *itertools.accumulate(n for _, n in counts)]
+    offsets = df.sparkSession.createDataFrame([(p, b) for (p, _), b in zip(counts, before)], "_pid long, _off long")
     return (with_id.join(F.broadcast(offsets), "_pid")
             .withColumn(col, F.col("_local") + F.col("_off") + 1)
             .drop("_mid", "_pid", "_local", "_off"))

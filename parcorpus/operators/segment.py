@@ -37,29 +37,42 @@ def _opening(cls: str) -> str:
     return f'<[a-zA-Z][a-zA-Z0-9]*[^>]*class="[^"]*{cls}[^"]*"[^>]*>'
 
 
-def verse_containers(html: str = "html", verse: str = VERSE_CLASS, label: str = LABEL_CLASS,
-                     content: str = CONTENT_CLASS, note: str = NOTE_CLASS) -> Column:
-    """ARRAY<STRUCT<label INT, text STRING, note BOOLEAN>> of a chapter page's
-    verse containers in document order. A container runs to the next one. Its
-    label is the first label element, if that holds digits only (C11); its text
-    is that of its content elements, stripped and joined by a space; ``note``
-    tells whether it has a note element. Parts are ``<span>`` elements and run
-    to their end tag."""
-    # split() drops the start tags, which carry nothing further
-    pieces = F.split(F.col(html), _opening(verse))
-    pieces = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
+def _has(c: Column, cls: str) -> Column:
+    """Whether ``c`` has such a tag; the pattern runs only where the class name stands."""
+    return c.contains(cls) & c.rlike(_opening(cls))
 
+
+def _let(value: Column, fn) -> Column:
+    """``fn(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
+def verse_pieces(html: Column, verse: str = VERSE_CLASS) -> Column:
+    """A chapter page's text before its first verse container, and from each container's start tag to the next."""
+    return F.split(html, _opening(verse))
+
+
+def verse_containers(pieces: Column, label: str = LABEL_CLASS, content: str = CONTENT_CLASS, note: str = NOTE_CLASS) -> Column:
+    """ARRAY<STRUCT<label INT, text STRING, note BOOLEAN>> of the verse containers
+    among the :func:`verse_pieces` of a page, in document order. Its label is the
+    first label element, if that holds digits only (C11); its text is that of its
+    content elements, stripped and joined by a space; ``note`` tells whether it
+    has a note element. Parts are ``<span>`` elements and run to their end tag."""
     def one(p):
-        first = html_text(F.substring_index(F.get(F.split(p, _opening(label), 2), F.lit(1)), "</span>", 1))
-        parts = F.split(p, _opening(content))
-        texts = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))),
-                            lambda x: html_text(F.substring_index(x, "</span>", 1)))
+        first = F.when(p.contains(label), html_text(F.substring_index(
+            F.get(F.split(p, _opening(label), 2), F.lit(1)), "</span>", 1)))
+        texts = _let(F.split(p, _opening(content)), lambda parts: F.transform(
+            F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))),
+            lambda x: html_text(F.substring_index(x, "</span>", 1))))
         return F.struct(
-            F.when(T.is_verse_label(first), first.try_cast("int")).alias("label"),
-            F.array_join(F.filter(texts, lambda x: x != ""), " ").alias("text"),
-            p.rlike(_opening(note)).alias("note"))
+            _let(first, lambda t: F.when(T.is_verse_label(t), t.try_cast("int"))).alias("label"),
+            F.array_join(F.array_remove(texts, ""), " ").alias("text"), _has(p, note).alias("note"))
+
+    return F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), one)
 
-    return F.transform(pieces, one)
+
+#: Containers that one inner fold takes: its array is copied with every piece it gets.
+FOLD = 256
 
 
 def fold_verses(containers: Column) -> Column:
@@ -68,34 +81,63 @@ def fold_verses(containers: Column) -> Column:
     text + label: if label > len + 1 one "" placeholder is added first, then
     the text; text without label: appended to the last verse with a space (or
     dropped when there is none yet); no text but a note: "" appended; else
-    nothing."""
-    empty = F.array().cast("array<string>")
+    nothing.
+
+    The fold runs over the count of verses and gives each text its place; the
+    texts of one place are gathered afterwards. Places are collected by runs of
+    ``FOLD`` containers, so that no array of the page's length is copied with
+    every container."""
+    none = F.array().cast("array<struct<at:int,text:string>>")
+
+    def piece(at, text):
+        return F.struct(at.cast("int").alias("at"), text.alias("text"))
 
     def step(acc, x):
+        n = acc["n"]
         has_text = x["text"] != F.lit("")
-        n = F.size(acc)
-        labelled = F.concat(F.when(x["label"] > n + 1, F.concat(acc, F.array(F.lit(""))))
-                            .otherwise(acc), F.array(x["text"]))
-        appended = F.concat(F.slice(acc, 1, n - 1),
-                            F.array(F.concat(F.element_at(acc, -1), F.lit(" "), x["text"])))
-        return (F.when(has_text & x["label"].isNotNull(), labelled)
-                .when(has_text & (n > 0), appended)
-                .when(~has_text & x["note"], F.concat(acc, F.array(F.lit(""))))
-                .otherwise(acc))
-
-    return F.aggregate(containers, empty, step)
+        labelled = has_text & x["label"].isNotNull()
+        gap = labelled & (x["label"] > n + 1)
+        bare = ~has_text & x["note"]
+        new = (F.when(gap, F.array(piece(n + 1, F.lit("")), piece(n + 2, x["text"])))
+               .when(labelled, F.array(piece(n + 1, x["text"])))
+               .when(has_text & (n > 0), F.array(piece(n, x["text"])))
+               .when(bare, F.array(piece(n + 1, F.lit("")))).otherwise(none))
+        return F.struct((n + F.when(gap, 2).when(labelled | bare, 1).otherwise(0)).cast("int").alias("n"),
+                        F.concat(acc["out"], new).alias("out"))
+
+    def run(acc, chunk):
+        inner = F.aggregate(chunk, F.struct(acc["n"].alias("n"), none.alias("out")), step)
+        return _let(inner, lambda i: F.struct(i["n"].alias("n"), F.concat(acc["out"], F.array(i["out"])).alias("out")))
+
+    def placed(c):
+        chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(c) - 1) / FOLD).cast("int")),
+                             lambda k: F.slice(c, k * FOLD + 1, FOLD))
+        start = F.struct(F.lit(0).alias("n"), F.array().cast("array<array<struct<at:int,text:string>>>").alias("out"))
+        return F.when(F.size(c) == 0, none).otherwise(F.flatten(F.aggregate(chunks, start, run, lambda acc: acc["out"])))
+
+    def gathered(p):
+        begins = F.filter(F.sequence(F.lit(0), F.size(p)), lambda i: (i == 0) | (i == F.size(p)) | (
+            F.get(p, i)["at"] != F.get(p, i - 1)["at"]))
+        verses = _let(begins, lambda b: F.transform(F.sequence(F.lit(1), F.size(b) - 1), lambda k: F.array_join(F.transform(
+            F.slice(p, F.get(b, k - 1) + 1, F.get(b, k) - F.get(b, k - 1)), lambda x: x["text"]), " ")))
+        return F.when(F.size(p) == 0, F.array().cast("array<string>")).otherwise(verses)
+
+    return _let(_let(containers, placed), gathered)
 
 
 def page_status(html: str = "html", marker: str = NOT_FOUND_CLASS) -> Column:
     """``not_found`` when the page holds the not-available element."""
-    return F.when(F.col(html).rlike(_opening(marker)), F.lit("not_found")).otherwise(F.lit("ok"))
+    return F.when(_has(F.col(html), marker), F.lit("not_found")).otherwise(F.lit("ok"))
 
 
 def extract_verses(pages: DataFrame, key: str = "page_id", html: str = "html",
                    marker: str = NOT_FOUND_CLASS) -> DataFrame:
-    """T1 + T3: one row per verse (key, verse, text) of every available page."""
-    ok = pages.where(page_status(html, marker) == "ok")
-    verses = ok.select(key, verse_containers(html).alias("_c")).select(key, fold_verses(F.col("_c")).alias("_v"))
+    """T1 + T3: one row per verse (key, verse, text) of every available page.
+
+    Each step is a projection over the column of the one before; a page that is
+    not available has no pieces, so no filter asks for the page a second time."""
+    cut = pages.select(key, F.when(page_status(html, marker) == "ok", verse_pieces(F.col(html))).alias("_p"))
+    verses = cut.select(key, verse_containers(F.col("_p")).alias("_c")).select(key, fold_verses(F.col("_c")).alias("_v"))
     return verses.select(key, F.posexplode("_v").alias("_i", "text")).select(
         key, (F.col("_i") + 1).cast("int").alias("verse"), "text")
 

@@ -16,7 +16,6 @@ from parcorpus.functions import text as TX
 from parcorpus.operators import (align, batching, bleu, dedup, joins, prep, report, schema,
                                   segment, udf)
 from parcorpus.plans import views as V
-from parcorpus.session import materialize
 from parcorpus.sources import dims, readers, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -653,9 +652,8 @@ def degenerate_translations(spark, sf_dir):
 
 @query
 def range_label(spark, sf_dir):
-    wide = materialize(_wide(spark, sf_dir), "wide")
-    splits = materialize(align.suspicious_verses(wide, V.VERSIONS, materialize=False), "split")
-    return align.range_label(wide, splits).select(*align.VERSE_KEY, "side")
+    wide = _wide(spark, sf_dir)
+    return align.range_label(wide, align.chapter_facts(wide, V.VERSIONS)).select(*align.VERSE_KEY, "side")
 
 
 @query
@@ -873,7 +871,7 @@ def verse_labels(spark, sf_dir):
 
 @query
 def label_chapters(spark, sf_dir):
-    wide = materialize(_wide(spark, sf_dir), "wide")
+    wide = _wide(spark, sf_dir)
     labelled = align.label_chapters(wide, align.chapter_status(wide, V.VERSIONS))
     return schema.non_empty_guard(labelled).select(*align.VERSE_KEY, "status")
 

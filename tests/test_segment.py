@@ -1,6 +1,7 @@
 """Page segmentation: the verse fold against a plain Python loop."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -47,6 +48,15 @@ def test_fold_matches_loop(spark):
     assert got == {pid: python_fold(c) for pid, c in pages}
 
 
+def test_fold_of_a_very_long_page(spark):
+    rnd = random.Random(4)
+    cont = [(rnd.choice([None, k, k + 3, 10 * k]), rnd.choice(["", "x", "y z"]), rnd.random() < 0.3) for k in range(50_000)]
+    df = spark.createDataFrame([(cont,), ([],)], f"c {CONT}")
+    begun = time.time()
+    got = [list(r[0]) for r in df.select(segment.fold_verses(F.col("c"))).collect()]
+    assert got == [python_fold(cont), []] and time.time() - begun < 60
+
+
 def verse(*parts):
     return '<div class="ChapterContent_verse__a1">' + "".join(
         f'<span class="ChapterContent_{k}__b2">{v}</span>' for k, v in parts) + "</div>"
