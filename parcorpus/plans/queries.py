@@ -234,9 +234,9 @@ def log_batch_lines(spark, sf_dir):
     """C12 after the split: the folders of one worker's batches are the only ones read for its first batch."""
     path = _fresh(spark, "logs")
     parsed = _parsed_log(spark, sf_dir)
-    readers.split_log_by_batch(parsed, path)
+    readers.split_log_by_batch(parsed, path, buckets=8)
     first = parsed.where(F.col("worker") == 1).agg(F.min("batch")).first()[0]
-    return readers.read_log_batch(spark, path, 1, -1 if first is None else first)
+    return readers.read_log_batch(spark, path, 1, -1 if first is None else first, buckets=8)
 
 
 # --------------------------------------------------------------------------
@@ -806,7 +806,7 @@ def write_partials(spark, sf_dir):
     path = _fresh(spark, "partials")
     tr = _translations(spark, sf_dir).withColumn("batch_id", F.col("doc_id"))
     sinks.write_partials(tr, path, only_complete=True)
-    return spark.read.schema("batch_id long, doc_id long, line int, sl string, tl string").json(path).drop("batch_group")
+    return sinks.read_partials(spark, path).select("batch_id", "doc_id", "line", "sl", "tl")
 
 
 @query

@@ -3,16 +3,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NullType, StructType
 
 from parcorpus.functions import text as T
 from parcorpus.operators import dedup
-from parcorpus.session import materialize
+from parcorpus.sources import manifest
 
 
 def write_json(df: DataFrame, path: str, keys: Sequence[str] | None = None,
@@ -92,51 +93,72 @@ def write_run(df: DataFrame, root: str, run_ts, fmt: str = "json") -> str:
     return root
 
 
-def _stored_partials(rows: DataFrame, root: str) -> DataFrame | None:
-    """What :func:`write_partials` stored below ``root``, if anything: columns of
-    ``rows`` by their types, further ones as inferred."""
-    read = rows.sparkSession.read.option("mode", "FAILFAST").option("prefersDecimal", "true")
-    try:
-        found = read.json(root).drop("batch_group")
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return None
-    typed = [f for f in rows.schema.fields if f.name != "batch_group" and f.dataType != NullType()]
-    names = {f.name for f in typed}
-    schema = StructType([*typed, *[f for f in found.schema.fields if f.name not in names]])
-    stored = read.schema(schema).json(root)
-    return stored.withColumn("batch_group", F.col("batch_group").cast("long"))
-
-
 def write_partials(df: DataFrame, root: str, sl: str = "sl", tl: str = "tl",
                    batch: str = "batch_id", only_complete: bool = False, per_folder: int = 1000) -> str:
     """Outputs per batch, untranslated rows removed (C6); with
     ``only_complete`` only batches without a failed row are written (G12).
 
-    A folder ``batch_group=<g>`` holds ``per_folder`` batches following each
-    other; the rows carry their batch. Writing some batches again replaces
-    these only: the other batches of their folders are read back (a stored value
-    that does not fit its column is an error) and written with them. A batch
-    of which no row is left to write keeps what is stored."""
+    A folder ``batch_group=<g>`` holds ``per_folder`` batches following each other;
+    the rows carry their batch. A manifest names the folders of every group and the
+    columns of the whole. A call writes its rows to folders of its own; of the groups
+    that it shares with what is stored, and of no others, it reads the stored rows
+    (a value that does not fit its column is an error) and writes those of the other
+    batches beside its own. Then the manifest is swapped, so a call that is killed
+    leaves what was stored, and of two calls at once the second fails. A batch of
+    which no row is left to write keeps what is stored. Read with
+    :func:`read_partials`; :func:`drop_replaced` deletes what no manifest names."""
+    spark = df.sparkSession
     rows = dedup.drop_untranslated(df, sl, tl)
     if only_complete:
         bad = df.where(T.is_failed(tl)).select(batch).distinct()
-        rows = rows.join(bad, batch, "left_anti")
-    rows = rows.withColumn("batch_group", F.expr(f"cast({batch} as bigint) div {per_folder}"))
-    stored = _stored_partials(rows, root)
-    if stored is not None:
-        rows = materialize(rows.drop(*[f.name for f in rows.schema.fields if f.dataType == NullType()]), "partials")
-        again = rows.select(F.col(batch).alias("_again"), F.col("batch_group").alias("_group")).distinct()
-        groups = again.select("_group").distinct()
-        kept = stored.join(groups, F.col("batch_group").eqNullSafe(F.col("_group")), "left_semi").join(
-            again, F.col(batch).eqNullSafe(F.col("_again")), "left_anti")
-        rows = rows.unionByName(materialize(kept, "partials-kept"), allowMissingColumns=True)
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_group").json(root))
+        rows = rows.join(bad, batch, "left_anti").select(*df.columns)
+    rows = rows.drop(*[f.name for f in rows.schema.fields if f.dataType == NullType()])
+    group = F.expr(f"cast(`{batch}` as bigint) div {per_folder}")
+    version, state = manifest.latest(spark, root)
+    groups = state["groups"] if state else {}
+    stored = StructType.fromJson(state["schema"]) if state else StructType()
+    schema = StructType([*rows.schema.fields, *[f for f in stored.fields if f.name not in rows.columns]])
+    made = f"part-{uuid.uuid4().hex}"
+    rows.withColumn("batch_group", group).write.partitionBy("batch_group").json(f"{root}/{made}/new")
+    written = [n for n in manifest.names(spark, f"{root}/{made}/new") if n.startswith("batch_group=")]
+    if not written:
+        manifest.remove(spark, f"{root}/{made}")
+        return root
+    shared = [n for n in written if n in groups]
+    if shared:
+        read = spark.read.option("mode", "FAILFAST")
+        old = read.schema(schema).json([f"{root}/{p}/{n}" for n in shared for p in groups[n]])
+        again = read.schema(schema).json([f"{root}/{made}/new/{n}" for n in shared]).select(F.col(batch).alias("_again")).distinct()
+        kept = old.join(again, F.col(batch).eqNullSafe(F.col("_again")), "left_anti")
+        kept.withColumn("batch_group", group).write.partitionBy("batch_group").json(f"{root}/{made}/kept")
+    kept_groups = set(manifest.names(spark, f"{root}/{made}/kept"))
+    new = {n: [f"{made}/new"] + [f"{made}/kept"] * (n in kept_groups) for n in written}
+    manifest.swap(spark, root, version, {"groups": groups | new, "schema": schema.jsonValue()})
     return root
 
 
+def read_partials(spark: SparkSession, root: str) -> DataFrame:
+    """What :func:`write_partials` stored below ``root``, with the columns of all its calls."""
+    _, state = manifest.latest(spark, root)
+    if state is None:
+        raise FileNotFoundError(f"{root}: no partial outputs")
+    return spark.read.schema(StructType.fromJson(state["schema"])).option("mode", "FAILFAST").json(
+        [f"{root}/{p}/{n}" for n, parts in state["groups"].items() for p in parts])
+
+
+def drop_replaced(spark: SparkSession, root: str) -> None:
+    """Delete the folders of partial outputs that the newest manifest does not name. No
+    call may be writing, and no earlier result be read, meanwhile."""
+    _, state = manifest.latest(spark, root)
+    named = {f"{p}/{n}" for n, parts in (state["groups"] if state else {}).items() for p in parts}
+    for made in manifest.names(spark, root):
+        if made.startswith("part-"):
+            for kind in manifest.names(spark, f"{root}/{made}"):
+                for n in manifest.names(spark, f"{root}/{made}/{kind}"):
+                    if n.startswith("batch_group=") and f"{made}/{kind}/{n}" not in named:
+                        manifest.remove(spark, f"{root}/{made}/{kind}/{n}")
+
+
 def split_outputs(df: DataFrame, label_col: str, root: str, fmt: str = "json") -> str:
     """N-way split written in one job, one folder per label value."""
     df.write.mode("overwrite").partitionBy(label_col).format(fmt).save(root)

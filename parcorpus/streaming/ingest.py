@@ -1,56 +1,97 @@
 """Ingest partial result files as they appear.
 
 Each micro-batch of new partial files is cleaned (C5 filters), de-duplicated
-inside the batch, anti-joined against the corpus already stored (only the
-*other* batch folders, so a replayed batch sees the same state), and written to
-its own ``batch_id=<n>`` folder in overwrite mode. A replay after a failure
-therefore rewrites the same folder with the same rows: the sink is idempotent
-and the de-duplication state lives in the table, not in an unbounded
-``dropDuplicates`` state store.
+inside the batch and freed of the pairs that are stored. What is stored is known
+from an index of key hashes in buckets: a batch reads only the buckets that its own
+keys fall into. The new rows and their keys are written to folders named after the
+stream and the batch; a commit record makes them count. A batch that is replayed
+after its commit is passed over; one that was not committed is written anew, to
+the same folders. Rows and keys without a commit record are not read.
+
+    corpus/stream=<id>/batch_id=<n>/      rows (JSON)
+    corpus/_keys/bucket=<b>/epoch=<id>-<n>/   128-bit hashes of (sl, tl)
+    corpus/_commits/<id>-<n>
 """
 
 from __future__ import annotations
 
-import os
+import threading
+import uuid
+from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T_
 
 from parcorpus.functions import text as T
 from parcorpus.operators import dedup
+from parcorpus.sources import manifest
 
 PARTIAL_SCHEMA = T_.StructType([
     T_.StructField("sl", T_.StringType()), T_.StructField("tl", T_.StringType()),
     T_.StructField("ol", T_.StringType()), T_.StructField("pos", T_.LongType()),
 ])
+CORPUS_SCHEMA = T_.StructType([*PARTIAL_SCHEMA.fields, T_.StructField("batch_id", T_.LongType())])
+#: Buckets of the key index; they stay the same for the life of a corpus.
+BUCKETS = 256
 
 
-CORPUS_SCHEMA = T_.StructType(list(PARTIAL_SCHEMA.fields) + [T_.StructField("batch_id", T_.LongType())])
+def _with_key(df: DataFrame) -> DataFrame:
+    """A row's key hashes and bucket; a missing side counts as "", as it does in keep_first."""
+    key = [F.coalesce(c, F.lit("")) for c in ("sl", "tl")]
+    return df.withColumns({"k1": F.xxhash64(*key), "k2": F.xxhash64(F.lit(1), *key)}).withColumn(
+        "bucket", F.pmod("k1", F.lit(BUCKETS)).cast("int"))
 
 
-def _stored(spark: SparkSession, corpus_dir: str, batch_id: int) -> DataFrame:
-    """Corpus rows of every other batch (read through the cluster file system;
-    a corpus folder that does not exist yet is an empty corpus)."""
-    try:
-        stored = spark.read.schema(CORPUS_SCHEMA).json(corpus_dir)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], CORPUS_SCHEMA)
-    return stored.where(F.col("batch_id") != F.lit(batch_id))
+def committed(spark: SparkSession, corpus_dir: str) -> list[str]:
+    """The epochs that count, sorted."""
+    return [n for n in manifest.names(spark, f"{corpus_dir}/_commits") if not n.startswith(".")]
+
+
+def stored_keys(spark: SparkSession, corpus_dir: str, buckets: Sequence[int]) -> DataFrame:
+    """(k1, k2) of all committed rows in ``buckets``; no other bucket's files are listed or read."""
+    there = set(manifest.names(spark, f"{corpus_dir}/_keys"))
+    paths = [f"{corpus_dir}/_keys/bucket={b}" for b in buckets if f"bucket={b}" in there]
+    if not paths:
+        return spark.createDataFrame([], "k1 long, k2 long")
+    epochs = spark.createDataFrame([(e,) for e in committed(spark, corpus_dir)], "epoch string")
+    keys = spark.read.schema("k1 long, k2 long, epoch string").option("basePath", f"{corpus_dir}/_keys").parquet(*paths)
+    return keys.join(epochs, "epoch", "left_semi").select("k1", "k2")
 
 
-def process_batch(batch: DataFrame, batch_id: int, corpus_dir: str) -> None:
+def process_batch(batch: DataFrame, batch_id: int, corpus_dir: str, stream: str = "batch") -> None:
+    """Add the new pairs of ``batch`` to the corpus, once for each (stream, batch_id)."""
     spark = batch.sparkSession
-    cleaned = _clean_filter(batch)
-    first = dedup.keep_first(cleaned, ["sl", "tl"], "pos", strip=False)
-    # a missing side counts as "" here, as it does in keep_first
-    stored = _stored(spark, corpus_dir, batch_id).select(
-        *[F.coalesce(c, F.lit("")).alias(f"_{c}") for c in ("sl", "tl")]).distinct()
-    new = first.join(stored, [F.coalesce(c, F.lit("")) == F.col(f"_{c}") for c in ("sl", "tl")], "left_anti")
-    (new.write.mode("overwrite").json(os.path.join(corpus_dir, f"batch_id={batch_id}")))
+    epoch = f"{stream}-{batch_id}"
+    if epoch in committed(spark, corpus_dir):
+        return
+    keyed = _with_key(_clean_filter(batch))
+    buckets = [r[0] for r in keyed.select("bucket").distinct().collect()]  # at most BUCKETS
+    first = dedup.keep_first(keyed, ["sl", "tl"], "pos", strip=False)
+    new = first.join(stored_keys(spark, corpus_dir, buckets), ["k1", "k2"], "left_anti")
+    rows = f"{corpus_dir}/stream={stream}/batch_id={batch_id}"
+    new.select(*PARTIAL_SCHEMA.names).write.mode("overwrite").json(rows)
+    written = _with_key(spark.read.schema(PARTIAL_SCHEMA).json(rows))
+    (written.select("k1", "k2", "bucket", F.lit(epoch).alias("epoch")).repartition("bucket")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("bucket", "epoch").parquet(f"{corpus_dir}/_keys"))
+    manifest.write_record(spark, f"{corpus_dir}/_commits/{epoch}", {"stream": stream, "batch_id": batch_id})
+
+
+def compact_keys(spark: SparkSession, corpus_dir: str) -> None:
+    """Gather the keys of all committed epochs into one file or few per bucket, under an epoch
+    of its own; the smaller ones go. No batch may be running meanwhile."""
+    old = committed(spark, corpus_dir)
+    buckets = [int(n.partition("=")[2]) for n in manifest.names(spark, f"{corpus_dir}/_keys") if n.startswith("bucket=")]
+    epoch = f"compact-{uuid.uuid4().hex}"
+    keys = stored_keys(spark, corpus_dir, buckets).withColumn("bucket", F.pmod("k1", F.lit(BUCKETS)).cast("int"))
+    (keys.withColumn("epoch", F.lit(epoch)).repartition("bucket")
+     .write.mode("append").partitionBy("bucket", "epoch").parquet(f"{corpus_dir}/_keys"))
+    manifest.write_record(spark, f"{corpus_dir}/_commits/{epoch}", {"compacts": old})
+    for b in buckets:
+        for n in manifest.names(spark, f"{corpus_dir}/_keys/bucket={b}"):
+            if n.partition("=")[2] in old:
+                manifest.remove(spark, f"{corpus_dir}/_keys/bucket={b}/{n}")
 
 
 def _clean_filter(df: DataFrame) -> DataFrame:
@@ -61,34 +102,55 @@ def _clean_filter(df: DataFrame) -> DataFrame:
 
 def start_ingest(spark: SparkSession, source_dir: str, corpus_dir: str, checkpoint: str,
                  available_now: bool = True, max_files_per_trigger: int | None = None,
-                 dedup: str = "table"):
+                 dedup: str = "table", within: str | None = None):
     """Start the stream; returns the StreamingQuery.
 
-    ``dedup="table"``: the stored corpus is the state (anti-join per batch,
-    idempotent ``batch_id`` folders; no state store, but each batch reads the
-    stored keys). ``dedup="state"``: Structured Streaming keeps the seen
-    (sl, tl) keys in its state store (per-key lookups; configure the RocksDB
-    provider for large key sets) and the file sink commits exactly once.
+    ``dedup="table"``: the corpus' key index is the state. An epoch is named after the
+    stream's id, which its checkpoint keeps: a stream with a fresh checkpoint gets
+    epochs of its own and finds the pairs it reads again stored. ``dedup="state"``:
+    Structured Streaming keeps the seen (sl, tl) keys in its state store (per-key
+    look-ups; configure the RocksDB provider for large key sets) and the file sink
+    commits exactly once. Without ``within`` it keeps them for ever; with ``within``
+    (such as "30 days") only those of files changed in that time before the newest.
     """
     reader = spark.readStream.schema(PARTIAL_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(source_dir)
     if dedup == "state":
-        deduped = _clean_filter(stream).dropDuplicates(["sl", "tl"])
+        cleaned = _clean_filter(stream)
+        if within:
+            cleaned = cleaned.withColumn("_at", F.col("_metadata.file_modification_time")).withWatermark("_at", within)
+            deduped = cleaned.dropDuplicatesWithinWatermark(["sl", "tl"]).drop("_at")
+        else:
+            deduped = cleaned.dropDuplicates(["sl", "tl"])
         writer = (deduped.writeStream.format("json").option("path", corpus_dir)
                   .option("checkpointLocation", checkpoint).outputMode("append"))
         writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
             processingTime="10 seconds")
         return writer.start()
-    writer = (stream.writeStream.option("checkpointLocation", checkpoint)
-              .foreachBatch(lambda df, bid: process_batch(df, bid, corpus_dir)))
+    named, query = threading.Event(), []
+
+    def add(df: DataFrame, batch_id: int) -> None:
+        named.wait()  # the id is known once the stream has been started
+        process_batch(df, batch_id, corpus_dir, query[0].id)
+
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(add)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="10 seconds")
-    return writer.start()
+    query.append(writer.start())
+    named.set()
+    return query[0]
 
 
 def read_corpus(spark: SparkSession, corpus_dir: str, dedup: str = "table") -> DataFrame:
+    """The rows of the committed epochs, with their ``batch_id``."""
     if dedup == "state":
         return spark.read.schema(PARTIAL_SCHEMA).json(corpus_dir)
-    return spark.read.schema(CORPUS_SCHEMA).json(corpus_dir)
+    epochs = [e for e in committed(spark, corpus_dir) if not e.startswith("compact-")]
+    if not epochs:
+        return spark.createDataFrame([], CORPUS_SCHEMA)
+    names = spark.createDataFrame([(e,) for e in epochs], "_epoch string")
+    rows = spark.read.schema(T_.StructType([*PARTIAL_SCHEMA.fields, T_.StructField("stream", T_.StringType()),
+                                            T_.StructField("batch_id", T_.LongType())])).json(corpus_dir)
+    return rows.join(names, F.concat_ws("-", "stream", "batch_id") == F.col("_epoch"), "left_semi").select(*CORPUS_SCHEMA.names)

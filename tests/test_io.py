@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T_
 
 from parcorpus.operators import report
-from parcorpus.sources import readers, sinks
+from parcorpus.sources import manifest, readers, sinks
 from tests.conftest import rows
 
 PAIR = "sl string, tl string, pos long"
@@ -96,11 +96,11 @@ def test_partials_and_split_outputs(spark):
     df = spark.createDataFrame([("a", "A", 1, 1), ("b", "b", 2, 1), ("c", "[ERROR]", 3, 2), ("d", "D", 4, 2)],
                                "sl string, tl string, pos long, batch_id int")
     sinks.write_partials(df, root, only_complete=True)
-    assert sorted(rows(spark.read.json(root), "batch_id", "sl")) == [(1, "a")]
+    assert sorted(rows(sinks.read_partials(spark, root), "batch_id", "sl")) == [(1, "a")]
     many = spark.range(5000).selectExpr("concat('s', id) sl", "concat('t', id) tl", "id as batch_id")
     wide = _tmp()
     sinks.write_partials(many, wide)
-    assert len([n for n in os.listdir(wide) if n.startswith("batch_group=")]) == 5
+    assert len(manifest.latest(spark, wide)[1]["groups"]) == 5 and sinks.read_partials(spark, wide).count() == 5000
     out = _tmp()
     sinks.split_outputs(df.withColumn("label", F.when(F.col("pos") > 2, "b").otherwise("a")), "label", out)
     assert sorted(n for n in os.listdir(out) if n.startswith("label=")) == ["label=a", "label=b"]
@@ -113,20 +113,54 @@ def test_partials_of_a_group_written_in_two_calls(spark):
     first = [("a", "A", 1, at, score), ("007", "1", 2, None, None), ("c", "[ERROR]", 3, at, None), ("n", "N", None, at, None),
              ("far", "F", 1500, at, score)]
     sinks.write_partials(spark.createDataFrame(first, kind), root, only_complete=True)
-    far = os.listdir(os.path.join(root, "batch_group=1"))
+    far = manifest.latest(spark, root)[1]["groups"]["batch_group=1"]
     # batch 3 is complete now, batch 2 comes anew, batch 4 has failed
     second = [("c", "C", 3, at, score), ("b", "B", 2, at, None), ("d", "[ERROR]", 4, at, None)]
     sinks.write_partials(spark.createDataFrame(second, kind), root, only_complete=True)
-    got = spark.read.schema(kind).json(root).drop("batch_group")
+    got = sinks.read_partials(spark, root)
     want = [first[0], second[1], second[0], first[3], first[4]]
     assert sorted(map(repr, rows(got))) == sorted(map(repr, want))
-    assert os.listdir(os.path.join(root, "batch_group=1")) == far
+    assert manifest.latest(spark, root)[1]["groups"]["batch_group=1"] == far
     # a column more, and a stored one less; then a call that has nothing to write
     third = spark.createDataFrame([("e", "E", 5, "x")], "sl string, tl string, batch_id int, note string")
     sinks.write_partials(third, root)
     sinks.write_partials(third.limit(0), root)
-    got = spark.read.schema(kind + ", note string").json(root).drop("batch_group")
-    assert sorted(map(repr, rows(got))) == sorted(map(repr, [*[(*r, None) for r in want], ("e", "E", 5, None, None, "x")]))
+    names = ["sl", "tl", "batch_id", "at", "score", "note"]
+    whole = sorted(map(repr, [*[(*r, None) for r in want], ("e", "E", 5, None, None, "x")]))
+    assert sorted(map(repr, rows(sinks.read_partials(spark, root), *names))) == whole
+    sinks.drop_replaced(spark, root)
+    assert sorted(map(repr, rows(sinks.read_partials(spark, root), *names))) == whole
+
+
+def test_a_killed_rewrite_of_partials_leaves_the_old_state(spark, monkeypatch):
+    root = _tmp()
+    kind = "sl string, tl string, batch_id int"
+    sinks.write_partials(spark.createDataFrame([("a", "A", 1), ("b", "B", 2)], kind), root)
+    before = sorted(rows(sinks.read_partials(spark, root)))
+    with monkeypatch.context() as m:
+        m.setattr(manifest, "swap", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+        with pytest.raises(KeyboardInterrupt):
+            sinks.write_partials(spark.createDataFrame([("c", "C", 1)], kind), root)
+    assert sorted(rows(sinks.read_partials(spark, root))) == before
+    version, state = manifest.latest(spark, root)
+    sinks.write_partials(spark.createDataFrame([("d", "D", 2)], kind), root)
+    with pytest.raises(FileExistsError):  # a second writer that began from the same state
+        manifest.swap(spark, root, version, state)
+    assert sorted(rows(sinks.read_partials(spark, root))) == [("a", "A", 1), ("d", "D", 2)]
+
+
+def test_a_rewrite_of_partials_reads_its_own_groups_only(spark):
+    root = _tmp()
+    sinks.write_partials(spark.range(3000).selectExpr("concat('s', id) sl", "concat('t', id) tl", "id as batch_id"), root)
+    for n, parts in manifest.latest(spark, root)[1]["groups"].items():
+        if n != "batch_group=1":  # what is not read cannot harm
+            with open(os.path.join(root, parts[0], n, "broken.json"), "w") as f:
+                f.write("{no json")
+    sinks.write_partials(spark.createDataFrame([("x", "X", 1500)], "sl string, tl string, batch_id long"), root)
+    groups = manifest.latest(spark, root)[1]["groups"]
+    assert [len(groups[f"batch_group={k}"]) for k in range(3)] == [1, 2, 1]
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        sinks.read_partials(spark, root).collect()
 
 
 def test_render_text_files(spark):
