@@ -2,8 +2,7 @@
 
 Joins are plain equi-joins; Spark plans a sort-merge join and AQE replaces it by
 a broadcast once the smaller side is measured below the threshold, or splits
-skewed partitions. Explicit ``broadcast`` is only used for literal lists whose
-size is fixed by the caller.
+skewed partitions. No side is broadcast by force.
 """
 
 from __future__ import annotations
@@ -32,11 +31,14 @@ def minus_existing(pairs: DataFrame, corpus: DataFrame, keys: Sequence[str] = ("
 def append_corpus(new: DataFrame, old: DataFrame, keys: Sequence[str] = ("sl", "tl"),
                   order: str = "pos", gen_col: str = "gen") -> DataFrame:
     """New rows followed by earlier rows (bag union); on a stripped
-    (first two keys) collision the new row wins. Returns the labelled union."""
+    (first two keys) collision the new row wins. Returns the labelled union.
+
+    Generation and position are one decimal, a fixed-width value that a hash
+    aggregation can hold: ``order`` is a whole number below 10**36 in size."""
     u = (new.withColumn(gen_col, F.lit(0))
          .unionByName(old.withColumn(gen_col, F.lit(1)), allowMissingColumns=True))
-    # order = (generation, position) packed into one sortable key
-    u = u.withColumn("_ord", F.struct(F.col(gen_col), F.col(order)))
+    place = F.when(F.col(gen_col) == 0, F.lit("0")).otherwise(F.lit("1" + "0" * 36)).cast("decimal(38,0)")
+    u = u.withColumn("_ord", (place + F.col(order).cast("decimal(37,0)")).cast("decimal(38,0)"))
     labelled = dedup.split_duplicates(u, keys, "_ord")
     return labelled.drop("_ord")
 
@@ -102,5 +104,5 @@ def read_many(tables: Sequence[DataFrame], src: str, tgt: str, order: str = "pos
 
 
 def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """Small literal dimension (size fixed by the caller) marked for broadcast."""
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    """Small literal dimension (size fixed by the caller); the planner knows its size."""
+    return spark.createDataFrame(rows, schema)

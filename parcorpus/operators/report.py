@@ -100,46 +100,32 @@ def render_text(long: DataFrame, books: DataFrame, version_names: dict[str, str]
     # a verse of a book that the dimension lacks cannot be placed: the export fails rather than lose headings
     entries = entries.withColumn("_bname", F.coalesce("_bname", F.raise_error(F.concat(
         F.lit("no such book: "), F.coalesce(F.col("book_id").cast("string"), F.lit("null"))))))
-    # chapter table: one row per (version, book, chapter) -- small next to the
-    # verses. First/last chapter per book and the first chapter of each version
-    # are partial aggregations joined back (no window holding a whole version).
-    ch = entries.groupBy(version_col, "book_id", "book_ord", "_bname", "chapter").agg(
-        F.lit(1).alias("_one"))
-    per_book = ch.groupBy(version_col, "book_id").agg(
-        F.min("chapter").alias("_first_ch"), F.max("chapter").alias("_last_ch"))
-    per_version = ch.groupBy(version_col).agg(F.min(F.struct("book_ord", "chapter")).alias("_first_key"))
-    ch = ch.join(per_book, [version_col, "book_id"]).join(per_version, version_col)
+    # one aggregation gives the frames of all levels: chapters, books, versions
+    book = [version_col, "book_id", "book_ord", "_bname"]
+    frames = entries.withColumn("_ch", F.col("chapter")).groupingSets(
+        [[*book, "chapter"], book, [version_col]], *book, "chapter").agg(
+        F.grouping_id().alias("_level"), F.max("_ch").alias("_last"))
     m = F.create_map(*[F.lit(x) for kv in names.items() for x in kv]) if names else None
     vname = F.coalesce(m[F.col(version_col)], F.col(version_col)) if m is not None else F.col(version_col)
     null_i = F.lit(None).cast("int")
+    bo, c, last = F.col("book_ord"), F.col("chapter"), F.col("_last")
 
     def line(kind, seq, value, book_ord, chapter):
-        return F.struct(book_ord.alias("book_ord"), chapter.alias("chapter"), F.lit(kind).alias("kind"),
+        return F.struct(book_ord.cast("int").alias("book_ord"), chapter.cast("int").alias("chapter"), F.lit(kind).alias("kind"),
                         F.lit(seq).alias("seq"), value.alias("value"))
 
-    def when_lines(cond, items):
-        arr = F.array(*items)
-        return F.when(cond, arr).otherwise(F.array().cast(arr_type))
-
-    bo, c = F.col("book_ord"), F.col("chapter")
-    arr_type = "array<struct<book_ord:int,chapter:int,kind:int,seq:int,value:string>>"
-    is_first_block = (F.col("_first_key.book_ord").eqNullSafe(bo)) & (F.col("_first_key.chapter") == c)
-    lines_ = F.concat(
-        when_lines(is_first_block, [
-            line(TITLE, 0, F.concat(F.lit("The Holy Bible - "), vname), null_i, null_i),
-            line(TITLE, 1, F.lit(""), null_i, null_i)]),
-        when_lines(c == F.col("_first_ch"), [
-            line(BOOK_HEAD, 0, F.col("_bname"), bo, null_i),
-            line(BOOK_HEAD, 1, F.lit("=" * 50), bo, null_i),
-            line(BOOK_HEAD, 2, F.lit(""), bo, null_i)]),
-        F.array(line(CHAPTER_HEAD, 0, F.concat(F.lit("Chapter "), c.cast("string")), bo, c),
-                line(CHAPTER_HEAD, 1, F.lit("-" * 20), bo, c),
-                line(CHAPTER_END, 0, F.lit(""), bo, c)),
-        when_lines(c == F.col("_last_ch"), [line(BOOK_END, 0, F.lit(""), bo, c)]))
-    frame = ch.select(version_col, F.explode(lines_).alias("_l")).select(
-        version_col, F.col("_l.book_ord").cast("int").alias("book_ord"),
-        F.col("_l.chapter").cast("int").alias("chapter"), F.col("_l.kind").alias("kind"),
-        F.lit(0).alias("verse"), F.col("_l.seq").alias("seq"), F.col("_l.value").alias("value"))
+    chapter_lines = F.array(
+        line(CHAPTER_HEAD, 0, F.concat(F.lit("Chapter "), c.cast("string")), bo, c),
+        line(CHAPTER_HEAD, 1, F.lit("-" * 20), bo, c),
+        line(CHAPTER_END, 0, F.lit(""), bo, c))
+    book_lines = F.array(
+        line(BOOK_HEAD, 0, F.col("_bname"), bo, null_i), line(BOOK_HEAD, 1, F.lit("=" * 50), bo, null_i),
+        line(BOOK_HEAD, 2, F.lit(""), bo, null_i), line(BOOK_END, 0, F.lit(""), bo, last))
+    title_lines = F.array(line(TITLE, 0, F.concat(F.lit("The Holy Bible - "), vname), null_i, null_i),
+                          line(TITLE, 1, F.lit(""), null_i, null_i))
+    lines_ = F.when(F.col("_level") == 0, chapter_lines).when(F.col("_level") == 1, book_lines).otherwise(title_lines)
+    frame = frames.select(version_col, F.explode(lines_).alias("_l")).select(
+        version_col, "_l.book_ord", "_l.chapter", "_l.kind", F.lit(0).alias("verse"), "_l.seq", "_l.value")
     verses = entries.select(
         version_col, F.col("book_ord").cast("int").alias("book_ord"),
         F.col("chapter").cast("int").alias("chapter"), F.lit(VERSE).alias("kind"),

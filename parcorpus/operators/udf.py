@@ -22,8 +22,9 @@ def translate_requests(requests: DataFrame, fn: Callable[[str], object],
                        attempts: int = 3, setup: Callable[[], object] | None = None,
                        col: str = "translated") -> DataFrame:
     """Apply ``fn`` to every request text with retries. A string answer is kept
-    as is, a ``(sources, targets)`` tuple becomes ``pairs``; ``None`` means not
-    found and exhausted attempts mean failed (both become status markers).
+    as is, two lists (sources, targets), in a tuple or a list, become ``pairs``;
+    ``None`` means not found; an answer of any other kind, and exhausted attempts,
+    mean failed (both become status markers).
 
     The function shipped to the Python workers is a closure over plain values
     only, so executors need nothing but the user's ``fn``.
@@ -42,10 +43,12 @@ def translate_requests(requests: DataFrame, fn: Callable[[str], object],
                 continue
             if out is None:
                 return f"{not_found} - {text}"
-            if isinstance(out, tuple):
-                src, tgt = out
-                return [((a or "").strip(), (b or "").strip()) for a, b in zip(src, tgt)]
-            return out
+            if isinstance(out, str):
+                return out
+            if isinstance(out, (tuple, list)) and len(out) == 2 and all(
+                    isinstance(side, (tuple, list)) and all(x is None or isinstance(x, str) for x in side) for side in out):
+                return [((a or "").strip(), (b or "").strip()) for a, b in zip(*out)]
+            break
         return f"{failed} - {text}"
 
     def run(batches):

@@ -1,23 +1,23 @@
 """DuckDB SQL twins of the registered queries (the correctness oracle).
 
-The rules are stated here once more, in SQL and with values of their own, so
-that a rule that goes wrong in the library does not match its twin.
+The rules are stated here once more, in SQL, and where the library has a pattern
+by string and list functions, so that a rule that goes wrong in the library does
+not match its twin.
 """
 
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
 
-# Fixed values of the text rules, as code points for RE2.
+# Fixed values (must equal the reference's behaviour)
 WS = r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 WS_RUN = WS + "+"
 STRIP_RE = f"^{WS_RUN}|{WS_RUN}$"
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-QUOTES = "\"\u201c\u201d\u2018\u2019"
-ZERO_WIDTH_RE = r"[\x{200b}\x{200c}\x{200d}\x{feff}]"
-INVALID_CHARS_RE = r"[\x{c6}\x{b1}\x{0}-\x{8}\x{b}\x{c}\x{e}-\x{1f}\x{7f}]"
-UNSAFE_NAME_RE = r"[^0-9A-Za-z._\-]"
-EXTENSION_RE = r"(?s)^(?:.*/)?\.*[^./][^/]*(\.[^./]*)$"
+QUOTES = "\"“”‘’"
+ZERO_WIDTH = (0x200B, 0x200C, 0x200D, 0xFEFF)
+INVALID_CHARS = "Æ±"
+SAFE_NAME_CHARS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_-."
 STATUS_RE = r"(?s)^\[(ERROR|TRANSLATION FAILED|NOT FOUND|TRANSLATION BACK FROM ([^\]]*))\](?: - | )?(.*)$"
 LOG_RE = r"^(\S+ \S+) \[([A-Z]+)\] (?:Worker ([0-9]+) \| Batch ([0-9]+)/([0-9]+) \| )?(.*)$"
 VERSIONS = ("en", "fr", "de", "es")
@@ -45,13 +45,26 @@ def is_blank(x: str) -> str:
 def clean_text(x: str) -> str:
     s = f"regexp_replace({x}, {_q(WS_RUN)}, ' ', 'g')"
     s = f"translate({s}, {_q(QUOTES)}, {_q(chr(39) * len(QUOTES))})"
-    s = f"regexp_replace({s}, {_q(ZERO_WIDTH_RE)}, '', 'g')"
+    for code in ZERO_WIDTH:
+        s = f"replace({s}, chr({code}), '')"
     inner = strip(f"substr({s}, 2, length({s}) - 2)")
     s = f"(CASE WHEN starts_with({s}, '[') AND ends_with({s}, ']') THEN {inner} ELSE {s} END)"
     s = f"regexp_replace({strip(s)}, ' +', ' ', 'g')"
     return f"CASE WHEN {is_blank(x)} THEN '' ELSE {s} END"
 
 
+def has_invalid_characters(x: str) -> str:
+    """Æ, ± or a control character other than tab, line feed and carriage return."""
+    return (f"(len(list_filter(string_split({x}, ''), lambda c: contains({_q(INVALID_CHARS)}, c) "
+            "OR unicode(c) < 32 AND unicode(c) NOT IN (9, 10, 13) OR unicode(c) = 127)) > 0)")
+
+
+def extension(x: str) -> str:
+    """From the last dot of the last part of a path on, if it has one behind its leading dots."""
+    return (f"(CASE WHEN contains(ltrim(string_split({x}, '/')[-1], '.'), '.') "
+            f"THEN '.' || string_split({x}, '.')[-1] ELSE '' END)")
+
+
 def is_valid_text(x: str) -> str:
     s = strip(x)
     return f"coalesce({s} <> '' AND NOT contains({_q(PUNCTUATION)}, {s}), FALSE)"
@@ -582,7 +595,7 @@ ORACLE["page_not_found"] = """SELECT page_id,
 BENCH_LINES = """blines AS (SELECT DISTINCT unnest(string_split(text, chr(10))) AS text FROM benchmark)"""
 
 ORACLE["curate_text"] = _with(VERSES_LONG, BENCH_LINES) + f"""SELECT doc_id, verse,
-  CASE WHEN regexp_matches(text, {_q(INVALID_CHARS_RE)}) THEN 'corrupted' ELSE 'curated' END AS label
+  CASE WHEN {has_invalid_characters('text')} THEN 'corrupted' ELSE 'curated' END AS label
 FROM verses_long v WHERE NOT EXISTS (SELECT 1 FROM blines b WHERE b.text = v.text)"""
 
 ORACLE["exclude_sentences"] = _with(VERSES_LONG, BENCH_LINES) + """SELECT doc_id, count(*) AS kept_lines
@@ -600,12 +613,12 @@ ORACLE["quotes"] = "SELECT doc_id, replace(text, '\"', '''') AS text FROM docume
 
 
 def sanitize_name(x: str, max_len: int = 80) -> str:
-    ext_re = _q(EXTENSION_RE)
-    stem = f"substr({x}, 1, length({x}) - length(regexp_extract({x}, {ext_re}, 1)))"
-    s = f"regexp_replace({stem}, {_q(UNSAFE_NAME_RE)}, '_', 'g')"
+    stem = f"substr({x}, 1, length({x}) - length({extension(x)}))"
+    s = (f"array_to_string(list_transform(string_split({stem}, ''), "
+         f"lambda c: CASE WHEN contains({_q(SAFE_NAME_CHARS)}, c) THEN c ELSE '_' END), '')")
     s = f"regexp_replace({s}, '_+', '_', 'g')"
     s = f"regexp_replace({s}, '^[._\\-]+|[._\\-]+$', '', 'g')"
-    e2 = f"regexp_extract({s}, {ext_re}, 1)"
+    e2 = extension(s)
     long_ = (f"CASE WHEN length({e2}) > 0 AND length({e2}) <= 10 THEN "
              f"substr({s}, 1, least(length({s}) - length({e2}), {max_len} - length({e2}))) || {e2} "
              f"ELSE substr({s}, 1, {max_len}) END")
@@ -752,7 +765,7 @@ segs AS (
     CASE WHEN regexp_matches(block, {_q(_SEG.format(l='en'))}) THEN regexp_extract(block, {_q(_SEG.format(l='en'))}, 1) END AS en
   FROM blocks)
 SELECT doc_id, line,
-  CASE WHEN br IS NOT NULL AND regexp_matches(br, {_q(INVALID_CHARS_RE)}) THEN 'corrupted' ELSE 'curated' END AS label,
+  CASE WHEN br IS NOT NULL AND {has_invalid_characters('br')} THEN 'corrupted' ELSE 'curated' END AS label,
   en
 FROM segs s WHERE NOT EXISTS (SELECT 1 FROM blines b WHERE b.text = s.br)"""
 
@@ -763,7 +776,7 @@ q AS (
          regexp_extract(url, '([^/]*)$', 1) AS base FROM p)
 SELECT page_id,
   CASE WHEN starts_with(u1, 'http://') THEN substr(u1, 8) ELSE u1 END AS no_scheme,
-  substr(base, 1, length(base) - length(regexp_extract(base, {_q(EXTENSION_RE)}, 1))) AS stem,
+  substr(base, 1, length(base) - length({extension('base')})) AS stem,
   lower(lang) || '_text' AS text_key,
   {strip("split_part(lang || chr(9) || url, chr(9), 1)")} AS tab_first
 FROM q"""

@@ -33,7 +33,7 @@ PARTIAL_SCHEMA = T_.StructType([
 ])
 CORPUS_SCHEMA = T_.StructType([*PARTIAL_SCHEMA.fields, T_.StructField("batch_id", T_.LongType())])
 #: Buckets of the key index; they stay the same for the life of a corpus.
-BUCKETS = 256
+BUCKETS = 64
 
 
 def _with_key(df: DataFrame) -> DataFrame:

@@ -114,3 +114,14 @@ def test_exact_split_of_equal_rows(spark):
     df = spark.createDataFrame([(1, "same")] * 500 + [(2, "same")] * 500, "k int, t string").repartition(7)
     got = sorted(rows(prep.exact_split(df, ["t"]).groupBy("k", "split").count()))
     assert got == [(1, "test", 200), (1, "train", 300), (2, "train", 500)]
+
+
+def test_answers_of_any_kind(spark):
+    """Two lists in a list are pairs as in a tuple; what is neither text nor pairs has failed."""
+    from parcorpus.operators import udf
+    answers = {"a": [["a1", None], ["b1 ", "b2"]], "b": ("x", "y"), "c": 7, "d": ["one"], "e": None, "f": "F", "g": [["s"], [3]]}
+    req = spark.createDataFrame([(k,) for k in answers], "request string")
+    got = {r["request"]: (r["translated"], r["pairs"]) for r in udf.translate_requests(req, lambda t: answers[t]).collect()}
+    assert [tuple(p) for p in got["a"][1]] == [("a1", "b1"), ("", "b2")] and got["a"][0] is None
+    assert got["e"][0] == "[NOT FOUND] - e" and got["f"][0] == "F"
+    assert all(got[k] == (f"[TRANSLATION FAILED] - {k}", None) for k in "bcdg")
