@@ -31,9 +31,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     before = conf.get(key, "false")
     conf.set(key, "true")
     try:
-        return materialize(df, name)
+        out = materialize(df, name)
     finally:
         conf.set(key, before)
+    made.extend(folders(out))
+    return out
+
+
+#: The folders that :func:`written` has made, in order, since the program began.
+made: list[str] = []
+
+
+def folders(df: DataFrame) -> list[str]:
+    """The folders that ``df`` reads files of."""
+    return sorted({f.rpartition("/")[0] for f in df.inputFiles()})
 
 
 def drop_folder(spark: SparkSession, folder: str) -> None:
@@ -45,7 +56,7 @@ def drop_folder(spark: SparkSession, folder: str) -> None:
 def discard(*tables: DataFrame) -> None:
     """Delete tables made by :func:`written` that nothing reads any more."""
     for df in tables:
-        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        for folder in folders(df):
             drop_folder(df.sparkSession, folder)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcorpus.llm.common import written
+from parcorpus.llm.common import discard, written
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -28,11 +28,13 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(smallest(both), F.col("u") == F.col("_u")).where("v > u").select(
             F.col("v").alias("u"), F.col("m").alias("v"))
-        e = written(distinct(large), "edges")
+        e, old = written(distinct(large), "edges"), e
+        discard(old)
         # every edge now leads from the larger to the smaller node
         low = smallest(e)
         small = e.join(low, F.col("u") == F.col("_u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = written(distinct(small.unionByName(low.select(F.col("_u").alias("u"), F.col("m").alias("v")))), "edges")
+        e, old = written(distinct(small.unionByName(low.select(F.col("_u").alias("u"), F.col("m").alias("v")))), "edges"), e
+        discard(old)
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == mark:
             break

@@ -206,7 +206,10 @@ def tree_pairs(members: DataFrame, percent: int) -> DataFrame:
 
     ``members``: (sig, rid, root, n, point, parity). Leaves are runs of the bucket's
     points in order of size and counts; a pair is tried only where the boxes
-    of its leaves, and then its points, allow a link."""
+    of its leaves, and then its points, allow a link, and in the first of the
+    buckets that both are in: two documents share up to as many as they have parts."""
+    earlier = Window.partitionBy("rid").orderBy("sig").rowsBetween(Window.unboundedPreceding, -1)
+    members = members.join(members.select("rid", "sig").withColumn("before", F.collect_list("sig").over(earlier)), ["rid", "sig"])
     order = Window.partitionBy("sig").orderBy("n", "point", "rid")
     packed = written(members.withColumn("_k", F.row_number().over(order)).withColumn(
         "leaf", F.expr(f"(_k - 1) div {LEAF}")).drop("_k"), "leaves")
@@ -223,7 +226,7 @@ def tree_pairs(members: DataFrame, percent: int) -> DataFrame:
     left = nodes.join(a, (F.col("sig_x") == F.col("sig_a")) & (F.col("leaf_x") == F.col("leaf_a")))
     return left.join(b, (F.col("sig_x") == F.col("sig_b")) & (F.col("leaf_y") == F.col("leaf_b")) & (
         F.col("root_a") != F.col("root_b")) & ((F.col("leaf_x") != F.col("leaf_y")) | (F.col("rid_a") < F.col("rid_b"))) &
-        _points_allow(percent)).select(
+        _points_allow(percent) & ~F.arrays_overlap("before_a", "before_b")).select(
         F.least("rid_a", "rid_b").alias("a"), F.greatest("rid_a", "rid_b").alias("b")).distinct()
 
 
