@@ -30,6 +30,8 @@ not null. Other columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,6 +47,8 @@ PERCENT = 85
 GROUPS = 64
 #: Groups whose counts are kept modulo 2.
 PARITIES = 1024
+#: Words of 64 parities that a pair first carries: those of PARITIES, folded.
+COARSE = 4
 LEAF = 256
 #: Document sizes are banded by this ratio; every band has its own number of parts.
 BAND = 1.6
@@ -189,16 +193,31 @@ def _points_allow(percent: int) -> Column:
         _minima("point_a", "point_b"), F.col("n_a"), F.col("n_b"), percent)
 
 
+def _sides(sets: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
+    """``sets`` as the sides ``_a`` and ``_b`` of a pair, with the named columns."""
+    return tuple(sets.select(*[F.col(c).alias(f"{c}_{x}") for c in ("rid", *columns)]) for x in "ab")
+
+
+def _paired(pairs: DataFrame, one: DataFrame, two: DataFrame) -> DataFrame:
+    return pairs.join(one, F.col("a") == F.col("rid_a")).join(two, F.col("b") == F.col("rid_b"))
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (a, b) of ``pairs`` that are links: bound by the points first, then the sets compared."""
-    one, two = (sets.select(*[F.col(c).alias(f"{c}_{x}") for c in ("rid", "n", "point", "parity", "hashes")]) for x in "ab")
-    points = pairs.join(one.drop("hashes_a"), F.col("a") == F.col("rid_a")).join(
-        two.drop("hashes_b"), F.col("b") == F.col("rid_b"))
-    near = written(points.where(_points_allow(percent)).select("a", "b"), "near")
-    both = near.join(one.select("rid_a", "n_a", "hashes_a"), F.col("a") == F.col("rid_a")).join(
-        two.select("rid_b", "n_b", "hashes_b"), F.col("b") == F.col("rid_b"))
+    """The (a, b) of ``pairs`` that are links: bound by few bits first, then by the points, then the
+    sets compared. Each pair carries what its step needs: 32 bytes a side, 400, and the set."""
+    words = PARITIES // 64
+    folded = [F.array(*[reduce(Column.bitwiseXOR, [F.get("parity", F.lit(k)) for k in range(j, words, COARSE)])
+                        for j in range(COARSE)]).alias("coarse")]
+    one, two = _sides(sets.select("rid", "n", *folded), "n", "coarse")
+    differ = [F.bit_count(F.get("coarse_a", F.lit(k)).bitwiseXOR(F.get("coarse_b", F.lit(k)))) for k in range(COARSE)]
+    close = written(_paired(pairs, one, two).where(
+        (100 + percent) * sum(differ[1:], differ[0]) <= (100 - percent) * (F.col("n_a") + F.col("n_b"))).select("a", "b"), "close")
+    one, two = _sides(sets, "n", "point", "parity")
+    near = written(_paired(close, one, two).where(_points_allow(percent)).select("a", "b"), "near")
+    discard(close)
+    one, two = _sides(sets, "n", "hashes")
     overlap = F.size(F.array_intersect("hashes_a", "hashes_b"))
-    return both.where(_may_link(overlap, F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
+    return _paired(near, one, two).where(_may_link(overlap, F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
 
 def tree_pairs(members: DataFrame, percent: int) -> DataFrame:
