@@ -50,6 +50,8 @@ PARITIES = 1024
 #: Words of 64 parities that a pair first carries: those of PARITIES, folded.
 COARSE = 4
 LEAF = 256
+#: Buckets of a document by which a pair's later meetings are told.
+FIRST = 12
 #: Document sizes are banded by this ratio; every band has its own number of parts.
 BAND = 1.6
 
@@ -225,10 +227,12 @@ def tree_pairs(members: DataFrame, percent: int) -> DataFrame:
 
     ``members``: (sig, rid, root, n, point, parity). Leaves are runs of the bucket's
     points in order of size and counts; a pair is tried only where the boxes
-    of its leaves, and then its points, allow a link, and in the first of the
-    buckets that both are in: two documents share up to as many as they have parts."""
-    earlier = Window.partitionBy("rid").orderBy("sig").rowsBetween(Window.unboundedPreceding, -1)
-    members = members.join(members.select("rid", "sig").withColumn("before", F.collect_list("sig").over(earlier)), ["rid", "sig"])
+    of its leaves, and then its points, allow a link. Two documents share up to as
+    many buckets as they have parts; a pair is passed over in a bucket if it
+    is known to share an earlier one, that is one of the first FIRST of both."""
+    first = members.groupBy(F.col("rid").alias("_of")).agg(F.slice(F.sort_array(F.collect_list("sig")), 1, FIRST).alias("_first"))
+    members = members.join(first, F.col("rid") == F.col("_of")).select(
+        *members.columns, F.filter("_first", lambda s: s < F.col("sig")).alias("before"))
     order = Window.partitionBy("sig").orderBy("n", "point", "rid")
     packed = written(members.withColumn("_k", F.row_number().over(order)).withColumn(
         "leaf", F.expr(f"(_k - 1) div {LEAF}")).drop("_k"), "leaves")
