@@ -217,7 +217,10 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     one, two = _sides(sets, "n", "point", "parity")
     near = written(_paired(close, one, two).where(_points_allow(percent)).select("a", "b"), "near")
     discard(close)
-    one, two = _sides(sets, "n", "hashes")
+    # only sets of a pair that is left are dealt out; a Bloom filter tells them without moving the others
+    asked = near.select(F.col("a").alias("_k")).unionByName(near.select(F.col("b").alias("_k"))).distinct()
+    needed = with_maybe(sets.select("rid", "n", "hashes"), "rid", bloom_blocks(asked, "_k")).where("_maybe")
+    one, two = _sides(needed, "n", "hashes")
     overlap = F.size(F.array_intersect("hashes_a", "hashes_b"))
     return _paired(near, one, two).where(_may_link(overlap, F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
