@@ -4,13 +4,16 @@ A document's set holds the 64-bit hashes of its 4-word shingles. The shingles
 are hashed into groups; the group counts are the document's point, and the sum
 of coordinate minima bounds the overlap of two sets, or of two boxes of points.
 The counts of a finer grouping are kept modulo 2, as bits: two sets differ in
-at least as many shingles as these bits, which tells near misses apart.
+at least as many shingles as these bits, which tells near misses apart. The
+number of bits grows with the set, or they would tell nothing about long texts.
 
 One tree over all points cannot prune: in so many dimensions every box meets
 every other. So the index is parted first, without loss. Two linked sets differ
 in at most r shingles (r follows from the sizes), so if shingles are dealt into
-more than r parts, some part that is not empty holds the same shingles in both.
-Documents meet in the buckets of equal parts only. In a bucket
+more than r parts, some part holds the same shingles in both. A document enters
+the buckets of its r + 1 fullest parts only: the order is the same for all, so two
+linked documents still meet, and a passage that unrelated documents share rarely
+fills such a part. In a bucket
 
 1. each document is tried with the bucket's first one: bound by the points,
    then verified exactly; large families of near copies are joined here, in
@@ -59,14 +62,14 @@ BAND = 1.6
 def bands(percent: int) -> list[tuple[int, int, int]]:
     """(smallest size, largest difference r, parts) per size band.
 
-    With a <= b < next band and 100 i >= percent (a + b - i), the difference
-    a + b - 2 i is at most 2 b (100 - percent) / (100 + percent). Some parts more than r keep
-    non-empty parts above r for all but odd documents (see ``signatures``)."""
+    With a <= b < next band and 100 i >= percent (a + b - i), the difference a + b - 2 i is at
+    most (a + b) (100 - percent) / (100 + percent). Twice as many parts leave more than
+    r parts of several shingles in most sets."""
     out, low = [], 1
     while low < 1 << 40:
         high = max(low + 1, int(low * BAND))
         r = 2 * (high - 1) * (100 - percent) // (100 + percent)
-        out.append((low, r, r + 5 + r // 16))
+        out.append((low, r, 2 * r + 5))
         low = high
     return out
 
@@ -105,16 +108,26 @@ class Shingler:
         return np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=GROUPS).astype(np.int32)
 
     def parity(self, s):
+        return self.odd(s, PARITIES)
+
+    def finer(self, s):
+        """More parities for a larger set: as many as shingles, up to a power of two."""
+        return self.odd(s, 1 << (len(s) - 1).bit_length()) if len(s) > PARITIES else s[:0].astype("int64")
+
+    def odd(self, s, bits: int):
         import numpy as np
 
-        odd = np.bincount((mixed(s) >> np.uint64(54)).astype(np.int64), minlength=PARITIES) & 1
+        odd = np.bincount((mixed(s) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
         return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
     def signatures(self, s):
         """Hashes of (band, part, shingles in the part), for the set's own band
-        and, if a linked set can be in the next one, for that. Empty parts give
-        one only if the other parts do not outnumber the difference r: then two
-        linked sets may agree in empty parts alone."""
+        and, if a linked set can be in the next one, for that.
+
+        The set differs from a linked one in at most r shingles, hence in at most r parts. Of
+        all parts, also the empty ones, the first r + 1 in one order for all sets are given:
+        fullest first, then by hash. If two such prefixes had no part in common, all
+        r + 1 of the one that ends first would be missing from the other set."""
         import numpy as np
 
         n = len(s)
@@ -123,23 +136,26 @@ class Shingler:
         level = int(np.searchsorted(self.lows, n, "right")) - 1
         found = []
         for k in (level, level + 1):
-            low, r, parts = self.bands[k]
-            if k > level and 100 * n // self.percent < low or not r:
+            (low, _, parts), above = self.bands[k], self.bands[k + 1][0]
+            largest = min(above - 1, 100 * n // self.percent)
+            r = (n + largest) * (100 - self.percent) // (100 + self.percent)
+            if largest < low or not r:
                 continue  # out of reach, or only equal sets are near enough
             part = ((s >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
             cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])  # s is sorted, and so are the parts
-            sums = np.add.reduceat(mixed(s), cut)
-            label = (part[cut] + (k << 48)).astype(np.uint64)
+            label, sums, full = part[cut], np.add.reduceat(mixed(s), cut), np.diff(np.r_[cut, n])
             if len(cut) <= r:
-                empty = np.setdiff1d(np.arange(parts), part[cut])
-                sums = np.r_[sums, np.zeros(len(empty), np.uint64)]
-                label = np.r_[label, (empty + (k << 48)).astype(np.uint64)]
-            found.append(mixed(sums + mixed(label)))
+                empty = np.setdiff1d(np.arange(parts), label)
+                label, sums, full = (np.r_[x, y] for x, y in (
+                    (label, empty), (sums, np.zeros(len(empty), np.uint64)), (full, np.zeros(len(empty), np.int64))))
+            hashes = mixed(sums + mixed((label + (k << 48)).astype(np.uint64))) >> np.uint64(8)
+            order = (np.uint64(255) - np.minimum(full, 255).astype(np.uint64) << np.uint64(56)) | hashes
+            found.append(np.partition(order, r)[:r + 1])
         return np.concatenate(found).astype(np.int64) if found else np.zeros(0, np.int64)
 
 
 SIGNED = "n long, f1 long, f2 long, signatures array<long>"
-MEASURED = "n long, f1 long, f2 long, hashes array<long>, point array<int>, parity array<long>"
+MEASURED = "n long, f1 long, f2 long, hashes array<long>, point array<int>, parity array<long>, finer array<long>"
 
 
 def _shingled(docs: DataFrame, text: str, carry: list[str], schema: str, full: bool,
@@ -152,7 +168,7 @@ def _shingled(docs: DataFrame, text: str, carry: list[str], schema: str, full: b
         names = [c.split()[0] for c in schema.split(", ")]
         for batch in batches:
             for part in in_slices(batch, text, 1 << 20):
-                n, f1, f2, arrays, points, odd = [], [], [], [], [], []
+                n, f1, f2, arrays, points, odd, more = [], [], [], [], [], [], []
                 for s in make.sets(part.column(text)):
                     a, b = make.fingerprint(s)
                     n.append(len(s))
@@ -162,14 +178,11 @@ def _shingled(docs: DataFrame, text: str, carry: list[str], schema: str, full: b
                     if full:
                         points.append(make.point(s))
                         odd.append(make.parity(s))
-                ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
-                flat = pa.ListArray.from_arrays(ends, np.concatenate(arrays))
-                columns = [*[part.column(c) for c in carry], pa.array(n, pa.int64()), pa.array(f1, pa.int64()),
-                           pa.array(f2, pa.int64()), flat]
-                if full:
-                    for width, values in ((GROUPS, points), (PARITIES // 64, odd)):
-                        columns.append(pa.ListArray.from_arrays(
-                            np.arange(len(n) + 1, dtype=np.int32) * width, np.concatenate(values)))
+                        more.append(make.finer(s))
+                columns = [*[part.column(c) for c in carry], *[pa.array(x, pa.int64()) for x in (n, f1, f2)]]
+                for values in (arrays, points, odd, more) if full else (arrays,):
+                    ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(ends, np.concatenate(values)))
                 yield pa.RecordBatch.from_arrays(columns, [*carry, *names])
 
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
@@ -195,6 +208,17 @@ def _points_allow(percent: int) -> Column:
         _minima("point_a", "point_b"), F.col("n_a"), F.col("n_b"), percent)
 
 
+def _finer_allow(percent: int) -> Column:
+    """Whether the ``finer`` parities of the sides allow a link. Of two lengths the longer is folded
+    to the shorter; a set with few shingles has none, then nothing is told."""
+    shorter = F.least(F.size("finer_a"), F.size("finer_b"))
+    one, two = (F.when(F.size(c) == shorter, F.col(c)).otherwise(F.zip_with(
+        F.slice(c, F.lit(1), shorter), F.slice(c, shorter + 1, shorter), Column.bitwiseXOR)) for c in ("finer_a", "finer_b"))
+    differ = F.aggregate(F.zip_with(one, two, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    told = (shorter > 0) & (F.greatest(F.size("finer_a"), F.size("finer_b")) <= 2 * shorter)
+    return ~told | ((100 + percent) * differ <= (100 - percent) * (F.col("n_a") + F.col("n_b")))
+
+
 def _sides(sets: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
     """``sets`` as the sides ``_a`` and ``_b`` of a pair, with the named columns."""
     return tuple(sets.select(*[F.col(c).alias(f"{c}_{x}") for c in ("rid", *columns)]) for x in "ab")
@@ -206,7 +230,8 @@ def _paired(pairs: DataFrame, one: DataFrame, two: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The (a, b) of ``pairs`` that are links: bound by few bits first, then by the points, then the
-    sets compared. Each pair carries what its step needs: 32 bytes a side, 400, and the set."""
+    sets compared. Each pair carries what its step needs: 32 bytes a side, 400 and up to two bits a
+    shingle, and the set."""
     words = PARITIES // 64
     folded = [F.array(*[reduce(Column.bitwiseXOR, [F.get("parity", F.lit(k)) for k in range(j, words, COARSE)])
                         for j in range(COARSE)]).alias("coarse")]
@@ -214,8 +239,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     differ = [F.bit_count(F.get("coarse_a", F.lit(k)).bitwiseXOR(F.get("coarse_b", F.lit(k)))) for k in range(COARSE)]
     close = written(_paired(pairs, one, two).where(
         (100 + percent) * sum(differ[1:], differ[0]) <= (100 - percent) * (F.col("n_a") + F.col("n_b"))).select("a", "b"), "close")
-    one, two = _sides(sets, "n", "point", "parity")
-    near = written(_paired(close, one, two).where(_points_allow(percent)).select("a", "b"), "near")
+    one, two = _sides(sets, "n", "point", "parity", "finer")
+    near = written(_paired(close, one, two).where(_points_allow(percent) & _finer_allow(percent)).select("a", "b"), "near")
     discard(close)
     # only sets of a pair that is left are dealt out; a Bloom filter tells them without moving the others
     asked = near.select(F.col("a").alias("_k")).unionByName(near.select(F.col("b").alias("_k"))).distinct()
@@ -277,8 +302,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     wanted = classes.join(met.select("rid").distinct(), "rid", "left_semi").select("rid", "n", "f1", "f2", "_h")
     texts = with_maybe(base.select("_text", "_h"), "_h", bloom_blocks(wanted, "_h")).where("_maybe").select("_text")
     sets = _shingled(texts, "_text", [], MEASURED, True, shingle, percent).groupBy("n", "f1", "f2").agg(
-        *[F.first(c).alias(c) for c in ("hashes", "point", "parity")])
-    sets = written(sets.join(wanted.drop("_h"), ["n", "f1", "f2"]).select("rid", "n", "point", "parity", "hashes"), "sets")
+        *[F.first(c).alias(c) for c in ("hashes", "point", "parity", "finer")])
+    sets = written(sets.join(wanted.drop("_h"), ["n", "f1", "f2"]).select("rid", "n", "point", "parity", "finer", "hashes"), "sets")
     tried = met.where("rid <> head").select(F.col("head").alias("a"), F.col("rid").alias("b")).distinct()
     links = written(verified(tried, sets, percent), "links")
     joined = components(links, "a", "b")

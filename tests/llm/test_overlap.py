@@ -132,3 +132,58 @@ def test_tiling_query(spark):
         seeds = {tuple(brute.plain_words(item)[k:k + 5]) for k in range(len(brute.plain_words(item)) - 4)}
         w = brute.plain_words(texts[d])
         assert any(tuple(w[k:k + 5]) in seeds for k in range(len(w) - 4))
+
+
+def test_linked_sets_share_a_signature():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    for percent in (80, 85):
+        make = ngramjoin.Shingler(4, percent)
+        for n in [*range(1, 80), *rng.integers(80, 9000, 120).tolist()]:
+            pool = np.unique(rng.integers(0, 1 << 63, 3 * n + 10, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+            pool = rng.permutation(pool)
+            # a, and b of any size in reach with the least overlap that still links them
+            m = int(rng.integers(-(-percent * n // 100), 100 * n // percent + 1))
+            i = -(-percent * (n + m) // (100 + percent))
+            if i > min(n, m):
+                continue
+            a, b = np.sort(pool[:n]), np.sort(np.r_[pool[:i], pool[n:n + m - i]])
+            assert 100 * i >= percent * (n + m - i)
+            shared = np.intersect1d(make.signatures(a), make.signatures(b))
+            assert len(shared) or (n == m == i)
+
+
+def test_join_of_long_texts_near_the_threshold(spark):
+    # texts with more shingles than the fixed parities, around the threshold, and unrelated ones that share passages
+    rng = random.Random(8)
+    passages = [text_of(rng, 55, 9000) for _ in range(4)]
+    rows, k = [], 100
+    for words in (1100, 1500, 2100, 4200):
+        base = text_of(rng, words, 9000).split()
+        for share in (0.0, 0.004, 0.012, 0.018, 0.0185, 0.019, 0.02, 0.024, 0.05):
+            t = [f"x{rng.randint(0, 9000)}" if rng.random() < share else w for w in base]
+            rows.append((k, " ".join(t[:len(t) - rng.randint(0, 12)])))
+            k += 1
+        for _ in range(6):
+            rows.append((k, " ".join([text_of(rng, words // 2, 9000), *rng.sample(passages, 3), text_of(rng, words // 2, 9000)])))
+            k += 1
+    rng.shuffle(rows)
+    same_components(spark, rows)
+
+
+def test_growing_parities_bound_the_difference():
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    make = ngramjoin.Shingler(4, 85)
+    for n, m in ((1025, 1025), (1500, 2100), (2040, 2060), (5000, 4400)):
+        pool = np.unique(rng.integers(0, 1 << 63, 3 * n, dtype=np.uint64))
+        pool = rng.permutation(pool)
+        i = min(n, m) - 37
+        a, b = np.sort(pool[:n]), np.sort(np.r_[pool[:i], pool[n:n + m - i]])
+        x, y = (make.finer(s).view(np.uint64) for s in (a, b))
+        short = min(len(x), len(y))
+        x, y = (np.bitwise_xor.reduce(s.reshape(-1, short), axis=0) for s in (x, y))
+        assert int(np.bitwise_count(x ^ y).sum()) <= n + m - 2 * i
+    assert len(make.finer(np.arange(1024, dtype=np.uint64))) == 0
