@@ -24,7 +24,7 @@ from parcorpus.llm.common import in_slices, ship_by_value, written
 from parcorpus.llm.urlfilter import host_of
 
 BUCKETS = 1 << 14
-#: Labelled documents that the text model is fitted on, at most: those with the smallest hash.
+#: Different labelled documents that the text model is fitted on, at most: those with the smallest hash.
 SAMPLE_ROWS = 4000
 #: Weight of one trigram: neighbours overlap, so they are not independent evidence.
 TRIGRAM_WEIGHT = 0.2
@@ -57,12 +57,26 @@ def page_text(html: str) -> str:
     return entities.unescape(re.sub(r"<[^>]*>", " ", t))
 
 
+def nth_smallest(hashes: DataFrame, h: str, n: int) -> int | None:
+    """The ``n``-th smallest of the distinct values of ``h`` (the largest, if there are fewer; null
+    without any).
+
+    Hashes are spread evenly, so a bound that about 2 n + 100 of them fall under is known from their
+    number, and only those few are ranked."""
+    distinct = hashes.agg(F.approx_count_distinct(h)).first()[0]
+    share = (2 * n + 100) / max(distinct, 1)
+    below = hashes.where(F.col(h) <= -(1 << 63) + int(share * 2.0 ** 64)) if share < 0.9 else hashes
+    return below.select(h).distinct().orderBy(h).limit(n).agg(F.max(h)).first()[0]
+
+
 def train(labelled: DataFrame, label: str, text: str, rows: int = SAMPLE_ROWS) -> tuple[list[str], list]:
-    """(languages, log-likelihood per language and bucket) from ``rows`` labelled rows.
+    """(languages, log-likelihood per language and bucket) from ``rows`` different labelled rows.
 
-    Counted in tasks and summed by Spark; the driver gets BUCKETS numbers per language."""
-    sample = labelled.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(label).alias("lang"), F.col(text).alias("t")).orderBy(F.xxhash64("t", "lang")).limit(rows)
+    The sample's rows stay where they are, one of equal ones; counted in tasks and summed by Spark; the driver gets BUCKETS numbers per language."""
+    known = labelled.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(label).alias("lang"), F.col(text).alias("t")).withColumn("_h", F.xxhash64("t", "lang"))
+    last = nth_smallest(written(known.select("_h"), "sample-hashes"), "_h", rows)
+    sample = known.where(F.col("_h") <= F.lit(last)).groupBy("_h", "lang").agg(F.first("t").alias("t"))
 
     def run(batches):
         import numpy as np

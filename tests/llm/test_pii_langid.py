@@ -1,4 +1,9 @@
+import random
 import re
+import unicodedata
+from collections import defaultdict
+
+import numpy as np
 
 from pyspark.sql import functions as F
 
@@ -68,6 +73,70 @@ def test_query_leaves_no_entity(spark):
     assert all(r["text"] == before[r["doc_id"]] for r in rows if r["n_entities"] == 0)
 
 
+def test_untitled_and_shortened_mentions():
+    t = "Mr. John  Smith, then John Smith; SMITH and John. Mr. Smith! Mrs. Smith? Dr. Smith Mr. 王伟, 王伟 Smithson john"
+    names = [(t[a:b], k, f) for a, b, k, f in pii.detect(t)]
+    assert names == [("John  Smith", "name_m", "john smith"), ("John Smith", "name_m", "john smith"), ("SMITH", "name_m", "john smith"),
+                     ("John", "name_m", "john smith"), ("Smith", "name_m", "john smith"), ("Smith", "name_f", "smith"),
+                     ("Smith", "name_m", "john smith"), ("王伟", "name_m", "王伟"), ("王伟", "name_m", "王伟")]
+    assert pii.in_form("SMITH", "name_m", "kalen divon", "john smith") == "DIVON"
+    assert pii.detect("John Smith") == []
+
+
+def test_script_case_and_check_digits_are_kept():
+    new = pii.surrogate(KEY, "name_m", "王伟", 0)
+    assert len(new) == 2 and new != "王伟" and all("CJK" in unicodedata.name(c) for c in new)
+    assert all("HANGUL" in unicodedata.name(c) for c in pii.surrogate(KEY, "name_f", "김민지", 3))
+    form = pii.in_form("Bob.X@Mail.Org", "email", pii.surrogate(KEY, "email", "bob.x@mail.org", 0), "bob.x@mail.org")
+    assert re.fullmatch(r"[A-Z][a-z]{2}\.[A-Z]@[A-Z][a-z]{3}\.Example", form)
+    account = "DE89 3704 0044 0532 0130 00"
+    assert [(k, f) for _, _, k, f in pii.detect(f"to {account} ABCD, not DE88 3704 0044 0532 0130 00")][0] == ("iban", account.replace(" ", ""))
+    shown = pii.in_form(account, "iban", pii.surrogate(KEY, "iban", account.replace(" ", ""), 0))
+    assert shown != account and [f for *_, f in pii.accounts(shown)] == [shown.replace(" ", "")]
+    assert [k for _, _, k, _ in pii.detect("123-45-6789 000-12-3456")] == ["ssn"]
+
+
+def test_long_local_part_goes_whole(spark):
+    local = "abcdefghij" * 8
+    out = pii.replace_entities(spark.createDataFrame([(1, f"x {local}@mail.org y")], "doc_id long, text string"), KEY).first()["text"]
+    word = out.split()[1]
+    assert len(word.split("@")[0]) == 80 and not any(local[k:k + 12] in word for k in range(68))
+
+
+def test_planted_entities_brute_force(spark):
+    """Texts are made of pieces that are known to be entities or not, so no detector is asked."""
+    rng = random.Random(5)
+    entities = {
+        "email": ["bob@mail.org", "Ann.Lee@mail.org", "z_9@a-b.example.net"], "ip": ["10.0.0.1", "8.8.4.4"],
+        "phone": ["555-123-4567", "+1 (743) 555-3824"], "iban": ["GB82WEST12345698765432"], "ssn": ["123-45-6789"],
+        "card": ["4111 1111 1111 1111", "4111-1111-1111-1112"], "name": ["Mr. Ivan Petrov", "Frau Müller", "Mme Ελένη Παππά", "Mr. 王伟"]}
+    form = {"email": r"[\w.+%-]+@[\w.-]+\.[Ee]xample", "ip": r"\d+(\.\d+){3}", "phone": r"(\+1 \(\d{3}\) |\d{3}-)\d{3}-\d{4}", "iban": r"GB\d\d[A-Z]{4}\d{14}",
+            "ssn": r"\d{3}-\d\d-\d{4}", "card": r"\d{4}([ -]\d{4}){3}", "name": r"(Mr\.|Frau|Mme) \w+( \w+)?"}
+    plain = ["the", "of, and", "12345", "a@b", "3.14", "Mister", "été;", "\n", "«x»"]
+    docs = []
+    for d in range(60):
+        pieces = []
+        for _ in range(rng.randint(0, 12)):
+            kind = rng.choice([None, *entities])
+            pieces.append((kind, rng.choice(entities[kind]) if kind else rng.choice(plain)))
+        docs.append((d, pieces))
+    df = spark.createDataFrame([(d, " | ".join(x for _, x in p)) for d, p in docs], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.replace_entities(df, KEY).collect()}
+    became = {}
+    for d, pieces in docs:
+        out = got[d]["text"].split(" | ") if pieces else []
+        assert len(out) == len(pieces) and got[d]["n_entities"] == sum(k is not None for k, _ in pieces)
+        for (kind, old), new in zip(pieces, out):
+            if kind is None:
+                assert new == old
+            else:
+                assert re.fullmatch(form[kind], new) and new != old
+                assert became.setdefault(old, new) == new
+    assert len(set(became.values())) == len(became) and not set(became) & set(became.values())
+    real = {x for v in entities.values() for x in v}
+    assert not any(e in r["text"] for r in got.values() for e in real)
+
+
 def test_language_accuracy_on_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held = docs.where(F.length("text") > 200).withColumn("h", F.xxhash64("text") % 2)
@@ -93,3 +162,77 @@ def test_evidence_is_fused(spark):
     assert got[202]["lang"] is not None and 0 < got[202]["confidence"] <= 1
     assert langid.identify(df, docs.limit(0)).where("lang is null").count() == len(rows)
     assert langid.identify(df.limit(0), docs).count() == 0
+
+
+def test_nth_smallest(spark):
+    df = spark.range(20000).select(F.xxhash64("id").alias("h")).unionByName(spark.range(20000).select(F.xxhash64("id").alias("h")))
+    want = sorted({r["h"] for r in df.collect()})
+    assert [langid.nth_smallest(df, "h", n) for n in (1, 50, 4000, 30000)] == [want[0], want[49], want[3999], want[-1]]
+    assert langid.nth_smallest(df.limit(0), "h", 5) is None
+
+
+def test_sample_takes_different_rows_from_all_tasks(spark):
+    docs = spark.range(6000).select(F.when(F.col("id") % 3 == 0, "hot text").otherwise(F.concat(F.lit("text "), F.sha1(F.col("id").cast("string")))).alias("t"),
+                                    F.lit("en").alias("l"))
+    languages, table = langid.train(docs, "l", "t", 40)
+    assert languages == ["en"] and table.shape == (1, langid.BUCKETS)
+    plan = docs.withColumn("_h", F.xxhash64("t", "l"))
+    last = langid.nth_smallest(plan.select("_h"), "_h", 40)
+    assert plan.where(F.col("_h") <= last).select("t").distinct().count() == 40
+
+
+def brute_fusion(docs, pages):
+    """The query's rule, row by row, with every document as training row."""
+    counts = defaultdict(lambda: np.zeros(langid.BUCKETS))
+    for lang, t in {(r["lang"], r["text"]) for r in docs if r["lang"] is not None and r["text"] is not None}:
+        np.add.at(counts[lang], langid.trigrams(t), 1)
+    names = sorted(counts)
+    table = np.array([counts[x] + langid.SMOOTH for x in names])
+    table = np.log(table / table.sum(axis=1, keepdims=True))
+    seen = []
+    for r in pages:
+        x = table[:, langid.trigrams(langid.page_text(r["html"] or ""))].sum(axis=1) * langid.TRIGRAM_WEIGHT
+        p = np.exp(x - x.max())
+        said = re.search(r"""(?is)<html\b[^>]*?\blang\s*=\s*["']?\s*([a-z]{2,3})""", r["html"] or "")
+        host = re.split("[/?#]", r["url"].split("://", 1)[1])[0].lower().split(":")[0] if "://" in (r["url"] or "") else ""
+        domain = ".".join(host.split(".")[-2:])
+        seen.append((r["page_id"], said[1].lower() if said else "", domain.split(".")[-1], domain, host, p / p.sum()))
+    mass = sum(s[5] for s in seen) + langid.SMOOTH
+    out = []
+    for s in seen:
+        def others(k):
+            if k > 2 and not s[4]:
+                return np.zeros(len(names))
+            return np.maximum(sum(o[5] for o in seen if o[k] == s[k] and (k < 3 or o[4])) - s[5], 0)
+
+        prior = mass / mass.sum()
+        for k, weight in ((3, langid.DOMAIN_WEIGHT), (4, langid.HOST_WEIGHT)):
+            prior = (others(k) + weight * prior) / (others(k).sum() + weight)
+        score = np.log(s[5] + 1e-12) + np.log(prior)
+        for k in (1, 2):
+            score = score + np.log((others(k) + langid.SMOOTH) / (mass + 20 * langid.SMOOTH))
+        out.append((s[0], s[1], names[int(score.argmax())], 1 / np.exp(score - score.max()).sum(), names[int(s[5].argmax())]))
+    return out
+
+
+def test_query_matches_brute_force(spark):
+    docs, pages = (spark.read.parquet(f"{SF}/{t}.parquet").collect() for t in ("documents", "pages"))
+    want = {r[0]: r for r in brute_fusion(docs, pages)}
+    got = QUERIES["op8_language_id"](spark, SF).collect()
+    assert len(got) == len(pages) == len(want)
+    for r in got:
+        w = want[r["page_id"]]
+        assert (r["declared"], r["lang"], r["text_lang"]) == (w[1], w[2], w[4]) and abs(r["confidence"] - w[3]) < 1e-5
+
+
+def test_fusion_decides_where_there_is_little_text(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    truth = {r["page_id"]: r["text_lang"] for r in langid.identify(pages, docs).collect()}
+    # of every second page only two words are left of the article, and no title
+    short = F.concat(F.regexp_extract("html", "(?s)^(.*?<html[^>]*>)", 1), F.lit("<p>"),
+                     F.array_join(F.slice(F.split(F.regexp_extract("html", "(?s)<article>.*?<p>(?:<b>)?([^<]*)", 1), " "), 1, 2), " "))
+    cut = pages.withColumn("html", F.when(F.col("page_id") % 2 == 0, short).otherwise(F.col("html")))
+    found = [r for r in langid.identify(cut, docs).collect() if r["page_id"] % 2 == 0]
+    fused, alone = (sum(r[c] == truth[r["page_id"]] for r in found) for c in ("lang", "text_lang"))
+    assert any(r["lang"] != r["text_lang"] for r in found) and fused > alone
