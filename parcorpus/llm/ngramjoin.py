@@ -15,9 +15,9 @@ the buckets of its r + 1 fullest parts only: the order is the same for all, so t
 linked documents still meet, and a passage that unrelated documents share rarely
 fills such a part. In a bucket
 
-1. each document is tried with the bucket's first one: bound by the points,
-   then verified exactly; large families of near copies are joined here, in
-   linear time;
+1. each document is tried with the bucket's middle one (:func:`with_heads`):
+   bound by the points, then verified exactly; large families of near copies
+   are joined here, in linear time;
 2. buckets that this leaves in several components get an R-tree: points sorted
    by size and counts are packed into leaves with bounding boxes, leaves are
    joined where their boxes allow a link, points where theirs do, and the
@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from parcorpus.llm.common import discard, in_slices, ship_by_value, written
 from parcorpus.llm.graph import components
 from parcorpus.llm.rolling import SPACE, WordHasher, mixed, runs
-from parcorpus.llm.urlfilter import bloom_blocks, with_maybe
+from parcorpus.llm.urlfilter import bloom_blocks, log2_blocks, with_maybe
 
 SHINGLE = 4
 #: Links have 100 * |A and B| >= PERCENT * |A or B|.
@@ -200,12 +200,16 @@ def _may_link(overlap: Column, n_a: Column, n_b: Column, percent: int) -> Column
     return (100 + percent) * overlap >= percent * (n_a + n_b)
 
 
-def _points_allow(percent: int) -> Column:
-    """Whether the points and parities of the sides ``_a`` and ``_b`` allow a link."""
+def _parities_allow(percent: int) -> Column:
+    """Whether the parities of the sides ``_a`` and ``_b`` allow a link."""
     odd = [F.bit_count(F.get("parity_a", F.lit(k)).bitwiseXOR(F.get("parity_b", F.lit(k)))) for k in range(PARITIES // 64)]
     differ = sum(odd[1:], odd[0])
-    return ((100 + percent) * differ <= (100 - percent) * (F.col("n_a") + F.col("n_b"))) & _may_link(
-        _minima("point_a", "point_b"), F.col("n_a"), F.col("n_b"), percent)
+    return (100 + percent) * differ <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
+
+
+def _points_allow(percent: int) -> Column:
+    """Whether the points and parities of the sides ``_a`` and ``_b`` allow a link."""
+    return _parities_allow(percent) & _may_link(_minima("point_a", "point_b"), F.col("n_a"), F.col("n_b"), percent)
 
 
 def _finer_allow(percent: int) -> Column:
@@ -244,7 +248,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     discard(close)
     # only sets of a pair that is left are dealt out; a Bloom filter tells them without moving the others
     asked = near.select(F.col("a").alias("_k")).unionByName(near.select(F.col("b").alias("_k"))).distinct()
-    needed = with_maybe(sets.select("rid", "n", "hashes"), "rid", bloom_blocks(asked, "_k")).where("_maybe")
+    log2 = log2_blocks(min(2 * near.count(), sets.count()))
+    needed = with_maybe(sets.select("rid", "n", "hashes"), "rid", bloom_blocks(asked, "_k", log2), log2=log2).where("_maybe")
     one, two = _sides(needed, "n", "hashes")
     overlap = F.size(F.array_intersect("hashes_a", "hashes_b"))
     return _paired(near, one, two).where(_may_link(overlap, F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
@@ -254,8 +259,9 @@ def tree_pairs(members: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components that one R-tree per bucket leaves.
 
     ``members``: (sig, rid, root, n, point, parity). Leaves are runs of the bucket's
-    points in order of size and counts; a pair is tried only where the boxes
-    of its leaves, and then its points, allow a link. Two documents share up to as
+    points in order of size and counts; a pair is given only where the boxes
+    of its leaves, and then its parities, allow a link (a join's condition that also summed up the
+    minima of two points would be too long to be compiled; :func:`verified` sums them next). Two documents share up to as
     many buckets as they have parts; a pair is passed over in a bucket if it
     is known to share an earlier one, that is one of the first FIRST of both."""
     first = members.groupBy(F.col("rid").alias("_of")).agg(F.slice(F.sort_array(F.collect_list("sig")), 1, FIRST).alias("_first"))
@@ -273,14 +279,28 @@ def tree_pairs(members: DataFrame, percent: int) -> DataFrame:
     nodes = x.join(y, (F.col("sig_x") == F.col("sig_y")) & (F.col("leaf_x") <= F.col("leaf_y")) & ~same & (
         100 * F.col("most_x") >= percent * F.col("least_y")) & _may_link(
         _minima("box_x", "box_y"), F.col("least_x"), F.col("least_y"), percent)).select("sig_x", "leaf_x", "leaf_y")
-    a, b = (packed.select(*[F.col(c).alias(f"{c}_{s}") for c in packed.columns]) for s in "ab")
+    a, b = (packed.select(*[F.col(c).alias(f"{c}_{s}") for c in packed.columns if c != "point"]) for s in "ab")
     left = nodes.join(a, (F.col("sig_x") == F.col("sig_a")) & (F.col("leaf_x") == F.col("leaf_a")))
     return left.join(b, (F.col("sig_x") == F.col("sig_b")) & (F.col("leaf_y") == F.col("leaf_b")) & (
         F.col("root_a") != F.col("root_b")) & ((F.col("leaf_x") != F.col("leaf_y")) | (F.col("rid_a") < F.col("rid_b"))) &
-        _points_allow(percent) & ~F.arrays_overlap("before_a", "before_b")).select(
+        _parities_allow(percent) & ~F.arrays_overlap("before_a", "before_b")).select(
         F.least("rid_a", "rid_b").alias("a"), F.greatest("rid_a", "rid_b").alias("b")).distinct()
 
 
+def with_heads(shared: DataFrame) -> DataFrame:
+    """(sig, rid, head) of the rows (sig, rid, size) of buckets.
+
+    A bucket's head is the member that meets others most often in all its buckets, the smallest of
+    several. Sets that have more parts in common are nearer, so this is the middle of a family: of
+    copies that were each changed a little, the one changed least, to which more of the others are
+    linked than to any other. Two grouped sums, of which a bucket or member is one row per task."""
+    often = shared.groupBy(F.col("rid").alias("_of")).agg(F.sum(F.col("size") - 1).alias("often"))
+    ranked = shared.join(often, F.col("rid") == F.col("_of")).select("sig", "rid", "often")
+    heads = ranked.groupBy(F.col("sig").alias("_sig")).agg(
+        F.max(F.struct("often", (-F.col("rid")).alias("less"))).alias("_head"))
+    return shared.join(heads, F.col("sig") == F.col("_sig")).select("sig", "rid", (-F.col("_head.less")).alias("head"))
+
+
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                       percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, component_id) for every row of ``docs``."""
@@ -292,15 +312,16 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     signed_classes = written(classes.withColumn("rid", F.monotonically_increasing_id()), "classes")
     rows = written(signed.drop("signatures", "_h"), "rows")
     discard(signed)
-    bucket = Window.partitionBy("sig")
-    met = written(signed_classes.select("rid", F.explode("signatures").alias("sig")).repartition("sig").select(
-        "sig", "rid", F.min("rid").over(bucket).alias("head"), F.max("rid").over(bucket).alias("_last")
-    ).where("head <> _last").drop("_last"), "buckets")
+    shared = written(signed_classes.select("rid", F.explode("signatures").alias("sig")).repartition("sig").select(
+        "sig", "rid", F.count(F.lit(1)).over(Window.partitionBy("sig")).alias("size")).where("size > 1"), "shared")
+    met = written(with_heads(shared), "buckets")
+    discard(shared)
     classes = written(signed_classes.drop("signatures"), "classes")
     discard(signed_classes)
     # the sets of documents that met another; a Bloom filter keeps the other texts from being read twice
     wanted = classes.join(met.select("rid").distinct(), "rid", "left_semi").select("rid", "n", "f1", "f2", "_h")
-    texts = with_maybe(base.select("_text", "_h"), "_h", bloom_blocks(wanted, "_h")).where("_maybe").select("_text")
+    log2 = log2_blocks(classes.count())
+    texts = with_maybe(base.select("_text", "_h"), "_h", bloom_blocks(wanted, "_h", log2), log2=log2).where("_maybe").select("_text")
     sets = _shingled(texts, "_text", [], MEASURED, True, shingle, percent).groupBy("n", "f1", "f2").agg(
         *[F.first(c).alias(c) for c in ("hashes", "point", "parity", "finer")])
     sets = written(sets.join(wanted.drop("_h"), ["n", "f1", "f2"]).select("rid", "n", "point", "parity", "finer", "hashes"), "sets")

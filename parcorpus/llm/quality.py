@@ -81,7 +81,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("base_failed", RULES["few_words"]() | RULES["repetition"]())
 
 
-def host_verdicts(measured: DataFrame, host: str) -> DataFrame:
+def host_verdicts(measured: DataFrame, host: str, max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """One row per host: documents, shrunk rate of its worst rule, verdict.
 
     Sums are combined map-side, so a host with a third of all rows is a few
@@ -105,10 +105,11 @@ def host_verdicts(measured: DataFrame, host: str) -> DataFrame:
     shrunk = long.join(F.broadcast(prior), "rule").select(
         "_host", "n", ((F.col("failed") + F.col("m") * F.col("k")) / (F.col("n") + F.col("k"))).alias("rate"))
     return shrunk.groupBy("_host").agg(F.max("n").alias("host_docs"), F.max("rate").alias("host_rate")).select(
-        "_host", "host_docs", "host_rate", (F.col("host_rate") > MAX_HOST_RATE).alias("host_rejected"))
+        "_host", "host_docs", "host_rate", (F.col("host_rate") > max_rate).alias("host_rejected"))
 
 
-def judge(docs: DataFrame, text: str = "text", host: str = "source", columns: list[str] | None = None) -> DataFrame:
+def judge(docs: DataFrame, text: str = "text", host: str = "source", columns: list[str] | None = None,
+          max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """Measures, host rate and ``kept`` for every row of ``docs``.
 
     ``columns`` are the input columns to carry (default: all). The measured
@@ -120,7 +121,7 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source", columns: li
     m = written(measure(docs.select(*dict.fromkeys([*carry, text, host])), text).select(
         *dict.fromkeys([*carry, host]), *MEASURES, "_n_lines"), "quality")
     # a host with a third of all rows is spread over SALTS keys; the verdicts are one small row per host
-    salts = host_verdicts(m, host).select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_s"))
+    salts = host_verdicts(m, host, max_rate).select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_s"))
     salt = F.pmod(F.xxhash64(*[m[c] for c in MEASURES]), F.lit(SALTS))
     out = m.join(salts, (m[host] == F.col("_host")) & (salt == F.col("_s")), "left")
     return out.select(
@@ -128,7 +129,7 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source", columns: li
         (~F.col("base_failed") & ~F.coalesce("host_rejected", F.lit(False))).alias("kept"))
 
 
-def keep_good(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
+def keep_good(docs: DataFrame, text: str = "text", host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """The rows of ``docs`` that pass, with their own columns unchanged."""
     packed = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(text).alias("_text"), F.col(host).alias("_from"))
-    return judge(packed, "_text", "_from", ["_doc"]).where("kept").select("_doc.*")
+    return judge(packed, "_text", "_from", ["_doc"], max_rate).where("kept").select("_doc.*")

@@ -28,20 +28,19 @@ def query(fn):
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"), columns=["doc_id"])
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                         "base_failed", "kept")
+                         "base_failed", "kept", F.round("host_rate", 6).alias("host_rate"))
 
 
 #: (verdict, host, path prefix) of the query's rules.
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
              ("block", "net", "/es/"), ("block", "net", "/fr/")]
-#: A page whose host has one of these words puts its URL on the list.
-LISTED_WORDS = ["casino", "bets", "pills", "loans"]
 
 
 @query
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    listed = pages.where(urlfilter.host_of(F.col("url")).rlike("|".join(LISTED_WORDS)))
+    """The list holds the pages that mirror an earlier one: their titles are equal."""
+    pages = table(spark, sf_dir, "pages")
+    listed = urlfilter.mirrors(pages)
     return urlfilter.judge_urls(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
@@ -179,18 +178,19 @@ h AS (
   WHERE source IS NOT NULL GROUP BY source, k),
 p AS (SELECT k, sum(x) / sum(n) AS m, sum(n * (x / n) * (x / n)) / sum(n) AS m2 FROM h GROUP BY k),
 b AS (
-  SELECT DISTINCT source FROM h JOIN (
+  SELECT source, max((x + m * v) / (n + v)) AS rate FROM h JOIN (
     SELECT k, m, CASE WHEN m2 - m * m > 0 THEN greatest(2.0, least(1000.0, m * (1 - m) / (m2 - m * m) - 1)) ELSE 1000.0 END AS v
-    FROM p) USING (k)
-  WHERE (x + m * v) / (n + v) > 0.5)
+    FROM p) USING (k) GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND NOT EXISTS (SELECT 1 FROM b WHERE b.source = f.source) AS kept
-FROM f"""
+  NOT base_failed AND coalesce(rate, 0) <= 0.5 AS kept, round(rate, 6) AS host_rate
+FROM f LEFT JOIN b USING (source)"""
 
 ORACLE["op2_url_filter"] = """WITH u AS (
-  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest,
+    nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') AS title FROM pages),
 s AS (
-  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  SELECT page_id, title IS NOT NULL AND page_id > min(page_id) OVER (PARTITION BY title) AS mirror,
+    translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^?#]*[?]([^#]*)', 1) AS query
   FROM u),
 c AS (
@@ -205,7 +205,7 @@ c AS (
   FROM s)
 SELECT page_id, host, path, rule,
   CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
-       WHEN EXISTS (SELECT 1 FROM c l WHERE l.canon = c.canon AND regexp_matches(l.host, 'casino|bets|pills|loans')) THEN 'block'
+       WHEN EXISTS (SELECT 1 FROM c l WHERE l.canon = c.canon AND l.mirror) THEN 'block'
        ELSE 'allow' END AS verdict
 FROM c"""
 

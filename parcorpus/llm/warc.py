@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcorpus.llm.common import discard, in_slices, ship_by_value, written
-from parcorpus.llm.urlfilter import bloom_blocks, with_maybe
+from parcorpus.llm.urlfilter import bloom_blocks, log2_blocks, with_maybe
 
 #: Fixed values of the two formats.
 MAGIC = b"\x1f\x8b\x08"
@@ -106,7 +106,8 @@ def write_archive(rows: DataFrame, path: str, id_col: str, uri: str, payload: st
     repeated = spool.groupBy(F.col("_digest").alias("_d")).agg(F.min(first).alias("_first"), F.count(F.lit(1)).alias("_n")).where(
         "_n > 1").select("_d", "_first.id", "_first.row")
     repeated = written(repeated, "repeated")
-    flagged = with_maybe(spool, "_digest", bloom_blocks(repeated, "_d"))
+    log2 = log2_blocks(repeated.count())
+    flagged = with_maybe(spool, "_digest", bloom_blocks(repeated, "_d", log2), log2=log2)
     alone = flagged.where("not _maybe").select(*spool.columns, F.lit(None).cast(repeated.schema["id"].dataType).alias("id"),
                                                F.lit(None).cast("long").alias("row"))
     salted = flagged.where("_maybe").withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(SALTS)))
