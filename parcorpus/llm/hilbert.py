@@ -9,14 +9,14 @@ Law of the cut: ``rows``; the counts of any two shards differ by at most one.
 
 Defined results: a null text has no bytes; a null dimension takes cell 0.
 Ties are cut by (id, checksum, size), and rows equal in all of these are alike,
-so their order does not matter. An empty table gives an empty result. Only the
-named columns are read.
+so their order does not matter. An empty table gives an empty result. Strings
+are cut by their whole values, however long. Only the named columns are read.
 """
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,30 +25,43 @@ from parcorpus.llm.common import numbered, written
 BITS = 5
 
 
-def order_key(c: Column, kind: T.DataType) -> Column:
-    """A number that sorts like the column: itself, or a string's first seven bytes."""
-    if isinstance(kind, T.NumericType):
-        return c.cast("double")
-    first = F.rpad(F.hex(F.substring(F.encode(c.cast("string"), "utf-8"), 1, 7)), 14, "0")
-    return F.conv(first, 16, 10).cast("double")
+def string_cuts(df: DataFrame, dim: str, bits: int = BITS) -> list[str]:
+    """The smallest value of each equi-depth cell of a string column, but for the first cell.
+
+    The distinct values are ranged in order with their counts; a value's cell is where the count
+    of the rows before it falls. Whole strings are compared, so a common beginning does no harm."""
+    values = written(df.where(F.col(dim).isNotNull()).groupBy(F.col(dim).cast("string").alias("v")).agg(
+        F.count(F.lit(1)).alias("n")).orderBy("v").select("v", "n", F.spark_partition_id().alias("_pid")), "hilbert-values")
+    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition
+    sums = values.groupBy("_pid").agg(F.sum("n").alias("_n")).select(
+        "_pid", F.coalesce(F.sum("_n").over(earlier(Window.orderBy("_pid"))), F.lit(0)).alias("_before"),
+        F.sum("_n").over(Window.partitionBy()).alias("_total"))
+    inside = F.coalesce(F.sum("n").over(earlier(Window.partitionBy("_pid").orderBy("v"))), F.lit(0))
+    cells = values.withColumn("_in", inside).join(F.broadcast(sums), "_pid").groupBy(
+        F.expr(f"((_before + _in) * {1 << bits}) div _total").alias("cell")).agg(F.min("v").alias("v"))
+    return sorted((r["v"] for r in cells.where("cell > 0").collect()), key=lambda v: v.encode())
 
 
 def with_cells(df: DataFrame, dims: list[str], bits: int = BITS) -> DataFrame:
     """Add ``_cell_<k>`` per dimension: its equi-depth cell, 0 .. 2**bits - 1.
 
-    The cuts are 2**bits - 1 approximate quantiles per dimension over all rows;
-    the driver gets these few numbers only."""
+    The cuts are 2**bits - 1 values at most per dimension, found over all rows: approximate
+    quantiles of a number, counted ranks of a string. The driver gets these few values only."""
     kinds = {f.name: f.dataType for f in df.schema}
+    numbers = [k for k, d in enumerate(dims) if isinstance(kinds[d], T.NumericType)]
     shares = [k / (1 << bits) for k in range(1, 1 << bits)]
-    keyed = df.select("*", *[order_key(F.col(d), kinds[d]).alias(f"_key_{k}") for k, d in enumerate(dims)])
-    cuts = keyed.agg(*[F.percentile_approx(f"_key_{k}", F.lit(shares), F.lit(1000)).alias(f"_{k}")
-                       for k in range(len(dims))]).first()
+    found = df.agg(*[F.percentile_approx(F.col(dims[k]).cast("double"), F.lit(shares), F.lit(1000)).alias(f"_{k}")
+                     for k in numbers]).first() if numbers else {}
 
     def cell(k: int) -> Column:
-        steps = sorted(set(cuts[k] or []))
-        return sum([(F.col(f"_key_{k}") > c).cast("int") for c in steps], F.lit(0))
+        if k in numbers:
+            steps = [F.col(dims[k]).cast("double") > c for c in sorted(set(found[f"_{k}"] or []))]
+        else:
+            steps = [F.col(dims[k]).cast("string") >= c for c in string_cuts(df, dims[k], bits)]
+        return sum([s.cast("int") for s in steps], F.lit(0))
 
-    return keyed.select(*df.columns, *[F.coalesce(cell(k), F.lit(0)).alias(f"_cell_{k}") for k in range(len(dims))])
+    return df.select("*", *[F.coalesce(cell(k), F.lit(0)).alias(f"_cell_{k}") for k in range(len(dims))])
 
 
 def hilbert_index(cells: list[Column], bits: int = BITS) -> Column:

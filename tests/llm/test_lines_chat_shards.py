@@ -128,3 +128,57 @@ def test_shard_edges_and_pruning(spark):
     hit = {r["shard"] for r in hilbert.prune(index, source="s1", size=10).collect()}
     assert {r["shard"] for r in got if r["source"] == "s1" and r["size"] == 10} <= hit and len(hit) < 7
     assert hilbert.hilbert_shards(df.limit(0), ["source", "size"], ["doc_id"], 7).count() == 0
+
+
+def test_strings_with_a_common_beginning_fill_many_cells(spark):
+    rows = [(k, f"https://h{k % 7}.org") for k in range(200)] + [(900, None), (901, "")]
+    cells = hilbert.with_cells(spark.createDataFrame(rows, "id long, source string"), ["source"]).collect()
+    by = {r["source"]: r["_cell_0"] for r in cells}
+    assert len(cells) == 202 and len(set(by.values())) == 7 and by[None] == 0 and by[""] == 0  # "" is with the first host
+    assert [by[f"https://h{k}.org"] for k in range(7)] == sorted(by[f"https://h{k}.org"] for k in range(7))
+
+
+def place(axes, bits):
+    """Index on the Hilbert curve of one cell: undo excess turns, Gray decode, interleave."""
+    x, n = list(axes), len(axes)
+    q = 1 << (bits - 1)
+    while q > 1:
+        for k in range(n):
+            if x[k] & q:
+                x[0] ^= q - 1
+            else:
+                t = (x[0] ^ x[k]) & (q - 1)
+                x[0], x[k] = x[0] ^ t, x[k] ^ t
+        q >>= 1
+    for k in range(1, n):
+        x[k] ^= x[k - 1]
+    t, q = 0, 1 << (bits - 1)
+    while q > 1:
+        t ^= q - 1 if x[-1] & q else 0
+        q >>= 1
+    return int("".join(str((v ^ t) >> b & 1) for b in range(bits - 1, -1, -1) for v in x), 2)
+
+
+def test_shard_query_matches_brute_force(spark):
+    docs = [(d["doc_id"], d["lang"], d["source"], len((d["text"] or "").encode()) + 8, zlib.crc32((d["text"] or "").encode()))
+            for d in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    n = 1 << hilbert.BITS
+    cells = []
+    for k in (1, 2, 3):
+        values = sorted(d[k] for d in docs if d[k] is not None)
+        if k == 3:  # a cell ends at the value of its rank
+            cuts = sorted({values[-(-len(values) * j // n) - 1] for j in range(1, n)})
+            cells.append([sum(d[k] > c for c in cuts) for d in docs])
+        else:
+            first = {}
+            for at, v in enumerate(values):
+                first.setdefault(v, at * n // len(values))
+            cuts = [min(v for v in first if first[v] == c) for c in sorted(set(first.values())) if c]
+            cells.append([0 if d[k] is None else sum(d[k] >= c for c in cuts) for d in docs])
+    order = sorted((place(c, hilbert.BITS), d[0], d[4], d[3]) for c, d in zip(zip(*cells), docs))
+    want, slots = [], Counter()
+    for at, (h, d, crc, size) in enumerate(order):
+        shard = at * 24 // len(order)
+        want.append((d, size, crc, "rows", shard, slots[shard], None, h))
+        slots[shard] += 1
+    assert sorted(map(tuple, QUERIES["op9_hilbert_sharding"](spark, SF).collect())) == sorted(want)

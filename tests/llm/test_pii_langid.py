@@ -229,10 +229,10 @@ def test_fusion_decides_where_there_is_little_text(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     truth = {r["page_id"]: r["text_lang"] for r in langid.identify(pages, docs).collect()}
-    # of every second page only two words are left of the article, and no title
+    # of every second page only two characters are left of the article, and no title
     short = F.concat(F.regexp_extract("html", "(?s)^(.*?<html[^>]*>)", 1), F.lit("<p>"),
-                     F.array_join(F.slice(F.split(F.regexp_extract("html", "(?s)<article>.*?<p>(?:<b>)?([^<]*)", 1), " "), 1, 2), " "))
+                     F.substring(F.regexp_extract("html", "(?s)<article>.*?<p>(?:<b>)?([^<]*)", 1), 1, 2))
     cut = pages.withColumn("html", F.when(F.col("page_id") % 2 == 0, short).otherwise(F.col("html")))
     found = [r for r in langid.identify(cut, docs).collect() if r["page_id"] % 2 == 0]
     fused, alone = (sum(r[c] == truth[r["page_id"]] for r in found) for c in ("lang", "text_lang"))
-    assert any(r["lang"] != r["text_lang"] for r in found) and fused > alone
+    assert fused > alone, (fused, alone, len(found))
