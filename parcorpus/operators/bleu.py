@@ -8,9 +8,8 @@ corpus, brevity penalty, exponential smoothing of orders without a match, score
 Plan: everything about a row is computed in the row. The hypothesis and the
 reference are tokenised with regex expressions; a side's n-grams of one order
 are an array of 64-bit hashes, built from the order before. The clipped matches
-of two such arrays are the size of their multiset intersection: where one side
-has no gram twice, that of the plain intersection; else one fold over both
-sides' hashes, sorted together. A row leaves nine numbers, which are summed per
+of two such arrays are the size of their multiset intersection: that of the plain
+intersection, and one fold over both sides' repeated hashes, sorted together. A row leaves nine numbers, which are summed per
 group with a partial sum in every task, and the formula is a column expression
 over one row per group.
 """
@@ -25,12 +24,15 @@ from parcorpus.functions import text as T
 MAX_ORDER = 4
 
 # 13a tokenisation rules (fixed values), applied in this order; Spark
-# replacement groups are written $1. The definition's first class also has the
+# replacement groups are written $1. The second is ([^0-9])([\.,]) -> "$1 $2 ", stated from
+# the point or comma: a match begins there, not at every character that is no digit. Of a
+# run of them the first is taken with the character before it, if that is no digit (a text
+# begins with a space), the next ones in twos. The definition's first class also has the
 # space, which it surrounds by spaces: tokens are split at runs of them, so it is
 # left out here.
 TOK13A_RULES = [
     (r"([\{-\~\[-\`!-\&\(-\+\:-\@\/])", " $1 "),
-    (r"([^0-9])([\.,])", "$1 $2 "),
+    (r"(?=[\.,])(?:(?<![0-9\.,])([\.,])|([\.,])([\.,]))", "$2 $1$3 "),
     (r"([\.,])([^0-9])", " $1 $2"),
     (r"([0-9])(-)", "$1 $2 "),
 ]
@@ -51,13 +53,22 @@ def tokenize_13a(c) -> Column:
     return T.split_ws(s)
 
 
+def _repeats(a: Column) -> Column:
+    """The values of an array of longs without one of each, sorted."""
+    s = F.sort_array(a)
+    return F.array_compact(F.zip_with(s, F.slice(s, 2, F.greatest(F.size(a) - 1, F.lit(0))), lambda x, y: F.when(x == y, x)))
+
+
 def clipped_matches(a: Column, b: Column) -> Column:
-    """Size of the multiset intersection of two arrays of longs, in linear time after a sort.
+    """Size of the multiset intersection of two arrays of longs, in linear time after a sort;
+    null if one of them is.
 
-    In the fold, ``b``'s values have the lowest bit set and ``a``'s not, so of one value
+    It is that of the plain intersection and that of the multiset intersection of what is left
+    of both without one of each value. That is nothing where one side has no value twice, and
+    little of most other rows: only that goes through a fold. In the fold, ``b``'s values have the lowest bit set and ``a``'s not, so of one value
     those of ``a`` come first; each of ``b`` takes one of them, while any is left."""
-    own = F.transform(a, lambda x: x.bitwiseAND(F.lit(-2)))
-    other = F.transform(b, lambda x: x.bitwiseOR(F.lit(1).cast("long")))
+    own = F.transform(_repeats(a), lambda x: x.bitwiseAND(F.lit(-2)))
+    other = F.transform(_repeats(b), lambda x: x.bitwiseOR(F.lit(1).cast("long")))
     zero = F.lit(0).cast("long")
 
     def step(acc: Column, x: Column) -> Column:
@@ -69,7 +80,7 @@ def clipped_matches(a: Column, b: Column) -> Column:
     fold = F.aggregate(F.sort_array(F.concat(own, other)),
                        F.struct(zero.alias("value"), zero.alias("left"), zero.alias("n")), step, lambda acc: acc["n"])
     once = (F.size(F.array_distinct(a)) == F.size(a)) | (F.size(F.array_distinct(b)) == F.size(b))
-    return F.when(once, F.size(F.array_intersect(a, b)).cast("long")).otherwise(fold)
+    return F.when(a.isNotNull() & b.isNotNull(), F.size(F.array_intersect(a, b)).cast("long") + F.when(once, zero).otherwise(fold))
 
 
 def bleu_stats(df: DataFrame, hyp: str, ref: str, by: list[str] | None = None) -> DataFrame:
