@@ -54,7 +54,8 @@ def stored_keys(spark: SparkSession, corpus_dir: str, buckets: Sequence[int]) ->
     paths = [f"{corpus_dir}/_keys/bucket={b}" for b in buckets if f"bucket={b}" in there]
     if not paths:
         return spark.createDataFrame([], "k1 long, k2 long")
-    epochs = spark.createDataFrame([(e,) for e in committed(spark, corpus_dir)], "epoch string")
+    # names that the driver holds: broadcast, or all keys of an epoch would meet in one task
+    epochs = F.broadcast(spark.createDataFrame([(e,) for e in committed(spark, corpus_dir)], "epoch string"))
     keys = spark.read.schema("k1 long, k2 long, epoch string").option("basePath", f"{corpus_dir}/_keys").parquet(*paths)
     return keys.join(epochs, "epoch", "left_semi").select("k1", "k2")
 
@@ -150,7 +151,7 @@ def read_corpus(spark: SparkSession, corpus_dir: str, dedup: str = "table") -> D
     epochs = [e for e in committed(spark, corpus_dir) if not e.startswith("compact-")]
     if not epochs:
         return spark.createDataFrame([], CORPUS_SCHEMA)
-    names = spark.createDataFrame([(e,) for e in epochs], "_epoch string")
+    names = F.broadcast(spark.createDataFrame([(e,) for e in epochs], "_epoch string"))  # as in stored_keys
     rows = spark.read.schema(T_.StructType([*PARTIAL_SCHEMA.fields, T_.StructField("stream", T_.StringType()),
                                             T_.StructField("batch_id", T_.LongType())])).json(corpus_dir)
     return rows.join(names, F.concat_ws("-", "stream", "batch_id") == F.col("_epoch"), "left_semi").select(*CORPUS_SCHEMA.names)
