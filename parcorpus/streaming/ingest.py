@@ -8,9 +8,12 @@ stream and the batch; a commit record makes them count. A batch that is replayed
 after its commit is passed over; one that was not committed is written anew, to
 the same folders. Rows and keys without a commit record are not read.
 
-    corpus/stream=<id>/batch_id=<n>/      rows (JSON)
-    corpus/_keys/bucket=<b>/epoch=<id>-<n>/   128-bit hashes of (sl, tl)
+    corpus/stream=<id>/batch_id=<n>/      rows (JSON, compressed)
+    corpus/_keys/bucket=<b>/epoch=<id>-<n>/   SHA-256 digests of (sl, tl)
     corpus/_commits/<id>-<n>
+
+The rows of a batch are dealt out once, by the digest: it de-duplicates them, and
+the stored digests come to them.
 """
 
 from __future__ import annotations
@@ -32,15 +35,22 @@ PARTIAL_SCHEMA = T_.StructType([
     T_.StructField("ol", T_.StringType()), T_.StructField("pos", T_.LongType()),
 ])
 CORPUS_SCHEMA = T_.StructType([*PARTIAL_SCHEMA.fields, T_.StructField("batch_id", T_.LongType())])
+KEY = ["sl", "tl"]
 #: Buckets of the key index; they stay the same for the life of a corpus.
 BUCKETS = 64
+#: How the corpus' rows are compressed; the usual level takes twice as long for a twentieth less.
+COMPRESSED = {"compression": "gzip", "zlib.compress.level": "THREE"}
+#: Shuffle files go when the write that made them has ended, not when the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _with_bucket(df: DataFrame) -> DataFrame:
+    return df.withColumn("bucket", F.pmod(F.xxhash64("_key"), F.lit(BUCKETS)).cast("int"))
 
 
 def _with_key(df: DataFrame) -> DataFrame:
-    """A row's key hashes and bucket; a missing side counts as "", as it does in keep_first."""
-    key = [F.coalesce(c, F.lit("")) for c in ("sl", "tl")]
-    return df.withColumns({"k1": F.xxhash64(*key), "k2": F.xxhash64(F.lit(1), *key)}).withColumn(
-        "bucket", F.pmod("k1", F.lit(BUCKETS)).cast("int"))
+    """A row's key digest, the same as in keep_first, and bucket."""
+    return _with_bucket(df.withColumn("_key", dedup.key_digest(KEY, strip=False)))
 
 
 def committed(spark: SparkSession, corpus_dir: str) -> list[str]:
@@ -49,15 +59,17 @@ def committed(spark: SparkSession, corpus_dir: str) -> list[str]:
 
 
 def stored_keys(spark: SparkSession, corpus_dir: str, buckets: Sequence[int]) -> DataFrame:
-    """(k1, k2) of all committed rows in ``buckets``; no other bucket's files are listed or read."""
+    """Digests (``_key``) of all committed rows in ``buckets``; no other bucket's files are listed or read."""
     there = set(manifest.names(spark, f"{corpus_dir}/_keys"))
     paths = [f"{corpus_dir}/_keys/bucket={b}" for b in buckets if f"bucket={b}" in there]
     if not paths:
-        return spark.createDataFrame([], "k1 long, k2 long")
+        return spark.createDataFrame([], "_key binary")
     # names that the driver holds: broadcast, or all keys of an epoch would meet in one task
     epochs = F.broadcast(spark.createDataFrame([(e,) for e in committed(spark, corpus_dir)], "epoch string"))
-    keys = spark.read.schema("k1 long, k2 long, epoch string").option("basePath", f"{corpus_dir}/_keys").parquet(*paths)
-    return keys.join(epochs, "epoch", "left_semi").select("k1", "k2")
+    keys = spark.read.schema("_key binary, epoch string").option("basePath", f"{corpus_dir}/_keys").parquet(*paths)
+    # files without digests are of an index of 128-bit hashes, as it once was: no row of theirs would be found
+    other = F.raise_error(F.lit(f"{corpus_dir}/_keys holds no digests: remove it and the corpus, and ingest anew"))
+    return keys.join(epochs, "epoch", "left_semi").select(F.coalesce("_key", other).alias("_key"))
 
 
 def process_batch(batch: DataFrame, batch_id: int, corpus_dir: str, stream: str = "batch") -> None:
@@ -66,14 +78,14 @@ def process_batch(batch: DataFrame, batch_id: int, corpus_dir: str, stream: str
     epoch = f"{stream}-{batch_id}"
     if epoch in committed(spark, corpus_dir):
         return
-    keyed = _with_key(_clean_filter(batch))
-    buckets = [r[0] for r in keyed.select("bucket").distinct().collect()]  # at most BUCKETS
-    first = dedup.keep_first(keyed, ["sl", "tl"], "pos", strip=False)
-    new = first.join(stored_keys(spark, corpus_dir, buckets), ["k1", "k2"], "left_anti")
+    cleaned = _clean_filter(batch)
+    buckets = [r[0] for r in _with_key(cleaned).select("bucket").distinct().collect()]  # at most BUCKETS
+    first = dedup.keep_first(cleaned, KEY, "pos", strip=False, with_key=True)
+    new = first.join(stored_keys(spark, corpus_dir, buckets), "_key", "left_anti")
     rows = f"{corpus_dir}/stream={stream}/batch_id={batch_id}"
-    new.select(*PARTIAL_SCHEMA.names).write.mode("overwrite").json(rows)
+    new.select(*PARTIAL_SCHEMA.names).write.mode("overwrite").options(**COMPRESSED).json(rows)
     written = _with_key(spark.read.schema(PARTIAL_SCHEMA).json(rows))
-    (written.select("k1", "k2", "bucket", F.lit(epoch).alias("epoch")).repartition("bucket")
+    (written.select("_key", "bucket", F.lit(epoch).alias("epoch")).repartition("bucket")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("bucket", "epoch").parquet(f"{corpus_dir}/_keys"))
     manifest.write_record(spark, f"{corpus_dir}/_commits/{epoch}", {"stream": stream, "batch_id": batch_id})
@@ -85,7 +97,7 @@ def compact_keys(spark: SparkSession, corpus_dir: str) -> None:
     old = committed(spark, corpus_dir)
     buckets = [int(n.partition("=")[2]) for n in manifest.names(spark, f"{corpus_dir}/_keys") if n.startswith("bucket=")]
     epoch = f"compact-{uuid.uuid4().hex}"
-    keys = stored_keys(spark, corpus_dir, buckets).withColumn("bucket", F.pmod("k1", F.lit(BUCKETS)).cast("int"))
+    keys = _with_bucket(stored_keys(spark, corpus_dir, buckets))
     (keys.withColumn("epoch", F.lit(epoch)).repartition("bucket")
      .write.mode("append").partitionBy("bucket", "epoch").parquet(f"{corpus_dir}/_keys"))
     manifest.write_record(spark, f"{corpus_dir}/_commits/{epoch}", {"compacts": old})
@@ -134,6 +146,7 @@ def start_ingest(spark: SparkSession, source_dir: str, corpus_dir: str, checkpoi
 
     def add(df: DataFrame, batch_id: int) -> None:
         named.wait()  # the id is known once the stream has been started
+        df.sparkSession.conf.set(CLEANUP, "true")  # a session of the stream's own
         process_batch(df, batch_id, corpus_dir, query[0].id)
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(add)
